@@ -134,7 +134,7 @@ def read_shard(path: str, rows: int = 2048) -> Iterator[tuple[list, np.ndarray,
     starts = np.concatenate([[0], np.cumsum(lengths)])
     begin = 0
     while begin < docs:
-        end = max(begin + 1, min(begin + rows, int(np.searchsorted(starts, starts[begin] + CHUNK))))
+        end = max(begin + 1, min(docs, begin + rows, int(np.searchsorted(starts, starts[begin] + CHUNK))))
         first = int(starts[begin]) // simple8b.BLOCK
         ids = simple8b.decode(words, offsets, n, escapes, first, -(-int(starts[end]) // simple8b.BLOCK) - first).astype("<u4")
         cut = starts[begin : end + 1] - first * simple8b.BLOCK
