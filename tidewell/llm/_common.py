@@ -10,7 +10,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewell.ship import ship
 
@@ -58,6 +59,23 @@ def written(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def text_hash(column: str = "text") -> Column:
+    """XXH64 (seed 42) of a text, null as empty; with doc_id the identity of a row."""
+    return F.xxhash64(F.coalesce(column, F.lit("")))
+
+
+def keep_rows(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """``docs`` without the rows that ``marks`` (doc_id, h, keep; one row for each identity that loses rows) drops.
+
+    keep is 0 or 1: how many rows stay of those with this doc_id and text hash. What isn't marked stays as it is, so
+    texts are joined with the few marks only, once. All columns of ``docs`` are kept, whatever their names.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("row"), text_hash().alias("h")).alias("r")
+    joined = rows.join(marks.alias("m"), F.col("r.row.doc_id").cast("long").eqNullSafe(F.col("m.doc_id")) & (F.col("r.h") == F.col("m.h")), "left")
+    once = joined.filter("m.keep = 1").groupBy(F.col("m.doc_id"), F.col("m.h")).agg(F.first("r.row").alias("row"))
+    return joined.filter("m.keep is null").select("r.row.*").unionByName(once.select("row.*"))
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = 8_000_000) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Runs of rows with about ``size`` bytes of text (one row at least), with their texts as UTF-8; null counts as empty."""
     for batch in batches:

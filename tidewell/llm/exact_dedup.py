@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm._common import slices, written
+from tidewell.llm._common import keep_rows, slices, written
 from tidewell.llm.polynomial import MODULI, fingerprints
 
 PART = 256  # rows of a group that one task compares, about
@@ -39,20 +39,22 @@ def normalised(text: bytes) -> bytes:
 
 
 def _fingerprinted(docs: DataFrame, moduli: tuple[int, int], with_text: bool) -> DataFrame:
-    """row (a number for each row of this pass), doc_id, fp, n_bytes, sha (SHA-256), and the normalised text where asked for."""
+    """row (a number for each row of this pass), doc_id, fp, n_bytes, sha (SHA-256), h (XXH64 of the text as it is), and the normalised text where asked for."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
+        from xxhash import xxh64_intdigest
 
         row = TaskContext.get().partitionId() << 33
         for batch, texts in slices(batches):
+            hashes = np.array([xxh64_intdigest(t, 42) for t in texts], np.uint64).view(np.int64)
             texts = [normalised(t) for t in texts]
             states = np.array(fingerprints(texts, moduli), np.int64).reshape(-1, 3)
-            columns = [pa.array(np.arange(row, row + len(texts))), batch.column("doc_id"), pa.array(states[:, 0] << 31 | states[:, 1]), pa.array(states[:, 2]), pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary())]
+            columns = [pa.array(np.arange(row, row + len(texts))), batch.column("doc_id"), pa.array(states[:, 0] << 31 | states[:, 1]), pa.array(states[:, 2]), pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()), pa.array(hashes)]
             row += len(texts)
-            yield pa.RecordBatch.from_arrays(columns + [pa.array(texts, pa.binary())] * with_text, ["row", "doc_id", "fp", "n_bytes", "sha", "text"][: 5 + with_text])
+            yield pa.RecordBatch.from_arrays(columns + [pa.array(texts, pa.binary())] * with_text, ["row", "doc_id", "fp", "n_bytes", "sha", "h", "text"][: 6 + with_text])
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(work, "row long, doc_id long, fp long, n_bytes long, sha binary" + ", text binary" * with_text)
+    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(work, "row long, doc_id long, fp long, n_bytes long, sha binary, h long" + ", text binary" * with_text)
 
 
 def _differing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,19 +102,25 @@ def _colliding(docs: DataFrame, rows: DataFrame, first: DataFrame, round_: int,
 
 
 def exact_classes(docs: DataFrame, moduli: tuple[int, int] = MODULI) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256 (of the normalised text), n_bytes."""
+    """One row for each row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256 (of the normalised text), n_bytes, h (XXH64 of the text as it is)."""
     rows, round_ = written(_fingerprinted(docs, moduli, False).withColumn("round", F.lit(0)), "rows"), 0
     while True:
         first = rows.groupBy(*_CLASS).agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("keep"))
         unlike = written(_colliding(docs, rows, first, round_, moduli), "unlike")
         if unlike.isEmpty():
             break
-        marked = rows.alias("r").join(unlike.alias("u"), _same("r", "u", *_IDENTITY, "round"), "left").select("r.row", *(f"r.{c}" for c in _IDENTITY), (F.col("r.round") + F.col("u.fp").isNotNull().cast("int")).alias("round"))
+        marked = rows.alias("r").join(unlike.alias("u"), _same("r", "u", *_IDENTITY, "round"), "left").select("r.row", "r.h", *(f"r.{c}" for c in _IDENTITY), (F.col("r.round") + F.col("u.fp").isNotNull().cast("int")).alias("round"))
         rows, round_ = written(marked, "rows"), round_ + 1
     large = first.filter("size > 1").select(*_CLASS, "size", "keep")
     joined = rows.join(large, _CLASS, "left")
     size = F.coalesce("size", F.lit(1)).cast("long")
     return joined.select(
         "doc_id", F.when(F.col("size").isNull(), F.col("doc_id")).otherwise(F.col("keep.doc_id")).alias("keep_id"), size.alias("group_size"),
-        (F.col("size").isNull() | (F.col("row") == F.col("keep.row"))).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"), "n_bytes", "row",
+        (F.col("size").isNull() | (F.col("row") == F.col("keep.row"))).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"), "n_bytes", "h",
     )
+
+
+def dedup(docs: DataFrame, moduli: tuple[int, int] = MODULI) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns."""
+    marks = exact_classes(docs, moduli).groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("kept").cast("int")).alias("keep"))
+    return keep_rows(docs, written(marks.filter("n > keep"), "marks"))

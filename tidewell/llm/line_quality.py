@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm._common import slices, words_of, written
+from tidewell.llm._common import slices, text_hash, words_of, written
 
 MIN_DOCS = 12  # a line of fewer distinct documents of a host is never boilerplate,
 MIN_SHARE = 0.01  # nor one of a smaller share of the host's documents
@@ -132,10 +132,12 @@ def clean(docs: DataFrame, host: str = "source", **limits: float) -> DataFrame:
     """``docs`` without rejected documents and without frequent lines; same columns (``n_chars`` follows the text)."""
     verdicts = judge(docs, host, **limits).filter(~F.col("kept") | F.col("removed").isNotNull())
     changes = written(verdicts.groupBy("doc_id", "host", "text_hash").agg(F.first("kept").alias("kept"), F.first("removed").alias("removed")), "changes")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).alias("r")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), text_hash().alias("h")).alias("r")
     same = F.col("r.row.doc_id").cast("long").eqNullSafe(F.col("c.doc_id")) & F.col(f"r.row.{host}").cast("string").eqNullSafe(F.col("c.host")) & (F.col("r.h") == F.col("c.text_hash"))
     joined = rows.join(changes.alias("c"), same, "left").filter(F.coalesce("c.kept", F.lit(True)))
 
+    columns = docs.columns
+
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
@@ -143,7 +145,7 @@ def clean(docs: DataFrame, host: str = "source", **limits: float) -> DataFrame:
                 if gone:
                     gone = set(gone)
                     texts[i] = "\n".join(x for x in texts[i].split("\n") if not x.strip() or line_hash(x.encode()) not in gone)
-            yield pa.RecordBatch.from_arrays([pa.array(texts, batch.schema.field(c).type) if c == "text" else batch.column(c) for c in docs.columns], docs.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, batch.schema.field(c).type) if c == "text" else batch.column(c) for c in columns], columns)
 
     out = joined.select("r.row.*", F.col("c.removed").alias("_removed")).mapInArrow(strip, docs.schema)
     return out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(out.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm._common import slices, written
+from tidewell.llm._common import keep_rows, slices, written
 from tidewell.llm.components import components
 
 BITS = 64
@@ -57,14 +57,16 @@ def fingerprint(hashes: list[int]) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """doc_id and fp (the 64 bits as a signed long) of every row."""
+    """doc_id, fp (the 64 bits as a signed long) and h (XXH64 of the text) of every row."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest
+
         for batch, texts in slices(batches):
             fps = np.array([fingerprint(shingle_hashes(t, words)) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps), pa.array(np.array([xxh64_intdigest(t, 42) for t in texts], np.uint64).view(np.int64))], ["doc_id", "fp", "h"])
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(work, "doc_id long, fp long")
+    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(work, "doc_id long, fp long, h long")
 
 
 def masks(bits: int, most: int) -> np.ndarray:
@@ -192,10 +194,19 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
 
 
 def near_classes(docs: DataFrame, words: int = 4, radius: int = 2) -> DataFrame:
-    """doc_id, fp and component_id (least doc_id reachable over links of at most 2 * radius bits) of every row."""
+    """doc_id, fp, h, root (least fp of the component) and component_id (least doc_id reachable over links of at most
+    2 * radius bits) of every row."""
     prints = written(fingerprints(docs, words), "prints")
     least = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "least")
     roots = components(links(least.select("fp"), radius))
     rooted = least.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(rooted.join(groups, "root").select("fp", "component_id"), "fp")
+    return prints.join(rooted.join(groups, "root").select("fp", "root", "component_id"), "fp")
+
+
+def dedup(docs: DataFrame, words: int = 4, radius: int = 2) -> DataFrame:
+    """The row with the least doc_id of each component, with all its columns."""
+    rows = written(near_classes(docs, words, radius).groupBy("root", "doc_id", "h").agg(F.count(F.lit(1)).alias("n")), "classes")
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("first"))
+    marks = rows.join(first, "root").withColumn("keep", (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("h") == F.col("first.h"))).cast("int"))
+    return keep_rows(docs, written(marks.filter("n > keep").select("doc_id", "h", "keep"), "marks"))
