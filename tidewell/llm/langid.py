@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from tidewell.llm._common import slices
 
-PIECE = 2048
-LEVEL = 3
+PIECE = 1024
+LEVEL = 6
 NARROW = 0.01  # of the runner-up's size
 
 
@@ -33,7 +33,8 @@ def held_out() -> Column:
 
 
 def learn(training: DataFrame, per_lang: int = 400, dict_bytes: int = 112 * 1024) -> dict[str, bytes]:
-    """Dictionary content for each language of ``training`` (text, lang), from at most ``per_lang`` texts of each."""
+    """Dictionary content for each language of ``training`` (text, lang), from at most ``per_lang`` texts of each; the most
+    frequent language first, which wins ties."""
     rows = training.filter("lang is not null and length(text) > 0").select("lang", "text", F.xxhash64("text").alias("h"))
     # Hashes first, so that the sort of the sample carries no texts; it keeps per_lang rows of each task before any shuffle.
     least = rows.select("lang", "h").distinct().withColumn("i", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("i") <= per_lang).drop("i")
@@ -41,6 +42,8 @@ def learn(training: DataFrame, per_lang: int = 400, dict_bytes: int = 112 * 1024
     texts: dict[str, list[bytes]] = {}
     for r in found:
         texts.setdefault(r.lang, []).append(r.text.lower().encode())
+    ranks = [r.lang for r in training.filter("lang is not null").groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]  # a row for each language
+    texts = {k: texts[k] for k in ranks if k in texts}
     share = {k: dict_bytes // len(v) for k, v in texts.items()}
     return {k: b" ".join(t[(len(t) - share[k]) // 2 :][: share[k]] if len(t) > share[k] else t for t in v)[-dict_bytes:] for k, v in texts.items()}
 
@@ -49,7 +52,7 @@ class Classifier:
     def __init__(self, dictionaries: dict[str, bytes]) -> None:
         import zstandard as z
 
-        self.langs = sorted(dictionaries)
+        self.langs = list(dictionaries)
         self.coders = []
         for k in self.langs:
             d = z.ZstdCompressionDict(dictionaries[k], dict_type=z.DICT_TYPE_RAWCONTENT)
@@ -63,7 +66,7 @@ class Classifier:
         s = text.decode("utf-8", "replace").lower()
         if not self.langs or not any(map(str.isalpha, s)):
             return "und", 0.0
-        ranked = sorted(zip(self.sizes(s.encode()), self.langs, strict=True))
+        ranked = sorted(zip(self.sizes(s.encode()), self.langs, strict=True), key=lambda x: x[0])
         if len(ranked) == 1:
             return ranked[0][1], 1.0
         return ranked[0][1], 1 - ranked[0][0] / ranked[1][0]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import exact_dedup, langid, line_quality, mixing, packing, secrets, simhash, token_files
+from tidewell.llm import exact_dedup, langid, line_quality, mixing, packing, secrets, simhash, suffixes, token_files
 from tidewell.llm._common import table
 
 ORACLE_SQL: dict[str, str] = {
@@ -33,6 +33,12 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.repeats(table(spark, sf_dir, "documents"))
+    words = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", F.size("spans").alias("n_spans"), words.alias("repeated_words"), F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias("spans"), F.array_distinct(F.transform("spans", lambda s: s["other"])).alias("others"))
+
+
 def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = line_quality.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
@@ -61,4 +67,4 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_classes(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_files, op2_simhash, op3_mixing, op5_line_quality, op6_langid, op8_packing, op9_secrets, op10_exact_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_files, op2_simhash, op3_mixing, op4_suffixes, op5_line_quality, op6_langid, op8_packing, op9_secrets, op10_exact_dedup)}
