@@ -7,10 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import exact_dedup, langid, line_quality, mixing, packing, secrets, simhash, suffixes, token_files
+from tidewell.llm import chat, exact_dedup, langid, line_quality, mixing, packing, secrets, simhash, suffixes, token_files
 from tidewell.llm._common import table
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_chat": r"""
+        WITH e AS (
+            SELECT conv_id, turn, role, text, CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
+                   CASE role WHEN 'user' THEN conv_id || ':' || turn WHEN 'assistant' THEN conv_id || ':' || (turn - 1) END AS id
+            FROM conversations),
+        s AS (
+            SELECT e.*, CASE WHEN kind = 'message' THEN 'message' WHEN EXISTS (FROM e o WHERE o.id = e.id AND o.kind <> e.kind) THEN 'linked'
+                             WHEN kind = 'call' THEN 'unanswered' ELSE 'orphan' END AS status FROM e)
+        SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position, kind, id, status,
+               CASE WHEN kind = 'result' AND status = 'linked' THEN 1 ELSE 0 END AS depth, CASE WHEN kind = 'call' THEN '' END AS problems,
+               CASE kind WHEN 'call' THEN '{"arguments":{"text":' || to_json(text) || ',"turn":' || turn || '},"id":"' || id || '","name":"reply","role":"user","type":"call"}'
+                         WHEN 'result' THEN '{"content":' || to_json(text) || ',"id":"' || id || '","role":"assistant","type":"result"}'
+                         ELSE '{"content":' || to_json(text) || ',"role":' || to_json(role) || '}' END AS json
+        FROM s""",
     "op10_exact_dedup": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS s FROM documents),
              g AS (SELECT s, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY s)
@@ -50,6 +64,15 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, learned).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+#: The tool that a plain conversation's user turns call.
+REPLY: chat.Schemas = {"reply": {"text": ("string", True), "turn": ("integer", True)}}
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chat.format_events(chat.by_turns(table(spark, sf_dir, "conversations")), REPLY)
+    return found.select("conv_id", "turn", "position", "kind", "id", "status", "depth", F.array_join("problems", "; ").alias("problems"), "json")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -67,4 +90,4 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_classes(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_files, op2_simhash, op3_mixing, op4_suffixes, op5_line_quality, op6_langid, op8_packing, op9_secrets, op10_exact_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_files, op2_simhash, op3_mixing, op4_suffixes, op5_line_quality, op6_langid, op7_chat, op8_packing, op9_secrets, op10_exact_dedup)}
