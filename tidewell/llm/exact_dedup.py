@@ -63,7 +63,7 @@ def _differing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, keep = batch.column("text"), []
         for i, at in enumerate(zip(*(batch.column(c).to_pylist() for c in ("fp", "n_bytes", "round", "part")), strict=True)):
-            view = memoryview(texts[i].as_buffer())
+            view = memoryview(texts[i].as_buffer()).cast("B")
             if at != key:
                 key, first = at, bytes(view)
             elif any(view[j : j + COMPARED] != first[j : j + COMPARED] for j in range(0, max(len(view), len(first)), COMPARED)):
