@@ -481,14 +481,14 @@ def mtd_share(spark: SparkSession, d: str) -> DataFrame:
     r AS (SELECT t.*, s AS strategy, CASE s WHEN 'scheduled' THEN CASE WHEN k <= 5 OR share < 0.15 THEN 'fixed' ELSE 'blend' END ELSE s END AS effective, forecast_total AS model, greatest(least(mtd / share, abs(forecast_total) * 2), -abs(forecast_total) * 2) AS ratio
         FROM t JOIN months USING (month_start) CROSS JOIN (SELECT unnest(['fixed', 'mtd_ratio', 'blend', 'scheduled']) AS s)),
     f AS (SELECT *, CASE effective WHEN 'fixed' THEN model WHEN 'mtd_ratio' THEN ratio ELSE 0.7 * model + 0.3 * ratio END AS final FROM r)
-    SELECT f.month_start, f.k::INTEGER AS as_of_day, strategy, any_value(effective) AS effective_strategy, 1 AS posting_lag_days, round(any_value(mtd), 4) AS mtd_actual, round(any_value(remaining), 4) AS remaining_actual, round(any_value(total), 4) AS month_actual_total,
-        round(any_value(model), 4) AS month_total_model, round(any_value(final), 4) AS month_total_final, round(any_value(final - mtd), 4) AS remaining_forecast, round(avg(abs((final - mtd) * w - actual)), 4) AS remainder_mae,
-        round(CASE WHEN sum(abs(actual)) > 0 THEN sum(abs((final - mtd) * w - actual)) / sum(abs(actual)) * 100 ELSE sum(abs((final - mtd) * w - actual)) END, 4) AS remainder_wape,
-        round(any_value(final - total), 4) AS full_month_error, round(any_value(CASE WHEN abs(total) > 0 THEN (final - total) / abs(total) * 100 ELSE 0 END), 4) AS full_month_error_pct
+    SELECT f.month_start, f.k::INTEGER AS as_of_day, strategy, any_value(effective) AS effective_strategy, 1 AS posting_lag_days, round(any_value(mtd), 6) AS mtd_actual, round(any_value(remaining), 6) AS remaining_actual, round(any_value(total), 6) AS month_actual_total,
+        round(any_value(model), 6) AS month_total_model, round(any_value(final), 6) AS month_total_final, round(any_value(final - mtd), 6) AS remaining_forecast, round(avg(abs((final - mtd) * w - actual)), 6) AS remainder_mae,
+        round(CASE WHEN sum(abs(actual)) > 0 THEN sum(abs((final - mtd) * w - actual)) / sum(abs(actual)) * 100 ELSE sum(abs((final - mtd) * w - actual)) END, 6) AS remainder_wape,
+        round(any_value(final - total), 6) AS full_month_error, round(any_value(CASE WHEN abs(total) > 0 THEN (final - total) / abs(total) * 100 ELSE 0 END), 6) AS full_month_error_pct
     FROM f JOIN y ON y.month_start = f.month_start AND y.k = f.k AND y.rest GROUP BY f.month_start, f.k, strategy""")
 def intramonth_backtest(spark: SparkSession, d: str) -> DataFrame:
     found = _allocator(daily(spark, d), history_years=5, strategy="blend").backtest_intramonth_daily(strategies=["fixed", "mtd_ratio", "blend", "scheduled"])
-    return rounded(found, 4)
+    return rounded(found, 6)
 
 
 # ---------------------------------------------------------------- forecasts
