@@ -15,7 +15,7 @@ WEEK_DAYS = ("MON", "TUE", "WED", "THU", "FRI", "SAT", "SUN")
 
 def by_month(values: dict[int, float], date: Column) -> Column:
     """The value of the date's month."""
-    return F.element_at(F.array(*(F.lit(values[m]) for m in range(1, 13))), F.month(date))
+    return F.when(date.isNotNull(), F.element_at(F.array(*(F.lit(values[m]) for m in range(1, 13))), F.month(date)))
 
 
 def month_start(date: Column) -> Column:

@@ -88,6 +88,37 @@ def fold_forecast(series: DataFrame, coefficients: dict[str, float], intercept:
     return rows.select(*map(col, groups), (F.col("__i") + 1).alias("horizon"), F.trunc(F.add_months("__last", F.col("__i") + 1), "MM").alias("date"), "prediction")
 
 
+def segment_ridge_forecast(panel: DataFrame, segment: str, date_column: str, target: str, periods: int, alpha: float = 1.0, lags: Sequence[int] = (1, 12)) -> DataFrame:
+    """[segment,] date, prediction: a lagged ridge of each segment, fitted and folded by one task for each segment.
+
+    A segment is a monthly series, so a group is small whatever the number of segments.
+    """
+    import numpy as np
+    import pandas as pd
+
+    lags = list(lags)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("date")
+        y = pdf["y"].fillna(0.0).to_numpy(float)
+        months = pd.to_datetime(pdf["date"]).dt.month.to_numpy()
+        row = lambda h, m: [*(h[-k] if len(h) >= k else 0.0 for k in lags), math.sin(2 * math.pi * m / 12), math.cos(2 * math.pi * m / 12)]
+        x = np.array([row(list(y[:i]), m) for i, m in enumerate(months)])
+        mx, my = x.mean(axis=0), y.mean()
+        w = np.linalg.solve((x - mx).T @ (x - mx) + alpha * np.eye(x.shape[1]), (x - mx).T @ (y - my))
+        history, out = list(y), []
+        last = pd.Timestamp(pdf["date"].iloc[-1]).date()
+        for when in months_after(months_after(last, 2)[1], periods):
+            history.append(float(my + (np.array(row(history, when.month)) - mx) @ w))
+            out.append((when, history[-1]))
+        made = pd.DataFrame(out, columns=["date", "prediction"])
+        made.insert(0, segment, pdf[segment].iloc[0])
+        return made
+
+    rows = panel.select(col(segment), col(date_column).cast("date").alias("date"), number(col(target)).alias("y"))
+    return rows.groupBy(col(segment)).applyInPandas(run, f"`{segment}` {panel.schema[segment].dataType.simpleString()}, date date, prediction double")
+
+
 class TimeSeriesForecaster:
     """Forecasts a monthly target, of one series or of a panel summed by month.
 

@@ -19,9 +19,9 @@ from tidewell.operators.allocation import AllocationConfig, DailyAllocator, dail
 from tidewell.operators.features import Calendar, FeaturePipeline, Growth, Lag, Rolling, Seasonal, Statistical
 from tidewell.operators.metrics import accuracy, horizon_errors
 from tidewell.operators.series import LogTransform, build_daily_totals, daily_to_monthly, daily_to_weekly, fill_target, handle_outliers, split_by_months, split_by_ratio, sum_by_date
-from tidewell.plans.forecaster import TimeSeriesForecaster, fold_forecast
+from tidewell.plans.forecaster import TimeSeriesForecaster, fold_forecast, segment_ridge_forecast
 from tidewell.plans.models import Linear
-from tidewell.plans.smoothing import holt_winters_forecast
+from tidewell.plans.smoothing import holt_winters_forecast, trend_fourier_forecast
 from tidewell.ship import ship
 from tidewell.sources.io import Checkpoint, Loader
 
@@ -540,3 +540,14 @@ def ensemble_forecast(spark: SparkSession, d: str) -> DataFrame:
 @query(None)
 def holt_winters(spark: SparkSession, d: str) -> DataFrame:
     return holt_winters_forecast(panel(spark, d), "date", "actual", 12, "segment")
+
+
+@query(None)
+def trend_fourier(spark: SparkSession, d: str) -> DataFrame:
+    return trend_fourier_forecast(monthly(spark, d), "date", "actual", 12)
+
+
+@query(None)
+def forecast_per_segment(spark: SparkSession, d: str) -> DataFrame:
+    """A ridge of each segment's own is fitted by its sums of products; all segments forecast side by side."""
+    return segment_ridge_forecast(panel(spark, d), "segment", "date", "actual", 12)

@@ -73,3 +73,24 @@ def holt_winters_forecast(df: DataFrame, date_column: str, target: str, periods:
         narrow = narrow.withColumn("__all", F.lit(1))
     schema = ", ".join([*(f"`{g}` {narrow.schema[g].dataType.simpleString()}" for g in groups), "date date, prediction double"])
     return narrow.groupBy(*map(col, groups or ["__all"])).applyInPandas(forecast, schema)
+
+
+def trend_fourier_forecast(df: DataFrame, date_column: str, target: str, periods: int, order: int = 3, z: float = 1.2816) -> DataFrame:
+    """date, prediction, prediction_lower and prediction_upper of the months after the last date of a monthly series.
+
+    A linear trend and ``order`` yearly Fourier terms by least squares; the bounds are ``z`` residual deviations away
+    (80 per cent as it stands). It is a model of its own, not another library's.
+    """
+    from tidewell.plans.models import Linear
+
+    d = F.col("date")
+    first = df.agg(F.min(col(date_column).cast("date"))).first()[0]
+    year = F.datediff(d, F.lit(first)) / 365.25
+    terms = {"t": year} | {f"{f.__name__}{k}": f(2 * F.pi() * k * year) for k in range(1, order + 1) for f in (F.sin, F.cos)}
+    rows = df.select(col(date_column).cast("date").alias("date"), F.coalesce(col(target).cast("double"), F.lit(0.0)).alias("y")).withColumns(terms)
+    model = Linear("linear").fit(rows, list(terms), "y")
+    spread = F.broadcast(model.predict(rows, list(terms)).agg(F.coalesce(F.stddev_samp(F.col("y") - F.col("prediction")), F.lit(0.0)).alias("s")))
+    last = F.trunc(F.max(col(date_column).cast("date")), "MM")
+    ahead = df.agg(last.alias("last")).select(F.explode(F.sequence(F.lit(1), F.lit(periods))).alias("i"), "last").select(F.add_months("last", F.col("i")).alias("date")).withColumns(terms)
+    out = model.predict(ahead, list(terms)).crossJoin(spread)
+    return out.select("date", "prediction", (F.col("prediction") - z * F.col("s")).alias("prediction_lower"), (F.col("prediction") + z * F.col("s")).alias("prediction_upper"))

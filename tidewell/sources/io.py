@@ -60,6 +60,21 @@ def _literal(value: Any) -> str:
     return "'" + str(value).replace("'", "''") + "'"
 
 
+def jdbc_options(config: Any, section: str = "snowflake") -> dict[str, str]:
+    """Options of Spark's JDBC reader from a connection section; the driver's jar must be on the class path.
+
+    Without a password the login is by single sign-on in the browser; a role and an authenticator are optional.
+    """
+    get = lambda k: config.get(f"{section}.{k}", None)
+    missing = [k for k in ("account", "user", "warehouse", "database", "schema") if not get(k)]
+    if missing:
+        raise ValueError(f"connection settings are missing: {missing}")
+    out = {"url": f"jdbc:{section}://{get('account')}.{section}computing.com/", "user": get("user"), "warehouse": get("warehouse"), "db": get("database"), "schema": get("schema")}
+    out |= {"password": get("password")} if get("password") else {}
+    out |= {"authenticator": get("authenticator") or ("" if get("password") else "externalbrowser")}
+    return {k: v for k, v in (out | {"role": get("role") or ""}).items() if v}
+
+
 class Checkpoint:
     """The last value of a column, with its type, in a JSON file that is replaced whole."""
 
