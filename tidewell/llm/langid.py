@@ -38,14 +38,15 @@ def learn(training: DataFrame, per_lang: int = 400, dict_bytes: int = 112 * 1024
     rows = training.filter("lang is not null and length(text) > 0").select("lang", "text", F.xxhash64("text").alias("h"))
     # Hashes first, so that the sort of the sample carries no texts; it keeps per_lang rows of each task before any shuffle.
     least = rows.select("lang", "h").distinct().withColumn("i", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("i") <= per_lang).drop("i")
-    found = rows.join(F.broadcast(least), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).orderBy("lang", "h").collect()
+    # A text gives its middle, as much as is its share of the dictionary: dict_bytes for each language come to the driver.
+    least = least.withColumn("share", F.ceil(F.lit(dict_bytes) / F.count("h").over(Window.partitionBy("lang"))).cast("int"))
+    middle = F.substring("text", F.greatest(F.lit(1), ((F.length("text") - F.col("share")) / 2).cast("int") + 1), F.col("share"))
+    found = rows.join(F.broadcast(least), ["lang", "h"]).select("lang", "h", middle.alias("text")).groupBy("lang", "h").agg(F.min("text").alias("text")).orderBy("lang", "h").collect()
     texts: dict[str, list[bytes]] = {}
     for r in found:
         texts.setdefault(r.lang, []).append(r.text.lower().encode())
     ranks = [r.lang for r in training.filter("lang is not null").groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]  # a row for each language
-    texts = {k: texts[k] for k in ranks if k in texts}
-    share = {k: dict_bytes // len(v) for k, v in texts.items()}
-    return {k: b" ".join(t[(len(t) - share[k]) // 2 :][: share[k]] if len(t) > share[k] else t for t in v)[-dict_bytes:] for k, v in texts.items()}
+    return {k: b" ".join(texts[k])[-dict_bytes:] for k in ranks if k in texts}
 
 
 class Classifier:
