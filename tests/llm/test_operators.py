@@ -159,6 +159,17 @@ def test_suffixes_cover_all_repeats(name, request):
     assert rows == brute.repeated(given.items())
 
 
+def test_suffixes_stream_in_pieces():
+    """Pieces of any size give the matches of the whole partition."""
+    import pyarrow as pa
+
+    r = random.Random(9)
+    rows = sorted((r.randrange(6), bytes(4 * k) if (k := r.randrange(27)) else b"", b"\1\1\1\1" * r.randrange(27), r.randrange(4), 0, r.randrange(50)) for _ in range(400))
+    whole = pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32()), strict=True)], ["run", "right", "left", "doc_id", "h", "place"])
+    found = lambda n, step: {tuple(x.values())[:5] for b in suffixes._neighbours((whole.slice(i, step) for i in range(0, 400, step)), n) for x in b.to_pylist() if not x["edge"]}
+    assert found(10**6, 400) == found(10, 3) == found(1, 1) != set()
+
+
 def test_suffixes_planted(spark):
     r = random.Random(2)
     word = lambda: f"v{r.randrange(10**6)}"

@@ -141,22 +141,55 @@ _COLUMNS = ["run", "right", "left", *_DOC, "place"]
 _FOUND = "doc_id long, h long, start int, end int, other long, edge boolean, run long, right binary, left binary, place int"
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_NAMES = [x.split()[0] for x in _FOUND.split(", ")]
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch], rows: int = 100_000) -> Iterator[pa.RecordBatch]:
     """Matches of a sorted partition's suffixes with the next ones before and after that are of other documents.
 
-    A partition of a range sort has a bounded size. Its first and last document's suffixes come out as well (``edge``).
+    The partition streams through in pieces of about ``rows`` rows; a piece's last two documents stay for the next one.
+    Suffixes of the partition's first and last document come out as well (``edge``).
     """
-    whole = pa.Table.from_batches(list(batches))
-    if not len(whole):
-        return
-    t = whole.combine_chunks().to_batches()[0]
+    held: list[pa.RecordBatch] = []
+    first = True
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) < rows:
+            continue
+        piece = _joined(held)
+        begins = _begins(piece)
+        if len(begins) < 3:
+            continue
+        yield _matches(piece, begins)
+        if first:
+            yield _edge(piece.slice(0, int(begins[1])))
+            first = False
+        held = [piece.slice(int(begins[-2]))]
+    if held:
+        piece = _joined(held)
+        begins = _begins(piece)
+        yield _matches(piece, begins)
+        if first:
+            yield _edge(piece.slice(0, int(begins[1]) if len(begins) > 1 else len(piece)))
+        if len(begins) > 1 or not first:
+            yield _edge(piece.slice(int(begins[-1])))
+
+
+def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+
+
+def _begins(t: pa.RecordBatch) -> np.ndarray:
+    """Where a document's suffixes with one run begin."""
+    run, doc, h = (t.column(c).to_numpy() for c in ("run", "doc_id", "h"))
+    return np.flatnonzero(np.concatenate([[True], (run[1:] != run[:-1]) | (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])]))
+
+
+def _matches(t: pa.RecordBatch, begins: np.ndarray) -> pa.RecordBatch:
     run, doc, h, place = (t.column(c).to_numpy() for c in ("run", "doc_id", "h", "place"))
     n = len(run)
-    fresh = np.concatenate([[True], (run[1:] != run[:-1]) | (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])])
-    begins = np.flatnonzero(fresh)
-    group = np.cumsum(fresh) - 1
-    before, after = begins[group] - 1, np.append(begins[1:], n)[group]
-    rows = np.arange(n)
+    group = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, n)))
+    before, after, rows = begins[group] - 1, np.append(begins[1:], n)[group], np.arange(n)
     a = np.concatenate([rows[before >= 0], rows[after < n]])
     b = np.concatenate([before[before >= 0], after[after < n]])
     same = run[a] == run[b]
@@ -165,12 +198,13 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     r, l = _common(*right, a, b), _common(*left, a, b)  # noqa: E741
     far = r + l + RUN >= LEAST
     a, b, r, l = a[far], b[far], r[far], l[far]  # noqa: E741
-    blank = lambda k, kind: pa.nulls(k, kind)
-    names = [x.split()[0] for x in _FOUND.split(", ")]
-    yield pa.RecordBatch.from_arrays([pa.array(doc[a]), pa.array(h[a]), pa.array((place[a] - l).astype(np.int32)), pa.array((place[a] + RUN + r).astype(np.int32)), pa.array(doc[b]), pa.array(np.zeros(len(a), bool)), blank(len(a), pa.int64()), blank(len(a), pa.binary()), blank(len(a), pa.binary()), blank(len(a), pa.int32())], names)
-    ends = pa.array(np.flatnonzero((group == 0) | (group == group[-1])))
-    e = t.take(ends)
-    yield pa.RecordBatch.from_arrays([e.column("doc_id"), e.column("h"), blank(len(e), pa.int32()), blank(len(e), pa.int32()), blank(len(e), pa.int64()), pa.array(np.ones(len(e), bool)), *(e.column(c) for c in ("run", "right", "left", "place"))], names)
+    blank = [pa.nulls(len(a), k) for k in (pa.int64(), pa.binary(), pa.binary(), pa.int32())]
+    return pa.RecordBatch.from_arrays([pa.array(doc[a]), pa.array(h[a]), pa.array((place[a] - l).astype(np.int32)), pa.array((place[a] + RUN + r).astype(np.int32)), pa.array(doc[b]), pa.array(np.zeros(len(a), bool)), *blank], _NAMES)
+
+
+def _edge(e: pa.RecordBatch) -> pa.RecordBatch:
+    blank = [pa.nulls(len(e), k) for k in (pa.int32(), pa.int32(), pa.int64())]
+    return pa.RecordBatch.from_arrays([e.column("doc_id"), e.column("h"), *blank, pa.array(np.ones(len(e), bool)), *(e.column(c) for c in ("run", "right", "left", "place"))], _NAMES)
 
 
 def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
