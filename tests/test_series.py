@@ -286,6 +286,8 @@ def test_forecaster(spark, tmp_path):
     truth = [sum(y for _, d, y in rows if d == r.date) for r in ahead]
     assert np.abs(np.array([r.prediction for r in ahead]) / truth - 1).max() < 0.1
     assert m.evaluate().count() == 1 and m.horizon_rows.count() == 12 and set(m.feature_importance()) == set(m.features)
+    rows_to_come = spark.createDataFrame([(D("2021-01-01"), 400.0)], "date date, actual_lag_1 double")
+    assert m.predict(future=rows_to_come).first().date == D("2021-01-01")
     m.save(str(tmp_path / "m"), spark)
     loaded = TimeSeriesForecaster.load(str(tmp_path / "m"), spark, m.config)
     assert loaded.predict(12).orderBy("date").collect() == ahead

@@ -189,8 +189,15 @@ class TimeSeriesForecaster:
             self.model = make_model(kind, **params).fit(train, self.features, target)
         return self
 
-    def predict(self, periods: int | None = None) -> DataFrame:
-        """(date, prediction) of the months after the training rows."""
+    def predict(self, periods: int | None = None, future: DataFrame | None = None) -> DataFrame:
+        """(date, prediction) of the months after the training rows, or of the rows of ``future``.
+
+        Features that ``future`` doesn't have keep their last value of the training rows.
+        """
+        if future is not None and self.model is not None:
+            rows = date_features(future, self.date, self.origin)
+            rows = rows.withColumns({f: F.lit(float(self.last_row.get(f) or 0.0)) for f in self.features if f not in rows.columns})
+            return self._back(self.model.predict(rows, self.features).select(col(self.date).cast("date").alias("date"), "prediction"))
         n = int(self.config.get("forecasting.forecast_horizon", 12)) if periods is None else periods
         spark = self.parts["train"].sparkSession
         if self.kind == "holt_winters":
