@@ -101,13 +101,13 @@ def test_simhash_links_planted_distances(spark):
             fps.add(f ^ sum(1 << b for b in r.sample(range(64), d)))
     dense = r.getrandbits(64)
     fps |= {dense ^ r.getrandbits(9) for _ in range(300)}
-    for cell in (4096, 40):  # 40: regions are split
+    for cell in (1024, 40):  # 40: regions are split
         simhash.CELL = cell
         frame = spark.createDataFrame([((f + 2**63) % 2**64 - 2**63,) for f in fps], "fp long")
         found = [(x.a % 2**64, x.b % 2**64) for x in simhash.links(frame).collect()]
         assert all((a ^ b).bit_count() <= 4 * len(fps) for a, b in found)
         assert brute.components(fps, found) == brute.components(fps, [(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 4])
-    simhash.CELL = 4096
+    simhash.CELL = 1024
 
 
 def test_simhash_dedup_keeps_one(odd):

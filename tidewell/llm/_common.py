@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -76,7 +77,7 @@ def keep_rows(docs: DataFrame, marks: DataFrame) -> DataFrame:
     return joined.filter("m.keep is null").select("r.row.*").unionByName(once.select("row.*"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = 8_000_000) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = 4_000_000) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Runs of rows with about ``size`` bytes of text (one row at least), with their texts as UTF-8; null counts as empty."""
     for batch in batches:
         texts = batch.column(column)
@@ -90,6 +91,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
             total += int(n)
         if begin < batch.num_rows:
             yield batch.slice(begin), [x or b"" for x in texts.slice(begin).to_pylist()]
+    give_back()
+
+
+def give_back() -> None:
+    """Hand memory that a task has freed back to the system: workers live on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 _IS_SPACE = np.zeros(256, bool)

@@ -18,6 +18,7 @@ row; a component of null doc_ids alone has a null id. Repeated rows stay. An emp
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -29,7 +30,7 @@ from tidewell.llm._common import keep_rows, slices, written
 from tidewell.llm.components import components
 
 BITS = 64
-CELL = 4096
+CELL = 1024  # fingerprints of a region, about, whose variants one task writes out at a time
 
 
 def shingle_hashes(text: bytes, words: int = 4) -> list[int]:
@@ -69,6 +70,7 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
     return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(work, "doc_id long, fp long, h long")
 
 
+@lru_cache(maxsize=64)
 def masks(bits: int, most: int) -> np.ndarray:
     """All masks of up to ``most`` of the ``bits`` low bits, fewest first (uint64)."""
     return np.array([sum(1 << i for i in c) for k in range(most + 1) for c in combinations(range(bits), k)], np.uint64)
@@ -106,30 +108,30 @@ def cell_links(fps: np.ndarray, region: int, sub: int, splits: int, b: int, radi
     codes = _codes(low)
     flips = np.bitwise_count((fps >> np.uint64(low)) ^ np.uint64(region))
     bodies = fps & np.uint64((1 << low) - 1)
-    keys, owners = [], []
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
     for d in range(radius + 1):
         own = np.flatnonzero(flips == d)
-        if not len(own):
-            continue
         m = masks(low, radius - d)
-        if splits == 1:
-            parts = [(own, m)]
-        else:
-            part = np.uint64(splits - 1)
-            of_mask, of_body = _linear(m, codes) & part, _linear(bodies[own], codes) & part
-            parts = [(own[of_body == x], m[of_mask == x ^ np.uint64(sub)]) for x in np.unique(of_body)]
-        for who, which in parts:
-            keys.append((bodies[who][:, None] ^ which).ravel())
-            owners.append(np.repeat(who.astype(np.uint64), len(which)))
-    if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        if splits == 1 or not len(own):
+            parts.append((own, m))
+            continue
+        part = np.uint64(splits - 1)
+        of_mask, of_body = _linear(m, codes) & part, _linear(bodies[own], codes) & part
+        parts += [(own[of_body == x], m[of_mask == x ^ np.uint64(sub)]) for x in np.unique(of_body)]
     # The variant, hashed to 40 bits, above its owner: one plain sort brings colliding owners together.
-    joined = (np.concatenate(keys) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(24) << np.uint64(24) | np.concatenate(owners)
+    joined, at = np.empty(sum(len(who) * len(which) for who, which in parts), np.uint64), 0
+    for who, which in parts:
+        for i in range(0, len(who), 256):
+            owners = who[i : i + 256]
+            block = (bodies[owners][:, None] ^ which) * np.uint64(0x9E3779B97F4A7C15)
+            block &= ~np.uint64((1 << 24) - 1)
+            block |= owners.astype(np.uint64)[:, None]
+            joined[at : at + block.size] = block.ravel()
+            at += block.size
     joined.sort()
-    bucket = joined >> np.uint64(24)
-    same = bucket[1:] == bucket[:-1]
+    same = (joined[1:] ^ joined[:-1]) < np.uint64(1 << 24)
     inside = np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same]))
-    owner, bucket = (joined[inside] & np.uint64((1 << 24) - 1)).astype(np.int64), bucket[inside]
+    owner, bucket = (joined[inside] & np.uint64((1 << 24) - 1)).astype(np.int64), joined[inside] >> np.uint64(24)
     del joined
     if not len(owner):
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
@@ -152,7 +154,7 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
     """Edges (a, b) whose components are those of all pairs of ``distinct`` fp within 2 * radius bits."""
     spark = distinct.sparkSession
     n = distinct.count()
-    b = min(16, max(6, int(np.ceil(np.log2(max(n, 1) / 2048)))))
+    b = min(16, max(6, int(np.ceil(np.log2(max(n, 1) / CELL)))))
     low = BITS - b
     tops = masks(b, radius)
     # At most 2^b counts come to the driver (b at most 16), whatever the number of documents.

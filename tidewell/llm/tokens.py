@@ -38,7 +38,7 @@ class Encoder(dict):
     tokens' strings in a text are ordinary text.
     """
 
-    def __init__(self, path: str, memo: int = 1_000_000) -> None:
+    def __init__(self, path: str, memo: int = 500_000) -> None:
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -51,27 +51,27 @@ class Encoder(dict):
 
     def _start(self) -> None:
         self.clear()
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}  # ids as they lie in the table
         self.ids, self.starts, self.lengths = array("I"), array("q"), array("q")
 
-    def _piece(self, p: str) -> list[int]:
+    def _piece(self, p: str) -> bytes:
         found = self.pieces.get(p)
         if found is None:
             written = p.encode().decode("latin1").translate(self.letters)
-            found = self.pieces[p] = [t.id for t in self.model.tokenize(written)]
+            found = self.pieces[p] = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
         return found
 
     def __missing__(self, word: bytes) -> int:
         s = word.decode("utf-8", "replace")
         if self.plain and _PLAIN.fullmatch(s):
             s = s.lower()
-            ids = self._piece(s) if s.isalpha() else [i for p in _PIECE.findall(s) for i in self._piece(p)]
+            ids = self._piece(s) if s.isalpha() else b"".join(map(self._piece, _PIECE.findall(s)))
         else:
-            ids = self.full.encode(s, add_special_tokens=False).ids
+            ids = array("I", self.full.encode(s, add_special_tokens=False).ids).tobytes()
         slot = self[word] = len(self.starts)
         self.starts.append(len(self.ids))
-        self.lengths.append(len(ids))
-        self.ids.extend(ids)
+        self.lengths.append(len(ids) // self.ids.itemsize)
+        self.ids.frombytes(ids)
         return slot
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
