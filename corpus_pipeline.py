@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm import exact_dedup, line_quality, mixing, packing, simhash
-from tidewell.llm._common import scratch, table
-from tidewell.ship import ship
+from tidewell.llm._common import ready, scratch, table
 
 #: SQL can't express SimHash, weighted fair queueing or packing; tests compare run() with a brute-force version.
 ORACLE_SQL = None
@@ -15,32 +14,32 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the quality rules go; boilerplate lines of the others go."""
-    ship(spark)
+    ready(spark)
     return line_quality.clean(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts the first stays."""
-    ship(spark)
+    ready(spark)
     return exact_dedup.dedup(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked fingerprints the document with the least doc_id stays."""
-    ship(spark)
+    ready(spark)
     return simhash.dedup(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all, once or twice."""
-    ship(spark)
+    ready(spark)
     mixed = mixing.mix(docs, docs.columns)
     return mixed.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 4096 tokens."""
-    ship(spark)
+    ready(spark)
     return packing.pack(docs).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

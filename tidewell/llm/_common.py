@@ -23,8 +23,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 _MADE: list[tuple[SparkSession, str]] = []
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def ready(spark: SparkSession) -> None:
+    """Ship the package, and let an Arrow batch hold 1000 rows at most: they are texts, and some are very long."""
     ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

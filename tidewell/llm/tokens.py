@@ -38,7 +38,7 @@ class Encoder(dict):
     tokens' strings in a text are ordinary text.
     """
 
-    def __init__(self, path: str, memo: int = 500_000) -> None:
+    def __init__(self, path: str, memo: int = 400_000) -> None:
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
