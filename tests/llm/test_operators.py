@@ -205,6 +205,21 @@ def test_line_quality_boilerplate(spark):
     assert set(clean) == {i for i in kept if kept[i].kept} and len(clean[3].split("\n")) == 2 and clean[200] == copy
 
 
+def test_line_quality_block(spark):
+    r = random.Random(8)
+    own = lambda n: " ".join("".join(r.choices("abcdefghijklmnop", k=9)) for _ in range(n))
+    block = "\n".join(own(6) for _ in range(10))  # always the same ten lines in a row
+    rows = [(i, f"{own(20)}\n{block}", "h") for i in range(40)] + [(100 + i, f"{own(90)}\n{block}\n{own(90)}", "h") for i in range(40)]
+    base = [own(1) for _ in range(300)]
+    for i in range(60):  # near copies: other words in two places
+        words = list(base)
+        words[r.randrange(300)], words[r.randrange(300)] = own(1), own(1)
+        rows.append((200 + i, "\n".join(" ".join(words[j : j + 15]) for j in range(0, 300, 15)), "h"))
+    found = {x.doc_id: x for x in line_quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert {i: found[i].removed_words for i in found} == {i: 60 if i < 200 else 0 for i in found}
+    assert all(found[i].kept == (i >= 100) for i in found)
+
+
 def test_langid(spark, docs, odd, empty):
     learned = langid.learn(docs.filter(~langid.held_out()).select("text", "lang"))
     truth = {r.doc_id: r.lang for r in docs.filter(langid.held_out()).collect()}
