@@ -180,6 +180,57 @@ def test_suffixes_planted(spark):
     assert suffixes.cut(texts[0], [(x.start, x.end) for x in next(f for f in found if f.doc_id == 0).spans]).split() == [w for w in texts[0].split() if w not in passage]
 
 
+def _around_a_fragment():
+    """Passages of 60 words about a fragment of 45 that 300 others hold, each in two documents, 40 times over."""
+    r = random.Random(12)
+    words = lambda n: [f"v{r.randrange(10**6)}" for _ in range(n)]
+    texts = []
+    for _ in range(40):
+        fragment, own = words(45), words(15)
+        texts += [" ".join([*words(30), *own, *fragment, *words(60)]) for _ in range(2)]
+        for _ in range(300):  # some share a little of what stands before the fragment, and less than 50 words in all
+            near = own[15 - r.randrange(5) :] if r.random() < 0.5 else []
+            texts.append(" ".join([*words(30), *near, *fragment, *words(60)]))
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("piece", [50_000, 40])  # 40: every run is cut by borders of pieces
+def test_suffixes_around_a_common_fragment(spark, piece):
+    import pyarrow as pa
+
+    rows = _around_a_fragment()[: 302 * 6 if piece == 40 else None]
+    if piece == 40:  # in this process, as the workers have pieces of their own
+        sorted_ = []
+        for doc, text in rows:
+            batch = pa.RecordBatch.from_pydict({"doc_id": [doc], "h": [doc], "text": [text]})
+            for b in suffixes._anchors(iter([batch])):
+                found = [{"place": x["place"], "run": x["run"]} for x in b.to_pylist()]
+                for c in suffixes._contexts(iter([batch.append_column("found", pa.array([found]))])):
+                    sorted_ += [tuple(x.values()) for x in c.to_pylist()]
+        sorted_.sort()
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32())
+        table = pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(zip(*sorted_, strict=True), kinds, strict=True)], suffixes._COLUMNS)
+        windows, spans, open_ = suffixes._Windows(piece), {}, {}
+        for i in range(0, len(table), 7):
+            windows.add(table.slice(i, 7))
+        windows.close()
+        for x in (x for b in windows.take() for x in b.to_pylist()):
+            if x["window"] is None:
+                spans.setdefault(x["doc_id"], set()).update(range(x["start"], x["end"]))
+            else:
+                open_.setdefault(x["window"], []).append(x)
+        for xs in open_.values():
+            if len({x["doc_id"] for x in xs}) > 1:
+                for x in xs:
+                    spans.setdefault(x["doc_id"], set()).update(range(x["start"], x["end"]))
+        for x in (x for b in suffixes._neighbours(iter([table])) for x in b.to_pylist() if not x["edge"]):
+            spans.setdefault(x["doc_id"], set()).update(range(x["start"], x["end"]))
+        assert spans == brute.repeated(rows)
+        return
+    found = suffixes.repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()
+    assert {x.doc_id: {i for y in x.spans for i in range(y.start, y.end)} for x in found} == brute.repeated(rows)
+
+
 @pytest.mark.parametrize("name", ["docs", "odd"])
 def test_line_quality_base(name, request):
     df = request.getfixturevalue(name)

@@ -12,7 +12,10 @@ are compared, and their match is extended to the right and to the left; matches
 3. A range sort by run and by the words to the right, then left, is the sparse suffix array: a very common passage spans
    many partitions, and each suffix is compared with its two neighbours only, never with all others. Suffixes at
    partition borders are compared in a small second step, a few rows for each partition.
-4. Matches of a document are united to its spans.
+4. Where a run has several surroundings, the suffix that shares a passage need not be a neighbour. There the (at most
+   26) passages of LEAST words around each run are hashed and grouped as well: inside the task where it holds all of the
+   run, and by a shuffle for runs that a border may cut, one row for each passage and piece that it is found in.
+5. Matches of a document are united to its spans.
 
 Rows: null text has no words; documents of under 50 words have no spans. Null doc_id is a document like others; rows
 equal in doc_id and text are one document. An empty table gives an empty result. Other columns are not read.
@@ -207,6 +210,120 @@ def _edge(e: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([e.column("doc_id"), e.column("h"), *blank, pa.array(np.ones(len(e), bool)), *(e.column(c) for c in ("run", "right", "left", "place"))], _NAMES)
 
 
+class _Windows:
+    """The passages of LEAST words around the runs of a sorted partition that several documents hold.
+
+    Rows come in by ``add``; they are searched in pieces of about ``rows`` rows, of whole runs where that is possible.
+    A run at a border of the partition or of a piece is open: those of its passages come out as well by which other
+    pieces can find them (``window``, the hash, is not null).
+    """
+
+    def __init__(self, rows: int = 50_000) -> None:
+        self.rows, self.held, self.first_open, self.out = rows, [], True, []
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        self.held.append(batch)
+        if sum(map(len, self.held)) >= self.rows:
+            self._search(last=False)
+
+    def take(self) -> list[pa.RecordBatch]:
+        out, self.out = self.out, []
+        return out
+
+    def close(self) -> None:
+        if sum(map(len, self.held)):
+            self._search(last=True)
+
+    def _search(self, last: bool) -> None:
+        piece = _joined(self.held)
+        run = piece.column("run").to_numpy()
+        begins = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+        open_ = np.zeros(len(begins), bool)
+        open_[0], upto = self.first_open, len(piece)
+        if last or len(begins) == 1:
+            open_[-1] = True
+            self.held, self.first_open = [], True
+        else:  # the last run waits for its other rows
+            upto = int(begins[-1])
+            begins, open_ = begins[:-1], open_[:-1]
+            self.held, self.first_open = [piece.slice(upto)], False
+        sizes = np.diff(np.append(begins, upto))
+        same = np.ones(upto, bool)  # as the row before, or the first of its run
+        same[1:] = np.asarray(pa.compute.and_(*(pa.compute.equal(piece.column(c).slice(1, upto - 1), piece.column(c).slice(0, upto - 1)) for c in ("right", "left"))))
+        same[begins] = True
+        differ = ~np.logical_and.reduceat(same, begins)  # of two suffixes, or of equal ones, the neighbours tell all
+        rows = np.flatnonzero(np.repeat(open_ | (differ & (sizes > 2)), sizes))
+        if len(rows):
+            self._group(piece.take(pa.array(rows)), np.repeat(open_, sizes)[rows])
+
+    def _group(self, t: pa.RecordBatch, open_: np.ndarray) -> None:
+        run, doc, h, place = (t.column(c).to_numpy() for c in ("run", "doc_id", "h", "place"))
+        hashes, valid = _window_hashes(run, _matrix(t.column("right")), _matrix(t.column("left")))
+        who = (doc.view(np.uint64) * np.uint64(_BASE)) ^ h.view(np.uint64)
+        row, back = np.nonzero(valid)
+        flat = hashes[row, back]
+        order = np.lexsort((who[row], flat))
+        flat, row, back = flat[order], row[order], back[order]
+        if not len(flat):
+            return
+        begins = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+        sizes = np.diff(np.append(begins, len(flat)))
+        least, most = row[begins], row[begins + sizes - 1]
+        several = who[least] != who[most]
+        shared, least, most = np.repeat(several, sizes), np.repeat(least, sizes), np.repeat(most, sizes)
+        other = np.where(who[least] != who[row], least, most)
+        found, others = np.zeros(valid.shape, bool), np.zeros(valid.shape, np.int64)
+        found[row, back], others[row, back] = shared, other
+        hit = np.flatnonzero(found.any(axis=1))
+        near, far = found[hit].argmax(axis=1), found.shape[1] - 1 - found[hit][:, ::-1].argmax(axis=1)
+        self._emit(doc[hit], h[hit], place[hit] - far, place[hit] - near + LEAST, doc[others[hit, far]], None)
+        first = np.zeros(len(flat), bool)
+        first[begins] = True
+        keep = open_[row] & (~shared | first)
+        a = row[keep]
+        self._emit(doc[a], h[a], place[a] - back[keep], place[a] - back[keep] + LEAST, None, flat[keep])
+
+    def _emit(self, doc: np.ndarray, h: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray | None, window: np.ndarray | None) -> None:
+        n, longs = len(doc), pa.int64()
+        blank = [pa.nulls(n, k) for k in (longs, pa.binary(), pa.binary(), pa.int32())]
+        self.out.append(pa.RecordBatch.from_arrays([pa.array(doc), pa.array(h), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.nulls(n, longs) if other is None else pa.array(other), pa.array(np.zeros(n, bool)), *blank, pa.nulls(n, longs) if window is None else pa.array(window.view(np.int64))], [*_NAMES, "window"]))
+
+
+def _window_hashes(run: np.ndarray, right: tuple[np.ndarray, np.ndarray], left: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """For each row and number of words before the run, the hash of the LEAST words, and whether the text has as many."""
+    more = LEAST - RUN
+
+    def heads(side: np.ndarray, seed: int) -> np.ndarray:
+        out = np.full((len(run), more + 1), seed, np.uint64)
+        for i in range(more):
+            x = (out[:, i] ^ side[:, i].astype(np.uint64)) * np.uint64(_BASE)
+            out[:, i + 1] = x ^ (x >> np.uint64(29))
+        return out
+
+    ahead, before = heads(right[0], 1)[:, ::-1], heads(left[0], 2)
+    x = ((ahead * np.uint64(0xBF58476D1CE4E5B9)) ^ (ahead >> np.uint64(31))) + before
+    x = (x ^ run.view(np.uint64)[:, None]) * np.uint64(0x94D049BB133111EB)
+    back = np.arange(more + 1)
+    return x ^ (x >> np.uint64(31)), (left[1][:, None] >= back) & (right[1][:, None] >= more - back)
+
+
+def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``_neighbours`` and ``_Windows`` of one reading of a sorted partition."""
+    windows = _Windows()
+
+    def passing() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                windows.add(batch)
+                yield batch
+
+    for x in _neighbours(passing()):
+        yield pa.RecordBatch.from_arrays([*x.columns, pa.nulls(len(x), pa.int64())], [*_NAMES, "window"])
+        yield from windows.take()
+    windows.close()
+    yield from windows.take()
+
+
 def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
@@ -233,9 +350,13 @@ def repeats(docs: DataFrame) -> DataFrame:
     kept = anchors.join(shared, "run").groupBy(*_DOC).agg(F.collect_set(F.struct("place", "run")).alias("found"))
     sided = rows.join(kept, _DOC).mapInArrow(_contexts, "run long, right binary, left binary, doc_id long, h long, place int")
     array = sided.repartitionByRange(*_COLUMNS).sortWithinPartitions(*_COLUMNS)
-    found = written(array.mapInArrow(_neighbours, _FOUND), "found")
+    found = written(array.mapInArrow(_searched, _FOUND + ", window long"), "found")
     edges = found.filter("edge").select(*_COLUMNS).repartition(1).sortWithinPartitions(*_COLUMNS).mapInArrow(_neighbours, _FOUND)
-    matches = found.filter("not edge").unionByName(edges.filter("not edge")).select(*_DOC, F.struct("start", "end", "other").alias("m")).distinct()
+    cut_off = found.filter("window is not null").select("window", *_DOC, "start", "end")
+    held = cut_off.groupBy("window").agg(*(f(c).alias(f"{n}_{c}") for c in _DOC for n, f in (("min", F.min), ("max", F.max)))).filter("min_doc_id != max_doc_id or min_h != max_h")
+    joined = cut_off.join(held, "window").select(*_DOC, "start", "end", F.when(F.col("min_doc_id") != F.col("doc_id"), F.col("min_doc_id")).otherwise(F.col("max_doc_id")).alias("other"))
+    near = found.filter("not edge and window is null").unionByName(edges.filter("not edge"), allowMissingColumns=True).select(*_DOC, "start", "end", "other")
+    matches = near.unionByName(joined).select(*_DOC, F.struct("start", "end", "other").alias("m")).distinct()
     return matches.groupBy(*_DOC).agg(F.collect_list("m").alias("found")).mapInArrow(_united, "doc_id long, h long, spans array<struct<start:int,end:int,other:long>>")
 
 
