@@ -349,6 +349,25 @@ def test_secrets_novel(spark):
     assert found == {1: [("novel", 15, 38)], 2: [], 3: [], 4: [("novel", 13, 36)]}
 
 
+def test_secrets_novel_written_twice():
+    """Each occurrence of a key is as new as it would be without the others."""
+    r, scanner, found = random.Random(11), secrets.Scanner(), 0
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    prose = "these words stand between the two and say little more about it"
+    for i in range(60):
+        key = "".join(r.choices(letters, k=(24, 32, 40)[i // 3 % 3])).encode()
+        parts = (("the bearer is ", f" and {prose} the bearer is ", "."), ("bearer KEY=", f"\n{prose * 7}"[: 470 + i] + " bearer ", " ends"), ("old credential: ", f" {prose} new credential: ", f" {prose} credential: "))[i % 3]
+        parts = [x.encode() for x in parts] + [b" end"] * (i % 3 == 2)
+        spans = [(a, b, x) for a, b, k, x in scanner.scan(key.join(parts)) if k == 3]
+        for n in range(1, len(parts)):
+            once = b"".join(parts[:n]) + key + b"".join(parts[n:])
+            want = [x for a, b, k, x in scanner.scan(once) if k == 3]
+            end = len(key.join(parts[:n])) + len(key)
+            assert len([x for a, b, x in spans if b == end]) == len(want)
+            found += len(want)
+    assert found > 60
+
+
 def test_polynomials_compose():
     r = random.Random(6)
     for n in (0, 1, 511, 512, 513, 5000):

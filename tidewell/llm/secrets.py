@@ -4,7 +4,8 @@ Patterns (leftmost, not overlapping within a kind): ``assign`` an assignment to
 key, ``hex`` a long run of hexadecimal digits. Novelty (``novel``): strings of key-like characters near a sensitive
 word are compressed by zstandard with a dictionary of common identifiers, after the code that surrounds them. The bytes
 that the string adds to its surroundings alone, for each of its characters, measure how new it is; names and prose cost
-little, keys cost what random characters cost. Spans are code points, end exclusive. One pass, no shuffle.
+little, keys cost what random characters cost. Other occurrences of the string are cut out of the surroundings, so that
+a key that is written twice is as new as one that is written once. Spans are code points, end exclusive. One pass, no shuffle.
 
 Rows: null text counts as empty and has no spans. Null doc_id and repeated rows are rows like others. An empty table
 gives an empty result. Other columns are not read.
@@ -30,6 +31,8 @@ _SENSITIVE = re.compile(rb"passw|passphrase|secret|token|api.?key|credential|pri
 _WORDS = (b"passw", b"passphrase", b"secret", b"token", b"key", b"credential", b"bearer", b"authorization")
 _CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{16,}")
 
+_PARTS, _GAP = re.compile(rb"[^A-Za-z0-9+/_-]+"), b"\0"  # a string stands elsewhere without the = or the name before it
+
 _KEY_BYTES = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")
 
 REACH = 80  # bytes after a sensitive word in which a candidate may begin
@@ -56,8 +59,13 @@ class Scanner:
 
     def novelty(self, text: bytes, start: int, end: int) -> float:
         """Bytes that text[start:end] adds to its surroundings when compressed, for each of its characters."""
-        around = text[max(0, start - AROUND) : start] + text[end : end + AROUND]
-        return (len(self.compress(around + text[start:end])) - len(self.compress(around))) / max(1, end - start)
+        s = text[start:end]
+        more = AROUND + len(s)  # an occurrence that the window cuts is found whole
+        before, after = text[max(0, start - more) : start], text[end : end + more]
+        for part in sorted({s, *(x for x in _PARTS.split(s) if len(x) >= 16)}, key=len, reverse=True):
+            before, after = (x.replace(part, _GAP * len(part)) for x in (before, after))
+        around = (before[-AROUND:] + after[:AROUND]).replace(_GAP, b"")
+        return (len(self.compress(around + s)) - len(self.compress(around))) / max(1, end - start)
 
     def scan(self, text: bytes) -> list[tuple[int, int, int, float]]:
         """(start, end, kind, novelty) of all spans, in bytes, by start and then kind."""
