@@ -364,3 +364,18 @@ def test_command_line(spark, tmp_path):
     assert run("forecast", "--input", str(tmp_path / "in"), "--dry-run") == 0
     assert run("forecast", "--input", str(tmp_path / "in"), "--output-dir", str(tmp_path / "o"), "--periods", "3", "--daily") == 0
     assert len(list((tmp_path / "o").iterdir())) == 3
+
+
+def test_weekly_totals_of_all_orders(spark, data):
+    from tidewell.plans.queries import QUERIES
+
+    total = spark.read.parquet(f"{data}/orders.parquet").agg(F.sum("o_totalprice")).first()[0]
+    for name in ("weekly_totals_mon_all", "weekly_totals_sun_all"):
+        assert QUERIES[name](spark, data).agg(F.sum("y_pred")).first()[0] == pytest.approx(total)
+
+
+def test_weekly_totals_of_sparse_days(spark):
+    df = spark.createDataFrame([("2000-01-05", 2.0), ("2000-01-05", 1.0), ("2000-01-26", 4.0)], "date string, y_pred double").withColumn("date", F.to_date("date"))
+    for first, start in (("Mon", "2000-01-03"), ("Sun", "2000-01-02")):
+        rows = daily_to_weekly(df, week_first=first).orderBy("week_end").collect()
+        assert [x.y_pred for x in rows] == [3.0, 0.0, 0.0, 4.0] and str(rows[0].week_start) == start

@@ -104,8 +104,8 @@ def monthly_totals(spark: SparkSession, d: str) -> DataFrame:
     return rounded(daily_to_monthly(build_daily_totals(table(spark, d, "orders"), "o_orderdate", "o_totalprice", "o_orderstatus", "F")), 2)
 
 
-def _weekly_sql(first: int) -> str:
-    return f"""WITH w AS (SELECT (o_orderdate::DATE - ((isodow(o_orderdate) - 1 - {first} + 7) % 7)::INTEGER)::DATE AS week_start, sum(o_totalprice) AS v FROM orders WHERE o_orderdate >= DATE '1996-01-01' AND o_custkey % 40 = 1 GROUP BY ALL),
+def _weekly_sql(first: int, few: bool = True) -> str:
+    return f"""WITH w AS (SELECT (o_orderdate::DATE - ((isodow(o_orderdate) - 1 - {first} + 7) % 7)::INTEGER)::DATE AS week_start, sum(o_totalprice) AS v FROM orders WHERE {"o_orderdate >= DATE '1996-01-01' AND o_custkey % 40 = 1" if few else "o_orderdate IS NOT NULL"} GROUP BY ALL),
         s AS (SELECT unnest(generate_series((SELECT min(week_start) FROM w)::TIMESTAMP, (SELECT max(week_start) FROM w)::TIMESTAMP, INTERVAL 7 DAY))::DATE AS week_start)
         SELECT week_start, (week_start + 6)::DATE AS week_end, round(coalesce(v, 0), 2) AS y_pred FROM s LEFT JOIN w USING (week_start)"""
 
@@ -124,6 +124,20 @@ def weekly_totals_sun(spark: SparkSession, d: str) -> DataFrame:
     return rounded(daily_to_weekly(_sparse_days(spark, d), week_first="Sun"), 2)
 
 
+def _all_days(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "orders").select(F.to_date("o_orderdate").alias("date"), F.col("o_totalprice").alias("y_pred"))
+
+
+@query(_weekly_sql(0, few=False))
+def weekly_totals_mon_all(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(daily_to_weekly(_all_days(spark, d)), 2)
+
+
+@query(_weekly_sql(6, few=False))
+def weekly_totals_sun_all(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(daily_to_weekly(_all_days(spark, d), week_first="Sun"), 2)
+
+
 @query("""SELECT event_type, (ts::DATE - (isodow(ts) - 1)::INTEGER)::DATE AS week_start, (ts::DATE - (isodow(ts) - 1)::INTEGER + 6)::DATE AS week_end, round(coalesce(sum(value), 0), 2) AS value
     FROM events WHERE ts IS NOT NULL AND event_type IS NOT NULL GROUP BY ALL""")
 def weekly_totals_segmented(spark: SparkSession, d: str) -> DataFrame:
@@ -393,6 +407,12 @@ def raw_score_rows(spark: SparkSession, d: str) -> DataFrame:
     return rounded(raw_scores(_targets(days), days, AllocationConfig(history_years=5)), 8)
 
 
+@query(f"WITH {_scores_sql(5, False, _TARGETS)} SELECT month_start, date, round(score, 8) AS score FROM scores")
+def raw_score_rows_all(spark: SparkSession, d: str) -> DataFrame:
+    days = daily(spark, d)
+    return rounded(raw_scores(_targets(days), days, AllocationConfig(history_years=5)), 8)
+
+
 @query(f"WITH {_scores_sql(3, False, _TARGETS)} SELECT month_start, date, round(score, 8) AS score, round(score / sum(score) OVER (PARTITION BY month_start), 8) AS weight FROM scores")
 def daily_weight_rows(spark: SparkSession, d: str) -> DataFrame:
     days = daily(spark, d)
