@@ -368,6 +368,16 @@ def test_secrets_novel_written_twice():
     assert found > 60
 
 
+def test_secrets_novel_reach():
+    key, scanner = b"Zx81kLpQ0vR7tWn3YbGm2Hs", secrets.Scanner()
+    for gap in range(60, 90):  # a key that begins up to REACH bytes after the word
+        text = b"the bearer" + b" " * gap + key
+        assert [x[:3] for x in scanner.scan(text)] == ([(10 + gap, 33 + gap, 3)] if gap < secrets.REACH else [])
+    for gap in (1, 40, 79, 80, 120):  # a key that stands before its word
+        text = b"so " + key + b" " * gap + b"api key"
+        assert [x[:3] for x in scanner.scan(text)] == ([(3, 26, 3)] if gap < secrets.REACH else [])
+
+
 def test_polynomials_compose():
     r = random.Random(6)
     for n in (0, 1, 511, 512, 513, 5000):

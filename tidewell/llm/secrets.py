@@ -35,7 +35,7 @@ _PARTS, _GAP = re.compile(rb"[^A-Za-z0-9+/_-]+"), b"\0"  # a string stands elsew
 
 _KEY_BYTES = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")
 
-REACH = 80  # bytes after a sensitive word in which a candidate may begin
+REACH = 80  # bytes after a sensitive word in which a candidate may begin, or before it in which one may end
 AROUND = 512  # bytes before and after a candidate that it is measured against
 NOVEL = 0.7  # compressed bytes for each character, at least
 
@@ -79,15 +79,25 @@ class Scanner:
         if any(k in low for k in _WORDS):
             upto = 0
             for near in _SENSITIVE.finditer(text):
-                for m in _CANDIDATE.finditer(text, max(upto, near.end()), min(len(text), near.end() + REACH)):
-                    end = m.end()
+                a, b = near.span()
+                before = _CANDIDATE.finditer(text, max(upto, a - REACH - 15, 0), a)
+                after = _CANDIDATE.finditer(text, max(upto, b), min(len(text), b + REACH + 15))
+                for m in (*before, *after):
+                    start, end = m.span()
+                    if start < a:  # the value stands first; what touches the word is part of one name with it
+                        if end == a:
+                            continue
+                        while start > upto and text[start - 1] in _KEY_BYTES:
+                            start -= 1
+                    elif start >= b + REACH or start < upto:
+                        continue
                     while end < len(text) and text[end] in _KEY_BYTES:  # the window may cut a candidate short
                         end += 1
                     upto = end
-                    s = text[m.start() : end]
+                    s = text[start:end]
                     mixed = any(48 <= c <= 57 for c in s) + any(65 <= c <= 90 for c in s) + any(97 <= c <= 122 for c in s) >= 2
-                    if mixed and not any(a < end and m.start() < b for a, b, _ in found) and (x := self.novelty(text, m.start(), end)) >= self.novel:
-                        spans.append((m.start(), end, 3, x))
+                    if mixed and not any(f < end and start < t for f, t, _ in found) and (x := self.novelty(text, start, end)) >= self.novel:
+                        spans.append((start, end, 3, x))
         return sorted(spans, key=lambda x: (x[0], x[2]))
 
 
