@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -12,11 +13,29 @@ from tidewell.llm._common import words_of
 
 END_ID = 2
 
+# The normaliser and split of a tokenizer file by which a word's ids don't depend on the words around it.
+NORMALISER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
 #: Letters that NFC leaves alone and that lower-case to one letter, and printable ASCII: such words are split here.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-įı-ňŊ-ž]*")
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\w\s]|_)+")
 
 
+def by_words(spec: dict) -> bool:
+    """Whether a tokenizer file (its JSON) has just the normaliser and split above, and added tokens that match as they stand."""
+    loose = ("single_word", "lstrip", "rstrip", "normalized")
+    added = all(not any(t[k] for k in loose) and not re.search(r"\s", t["content"]) for t in spec["added_tokens"])
+    plain = not any(spec[k] for k in ("truncation", "padding", "post_processor"))
+    return added and plain and spec["normalizer"] == NORMALISER and spec["pre_tokenizer"] == SPLIT
+
+
 def default_path() -> str:
     import public_tokenizers
 
@@ -31,11 +50,12 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Encoder(dict):
-    """Word (UTF-8, no white space) to its slot in a table of ids.
+    """Word (UTF-8, no white space) to its slot in a table of ids; ids are the library's with add_special_tokens=False.
 
-    The tokenizer's split never crosses white space, so a text's ids are those of its words in order. At most
-    ``memo`` words are kept; beyond that the table starts anew, which changes the speed and never the ids. Special
-    tokens' strings in a text are ordinary text.
+    For a file whose split never crosses white space (``by_words``) a text's ids are those of its words in order. At
+    most ``memo`` words are kept; beyond that the table starts anew, which changes the speed and never the ids. A word
+    that holds an added token's string goes to the library, as do words beyond plain letters. Any other file encodes
+    whole texts by the library.
     """
 
     def __init__(self, path: str, memo: int = 400_000) -> None:
@@ -44,9 +64,9 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(path)
-        self.full.encode_special_tokens = True
+        spec = json.loads(self.full.to_str())
+        self.by_words, self.added = by_words(spec), tuple(t["content"] for t in spec["added_tokens"])
         self.model, self.memo, self.letters = self.full.model, memo, _byte_letters()
-        self.plain = '"end_of_word_suffix":"</w>"' in self.full.to_str() and '{"type":"Lowercase"}' in self.full.to_str()
         self._start()
 
     def _start(self) -> None:
@@ -63,7 +83,7 @@ class Encoder(dict):
 
     def __missing__(self, word: bytes) -> int:
         s = word.decode("utf-8", "replace")
-        if self.plain and _PLAIN.fullmatch(s):
+        if _PLAIN.fullmatch(s) and not any(t in s for t in self.added):
             s = s.lower()
             ids = self._piece(s) if s.isalpha() else b"".join(map(self._piece, _PIECE.findall(s)))
         else:
@@ -76,6 +96,9 @@ class Encoder(dict):
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) of the texts, each text closed by the end id, and the number of ids of each text."""
+        if not self.by_words:
+            whole = [x.ids for x in self.full.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
+            return np.fromiter((i for x in whole for i in (*x, END_ID)), np.uint32), np.fromiter((len(x) + 1 for x in whole), np.int64, len(whole))
         if len(self) > self.memo:
             self._start()
         codes, distinct, ends = words_of(texts)
