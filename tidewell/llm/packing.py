@@ -3,13 +3,13 @@
 N(h) is the number of open windows filled to level h. A document of size s goes to the level h (an open window, or a
 new one at h = 0) for which the sum of N(h)^2 over the partially filled levels gets smallest; the counts live in one
 level array and a choice looks at every level that has room. A document longer than a window first fills whole windows
-of its own; its remainder is placed like any document. At a stream's end, and whenever ``max_open`` windows are open,
-the open windows are drained: their pieces are cut at window borders and joined, fullest first, so one partition
-leaves at most one window that isn't full. Every input partition packs by itself: no shuffle, bounded memory, and a
-task run anew on the same rows makes the same windows.
+of its own; its remainder is placed like any document. Only when its stream ends are the open windows drained: their
+pieces are cut at window borders and joined, fullest first, so one partition leaves at most one window that isn't full.
+Every input partition packs by itself: no shuffle, and a task run anew on the same rows makes the same windows. A task
+holds the ids of its open windows (a few hundred windows for texts of mixed length), at worst those of its partition.
 
-Rows: null text is an empty document (one end id). Equal doc_ids stay documents of their own. An empty table has no
-pieces. Other columns are not read.
+Rows: null text is an empty document (one end id). A text longer than a window spans several, and is encoded whole.
+Equal doc_ids stay documents of their own. An empty table has no pieces. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,11 +29,10 @@ Piece = tuple[int, int, int]  # document (any reference), start in the document,
 class SumOfSquares:
     """Online packing of sizes into windows of ``size``; closed windows come out as lists of pieces."""
 
-    def __init__(self, size: int = 4096, max_open: int = 1024) -> None:
-        self.size, self.max_open = size, max_open
+    def __init__(self, size: int = 4096) -> None:
+        self.size = size
         self.counts = np.zeros(size + 1, np.int64)
         self.open: dict[int, list[list[Piece]]] = {}
-        self.n_open = 0
 
     def choose(self, s: int) -> int:
         """The level to place a document of ``s`` < size at; of equal ones the fullest."""
@@ -57,7 +56,6 @@ class SumOfSquares:
         if h:
             window = self.open[h].pop()
             self.counts[h] -= 1
-            self.n_open -= 1
         else:
             window = []
         window.append((doc, whole, s))
@@ -66,14 +64,11 @@ class SumOfSquares:
             return
         self.open.setdefault(h + s, []).append(window)
         self.counts[h + s] += 1
-        self.n_open += 1
-        if self.n_open >= self.max_open:
-            yield from self.drain(last=False)
 
-    def drain(self, last: bool = True) -> Iterator[list[Piece]]:
-        """Join the open windows' pieces into full windows. What is left over stays open, or is the last window."""
+    def drain(self) -> Iterator[list[Piece]]:
+        """Join the open windows' pieces into full windows; what is left over is the last one."""
         pieces = [p for h in sorted(self.open, reverse=True) for w in self.open[h] for p in w]
-        self.open, self.n_open = {}, 0
+        self.open = {}
         self.counts[:] = 0
         window, level = [], 0
         for doc, start, n in pieces:
@@ -84,17 +79,14 @@ class SumOfSquares:
                 if level == self.size:
                     yield window
                     window, level = [], 0
-        if window and last:
+        if window:
             yield window
-        elif window:
-            self.open[level], self.n_open = [window], 1
-            self.counts[level] = 1
 
 
 _PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, size: int = 4096, max_open: int = 1024) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, size: int = 4096) -> DataFrame:
     """One row for each piece: doc_id, start and length in the document, ids (binary, little-endian u32), doc_tokens,
     sequence_id (partition in the high bits) and offset in that sequence."""
     tokenizer = tokenizer or default_path()
@@ -102,7 +94,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, size: int = 4096, max_op
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        packer, sequence = SumOfSquares(size, max_open), TaskContext.get().partitionId() << 32
+        packer, sequence = SumOfSquares(size), TaskContext.get().partitionId() << 32
         held: dict[int, list] = {}  # of documents with pieces in open windows: doc_id, ids, ids not yet out
         n_docs, out = 0, [[] for _ in range(7)]
 
@@ -119,7 +111,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, size: int = 4096, max_op
                 offset = 0
                 for ref, start, n in window:
                     doc = held[ref]
-                    for x, v in zip(out, (doc[0], start, n, doc[1][start : start + n].tobytes(), len(doc[1]), sequence, offset), strict=True):
+                    for x, v in zip(out, (doc[0], start, n, doc[1][start : start + n].astype("<u4").tobytes(), len(doc[1]), sequence, offset), strict=True):
                         x.append(v)
                     offset += n
                     doc[2] -= n
@@ -129,7 +121,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, size: int = 4096, max_op
 
         for batch, texts in slices(batches):
             ids, lengths = encoder(tokenizer).encode(texts)
-            ids = ids.astype("<u4")
+            ids = ids.astype(np.min_scalar_type(ids.max(initial=0)))
             stops = np.cumsum(lengths)
             for key, a, b in zip(batch.column("doc_id").to_pylist(), stops - lengths, stops, strict=True):
                 held[n_docs] = [key, ids[a:b].copy(), int(b - a)]
