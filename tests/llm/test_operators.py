@@ -455,6 +455,22 @@ def test_chat_links_and_order(spark):
     assert found["a", 1].json == '{"arguments":{"n":1,"x":"$c1"},"id":"c2","name":"f","role":"assistant","type":"call"}'
 
 
+def test_chat_long_chains_and_awkward_rows(spark):
+    """A chain of 300 calls in a row, all of them waiting for the last one; a call with two references; keys that look like references."""
+    call = lambda i, a: f'{{"tool_calls":[{{"id":"{i}","name":"f","arguments":{a}}}]}}'
+    rows = [("c", i, "assistant", call(f"k{i}", f'{{"x":"$k{i + 1}"}}')) for i in range(300)] + [("c", 300, "assistant", call("k300", "{}")), ("c", 301, "tool", '{"tool_call_id":"k300","content":"z"}')]
+    rows += [("d", 0, "assistant", call("a", '{"x":"$b","y":["$c"]}')), ("d", 1, "assistant", call("b", '{"x":"$c"}')), ("d", 2, "assistant", call("c", '{"$a":"no $a","q":"\\"$a"}'))]
+    rows += [("e", 0, "assistant", call("a", '{"x":"$a"}')), ("e", 1, "assistant", call("b", '{"x":"$a"}')), ("e", 2, "tool", '{"tool_call_id":"b","content":"r"}'), ("e", 2, "tool", '{"tool_call_id":"b","content":"r"}')]
+    rows += [("f", None, "user", LONG), ("f", None, None, None)]
+    df = spark.createDataFrame([(*r, "i", "s", 1, "t") for r in rows], "conv_id string, turn long, role string, text string, id string, status string, due int, refs string")
+    found = chat.format_events(chat.parse(df), {}).collect()
+    order = lambda c: [(r.turn, r.depth) for r in sorted((r for r in found if r.conv_id == c), key=lambda r: r.position)]
+    assert len(found) == len(rows) and order("c") == [(300, 0), (301, 1), *((i, 2 * (300 - i)) for i in range(299, -1, -1))]
+    assert [t for t, _ in order("d")] == [2, 1, 0] and {(r.turn, r.depth) for r in found if r.conv_id == "d"} == {(0, 4), (1, 2), (2, 0)}
+    assert sorted((r.turn, r.status) for r in found if r.conv_id == "e") == [(0, "cycle"), (1, "cycle"), (2, "linked"), (2, "linked")]
+    assert any(r.json and len(r.json) > len(LONG) for r in found)
+
+
 def test_chat_empty(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.format_events(chat.parse(df), {}).count() == 0 and chat.format_events(chat.by_turns(df), queries.REPLY).count() == 0

@@ -7,6 +7,7 @@ import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -20,13 +21,20 @@ from tidewell.ship import ship
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-_MADE: list[tuple[SparkSession, str]] = []
+#: Rows of one key, at least, that make it a hot key; and hot keys, at most, whatever the number of rows.
+HOT_ROWS, HOT_KEYS = 2_000, 100_000
+
+_MADE: dict[str, SparkSession] = {}
+_TABLES: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def ready(spark: SparkSession) -> None:
-    """Ship the package, and let an Arrow batch hold 1000 rows at most: they are texts, and some are very long."""
+    """Ship the package. Where the session has Spark's default, an Arrow batch holds 1000 rows (and 64 MB) at most: they
+    are texts, and some are very long. What the caller has set stays."""
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(size) == "10000":
+        spark.conf.set(size, "1000")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,36 +42,77 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows of a scan, dealt by doc_id where the scan fills fewer tasks than there are cores; a larger one as it is.
+
+    Only a scan of few splits is looked at, by a count that reads no column.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() > 2 * cores or rows.groupBy(F.spark_partition_id()).count().count() >= cores:
+        return rows
+    return rows.repartition(cores, "doc_id").sortWithinPartitions("doc_id", text_hash())
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``, which driver and executors share; removed when the driver ends.
 
-    Only where the setting is absent (single-machine tests) a local temporary folder takes its place.
+    Only a local master may do without that setting (single-machine tests): a temporary folder takes its place there.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/tidewell-checkpoints"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"file://{tempfile.gettempdir()}/tidewell-checkpoints"
     path = f"{base.rstrip('/')}/tidewell-{uuid.uuid4().hex}"
     if "://" not in path and path.startswith("/"):
         path = f"file://{path}"
     if not _MADE:
         atexit.register(_clean)
-    _MADE.append((spark, path))
+    _MADE[path] = spark
     return path
 
 
+def _remove(path: str) -> None:
+    spark = _MADE.pop(path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def _clean() -> None:
-    for spark, path in _MADE:
+    for path in list(_MADE):
         try:
-            jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(conf).delete(where, True)
+            _remove(path)
         except Exception:  # noqa: BLE001  the session may be gone already; the folder is only scratch
             pass
 
 
 def written(df: DataFrame, name: str = "step") -> DataFrame:
     """``df`` as a Parquet table in the shared folder: lineage ends there, and it outlives a lost executor."""
-    path = f"{scratch(df.sparkSession)}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    folder = scratch(df.sparkSession)
+    df.write.parquet(f"{folder}/{name}")
+    out = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+    _TABLES[out] = folder
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Remove a table that ``written`` made once nothing reads it any more."""
+    folder = _TABLES.pop(df, None)
+    if folder in _MADE:
+        _remove(folder)
+
+
+def join_keys(rows: DataFrame, keys: DataFrame, on: list[str], n: str) -> DataFrame:
+    """Inner join with ``keys``: a written table, unique in ``on``, with the number ``n`` of rows of each key.
+
+    Keys of many rows are broadcast and joined where their rows lie: there are at most HOT_KEYS of them, since each has
+    at least that share of all rows. Rows of the other keys are shuffled. No key's rows meet in one task.
+    """
+    total = keys.agg(F.sum(n)).first()[0] or 0
+    hot = keys.filter(F.col(n) >= max(HOT_ROWS, -(-total // HOT_KEYS)))
+    here = rows.join(F.broadcast(hot), on)
+    rest = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(keys, on)
+    return here.unionByName(rest)
 
 
 def text_hash(column: str = "text") -> Column:

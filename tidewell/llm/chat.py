@@ -2,18 +2,20 @@
 
 Events (messages, tool calls, tool results) come from ``parse`` or ``by_turns``. Calls and results are joined by
 (conversation, identifier); of calls or results that share one, the first counts and the others are ``duplicate``. A
-call depends on the results of the calls that its arguments name as ``"$id"``; a result depends on its call. Events are
-ordered so that each follows what it depends on and otherwise keeps its turn: an event is due at its turn or, if later,
-when the last thing it depends on is due, and ties go by depth. Depths come from peeling off calls with nothing open,
-one round for each link of the longest chain; what stays depends on itself and is marked ``cycle``. Arguments are
-checked against schemas and every event is serialised as canonical JSON (keys sorted, numbers and spacing normalised).
+call depends on the results of the calls that string values of its arguments name as ``"$id"``; a result depends on its
+call. Events are ordered so that each follows what it depends on and otherwise keeps its turn: an event is due at its
+turn or, if later, when the last thing it depends on is due, and ties go by depth. Depths come from rounds in which each
+open reference either ends at a call with none open, or skips to what a call with a single one refers to, so a chain of
+n calls takes log n rounds and no call ever has more references than it names; what can't be closed depends on itself
+and is marked ``cycle``. Arguments are checked against schemas and every event is serialised as canonical JSON (keys sorted, numbers and spacing normalised).
 
 A conversation is never one row or one task's window: events are range-sorted by conversation and order, and a position
 is the number of its conversation's events in earlier partitions plus its rank in its own.
 
 Rows: a null text is a null content; null conv_id is a conversation of its own; null turn comes first; a call or result
 without an identifier is ``unanswered`` or ``orphan``; arguments that aren't a JSON object are invalid. Repeated rows
-stay, as duplicates if they have an identifier. An empty table gives an empty result. Other columns are not read.
+stay, as duplicates if they have an identifier. A very long text is one row's value and travels once. An empty table
+gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -21,12 +23,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.llm._common import written
+from tidewell.llm._common import discard, written
 
 #: Parameters of a tool: (type, required). Types: string, integer, number, boolean, array, object.
 Schemas = dict[str, dict[str, tuple[str, bool]]]
 
 _TYPES = {"string": "STRING", "integer": "BIGINT", "number": "(BIGINT|DECIMAL.*|DOUBLE|FLOAT)", "boolean": "BOOLEAN", "array": "ARRAY.*", "object": "OBJECT.*"}
+#: A string value "$id", no key and no part of a longer string.
+_REFERENCE = r'(?<!\\)"\$([^"\\]+)"(?!\s*:)'
+_DEEP = 1 << 40
 _EVENT = ["conv_id", "turn", "part", "role", "kind", "id", "name", "arguments", "content"]
 
 
@@ -80,25 +85,39 @@ def _links(events: DataFrame) -> DataFrame:
     return joined.select(F.when(F.col("c.id").isNotNull(), F.col("c.conv_id")).otherwise(F.col("r.conv_id")).alias("conv_id"), F.coalesce("c.id", "r.id").alias("id"), "call", "result")
 
 
+def _references(events: DataFrame, links: DataFrame) -> DataFrame:
+    """conv_id, id and refs [{on, due, depth}] of the calls that name other calls of their conversation."""
+    values = F.array_distinct(F.regexp_extract_all("arguments", F.lit(_REFERENCE), F.lit(1)))
+    named = events.filter("kind = 'call' and id is not null and contains(arguments, '\"$')").select("conv_id", "id", "turn", F.struct("turn", "part", "tie").alias("own"), F.explode(values).alias("on"))
+    calls = links.filter("call is not null").select(F.col("conv_id").alias("c"), F.col("id").alias("i"), "call", F.coalesce("result.turn", "call.turn").alias("turn_of"))
+    first = named.join(calls.select("c", "i", "call"), F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("id") == F.col("i")) & F.col("own").eqNullSafe(F.col("call"))).select("conv_id", "id", "turn", "on")
+    found = first.join(calls.select("c", "i", "turn_of"), F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("on") == F.col("i")))
+    return found.groupBy("conv_id", "id").agg(F.collect_set(F.struct("on", F.greatest("turn", "turn_of").alias("due"), F.lit(2).cast("long").alias("depth"))).alias("refs"))
+
+
 def _due(events: DataFrame, links: DataFrame) -> DataFrame:
-    """conv_id, id, due and depth of the calls that depend on others; due is null on a cycle."""
-    refs = F.array_distinct(F.regexp_extract_all(F.coalesce("arguments", F.lit("")), F.lit(r'"\$([^"]+)"'), F.lit(1)))
-    named = events.filter("kind = 'call' and id is not null and contains(arguments, '\"$')").select("conv_id", "id", "turn", F.explode(refs).alias("on"))
-    l = links.filter("call is not null").select(F.col("conv_id").alias("c"), F.col("id").alias("i"), F.coalesce("result.turn", "call.turn").alias("turn_of"))  # noqa: E741
-    open_ = written(named.join(l, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("on") == F.col("i"))).groupBy("conv_id", "id", "on").agg(F.min("turn").alias("turn"), F.min("turn_of").alias("on_turn")), "open")
-    done = written(open_.select("conv_id", "id", F.lit(None).cast("long").alias("due"), F.lit(None).cast("int").alias("depth")).limit(0), "done")
-    while not open_.isEmpty():
-        waiting = open_.select(F.col("conv_id").alias("c"), F.col("id").alias("i")).distinct()
-        over = done.select(F.col("conv_id").alias("dc"), F.col("id").alias("di"), F.col("due").alias("d_due"), F.col("depth").alias("d_depth"))
-        state = open_.join(waiting, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("on") == F.col("i")), "left").join(over, F.col("conv_id").eqNullSafe(F.col("dc")) & (F.col("on") == F.col("di")), "left")
-        due = F.max(F.greatest("turn", "on_turn", "d_due"))
-        ready = state.groupBy("conv_id", "id").agg(F.count("i").alias("waits"), due.alias("due"), (F.max(F.coalesce("d_depth", F.lit(0))) + 2).alias("depth")).filter("waits = 0").drop("waits")
-        ready = written(ready, "ready")
-        if ready.isEmpty():
-            return done.unionByName(open_.select("conv_id", "id", F.lit(None).cast("long").alias("due"), F.lit(-1).alias("depth")).distinct())
-        done = written(done.unionByName(ready), "done")
-        open_ = written(open_.alias("o").join(ready.alias("r"), F.col("o.conv_id").eqNullSafe(F.col("r.conv_id")) & (F.col("o.id") == F.col("r.id")), "left_anti"), "open")
-    return done
+    """conv_id, id, due and depth of the calls that depend on others; due is null and depth -1 on a cycle or behind one."""
+    state = written(_references(events, links).select("conv_id", "id", F.lit(None).cast("long").alias("due"), F.lit(0).cast("long").alias("depth"), "refs"), "state")
+    closed = -1
+    while (now := state.filter("size(refs) = 0").count()) > closed and now < state.count():
+        closed, before = now, state
+        target = state.select(F.col("conv_id").alias("c"), F.col("id").alias("i"), F.col("due").alias("t_due"), F.col("depth").alias("t_depth"), F.col("refs").alias("t_refs"))
+        opened = state.filter("size(refs) > 0").select("conv_id", "id", "due", "depth", F.explode("refs").alias("r"))
+        joined = opened.join(target, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("r.on") == F.col("i")), "left")
+        n = F.when(F.col("t_refs").isNull(), 0).otherwise(F.size("t_refs"))
+        step = lambda d: F.least(F.col("r.depth") + F.coalesce(d, F.lit(0)), F.lit(_DEEP))  # noqa: E731  a cycle's depth would double for ever
+        only = F.get("t_refs", F.lit(0))
+        jump = F.struct(only["on"].alias("on"), F.greatest("r.due", "t_due", only["due"]).alias("due"), step(only["depth"]).alias("depth"))
+        passed = n <= 1
+        state = written(
+            joined.groupBy("conv_id", "id").agg(
+                F.max(F.greatest("due", F.when(passed, F.greatest("r.due", "t_due")))).alias("due"), F.max(F.greatest("depth", F.when(passed, step(F.col("t_depth"))))).alias("depth"),
+                F.collect_set(F.when(n == 1, jump).when(n > 1, F.col("r"))).alias("refs"),
+            ).unionByName(state.filter("size(refs) = 0")), "state",
+        )
+        discard(before)
+    over = F.size("refs") == 0
+    return state.select("conv_id", "id", F.when(over, F.col("due")).alias("due"), F.when(over, F.col("depth")).otherwise(-1).alias("depth"))
 
 
 def format_events(events: DataFrame, schemas: Schemas) -> DataFrame:

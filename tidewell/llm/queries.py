@@ -12,19 +12,43 @@ from tidewell.llm._common import table
 
 ORACLE_SQL: dict[str, str] = {
     "op7_chat": r"""
-        WITH e AS (
-            SELECT conv_id, turn, role, text, CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
-                   CASE role WHEN 'user' THEN conv_id || ':' || turn WHEN 'assistant' THEN conv_id || ':' || (turn - 1) END AS id
+        WITH RECURSIVE e AS (
+            SELECT conv_id, turn, role, text, md5(conv_id || ':' || turn) AS m, m[1:1] AS x, m[2:2] AS y,
+                   CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
+                   CASE role WHEN 'user' THEN conv_id || ':' || (CASE WHEN y = '0' THEN turn - 2 ELSE turn END) WHEN 'assistant' THEN conv_id || ':' || (turn - 1) END AS id
             FROM conversations),
+        links AS (SELECT conv_id, id, min(turn) FILTER (kind = 'call') AS call, min(turn) FILTER (kind = 'result') AS result FROM e WHERE id IS NOT NULL GROUP BY ALL),
+        named AS (
+            SELECT conv_id, id, turn, conv_id || ':' || (turn - 2) AS target FROM e WHERE kind = 'call' AND y <> '5' AND x IN ('0', '1', '2', '3', '4', '5', '9')
+            UNION ALL SELECT conv_id, id, turn, conv_id || ':' || (turn + 2) FROM e WHERE kind = 'call' AND y <> '5' AND x IN ('6', '7', '8', '9')),
+        edges AS (
+            SELECT n.conv_id, n.id, n.target, greatest(n.turn, coalesce(o.result, o.call)) AS due
+            FROM named n JOIN links l ON l.conv_id = n.conv_id AND l.id = n.id AND l.call = n.turn JOIN links o ON o.conv_id = n.conv_id AND o.id = n.target AND o.call IS NOT NULL),
+        reach AS (SELECT conv_id, id, target FROM edges UNION SELECT r.conv_id, r.id, e.target FROM reach r JOIN edges e ON e.conv_id = r.conv_id AND e.id = r.target),
+        stuck AS (SELECT DISTINCT r.conv_id, r.id FROM reach r WHERE r.id = r.target OR EXISTS (FROM reach o WHERE o.conv_id = r.conv_id AND o.id = r.target AND o.target = r.target)),
+        free AS (SELECT * FROM edges ANTI JOIN stuck USING (conv_id, id)),
+        walk AS (SELECT conv_id, id, target, due, 2 AS depth FROM free UNION SELECT w.conv_id, w.id, f.target, greatest(w.due, f.due), w.depth + 2 FROM walk w JOIN free f ON f.conv_id = w.conv_id AND f.id = w.target),
+        late AS (SELECT conv_id, id, max(due) AS due, max(depth) AS depth FROM walk GROUP BY ALL UNION ALL SELECT conv_id, id, NULL, -1 FROM stuck),
         s AS (
-            SELECT e.*, CASE WHEN kind = 'message' THEN 'message' WHEN EXISTS (FROM e o WHERE o.id = e.id AND o.kind <> e.kind) THEN 'linked'
-                             WHEN kind = 'call' THEN 'unanswered' ELSE 'orphan' END AS status FROM e)
-        SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position, kind, id, status,
-               CASE WHEN kind = 'result' AND status = 'linked' THEN 1 ELSE 0 END AS depth, CASE WHEN kind = 'call' THEN '' END AS problems,
-               CASE kind WHEN 'call' THEN '{"arguments":{"text":' || to_json(text) || ',"turn":' || turn || '},"id":"' || id || '","name":"reply","role":"user","type":"call"}'
-                         WHEN 'result' THEN '{"content":' || to_json(text) || ',"id":"' || id || '","role":"assistant","type":"result"}'
-                         ELSE '{"content":' || to_json(text) || ',"role":' || to_json(role) || '}' END AS json
-        FROM s""",
+            SELECT e.*, l.call, l.result, t.due AS call_due, coalesce(t.depth, 0) AS call_depth,
+                   CASE WHEN kind = 'message' THEN 'message' WHEN e.turn <> (CASE kind WHEN 'call' THEN l.call ELSE l.result END) THEN 'duplicate' WHEN kind = 'call' AND call_depth < 0 THEN 'cycle'
+                        WHEN (CASE kind WHEN 'call' THEN l.result ELSE l.call END) IS NOT NULL THEN 'linked' WHEN kind = 'call' THEN 'unanswered' ELSE 'orphan' END AS status
+            FROM e LEFT JOIN links l USING (conv_id, id) LEFT JOIN late t USING (conv_id, id)),
+        d AS (
+            SELECT *, (CASE status WHEN 'linked' THEN greatest(call_depth, 0) + CASE kind WHEN 'result' THEN 1 ELSE 0 END WHEN 'unanswered' THEN greatest(call_depth, 0) ELSE 0 END)::BIGINT AS depth,
+                   CASE WHEN status IN ('linked', 'unanswered') THEN greatest(turn, CASE kind WHEN 'result' THEN call END, call_due) ELSE turn END AS due FROM s)
+        SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY due, depth, turn) - 1 AS position, kind, id, status, depth,
+               CASE WHEN kind = 'call' THEN CASE y WHEN '1' THEN 'turn is not integer' WHEN '2' THEN 'missing text' WHEN '3' THEN 'unknown parameter extra' WHEN '4' THEN 'unknown tool' WHEN '5' THEN 'arguments are no object' ELSE '' END END AS problems,
+               CASE kind
+               WHEN 'call' THEN '{"arguments":' || CASE WHEN y = '5' THEN '[' || turn || ']' ELSE
+                   '{' || CASE WHEN x IN ('0', '1', '2', '3', '4', '5', '9') THEN '"after":"$' || conv_id || ':' || (turn - 2) || '",' ELSE '' END
+                       || CASE WHEN x IN ('6', '7', '8', '9') THEN '"also":"$' || conv_id || ':' || (turn + 2) || '",' ELSE '' END
+                       || CASE WHEN y = '3' THEN '"extra":true,' ELSE '' END || CASE WHEN y = '2' THEN '' ELSE '"text":' || to_json(text) || ',' END
+                       || '"turn":' || CASE WHEN y = '1' THEN '"' || turn || '"' ELSE turn::VARCHAR END || '}' END
+                   || ',"id":"' || id || '","name":"' || CASE WHEN y = '4' THEN 'lookup' ELSE 'reply' END || '","role":"user","type":"call"}'
+               WHEN 'result' THEN '{"content":' || to_json(text) || ',"id":"' || id || '","role":"assistant","type":"result"}'
+               ELSE '{"content":' || to_json(text) || ',"role":' || to_json(role) || '}' END AS json
+        FROM d""",
     "op10_exact_dedup": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS s FROM documents),
              g AS (SELECT s, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY s)
@@ -64,12 +88,34 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, learned).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
-#: The tool that a plain conversation's user turns call.
-REPLY: chat.Schemas = {"reply": {"text": ("string", True), "turn": ("integer", True)}}
+#: The tool that the user turns of ``conversations`` call; ``after`` and ``also`` may refer to other calls.
+REPLY: chat.Schemas = {"reply": {"text": ("string", True), "turn": ("integer", True), "after": ("string", False), "also": ("string", False)}}
+
+
+def _tool_events(conversations: DataFrame) -> DataFrame:
+    """Every row of ``conversations`` as an event. The table holds no tool calls, so each user turn is taken as a call and
+    the assistant's next turn as its result; two digits of a row's MD5 say what is odd about a call: a reference back
+    (0 to 5), ahead (6 to 8) or both (9), so that chains and cycles come about; and the identifier of the call before (0),
+    a turn of the wrong type (1), no text (2), a parameter too many (3), another tool (4), no object (5)."""
+    user, assistant = F.col("role") == "user", F.col("role") == "assistant"
+    at = lambda t: F.concat_ws(":", F.col("conv_id").cast("string"), t.cast("string"))
+    turn, digits = F.col("turn"), F.md5(at(F.col("turn")).cast("binary"))
+    x, y = F.substring(digits, 1, 1), F.substring(digits, 2, 1)
+    fields = {
+        "after": F.when(x.isin(*"0123459"), F.concat(F.lit("$"), at(turn - 2))), "also": F.when(x.isin(*"6789"), F.concat(F.lit("$"), at(turn + 2))),
+        "extra": F.when(y == "3", True), "text": F.when(y != "2", F.col("text")),
+    }
+    given = F.when(y == "5", F.concat(F.lit("["), turn, F.lit("]"))).when(y == "1", F.to_json(F.struct(*(c.alias(n) for n, c in fields.items()), turn.cast("string").alias("turn"))))
+    given = given.otherwise(F.to_json(F.struct(*(c.alias(n) for n, c in fields.items()), turn.alias("turn"))))
+    return conversations.select(
+        "conv_id", turn.cast("long").alias("turn"), F.lit(0).cast("long").alias("part"), "role", F.when(user, "call").when(assistant, "result").otherwise("message").alias("kind"),
+        F.when(user, at(F.when(y == "0", turn - 2).otherwise(turn))).when(assistant, at(turn - 1)).alias("id"), F.when(user, F.when(y == "4", "lookup").otherwise("reply")).alias("name"),
+        F.when(user, given).alias("arguments"), F.when(~F.coalesce(user, F.lit(False)), F.col("text")).alias("content"),
+    )
 
 
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = chat.format_events(chat.by_turns(table(spark, sf_dir, "conversations")), REPLY)
+    found = chat.format_events(_tool_events(table(spark, sf_dir, "conversations")), REPLY)
     return found.select("conv_id", "turn", "position", "kind", "id", "status", "depth", F.array_join("problems", "; ").alias("problems"), "json")
 
 
