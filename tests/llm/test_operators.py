@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tests.llm import _brute as brute
 from tidewell.llm import chat, exact_dedup, langid, line_quality, mixing, packing, polynomial, queries, secrets, simhash, simple8b, suffixes, token_files, tokens
 
@@ -156,10 +157,10 @@ def test_mixing(docs, odd):
             open_ -= over
         target |= {s: level * weight[s] for s in open_}
         for r in rows:
-            assert r.source_size == given[r.row.source] and r.target == pytest.approx(target[r.row.source]) and 0 <= r.copies <= 2
+            assert r.source_size == given[r.source] and r.target == pytest.approx(target[r.source]) and 0 <= r.copies <= 2
         taken, largest = {}, max(r["size"] for r in rows)
         for r in rows:
-            taken[r.row.source] = taken.get(r.row.source, 0) + r.copies * r["size"]
+            taken[r.source] = taken.get(r.source, 0) + r.copies * r["size"]
         assert all(abs(taken[s] - target[s]) <= 2 * largest for s in given)
         assert sum(taken.values()) <= budget + 1e-6
 
@@ -184,7 +185,7 @@ def test_suffixes_stream_in_pieces():
     r = random.Random(9)
     rows = sorted((r.randrange(6), bytes(4 * k) if (k := r.randrange(27)) else b"", b"\1\1\1\1" * r.randrange(27), r.randrange(4), 0, r.randrange(50)) for _ in range(400))
     whole = pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32()), strict=True)], ["run", "right", "left", "doc_id", "h", "place"])
-    found = lambda n, step: {tuple(x.values())[:5] for b in suffixes._neighbours((whole.slice(i, step) for i in range(0, 400, step)), n) for x in b.to_pylist() if not x["edge"]}
+    found = lambda n, step: {tuple(x.values())[:5] for b in suffixes._neighbours((whole.slice(i, step) for i in range(0, 400, step)), n) for x in b.to_pylist()}
     assert found(10**6, 400) == found(10, 3) == found(1, 1) != set()
 
 
@@ -224,7 +225,7 @@ def test_suffixes_around_a_common_fragment(spark, piece):
             for b in suffixes._anchors(iter([batch])):
                 found = [{"place": x["place"], "run": x["run"]} for x in b.to_pylist()]
                 for c in suffixes._contexts(iter([batch.append_column("found", pa.array([found]))])):
-                    sorted_ += [tuple(x.values()) for x in c.to_pylist()]
+                    sorted_ += [tuple(x.values()) for x in c.drop_columns(["next"]).to_pylist()]
         sorted_.sort()
         kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32())
         table = pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(zip(*sorted_, strict=True), kinds, strict=True)], suffixes._COLUMNS)
@@ -236,12 +237,12 @@ def test_suffixes_around_a_common_fragment(spark, piece):
             if x["window"] is None:
                 spans.setdefault(x["doc_id"], set()).update(range(x["start"], x["end"]))
             else:
-                open_.setdefault(x["window"], []).append(x)
+                open_.setdefault((x["window"], x["window2"]), []).append(x)
         for xs in open_.values():
             if len({x["doc_id"] for x in xs}) > 1:
                 for x in xs:
                     spans.setdefault(x["doc_id"], set()).update(range(x["start"], x["end"]))
-        for x in (x for b in suffixes._neighbours(iter([table])) for x in b.to_pylist() if not x["edge"]):
+        for x in (x for b in suffixes._neighbours(iter([table])) for x in b.to_pylist()):
             spans.setdefault(x["doc_id"], set()).update(range(x["start"], x["end"]))
         assert spans == brute.repeated(rows)
         return
@@ -249,6 +250,36 @@ def test_suffixes_around_a_common_fragment(spark, piece):
     assert {x.doc_id: {i for y in x.spans for i in range(y.start, y.end)} for x in found} == brute.repeated(rows)
 
 
+@pytest.mark.parametrize("between", [1, 2, 40])
+def test_suffixes_quartets(spark, between):
+    """A and C share just 50 words; others stand between them in the order of suffixes: they share 33 of these and more to the right."""
+    r, texts = random.Random(20), []
+    words = lambda n: [f"v{r.randrange(10**7)}" for _ in range(n)]
+    for _ in range(30 if between < 40 else 4):
+        passage, after = words(50), words(2)
+        at = r.randrange(18)
+        texts += [[*words(40), *passage, *after, *words(40)], [*words(40), *passage, *words(40)]]
+        texts += [[*words(60), *passage[50 - 33 :], *after, *words(40)] for _ in range(between)] + [[*words(60), *passage[at : at + 33], *words(40)] for _ in range(between)]
+    rows = list(enumerate(map(" ".join, texts)))
+    found = suffixes.repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert {x.doc_id: {i for y in x.spans for i in range(y.start, y.end)} for x in found} == brute.repeated(rows) and len(found) >= 2 * 4
+
+
+def test_suffixes_random_families(spark):
+    """Texts made of overlapping passages of a small stock, some of them repeated within a text."""
+    r = random.Random(21)
+    stock = [f"u{r.randrange(10**7)}" for _ in range(260)]
+    rows = []
+    for i in range(120):
+        text = []
+        for _ in range(r.randrange(1, 5)):
+            a = r.randrange(240)
+            text += stock[a : a + r.randrange(5, 75)] * r.choice((1, 1, 2)) + [f"n{r.randrange(10**7)}" for _ in range(r.randrange(3))]
+        rows.append((i, " ".join(text)))
+    found = suffixes.repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+    assert {x.doc_id: {i for y in x.spans for i in range(y.start, y.end)} for x in found} == brute.repeated(rows)
+
+
 @pytest.mark.parametrize("name", ["docs", "odd"])
 def test_line_quality_base(name, request):
     df = request.getfixturevalue(name)
@@ -429,6 +460,30 @@ def test_exact_dedup_of_beyond_ascii_and_salted_groups(spark):
     assert exact_dedup.dedup(df).count() == 751
 
 
+def test_hot_keys_join_where_their_rows_lie(spark, monkeypatch):
+    from tidewell.llm import _common
+
+    monkeypatch.setattr(_common, "HOT_ROWS", 50)
+    rows = spark.createDataFrame([(0 if i % 3 else i, i) for i in range(600)], "k long, v long")
+    keys = _common.written(rows.groupBy("k").count().filter("k % 2 = 0").withColumn("p", F.col("k") * 10))
+    want = rows.join(keys, ["k"])
+    assert sorted(_common.join_keys(rows, keys, ["k"], "count").collect()) == sorted(want.select("k", "v", "count", "p").collect())
+    assert _common.join_keys(rows, keys, ["k"], "count", "left").count() == 600
+
+
+def test_running_sums_over_ranges(spark):
+    from tidewell.llm import _common
+
+    r = random.Random(3)
+    values = [(r.randrange(40), i, r.randrange(9)) for i in range(500)]
+    found = _common.running(spark.createDataFrame(values, "a long, b long, n long").repartition(5), ["a", "b"], "n")
+    total = 0
+    for x in sorted(found.collect()):
+        total += x.n
+        assert x.n_upto == total
+    assert found.count() == 500
+
+
 def test_exact_dedup_rows(odd):
     kept = exact_dedup.dedup(odd)
     assert kept.columns == odd.columns and kept.count() == len({brute.normal(r[1]) for r in ROWS})

@@ -43,7 +43,7 @@ def _check(spark, docs, folder, data):
         least[roots[f]] = min(d, least.get(roots[f], d))
     assert sorted(d for d, _ in _given(distinct)) == sorted(least.values())
 
-    copies = {r.row.doc_id: r.copies for r in mixing.mix(distinct).collect()}
+    copies = {r.doc_id: r.copies for r in mixing.mix(distinct).collect()}
     assert sorted(d for d, _ in _given(mixed)) == sorted(d for d, n in copies.items() for _ in range(n))
 
     pieces = packed.collect()

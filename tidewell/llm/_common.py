@@ -12,7 +12,7 @@ from weakref import WeakKeyDictionary
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell.ship import ship
@@ -102,8 +102,8 @@ def discard(df: DataFrame) -> None:
         _remove(folder)
 
 
-def join_keys(rows: DataFrame, keys: DataFrame, on: list[str], n: str) -> DataFrame:
-    """Inner join with ``keys``: a written table, unique in ``on``, with the number ``n`` of rows of each key.
+def join_keys(rows: DataFrame, keys: DataFrame, on: list[str], n: str, how: str = "inner") -> DataFrame:
+    """Inner or left join with ``keys``: a written table, unique in ``on``, with the number ``n`` of rows of each key.
 
     Keys of many rows are broadcast and joined where their rows lie: there are at most HOT_KEYS of them, since each has
     at least that share of all rows. Rows of the other keys are shuffled. No key's rows meet in one task.
@@ -111,10 +111,27 @@ def join_keys(rows: DataFrame, keys: DataFrame, on: list[str], n: str) -> DataFr
     total = keys.agg(F.sum(n)).first()[0] or 0
     hot = keys.filter(F.col(n) >= max(HOT_ROWS, -(-total // HOT_KEYS)))
     here = rows.join(F.broadcast(hot), on)
-    rest = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(keys, on)
+    rest = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(keys, on, how)
     return here.unionByName(rest)
 
 
+def running(rows: DataFrame, order: list[str], *sums: str) -> DataFrame:
+    """``rows`` (written, sorted by ranges of ``order``) with ``{c}_upto`` for each column c of ``sums``: its running sum in
+    that order over all rows, the row included. One total of each range passes through a window, nothing else does."""
+    ranged = written(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged")
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranged.groupBy("_part").agg(*(F.sum(c).alias(c) for c in sums))
+    starts = parts.select("_part", *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_before_{c}") for c in sums))
+    own = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    found = ranged.withColumns({f"{c}_upto": F.sum(c).over(own) for c in sums}).join(F.broadcast(starts), "_part")
+    return found.withColumns({f"{c}_upto": F.col(f"{c}_upto") + F.col(f"_before_{c}") for c in sums}).drop("_part", *(f"_before_{c}" for c in sums))
+
+
+def row_of(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as the struct ``row``, so that none of their names can clash with another's."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+
+
 def text_hash(column: str = "text") -> Column:
     """XXH64 (seed 42) of a text, null as empty; with doc_id the identity of a row."""
     return F.xxhash64(F.coalesce(column, F.lit("")))
@@ -126,7 +143,7 @@ def keep_rows(docs: DataFrame, marks: DataFrame) -> DataFrame:
     keep is 0 or 1: how many rows stay of those with this doc_id and text hash. What isn't marked stays as it is, so
     texts are joined with the few marks only, once. All columns of ``docs`` are kept, whatever their names.
     """
-    rows = docs.select(F.struct(*docs.columns).alias("row"), text_hash().alias("h")).alias("r")
+    rows = docs.select(row_of(docs), text_hash().alias("h")).alias("r")
     joined = rows.join(marks.alias("m"), F.col("r.row.doc_id").cast("long").eqNullSafe(F.col("m.doc_id")) & (F.col("r.h") == F.col("m.h")), "left")
     once = joined.filter("m.keep = 1").groupBy(F.col("m.doc_id"), F.col("m.h")).agg(F.first("r.row").alias("row"))
     return joined.filter("m.keep is null").select("r.row.*").unionByName(once.select("row.*"))

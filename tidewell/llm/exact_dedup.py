@@ -8,7 +8,7 @@ Texts are equal when identical after every run of white space (space, controls 9
    dealt into salted parts of about ``PART`` rows, each with a copy of that first row, so no task gets a group whole.
 3. Rows that differ from their group's first row (a collision) form a class of the next round, until none is left.
 
-Rows: null text counts as empty. Null doc_id sorts after all others; of rows that tie in doc_id and text one stays.
+Rows: null text counts as empty. A very long text is hashed in chunks and compared in chunks. Null doc_id sorts after all others; of rows that tie in doc_id and text one stays.
 An empty table gives an empty result. Only doc_id and text are read, so other columns can't clash.
 """
 
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm._common import keep_rows, slices, written
+from tidewell.llm._common import discard, join_keys, keep_rows, slices, written
 from tidewell.llm.polynomial import MODULI, fingerprints
 
 PART = 256  # rows of a group that one task compares, about
@@ -83,14 +83,11 @@ _CLASS = ["fp", "n_bytes", "round"]
 _IDENTITY = ["doc_id", "fp", "n_bytes", "sha"]
 
 
-def _colliding(docs: DataFrame, rows: DataFrame, first: DataFrame, round_: int, moduli: tuple[int, int]) -> DataFrame:
+def _colliding(docs: DataFrame, rows: DataFrame, large: DataFrame, round_: int, moduli: tuple[int, int]) -> DataFrame:
     """Identities of the rows of this round that differ in text from their class's first row."""
-    firsts = first.filter((F.col("round") == round_) & (F.col("size") > 1)).select(*_CLASS, "size", F.col("keep.row").alias("first"))
-    wanted = (
-        rows.filter(F.col("round") == round_).join(firsts, _CLASS)
-        .groupBy(*_IDENTITY, "round", "size").agg(F.max(F.col("row") == F.col("first")).alias("is_first"))
-    )
-    wanted = written(wanted, "wanted")
+    firsts = large.filter(F.col("round") == round_).select(*_CLASS, "size", F.col("keep.row").alias("first"))
+    met = join_keys(rows.filter(F.col("round") == round_), firsts, _CLASS, "size")
+    wanted = written(met.groupBy(*_IDENTITY, "round", "size").agg(F.max(F.col("row") == F.col("first")).alias("is_first")), "wanted")
     ids = wanted.select("doc_id").distinct()
     texts = docs.select("doc_id", "text").join(ids.filter("doc_id is not null"), "doc_id", "left_semi").unionByName(docs.select("doc_id", "text").filter("doc_id is null"))
     found = _fingerprinted(texts, moduli, True).alias("t").join(wanted.alias("w"), _same("t", "w", *_IDENTITY)).select("t.doc_id", "t.fp", "t.n_bytes", "t.sha", "w.round", "w.is_first", "w.size", "t.text")
@@ -106,16 +103,17 @@ def exact_classes(docs: DataFrame, moduli: tuple[int, int] = MODULI) -> DataFram
     rows, round_ = written(_fingerprinted(docs, moduli, False).withColumn("round", F.lit(0)), "rows"), 0
     while True:
         first = rows.groupBy(*_CLASS).agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("keep"))
-        unlike = written(_colliding(docs, rows, first, round_, moduli), "unlike")
+        large = written(first.filter("size > 1"), "large")
+        unlike = written(_colliding(docs, rows, large, round_, moduli), "unlike")
         if unlike.isEmpty():
             break
         marked = rows.alias("r").join(unlike.alias("u"), _same("r", "u", *_IDENTITY, "round"), "left").select("r.row", "r.h", *(f"r.{c}" for c in _IDENTITY), (F.col("r.round") + F.col("u.fp").isNotNull().cast("int")).alias("round"))
-        rows, round_ = written(marked, "rows"), round_ + 1
-    large = first.filter("size > 1").select(*_CLASS, "size", "keep")
-    joined = rows.join(large, _CLASS, "left")
-    size = F.coalesce("size", F.lit(1)).cast("long")
+        before, rows, round_ = rows, written(marked, "rows"), round_ + 1
+        for old in (before, large, unlike):
+            discard(old)
+    joined = join_keys(rows, large, _CLASS, "size", "left")
     return joined.select(
-        "doc_id", F.when(F.col("size").isNull(), F.col("doc_id")).otherwise(F.col("keep.doc_id")).alias("keep_id"), size.alias("group_size"),
+        "doc_id", F.when(F.col("size").isNull(), F.col("doc_id")).otherwise(F.col("keep.doc_id")).alias("keep_id"), F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
         (F.col("size").isNull() | (F.col("row") == F.col("keep.row"))).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"), "n_bytes", "h",
     )
 

@@ -5,11 +5,13 @@ Each language has a raw-content zstandard dictionary made of sampled training te
 wins. The score is its margin over the runner-up, scaled to 0..1; where it is narrow the prediction is marked rejected.
 
 Training: of each language the ``per_lang`` texts with the least hash of their text (a bounded sample; the bound is a
-parameter), cut evenly to fill the dictionary. Only texts and languages are learned from. The dictionaries (at most
-``dict_bytes`` for each language) go to the tasks with the function; prediction is one pass with no shuffle.
+parameter); each gives its middle, so that all together fill the dictionary: the cut is by text. Only texts and
+languages are learned from. The dictionaries (at most ``dict_bytes`` for each language) go to the tasks with the
+function; prediction is one pass with no shuffle.
 
-Rows: null text or a text without a letter is ``und`` with score 0. Null lang isn't learned from; null doc_id counts as
-not held out. If nothing can be learned from, every text is ``und``. Repeated rows stay; other columns are not read.
+Rows: null text or a text without a letter is ``und`` with score 0. A very long text is compressed whole, piece by piece.
+Null lang isn't learned from; null doc_id counts as not held out. If nothing can be learned from, every text is ``und``.
+Of equal sizes the language with more texts wins. Repeated rows stay; other columns are not read.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.llm._common import slices
+from tidewell.llm._common import slices, written
 
 PIECE = 1024
 LEVEL = 6
@@ -36,8 +38,13 @@ def learn(training: DataFrame, per_lang: int = 400, dict_bytes: int = 112 * 1024
     """Dictionary content for each language of ``training`` (text, lang), from at most ``per_lang`` texts of each; the most
     frequent language first, which wins ties."""
     rows = training.filter("lang is not null and length(text) > 0").select("lang", "text", F.xxhash64("text").alias("h"))
-    # Hashes first, so that the sort of the sample carries no texts; it keeps per_lang rows of each task before any shuffle.
-    least = rows.select("lang", "h").distinct().withColumn("i", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("i") <= per_lang).drop("i")
+    # Hashes first, so that the sort of the sample carries no texts. Of a language with many texts only hashes below a
+    # bound go to its window: four times per_lang of them are expected, so per_lang of them are there.
+    hashes = written(rows.select("lang", "h").distinct(), "hashes")
+    counts = hashes.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    part = F.least(F.lit(1.0), 4.0 * max(per_lang, 100) / F.col("n"))
+    few = hashes.join(F.broadcast(counts), "lang").filter((F.col("h") / F.lit(2.0**64) + 0.5) <= part).drop("n")
+    least = few.withColumn("i", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("i") <= per_lang).drop("i")
     # A text gives its middle, as much as is its share of the dictionary: dict_bytes for each language come to the driver.
     least = least.withColumn("share", F.ceil(F.lit(dict_bytes) / F.count("h").over(Window.partitionBy("lang"))).cast("int"))
     middle = F.substring("text", F.greatest(F.lit(1), ((F.length("text") - F.col("share")) / 2).cast("int") + 1), F.col("share"))

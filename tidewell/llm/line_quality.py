@@ -14,8 +14,8 @@ group. Texts that are a common block and hardly anything else are near copies by
 Texts are read once; what leaves the reading pass is a sketch, and a hash and a word count for each line. Counts are
 partially aggregated before each shuffle, so a line that a third of all documents hold is one row of each task.
 
-Rows: null text has no words and fails the base rules. Null source is a host like others, null doc_id a document like
-others; repeated rows all get the same verdict. An empty table gives an empty result. Other columns are kept as they are.
+Rows: null text has no words and fails the base rules. A very long text is measured whole, line by line. Null source is a host like others, null doc_id a document like
+others; repeated rows all get the same verdict. An empty table gives an empty result. Other columns are kept as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,10 +24,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm._common import slices, text_hash, words_of, written
+from tidewell.llm._common import row_of, slices, text_hash, words_of, written
 
 MIN_DOCS = 12  # a line of fewer distinct documents of a host is never boilerplate,
 MIN_SHARE = 0.01  # nor one of a smaller share of the host's documents
@@ -162,20 +163,22 @@ def clean(docs: DataFrame, host: str = "source", **limits: float) -> DataFrame:
     """``docs`` without rejected documents and without frequent lines; same columns (``n_chars`` follows the text)."""
     verdicts = judge(docs, host, **limits).filter(~F.col("kept") | F.col("removed").isNotNull())
     changes = written(verdicts.groupBy("doc_id", "host", "text_hash").agg(F.first("kept").alias("kept"), F.first("removed").alias("removed")), "changes")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), text_hash().alias("h")).alias("r")
+    rows = docs.select(row_of(docs), text_hash().alias("h")).alias("r")
     same = F.col("r.row.doc_id").cast("long").eqNullSafe(F.col("c.doc_id")) & F.col(f"r.row.{host}").cast("string").eqNullSafe(F.col("c.host")) & (F.col("r.h") == F.col("c.text_hash"))
-    joined = rows.join(changes.alias("c"), same, "left").filter(F.coalesce("c.kept", F.lit(True)))
-
-    columns = docs.columns
+    joined = rows.join(changes.alias("c"), same, "left").filter(F.coalesce("c.kept", F.lit(True))).select("r.row", F.col("c.removed").alias("removed"))
+    columns, counted = docs.columns, "n_chars" in docs.columns
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for i, gone in enumerate(batch.column("_removed").to_pylist()):
+            kept = dict(zip(columns, batch.column("row").flatten(), strict=True))
+            texts = kept["text"].to_pylist()
+            for i, gone in enumerate(batch.column("removed").to_pylist()):
                 if gone:
                     gone = set(gone)
                     texts[i] = "\n".join(x for x in texts[i].split("\n") if not x.strip() or line_hash(x.encode()) not in gone)
-            yield pa.RecordBatch.from_arrays([pa.array(texts, batch.schema.field(c).type) if c == "text" else batch.column(c) for c in columns], columns)
+            kept["text"] = pa.array(texts, kept["text"].type)
+            if counted:
+                kept["n_chars"] = pc.coalesce(pc.utf8_length(kept["text"]).cast(kept["n_chars"].type), kept["n_chars"])
+            yield pa.RecordBatch.from_arrays(list(kept.values()), columns)
 
-    out = joined.select("r.row.*", F.col("c.removed").alias("_removed")).mapInArrow(strip, docs.schema)
-    return out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(out.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    return joined.mapInArrow(strip, docs.schema)

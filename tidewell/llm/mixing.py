@@ -4,14 +4,16 @@ Every document joins its source's queue in shuffled order (a seeded hash of its
 used. Its virtual finish time is its source's words up to and with it, divided by the source's target. All copies are
 range-sorted by finish time and the stream is truncated at the total budget, so that each source is served its target.
 
-A source's running sum is split by the leading bits of the shuffling hash: sums of (source, bucket) come from a
-partial aggregation, and a document needs only the sum of the buckets before and its place in its own bucket. A source
-with a third of all rows is thus dealt to ``BUCKETS`` tasks, and nothing depends on where rows lie: reruns agree.
-The cut is found from one number for each range partition and a running sum in the one partition that holds it.
-
-Rows: null text has size 0; null source is a source, the last; null doc_id is a document like others. Repeated rows
-are documents of their own (if all they have is equal, they are interchangeable). Size-0 documents are taken with the
-stream they stand in and add no words. An empty table gives an empty result. Columns of ``docs`` are kept as they are.
+Texts are read once for their sizes and hashes; all else is done on those narrow rows. They are range-sorted by source
+and hash, so a source with a third of all rows lies in many ranges, and a document's place in its source's queue is a
+running sum over ranges; nothing depends on where rows lie, and reruns agree. The cut is found from one number for each
+range of the stream and a running sum in the one range that holds it. Within a source the copies taken are those before
+one hash, so ``take`` needs two hashes for each source and shuffles no text.
+
+Rows: null text has size 0; null source is a source, the last; null doc_id is a document like others. A very long text
+is one document with a long turn. Repeated rows are documents of their own (if all they have is equal, they are
+interchangeable). Size-0 documents are taken with the stream they stand in and add no words. An empty table gives an
+empty result. ``take`` keeps the columns of ``docs`` as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,40 +21,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.llm._common import WORD, written
+from tidewell.llm._common import WORD, join_keys, row_of, running, text_hash, written
 
-BUCKETS = 1024
+_QUEUE = ["none", "src", "key", "doc_id", "size"]  # the order of a source's queue
 
 
 def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _keyed(seed: int) -> dict[str, Column]:
+    """A source without null, whether it is null, and the hash that shuffles."""
+    return {"none": F.col("source").isNull(), "src": F.coalesce(F.col("source").cast("string"), F.lit("")), "key": F.xxhash64(F.lit(seed), "doc_id", "text", "source")}
+
+
 def targets(totals: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """source, source_size, target from source and source_size: one row for each source.
+    """none, src, source_size and target from none, src and source_size: one row for each source.
 
     Weights repeat over the sources by code point, null last. The level at which weight times level, stopped at ``most``
     times the size, adds up to ``share`` of all sizes follows from sorting sources by the level at which they stop.
     """
-    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), ((F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights) + 1).cast("int"))
-    stops = totals.withColumn("weight", weight).withColumn("cap", most * F.col("source_size")).withColumn("stop", F.col("cap") / F.col("weight"))
-    by = Window.orderBy("stop", F.col("source").asc_nulls_last())
-    level = (F.sum("source_size").over(Window.partitionBy()) * share - F.coalesce(F.sum("cap").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))) / F.sum("weight").over(by.rowsBetween(0, Window.unboundedFollowing))
-    found = F.min(F.when(F.col("level") <= F.col("stop"), F.struct("stop", "level"))).over(Window.partitionBy())["level"]
-    return stops.withColumn("level", level).select("source", "source_size", F.coalesce(F.least(F.col("weight") * found, "cap"), "cap").alias("target"))
-
-
-def _queued(docs: DataFrame, aims: DataFrame, columns: list[str], seed: int) -> DataFrame:
-    """row (a struct of ``columns``), size, key, source_size, target, and the finish times of each copy."""
-    rows = docs.select(F.struct(*columns).alias("row"), F.col("source").alias("src"), size_of(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text", "source").alias("key"))
-    rows = rows.withColumn("bucket", F.shiftrightunsigned("key", 64 - BUCKETS.bit_length() + 1))
-    sums = rows.groupBy("src", "bucket").agg(F.sum("size").alias("part"))
-    before = F.coalesce(F.sum("part").over(Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    spots = sums.withColumn("before", before).join(aims, F.col("src").eqNullSafe(F.col("source"))).select(F.col("src").alias("at"), F.col("bucket").alias("in"), "before", "source_size", "target")
-    joined = rows.join(spots, F.col("src").eqNullSafe(F.col("at")) & (F.col("bucket") == F.col("in")))
-    own = Window.partitionBy("src", "bucket").orderBy("key", "row.doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    upto = F.col("before") + F.sum("size").over(own)
-    return joined.withColumn("upto", upto).select("row", "src", "size", "key", "source_size", "target", "upto")
+    placed = running(totals.withColumn("one", F.lit(1)), ["none", "src"], "one")
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), ((F.col("one_upto") - 1) % len(weights) + 1).cast("int"))
+    stops = placed.select("none", "src", "source_size", weight.alias("weight"), (most * F.col("source_size")).alias("cap")).withColumn("stop", F.col("cap") / F.col("weight"))
+    by = running(stops, ["stop", "none", "src"], "cap", "weight")
+    sums = stops.agg(F.sum("source_size").alias("all_size"), F.sum("weight").alias("all_weight"))
+    level = (F.col("all_size") * share - (F.col("cap_upto") - F.col("cap"))) / (F.col("all_weight") - F.col("weight_upto") + F.col("weight"))
+    levels = by.crossJoin(F.broadcast(sums)).withColumn("level", level)
+    found = levels.agg(F.min(F.when(F.col("level") <= F.col("stop"), F.struct("stop", "level"))).alias("first"))
+    return stops.crossJoin(F.broadcast(found)).select("none", "src", "source_size", F.coalesce(F.least(F.col("weight") * F.col("first.level"), "cap"), "cap").alias("target"))
 
 
 def _finish(copy: int) -> Column:
@@ -75,13 +72,38 @@ def _cut(queued: DataFrame, budget: float, copies: int) -> tuple | None:
     return None
 
 
-def mix(docs: DataFrame, columns: list[str] | None = None, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, copies: int = 2, seed: int = 17) -> DataFrame:
-    """row (struct of ``columns`` of docs), size, source_size, target, copies (how often the mix takes it), finish (of the first)."""
-    columns = columns or ["doc_id", "source"]
-    totals = written(docs.groupBy("source").agg(F.coalesce(F.sum(size_of(F.col("text"))), F.lit(0)).alias("source_size")), "totals")
-    aims = written(targets(totals, weights, share, copies), "targets")
+def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, copies: int = 2, seed: int = 17) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, source, h (XXH64 of the text), size, source_size, target, copies (how often
+    the mix takes it), finish (of its first copy), none, src and key (its place in the shuffle)."""
+    keyed = _keyed(seed)
+    narrow = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", text_hash().alias("h"), size_of(F.col("text")).alias("size"), *(c.alias(n) for n, c in keyed.items())), "sizes")
+    totals = written(narrow.groupBy("none", "src").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows")), "totals")
+    aims = written(targets(totals.drop("rows"), weights, share, copies).join(totals.select("none", "src", "rows"), ["none", "src"]), "targets")
     budget = aims.agg(F.sum("target")).first()[0] or 0.0
-    last = _cut(_queued(docs, aims, ["doc_id"], seed), budget, copies)
+    line = written(running(narrow, _QUEUE, "size"), "line")
+    starts = line.groupBy("none", "src").agg(F.min(F.col("size_upto") - F.col("size")).alias("start"))
+    heads = written(aims.join(starts, ["none", "src"]), "heads")
+    queued = written(join_keys(line, heads, ["none", "src"], "rows").withColumn("upto", F.col("size_upto") - F.col("start")).drop("rows", "start", "size_upto"), "queued")
+    last = _cut(queued, budget, copies)
     place = lambda i: F.struct(_finish(i).alias("finish"), "key", F.lit(i).alias("copy"))
     taken = sum((F.lit(1) if last is None else (place(i) <= F.struct(F.lit(last[0]).cast("double"), F.lit(last[1]).cast("long"), F.lit(last[2]).cast("int"))).cast("int") for i in range(copies)), F.lit(0))
-    return _queued(docs, aims, columns, seed).select("row", "size", "source_size", "target", taken.alias("copies"), _finish(0).alias("finish"))
+    return queued.select("doc_id", "source", "h", "size", "source_size", "target", taken.alias("copies"), _finish(0).alias("finish"), "none", "src", "key")
+
+
+def take(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, copies: int = 2, seed: int = 17) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, with all their columns.
+
+    A source's queue is in the order of the hash: copy i of its rows is taken up to the hash ``last[i]``. Only of rows
+    with just such a hash (repeated rows, or a single one) the number taken is looked up.
+    """
+    mixed = written(mix(docs, weights, share, copies, seed), "mixed")
+    reach = [F.max(F.when(F.col("copies") > i, F.col("key"))) for i in range(copies)]
+    ends = written(mixed.groupBy("none", "src").agg(F.count(F.lit(1)).alias("rows"), F.array(*reach).alias("last")), "ends")
+    at_end = F.array_contains(F.array_compact("last"), F.col("key"))
+    edges = join_keys(mixed, ends, ["none", "src"], "rows").filter(at_end).groupBy("none", "src", "key").agg(F.sum("copies").alias("n"))
+    rows = join_keys(docs.select(row_of(docs), *(c.alias(n) for n, c in _keyed(seed).items())), ends, ["none", "src"], "rows").withColumn("edge", at_end)
+    n = F.size(F.filter(F.array_compact("last"), lambda x: F.col("key") < x))
+    inner = rows.filter("not edge").select("row", n.alias("n"))
+    first = rows.filter("edge").groupBy("none", "src", "key").agg(F.first("row").alias("row"))
+    outer = first.join(edges, ["none", "src", "key"]).select("row", F.col("n").cast("int").alias("n"))
+    return inner.unionByName(outer).filter("n > 0").select(F.explode(F.array_repeat("row", F.col("n"))).alias("row")).select("row.*")

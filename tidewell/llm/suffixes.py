@@ -6,19 +6,23 @@ at the same place wherever it occurs. The suffixes are sorted by their first wor
 are compared, and their match is extended to the right and to the left; matches of at least ``LEAST`` words are reported.
 
 1. One pass over the texts gives narrow rows (document, position, hash of the first RUN words). Runs that one document
-   alone has are dropped; the counts are pre-aggregated.
+   alone has are dropped; the counts are pre-aggregated, and a very common run is joined where its rows lie.
 2. Texts are joined once, by document, with the positions left in them; the words on either side come back as hashes,
    as many as a 50-word passage around the position can reach.
-3. A range sort by run and by the words to the right, then left, is the sparse suffix array: a very common passage spans
-   many partitions, and each suffix is compared with its two neighbours only, never with all others. Suffixes at
-   partition borders are compared in a small second step, a few rows for each partition.
+3. A range sort by run and the words to the right, then left, is the sparse suffix array: a very common passage spans
+   many partitions, and each suffix is compared with its two neighbours only, never with all others.
 4. Where a run has several surroundings, the suffix that shares a passage need not be a neighbour. There the (at most
-   26) passages of LEAST words around each run are hashed and grouped as well: inside the task where it holds all of the
-   run, and by a shuffle for runs that a border may cut, one row for each passage and piece that it is found in.
+   26) passages of LEAST words around each run are hashed (128 bits) and grouped as well: inside the task where it holds
+   all of the run, and by a shuffle for runs that a border may cut, one row for each passage and piece that it is in.
+   So no match depends on where a border lies or on the order of neighbours.
 5. Matches of a document are united to its spans.
 
-Rows: null text has no words; documents of under 50 words have no spans. Null doc_id is a document like others; rows
-equal in doc_id and text are one document. An empty table gives an empty result. Other columns are not read.
+Words are compared by hashes: a neighbour's match by a 64-bit hash of RUN words and a 32-bit hash of each further word, a
+passage by its 128 bits. A match may go on beyond SIDE words; another kept suffix of the same two texts then shows it.
+
+Rows: null text has no words; documents of under 50 words have no spans. A very long text is read whole, and its rows are
+as many as its kept suffixes. Null doc_id is a document like others; rows equal in doc_id and text are one document. An
+empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm._common import slices, text_hash, words_of, written
+from tidewell.llm._common import join_keys, slices, text_hash, words_of, written
 
 RUN, WINDOW, LEAST = 25, 26, 50
 SIDE = WINDOW  # words compared on each side of a run
@@ -121,7 +125,8 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _context_rows(batch: pa.RecordBatch, whos: list, places: list, runs: list, rights: list, lefts: list) -> pa.RecordBatch:
     who = pa.array(whos)
-    return pa.RecordBatch.from_arrays([pa.array(runs, pa.int64()), pa.array(rights, pa.binary()), pa.array(lefts, pa.binary()), *(batch.column(c).take(who) for c in _DOC), pa.array(places, pa.int32())], ["run", "right", "left", *_DOC, "place"])
+    next_ = np.frombuffer(b"".join(x[:8].ljust(8, b"\0") for x in rights), ">i8").astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(runs, pa.int64()), pa.array(next_), pa.array(rights, pa.binary()), pa.array(lefts, pa.binary()), *(batch.column(c).take(who) for c in _DOC), pa.array(places, pa.int32())], ["run", "next", "right", "left", *_DOC, "place"])
 
 
 def _matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -141,20 +146,23 @@ def _common(m: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.nd
 
 
 _COLUMNS = ["run", "right", "left", *_DOC, "place"]
-_FOUND = "doc_id long, h long, start int, end int, other long, edge boolean, run long, right binary, left binary, place int"
+_FOUND = "doc_id long, h long, start int, end int, other long, window long, window2 long"
+_NAMES = [x.split()[0] for x in _FOUND.split(", ")]
 
 
-_NAMES = [x.split()[0] for x in _FOUND.split(", ")]
+def _rows(doc: np.ndarray, h: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray | None = None, window: tuple[np.ndarray, np.ndarray] | None = None) -> pa.RecordBatch:
+    """Matches with another document, or passages (``window``) that other pieces may find."""
+    longs = lambda x: pa.nulls(len(doc), pa.int64()) if x is None else pa.array(x.view(np.int64))
+    a, b = window or (None, None)
+    return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(h), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), longs(other), longs(a), longs(b)], _NAMES)
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch], rows: int = 100_000) -> Iterator[pa.RecordBatch]:
     """Matches of a sorted partition's suffixes with the next ones before and after that are of other documents.
 
     The partition streams through in pieces of about ``rows`` rows; a piece's last two documents stay for the next one.
-    Suffixes of the partition's first and last document come out as well (``edge``).
     """
     held: list[pa.RecordBatch] = []
-    first = True
     for batch in batches:
         held.append(batch)
         if sum(map(len, held)) < rows:
@@ -164,18 +172,10 @@ def _neighbours(batches: Iterator[pa.RecordBatch], rows: int = 100_000) -> Itera
         if len(begins) < 3:
             continue
         yield _matches(piece, begins)
-        if first:
-            yield _edge(piece.slice(0, int(begins[1])))
-            first = False
         held = [piece.slice(int(begins[-2]))]
     if held:
         piece = _joined(held)
-        begins = _begins(piece)
-        yield _matches(piece, begins)
-        if first:
-            yield _edge(piece.slice(0, int(begins[1]) if len(begins) > 1 else len(piece)))
-        if len(begins) > 1 or not first:
-            yield _edge(piece.slice(int(begins[-1])))
+        yield _matches(piece, _begins(piece))
 
 
 def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -201,13 +201,7 @@ def _matches(t: pa.RecordBatch, begins: np.ndarray) -> pa.RecordBatch:
     r, l = _common(*right, a, b), _common(*left, a, b)  # noqa: E741
     far = r + l + RUN >= LEAST
     a, b, r, l = a[far], b[far], r[far], l[far]  # noqa: E741
-    blank = [pa.nulls(len(a), k) for k in (pa.int64(), pa.binary(), pa.binary(), pa.int32())]
-    return pa.RecordBatch.from_arrays([pa.array(doc[a]), pa.array(h[a]), pa.array((place[a] - l).astype(np.int32)), pa.array((place[a] + RUN + r).astype(np.int32)), pa.array(doc[b]), pa.array(np.zeros(len(a), bool)), *blank], _NAMES)
-
-
-def _edge(e: pa.RecordBatch) -> pa.RecordBatch:
-    blank = [pa.nulls(len(e), k) for k in (pa.int32(), pa.int32(), pa.int64())]
-    return pa.RecordBatch.from_arrays([e.column("doc_id"), e.column("h"), *blank, pa.array(np.ones(len(e), bool)), *(e.column(c) for c in ("run", "right", "left", "place"))], _NAMES)
+    return _rows(doc[a], h[a], place[a] - l, place[a] + RUN + r, doc[b])
 
 
 class _Windows:
@@ -215,7 +209,7 @@ class _Windows:
 
     Rows come in by ``add``; they are searched in pieces of about ``rows`` rows, of whole runs where that is possible.
     A run at a border of the partition or of a piece is open: those of its passages come out as well by which other
-    pieces can find them (``window``, the hash, is not null).
+    pieces can find them (``window``, half of the hash, is not null).
     """
 
     def __init__(self, rows: int = 50_000) -> None:
@@ -258,15 +252,17 @@ class _Windows:
 
     def _group(self, t: pa.RecordBatch, open_: np.ndarray) -> None:
         run, doc, h, place = (t.column(c).to_numpy() for c in ("run", "doc_id", "h", "place"))
-        hashes, valid = _window_hashes(run, _matrix(t.column("right")), _matrix(t.column("left")))
+        right, left = _matrix(t.column("right")), _matrix(t.column("left"))
+        hashes, valid = _window_hashes(run, right, left)
+        second, _ = _window_hashes(run, right, left, 3)
         who = (doc.view(np.uint64) * np.uint64(_BASE)) ^ h.view(np.uint64)
         row, back = np.nonzero(valid)
-        flat = hashes[row, back]
-        order = np.lexsort((who[row], flat))
-        flat, row, back = flat[order], row[order], back[order]
+        flat, flat2 = hashes[row, back], second[row, back]
+        order = np.lexsort((who[row], flat2, flat))
+        flat, flat2, row, back = flat[order], flat2[order], row[order], back[order]
         if not len(flat):
             return
-        begins = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+        begins = np.flatnonzero(np.concatenate([[True], (flat[1:] != flat[:-1]) | (flat2[1:] != flat2[:-1])]))
         sizes = np.diff(np.append(begins, len(flat)))
         least, most = row[begins], row[begins + sizes - 1]
         several = who[least] != who[most]
@@ -276,20 +272,16 @@ class _Windows:
         found[row, back], others[row, back] = shared, other
         hit = np.flatnonzero(found.any(axis=1))
         near, far = found[hit].argmax(axis=1), found.shape[1] - 1 - found[hit][:, ::-1].argmax(axis=1)
-        self._emit(doc[hit], h[hit], place[hit] - far, place[hit] - near + LEAST, doc[others[hit, far]], None)
+        self.out.append(_rows(doc[hit], h[hit], place[hit] - far, place[hit] - near + LEAST, doc[others[hit, far]]))
         first = np.zeros(len(flat), bool)
         first[begins] = True
         keep = open_[row] & (~shared | first)
         a = row[keep]
-        self._emit(doc[a], h[a], place[a] - back[keep], place[a] - back[keep] + LEAST, None, flat[keep])
-
-    def _emit(self, doc: np.ndarray, h: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray | None, window: np.ndarray | None) -> None:
-        n, longs = len(doc), pa.int64()
-        blank = [pa.nulls(n, k) for k in (longs, pa.binary(), pa.binary(), pa.int32())]
-        self.out.append(pa.RecordBatch.from_arrays([pa.array(doc), pa.array(h), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.nulls(n, longs) if other is None else pa.array(other), pa.array(np.zeros(n, bool)), *blank, pa.nulls(n, longs) if window is None else pa.array(window.view(np.int64))], [*_NAMES, "window"]))
+        start = place[a] - back[keep]
+        self.out.append(_rows(doc[a], h[a], start, start + LEAST, window=(flat[keep], flat2[keep])))
 
 
-def _window_hashes(run: np.ndarray, right: tuple[np.ndarray, np.ndarray], left: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _window_hashes(run: np.ndarray, right: tuple[np.ndarray, np.ndarray], left: tuple[np.ndarray, np.ndarray], seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """For each row and number of words before the run, the hash of the LEAST words, and whether the text has as many."""
     more = LEAST - RUN
 
@@ -300,7 +292,7 @@ def _window_hashes(run: np.ndarray, right: tuple[np.ndarray, np.ndarray], left:
             out[:, i + 1] = x ^ (x >> np.uint64(29))
         return out
 
-    ahead, before = heads(right[0], 1)[:, ::-1], heads(left[0], 2)
+    ahead, before = heads(right[0], seed)[:, ::-1], heads(left[0], seed + 1)
     x = ((ahead * np.uint64(0xBF58476D1CE4E5B9)) ^ (ahead >> np.uint64(31))) + before
     x = (x ^ run.view(np.uint64)[:, None]) * np.uint64(0x94D049BB133111EB)
     back = np.arange(more + 1)
@@ -318,7 +310,7 @@ def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield batch
 
     for x in _neighbours(passing()):
-        yield pa.RecordBatch.from_arrays([*x.columns, pa.nulls(len(x), pa.int64())], [*_NAMES, "window"])
+        yield x
         yield from windows.take()
     windows.close()
     yield from windows.take()
@@ -345,17 +337,17 @@ def repeats(docs: DataFrame) -> DataFrame:
     document with words of it) of every document that shares a passage of at least 50 words with another one."""
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)).alias("doc_id"), text_hash().alias("h"), "text")
     anchors = written(rows.mapInArrow(_anchors, "doc_id long, h long, place int, run long"), "anchors")
-    ranges = anchors.groupBy("run").agg(*(f(c).alias(f"{n}_{c}") for c in _DOC for n, f in (("min", F.min), ("max", F.max))))
-    shared = ranges.filter("min_doc_id != max_doc_id or min_h != max_h").select("run")
-    kept = anchors.join(shared, "run").groupBy(*_DOC).agg(F.collect_set(F.struct("place", "run")).alias("found"))
-    sided = rows.join(kept, _DOC).mapInArrow(_contexts, "run long, right binary, left binary, doc_id long, h long, place int")
-    array = sided.repartitionByRange(*_COLUMNS).sortWithinPartitions(*_COLUMNS)
-    found = written(array.mapInArrow(_searched, _FOUND + ", window long"), "found")
-    edges = found.filter("edge").select(*_COLUMNS).repartition(1).sortWithinPartitions(*_COLUMNS).mapInArrow(_neighbours, _FOUND)
-    cut_off = found.filter("window is not null").select("window", *_DOC, "start", "end")
-    held = cut_off.groupBy("window").agg(*(f(c).alias(f"{n}_{c}") for c in _DOC for n, f in (("min", F.min), ("max", F.max)))).filter("min_doc_id != max_doc_id or min_h != max_h")
-    joined = cut_off.join(held, "window").select(*_DOC, "start", "end", F.when(F.col("min_doc_id") != F.col("doc_id"), F.col("min_doc_id")).otherwise(F.col("max_doc_id")).alias("other"))
-    near = found.filter("not edge and window is null").unionByName(edges.filter("not edge"), allowMissingColumns=True).select(*_DOC, "start", "end", "other")
+    ends = [f(c).alias(f"{n}_{c}") for c in _DOC for n, f in (("min", F.min), ("max", F.max))]
+    several = "min_doc_id != max_doc_id or min_h != max_h"
+    shared = written(anchors.groupBy("run").agg(F.count(F.lit(1)).alias("n"), *ends).filter(several).select("run", "n"), "shared")
+    kept = join_keys(anchors, shared, ["run"], "n").groupBy(*_DOC).agg(F.collect_set(F.struct("place", "run")).alias("found"))
+    sided = rows.join(kept, _DOC).mapInArrow(_contexts, "run long, next long, right binary, left binary, doc_id long, h long, place int")
+    array = sided.repartitionByRange("run", "next", "doc_id").sortWithinPartitions(*_COLUMNS).select(*_COLUMNS)
+    found = written(array.mapInArrow(_searched, _FOUND), "found")
+    cut_off = found.filter("window is not null").select("window", "window2", *_DOC, "start", "end")
+    held = cut_off.groupBy("window", "window2").agg(*ends).filter(several)
+    joined = cut_off.join(held, ["window", "window2"]).select(*_DOC, "start", "end", F.when(F.col("min_doc_id") != F.col("doc_id"), F.col("min_doc_id")).otherwise(F.col("max_doc_id")).alias("other"))
+    near = found.filter("window is null").select(*_DOC, "start", "end", "other")
     matches = near.unionByName(joined).select(*_DOC, F.struct("start", "end", "other").alias("m")).distinct()
     return matches.groupBy(*_DOC).agg(F.collect_list("m").alias("found")).mapInArrow(_united, "doc_id long, h long, spans array<struct<start:int,end:int,other:long>>")
 
