@@ -2,7 +2,7 @@
 
 Each round is two aggregations and two joins, all by node. Minima are pre-aggregated before they are shuffled and the
 joins have one unique side, so a node with very many neighbours is split like any skewed join. Nothing is collected
-but two numbers a round; each round ends in a table in the shared folder.
+but two numbers a round; each half round ends in a table in the shared folder, and the one before it is removed.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm._common import written
+from tidewell.llm._common import discard, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -37,4 +37,7 @@ def components(edges: DataFrame) -> DataFrame:
         seen = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if seen == before:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before, now = seen, written(_star(_star(now, True), False), "edges")
+        large = written(_star(now, True), "large")
+        before, old, now = seen, now, written(_star(large, False), "edges")
+        discard(large)
+        discard(old)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm import chat, exact_dedup, langid, line_quality, mixing, packing, secrets, simhash, suffixes, token_files
-from tidewell.llm._common import table
+from tidewell.llm._common import spread, table
 
 ORACLE_SQL: dict[str, str] = {
     "op7_chat": r"""
@@ -62,7 +62,7 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash.near_classes(table(spark, sf_dir, "documents"))
+    found = simhash.near_classes(spread(table(spark, sf_dir, "documents")))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -72,18 +72,18 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = suffixes.repeats(table(spark, sf_dir, "documents"))
+    found = suffixes.repeats(spread(table(spark, sf_dir, "documents")))
     words = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return found.select("doc_id", F.size("spans").alias("n_spans"), words.alias("repeated_words"), F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias("spans"), F.array_distinct(F.transform("spans", lambda s: s["other"])).alias("others"))
 
 
 def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = line_quality.judge(table(spark, sf_dir, "documents"))
+    judged = line_quality.judge(spread(table(spark, sf_dir, "documents")))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
 
 
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     learned = langid.learn(docs.filter(~langid.held_out()).select("text", "lang"))
     return langid.identify(docs, learned).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
@@ -120,12 +120,13 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    pieces = packing.pack(spread(table(spark, sf_dir, "documents")))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    docs = spread(table(spark, sf_dir, "documents"))
+    found = secrets.find_secrets(docs, secrets.learn_identifiers(docs))
     n = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     base = F.filter("spans", lambda s: s["kind"] != "novel")
@@ -133,7 +134,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_classes(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    return exact_dedup.exact_classes(spread(table(spark, sf_dir, "documents"))).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_files, op2_simhash, op3_mixing, op4_suffixes, op5_line_quality, op6_langid, op7_chat, op8_packing, op9_secrets, op10_exact_dedup)}

@@ -1,23 +1,27 @@
 """Op 9. Secret scans: fixed patterns, and strings in a sensitive context that a primed compressor can't predict.
 
 Patterns (leftmost, not overlapping within a kind): ``assign`` an assignment to a sensitive name, ``access`` an access
-key, ``hex`` a long run of hexadecimal digits. Novelty (``novel``): strings of key-like characters near a sensitive
-word are compressed by zstandard with a dictionary of common identifiers, after the code that surrounds them. The bytes
-that the string adds to its surroundings alone, for each of its characters, measure how new it is; names and prose cost
-little, keys cost what random characters cost. Other occurrences of the string are cut out of the surroundings, so that
-a key that is written twice is as new as one that is written once. Spans are code points, end exclusive. One pass, no shuffle.
-
-Rows: null text counts as empty and has no spans. Null doc_id and repeated rows are rows like others. An empty table
-gives an empty result. Other columns are not read.
+key, ``hex`` a long run of hexadecimal digits. Novelty (``novel``): a candidate is a run of key-like characters that
+begins within REACH bytes after a sensitive word or ends within REACH before one. It is compressed by zstandard after the
+code that surrounds it, with a dictionary of identifiers: common ones, and the names that the documents themselves use
+(``learn_identifiers``, counted over all of them). The bytes that the string adds to its surroundings alone, for each of
+its characters, measure how new it is; names and prose cost little, keys cost what random characters cost. Other
+occurrences of the string are cut out of the surroundings, so that a key that is written twice is as new as one that is
+written once. Spans are code points, end exclusive. One pass over the texts; only counts of names are shuffled.
+
+Rows: null text counts as empty and has no spans. A very long text is searched whole. Null doc_id and repeated rows are
+rows like others. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidewell.llm._common import slices
 
@@ -33,19 +37,40 @@ _CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{16,}")
 
 _PARTS, _GAP = re.compile(rb"[^A-Za-z0-9+/_-]+"), b"\0"  # a string stands elsewhere without the = or the name before it
 
-_KEY_BYTES = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")
-
 REACH = 80  # bytes after a sensitive word in which a candidate may begin, or before it in which one may end
 AROUND = 512  # bytes before and after a candidate that it is measured against
-NOVEL = 0.7  # compressed bytes for each character, at least
+NOVEL = 0.8  # compressed bytes for each character, at least
+
+#: A name as code writes it: words joined by underscores, words in camel case, or what stands before an equals sign or a colon.
+_NAME = r"\b(?:[A-Za-z]{2,24}(?:_[A-Za-z]{2,24})+|[A-Za-z][a-z]+(?:[A-Z][a-z]+)+|[A-Za-z_]{3,32}(?=\x20?[=:]))"
+
+# Common parts of identifiers and of code.
+PARTS = """
+access account active add admin all api app append apply args array async attribute auth authorization await backend base batch begin body bool
+bucket buffer build byte cache call callback cancel cert char check child class clean client close cloud cluster code column command commit
+common compute config connect connection const container content context control controller copy core count create credential current cursor
+data database date debug default define delete deploy description dest detail device dict directory disable display document domain driver
+dump dynamic element email enable encode end endpoint engine entry env environment error event example exception exec execute expire export
+extra factory false field file filter final find first flag float folder format free from function future gateway generate get global graph
+group handle handler hash head header health help host html http https id image import index info init input insert instance int interface
+internal is item iterator job join json key label lambda last latest layer length level library limit line link list listener load local
+location lock log logger login loop main make manager map mapping master match matrix max member memory merge message metadata method metric
+min mock mode model module monitor name namespace network new next node none notification null num number object offset on open operation
+option order origin output owner package page param parent parse parser partition pass passphrase password path pattern payload pending
+permission pipeline placeholder policy pool port position prefix private process processor profile project property protocol provider proxy
+public query queue random range rate raw read reader record ref refresh region register registry release remote remove render replace report
+repository request require reset resource response rest result return role root route row rule run runtime sample scan schedule scheme schema
+scope script search secret section secure select self send sequence server service session set settings shared signature size socket source
+spec stack stage start state static status step storage store stream string struct style submit sum super sync system table tag target task
+team temp template test text thread time timeout timestamp title token topic total trace track transaction transform tree trigger true type
+update upload url user username util uuid valid validate validator value variable vector verify version view visible void volume wait web
+worker wrapper write writer xml yaml zone
+"""
 
-#: Common parts of identifiers and of code, the dictionary's content.
-IDENTIFIERS = b" ".join(
-    a + b + c
-    for a in (b"get", b"set", b"is", b"new", b"make", b"load", b"read", b"write", b"parse", b"user", b"client", b"server", b"default")
-    for b in (b"", b"_")
-    for c in (b"password", b"Password", b"secret", b"Secret", b"token", b"Token", b"api_key", b"ApiKey", b"credential", b"Value", b"value", b"Name", b"name", b"config", b"Config", b"session", b"request", b"response", b"string", b"example", b"placeholder")
-)
+#: The dictionary's part that is the same for all tables: the parts, capitalised too, and names that are often seen near secrets.
+IDENTIFIERS = " ".join(
+    [*PARTS.split(), *map(str.capitalize, PARTS.split()), *(a + b + c for a in ("get", "set", "new", "load", "read", "user", "client", "default") for b in ("_", "") for c in ("password", "secret", "token", "api_key", "credential", "Password", "Secret", "Token", "ApiKey"))]
+).encode()
 
 
 class Scanner:
@@ -77,30 +102,35 @@ class Scanner:
         found += [(m.start(), m.end(), 2) for m in _HEX.finditer(text)]
         spans = [(*f, self.novelty(text, f[0], f[1])) for f in found]
         if any(k in low for k in _WORDS):
-            upto = 0
-            for near in _SENSITIVE.finditer(text):
-                a, b = near.span()
-                before = _CANDIDATE.finditer(text, max(upto, a - REACH - 15, 0), a)
-                after = _CANDIDATE.finditer(text, max(upto, b), min(len(text), b + REACH + 15))
-                for m in (*before, *after):
-                    start, end = m.span()
-                    if start < a:  # the value stands first; what touches the word is part of one name with it
-                        if end == a:
-                            continue
-                        while start > upto and text[start - 1] in _KEY_BYTES:
-                            start -= 1
-                    elif start >= b + REACH or start < upto:
-                        continue
-                    while end < len(text) and text[end] in _KEY_BYTES:  # the window may cut a candidate short
-                        end += 1
-                    upto = end
-                    s = text[start:end]
-                    mixed = any(48 <= c <= 57 for c in s) + any(65 <= c <= 90 for c in s) + any(97 <= c <= 122 for c in s) >= 2
-                    if mixed and not any(f < end and start < t for f, t, _ in found) and (x := self.novelty(text, start, end)) >= self.novel:
-                        spans.append((start, end, 3, x))
+            spans += self._novel(text, [(a, b) for a, b, _ in found])
         return sorted(spans, key=lambda x: (x[0], x[2]))
 
 
+    def _novel(self, text: bytes, found: list[tuple[int, int]]) -> list[tuple[int, int, int, float]]:
+        """Candidates that overlap nothing found by the patterns. A sensitive word splits the run that it stands in."""
+        words = [m.span() for m in _SENSITIVE.finditer(text)]
+        begins, ends = [a for a, _ in words], [b for _, b in words]
+        spans = []
+        for m in _CANDIDATE.finditer(_SENSITIVE.sub(lambda m: _GAP * len(m[0]), text)):
+            start, end = m.span()
+            last, next_ = bisect_right(ends, start) - 1, bisect_left(begins, end)
+            after = last >= 0 and start - ends[last] < REACH
+            before = any(0 < a - end < REACH for a in begins[next_ : next_ + 2])  # what touches the word is part of one name with it
+            mixed = any(48 <= c <= 57 for c in m[0]) + any(65 <= c <= 90 for c in m[0]) + any(97 <= c <= 122 for c in m[0]) >= 2
+            if (after or before) and mixed and not any(a < end and start < b for a, b in found) and (x := self.novelty(text, start, end)) >= self.novel:
+                spans.append((start, end, 3, x))
+        return spans
+
+
+def learn_identifiers(docs: DataFrame, most: int = 4096, least_docs: int = 3) -> bytes:
+    """Dictionary content: IDENTIFIERS and the ``most`` names without digits that the most documents of ``docs`` hold, at
+    least ``least_docs`` of them, the commonest last. All texts are counted; at most ``most`` names come to the driver."""
+    names = docs.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(_NAME), F.lit(0)))).alias("name"))
+    counts = names.groupBy("name").count().filter(F.col("count") >= least_docs)
+    found = [r.name for r in counts.orderBy(F.desc("count"), "name").limit(most).collect()]
+    return IDENTIFIERS + b"".join(b" " + n.encode() for n in reversed(found))
+
+
 _SPANS = "doc_id long, spans array<struct<kind:string,start:long,end:long,novelty:double>>"
 
 
