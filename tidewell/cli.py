@@ -41,14 +41,17 @@ def load(args: argparse.Namespace) -> int:
     column, checkpoint = config.get("delta_loading.checkpoint_column"), Checkpoint(config.get("delta_loading.checkpoint_file", "checkpoint.json"))
     rows = loader.load_delta(column, checkpoint, args.limit) if args.mode == "delta" else loader.load_data(args.limit)
     rows = rows.persist()
-    if rows.isEmpty():
+    n = rows.count()
+    if not n:
+        rows.unpersist()
         print("no new rows")
         return 0
     target = args.output or stamped(config.get("output.raw_data_file", "raw_data"), ".csv")
     write_csv(rows, target)
     if args.mode == "delta":
         Loader.commit(rows, column, checkpoint)
-    print(f"{rows.count()} rows in {target}")
+    rows.unpersist()
+    print(f"{n} rows in {target}")
     return 0
 
 
@@ -86,7 +89,7 @@ def forecast(args: argparse.Namespace) -> int:
     folder = Path(args.output_dir)
     model = TimeSeriesForecaster(config).fit(rows, target, date_column, key)
     ahead = model.predict(args.periods).persist()
-    write_csv(ahead, str(folder / stamped("forecast", ".csv")))
+    write_csv(ahead, str(folder / stamped("forecast", ".csv")), one_file=True)
     model.evaluate().show(truncate=False)
     if args.daily or config.get("forecasting.daily_enabled", False):
         days = build_daily_totals(rows, config.get("data_source.daily_date_column", "TS"), target)
@@ -95,8 +98,11 @@ def forecast(args: argparse.Namespace) -> int:
         daily = allocator.predict_daily(horizon_months=args.periods if args.periods is not None else int(config.get("forecasting.forecast_horizon", 12))).persist()
         for r in DailyAllocator.coherence(daily).filter("not coherent").collect():  # a row for each month
             print(f"warning: {r.month_start} adds up to {r.total}, not {r.expected}", file=sys.stderr)
-        write_csv(daily, str(folder / stamped("daily_forecast", ".csv")))
-        write_csv(daily_to_weekly(daily), str(folder / stamped("weekly_forecast", ".csv")))
+        write_csv(daily, str(folder / stamped("daily_forecast", ".csv")), one_file=True)
+        write_csv(daily_to_weekly(daily), str(folder / stamped("weekly_forecast", ".csv")), one_file=True)
+        daily.unpersist()
+    ahead.unpersist()
+    model.release()
     return 0
 
 

@@ -59,12 +59,28 @@ def year_period(code: Column, strict: bool = False) -> Column:
     return F.when(code.isNotNull() & date.isNull(), F.raise_error(F.concat(F.lit("not a year and period: "), s)).cast("date")).otherwise(date) if strict else date
 
 
-def calendar(name: str, holidays: dict[int, int] | None = None) -> dict[str, Column]:
+def federal_holidays(date: Column) -> Column:
+    """Federal holidays of the United States in the date's month, with the days on which they are observed.
+
+    New Year, Juneteenth (from 2021), Independence Day, Veterans Day and Christmas have a date; one that falls on a
+    Saturday is observed on the day before as well, one on a Sunday on the day after. The six others are Mondays and a
+    Thursday: Martin Luther King's from 1986, Washington's Birthday, Memorial Day, Labor Day, Columbus Day, Thanksgiving.
+    """
+    m, y = F.month(date), F.year(date)
+    day = lambda month, d, year=y: F.weekday(F.make_date(year, F.lit(month), F.lit(d)))
+    count = F.when(m.isin(2, 5, 9, 10, 11) | ((m == 1) & (y >= 1986)), 1).otherwise(0)
+    for month, d, since in ((1, 1, 1), (6, 19, 2021), (7, 4, 1), (11, 11, 1), (12, 25, 1)):
+        observed = F.when(day(month, d) == 6, 1).when((day(month, d) == 5) & F.lit(month != 1), 1).otherwise(0)
+        count = count + F.when((m == month) & (y >= since), 1 + observed).otherwise(0)
+    return F.when(date.isNotNull(), count + F.when((m == 12) & (day(1, 1, y + 1) == 5), 1).otherwise(0))
+
+
+def calendar(name: str, holidays: dict[int, int] | str | None = None) -> dict[str, Column]:
     """The 16 calendar columns of the date column ``name``."""
     d = F.col(f"`{name}`").cast("date")
     m = F.month(d)
     flag = lambda c: c.cast("int")
-    free = by_month(holidays or HOLIDAYS, d)
+    free = federal_holidays(d) if holidays == "federal" else by_month(holidays or HOLIDAYS, d)
     to_quarter = F.datediff(quarter_end(d), d)
     return {
         f"{name}_business_days": business_days(d),

@@ -10,11 +10,12 @@ from abc import ABC, abstractmethod
 from collections.abc import Callable, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidewell.functions.dates import calendar, seasonal
 from tidewell.functions.numbers import number, ratio
+from tidewell.operators.ordered import quantiles
 
 Names = str | Sequence[str] | None
 
@@ -82,6 +83,10 @@ AGGREGATES: dict[str, Callable[[Callable[[Callable[[Column], Column]], Column]],
     "median": lambda over: over(lambda x: F.percentile(x, 0.5)),
     "count": lambda over: over(F.count).cast("double"),
     "sem": lambda over: over(F.stddev_samp) / F.sqrt(over(F.count)),
+    "first": lambda over: over(lambda x: F.first(x, ignorenulls=True)),
+    "last": lambda over: over(lambda x: F.last(x, ignorenulls=True)),
+    "nunique": lambda over: F.size(over(F.collect_set)).cast("double"),
+    "prod": lambda over: over(F.product),
     "skew": lambda over: F.when(over(F.count) > 2, F.when(over(F.var_pop) == 0, 0.0).otherwise(over(F.skewness) * F.sqrt(over(F.count) * (over(F.count) - 1)) / (over(F.count) - 2))),
     "kurt": lambda over: F.when(over(F.count) > 3, F.when(over(F.var_pop) == 0, -3.0).otherwise((over(F.count) - 1) / ((over(F.count) - 2) * (over(F.count) - 3)) * ((over(F.count) + 1) * over(F.kurtosis) + 6))),
 }
@@ -101,6 +106,8 @@ class Rolling(Feature):
         for w in self.windows:
             frame = self.window().rowsBetween(-(w - 1), 0)
             for a in self.aggregations:
+                if a not in AGGREGATES:
+                    raise ValueError(f"{self.name}: no aggregate {a}; there are {', '.join(AGGREGATES)}")
                 out[f"{self.column}_rolling_{a}_{w}"] = self.grouped(AGGREGATES[a](lambda f, frame=frame: f(x).over(frame)))
         return df.withColumns(out)
 
@@ -143,9 +150,9 @@ class Seasonal(Feature):
 
 
 class Calendar(Feature):
-    """Sixteen calendar columns of a date; holidays by month are a parameter."""
+    """Sixteen calendar columns of a date; ``holidays`` are numbers by month, or "federal" for those of the date's year."""
 
-    def __init__(self, date_column: str, holidays: dict[int, int] | None = None, **options: Any) -> None:
+    def __init__(self, date_column: str, holidays: dict[int, int] | str | None = None, **options: Any) -> None:
         super().__init__(**options)
         self.date_column, self.holidays = date_column, holidays
 
@@ -156,7 +163,7 @@ class Calendar(Feature):
 class Statistical(Feature):
     """Mean, standard deviation and median of the frame that was fitted, for each group or for all, and the z-score.
 
-    Fitted statistics are one aggregation. They are joined by group; a single row of them is a cross join of one row.
+    Fitted statistics are one aggregation and, for the median, a range sort. They are joined by group; a single row of them is a cross join of one row.
     """
 
     def __init__(self, columns: Names, **options: Any) -> None:
@@ -166,9 +173,13 @@ class Statistical(Feature):
     def fit(self, df: DataFrame) -> Statistical:
         self.label = "group" if self.group_by else "global"
         self.used = [c for c in self.columns if c in df.columns]
-        stats = {"mean": F.avg, "std": F.stddev_samp, "median": lambda x: F.percentile(x, 0.5)}
+        stats = {"mean": F.avg, "std": F.stddev_samp}
         made = [f(number(col(c))).alias(f"{c}_{self.label}_{n}") for c in self.used for n, f in stats.items()]
-        self.stats = df.groupBy(*map(col, self.group_by)).agg(*made) if made else None
+        self.stats = None
+        if made:
+            sums = df.groupBy(*map(col, self.group_by)).agg(*made)
+            middle = quantiles(df, {c: number(col(c)) for c in self.used}, (0.5,), self.group_by).withColumnsRenamed({f"{c}_0": f"{c}_{self.label}_median" for c in self.used})
+            self.stats = sums.join(middle, self.group_by, "left") if self.group_by else sums.crossJoin(F.broadcast(middle))  # one row
         return super().fit(df)
 
     def add(self, df: DataFrame) -> DataFrame:
@@ -185,6 +196,10 @@ class Statistical(Feature):
         return out.withColumns({f"{c}_zscore": score(c) for c in self.used})
 
 
+def _rows_of(stats: DataFrame | None) -> dict[str, Any] | None:
+    return None if stats is None else {"schema": ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stats.schema), "rows": [list(r) for r in stats.collect()]}
+
+
 def from_config(config: dict[str, Any]) -> Feature | None:
     """The operator that a configuration entry describes; None for an unknown type."""
     kind, name = config.get("type"), config.get("name")
@@ -193,7 +208,7 @@ def from_config(config: dict[str, Any]) -> Feature | None:
         "rolling_mean": lambda: Rolling(config["column"], config.get("windows", [3]), ["mean"], name=name),
         "rolling": lambda: Rolling(config["column"], config.get("windows", [3]), config.get("aggregations", ["mean"]), name=name),
         "seasonal": lambda: Seasonal(config["date_column"], config.get("features", ["month", "quarter"]), name=name),
-        "calendar": lambda: Calendar(config["date_column"], name=name),
+        "calendar": lambda: Calendar(config["date_column"], config.get("holidays"), name=name),
         "growth": lambda: Growth(config.get("columns", []), config.get("periods", [1]), name=name),
         "statistical": lambda: Statistical(config.get("columns", []), name=name),
     }
@@ -237,6 +252,27 @@ class FeaturePipeline:
             df = f.transform(df)
         return df
 
+    def state(self) -> list[dict[str, Any]]:
+        """What makes the same pipeline again, as plain values; fitted statistics are kept as rows (one for each group)."""
+        return [{"class": type(f).__name__, "values": {k: v for k, v in vars(f).items() if k != "stats"}, "stats": _rows_of(getattr(f, "stats", None))} for f in self.features]
+
+    @classmethod
+    def restore(cls, state: Sequence[dict[str, Any]], spark: SparkSession) -> FeaturePipeline:
+        kinds = {c.__name__: c for c in Feature.__subclasses__()}
+        made = []
+        for one in state:
+            f = kinds[one["class"]].__new__(kinds[one["class"]])
+            values = dict(one["values"])
+            if isinstance(values.get("holidays"), dict):
+                values["holidays"] = {int(m): n for m, n in values["holidays"].items()}  # JSON has keys as strings
+            vars(f).update(values)
+            if one["class"] == "Statistical":
+                f.stats = None if one["stats"] is None else spark.createDataFrame([tuple(r) for r in one["stats"]["rows"]], one["stats"]["schema"])
+            made.append(f)
+        out = cls(made)
+        out.fitted = True
+        return out
+
     def get_feature_names(self, df: DataFrame) -> list[str]:
         """Columns after the transformation; nothing runs."""
         return self.transform(df.limit(0)).columns

@@ -144,6 +144,11 @@ class CustomRule(Rule):
 
 
 def run_rules(df: DataFrame, rules: Sequence[Rule]) -> list[dict[str, Any]]:
+    return counted_rules(df, rules)[1]
+
+
+def counted_rules(df: DataFrame, rules: Sequence[Rule]) -> tuple[int, list[dict[str, Any]]]:
+    """The number of rows, from the one aggregation, and the rules' results."""
     wanted = {(i, k): c for i, r in enumerate(rules) for k, c in r.aggregates(df).items()}
     row = df.agg(F.count(F.lit(1)).alias(_ROWS), *(c.alias(f"a{j}") for j, c in enumerate(wanted.values()))).first()
     values = {key: row[f"a{j}"] for j, key in enumerate(wanted)}
@@ -154,7 +159,7 @@ def run_rules(df: DataFrame, rules: Sequence[Rule]) -> list[dict[str, Any]]:
             out.append({"rule_name": rule.name, "rule_type": rule.kind, "passed": bool(passed), "details": details})
         except Exception as e:  # noqa: BLE001  one rule's failure is reported beside the others' results
             out.append({"rule_name": rule.name, "rule_type": "error", "passed": False, "details": {"error": str(e)}})
-    return out
+    return row[_ROWS], out
 
 
 class Validator:
@@ -183,11 +188,11 @@ class Validator:
         now = datetime.now(UTC).isoformat()
         if not self.enabled:
             return {"validation_enabled": False, "passed": True, "stage": stage, "timestamp": now, "results": []}
-        results = run_rules(df, self.rules)
+        rows, results = counted_rules(df, self.rules)
         good = sum(r["passed"] for r in results)
         return {
             "validation_enabled": True, "passed": good == len(results), "stage": stage, "timestamp": now, "total_rules": len(results),
-            "passed_rules": good, "failed_rules": len(results) - good, "data_shape": (df.count(), len(df.columns)), "results": results,
+            "passed_rules": good, "failed_rules": len(results) - good, "data_shape": (rows, len(df.columns)), "results": results,
         }
 
     @staticmethod

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidewell.functions.dates import month_start, week_start, year_period
 from tidewell.functions.numbers import clip, number
 from tidewell.operators.features import Names, col, names
+from tidewell.operators.ordered import numbered, quantiles
 
 
 def build_daily_totals(raw: DataFrame, date_column: str = "TS", amount_column: str = "Actual", measure_column: str | None = "Measure", measure_value: str = "MTD") -> DataFrame:
@@ -67,7 +68,7 @@ def outlier_bounds(df: DataFrame, column: str, method: str = "iqr", factor: floa
     """One row (low, high); nulls where nothing is to be clipped."""
     x = number(col(column))
     if method == "iqr":
-        q = df.agg(F.percentile(x, F.array(F.lit(0.25), F.lit(0.75))).alias("q")).select(F.col("q")[0].alias("a"), F.col("q")[1].alias("b"))
+        q = quantiles(df, {"q": x}, (0.25, 0.75)).withColumnsRenamed({"q_0": "a", "q_1": "b"})
         return q.select((F.col("a") - factor * (F.col("b") - F.col("a"))).alias("low"), (F.col("b") + factor * (F.col("b") - F.col("a"))).alias("high"))
     if method == "zscore":
         m = df.agg(F.avg(x).alias("m"), F.stddev_samp(x).alias("s"))
@@ -120,8 +121,8 @@ def prepare(df: DataFrame, date_column: str, target: str, group_by: Names = None
 def split_by_months(df: DataFrame, date_column: str, backtest_months: int, validation_months: int = 0, cutoff: str | None = None) -> DataFrame:
     """``df`` with ``split``: test is the ``backtest_months`` before the cutoff (the month after the last date unless
     given), validation the months before those, train all before; rows from the cutoff on are left out."""
-    end = F.trunc(F.lit(cutoff).cast("date"), "MM") if cutoff else F.add_months(F.trunc(F.max(col(date_column).cast("date")).over(Window.partitionBy()), "MM"), 1)
-    marked = df.withColumn("__end", end)
+    last = F.trunc(F.lit(cutoff).cast("date"), "MM") if cutoff else F.add_months(F.trunc(F.max(col(date_column).cast("date")), "MM"), 1)
+    marked = df.crossJoin(F.broadcast(df.agg(last.alias("__end"))))  # one row
     d, test = col(date_column).cast("date"), F.add_months("__end", -backtest_months)
     label = F.when(d < F.add_months(test, -validation_months), "train").when(d < test, "validation").when(d < F.col("__end"), "test")
     return marked.withColumn("split", label).filter("split is not null").drop("__end")
@@ -129,10 +130,11 @@ def split_by_months(df: DataFrame, date_column: str, backtest_months: int, valid
 
 def split_by_ratio(df: DataFrame, order_by: Names, test_size: float = 0.2, validation_size: float = 0.1) -> DataFrame:
     """``df`` with ``split`` by place in the order: the last rows are test, those before validation, sizes rounded down."""
-    w = Window.partitionBy()
-    n, i = F.count(F.lit(1)).over(w), F.row_number().over(w.orderBy(*map(col, names(order_by))))
+    placed = numbered(df, [f"`{c}`" for c in names(order_by)])
+    sized = placed.crossJoin(F.broadcast(placed.agg(F.max("__i").alias("__n"))))  # one row
+    n, i = F.col("__n"), F.col("__i")
     test, validation = F.floor(n * test_size), F.floor(n * validation_size)
-    return df.withColumn("split", F.when(i <= n - test - validation, "train").when(i <= n - test, "validation").otherwise("test"))
+    return sized.withColumn("split", F.when(i <= n - test - validation, "train").when(i <= n - test, "validation").otherwise("test")).drop("__n", "__i")
 
 
 def split(df: DataFrame, date_column: str, backtest_months: int = 0, validation_months: int = 0, cutoff: str | None = None, test_size: float = 0.2, validation_size: float = 0.1) -> tuple[DataFrame, dict[str, Any]]:

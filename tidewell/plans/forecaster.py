@@ -22,7 +22,7 @@ from tidewell.operators.features import FeaturePipeline, Names, col, names
 from tidewell.operators.metrics import accuracy, horizon_errors
 from tidewell.operators.series import LogTransform, prepare, split, sum_by_date
 from tidewell.plans.models import Regressor, load_model, make_model, save_model
-from tidewell.plans.smoothing import holt_winters_forecast
+from tidewell.plans.smoothing import holt_winters_forecast, trend_fourier_forecast
 
 
 def months_after(start: date, n: int) -> list[date]:
@@ -128,6 +128,7 @@ class TimeSeriesForecaster:
 
     def __init__(self, config: Any) -> None:
         self.config, self.model, self.log, self.pipeline, self.features = config, None, None, None, []
+        self.cached: DataFrame | None = None
         self.split_meta: dict[str, Any] = {}
         self.horizon_rows: DataFrame | None = None
 
@@ -156,12 +157,12 @@ class TimeSeriesForecaster:
         c = self.config.get
         self.target, self.date, self.group_by = target, date_column, group_by
         data = df if already_prepared else self.prepare_data(df, target, date_column, group_by)
-        if group_by:
-            data = sum_by_date(data, date_column, group_by)
+        # One row for each date before anything is modelled or collected; a series that has one already stays as it is.
+        data = sum_by_date(data.withColumn(date_column, col(date_column).cast("date")), date_column, group_by)
         if not already_prepared:
             data = self.in_logs(data, target)
         marked, self.split_meta = split(data, date_column, int(c("forecasting.backtest_months", 0) or 0), int(c("forecasting.validation_months", 0) or 0), c("forecasting.backtest_cutoff_month", None), float(c("forecasting.test_size", 0.2)), float(c("forecasting.validation_split", 0.1)))
-        marked = marked.persist()
+        self.cached = marked = marked.persist()
         parts = {k: marked.filter(F.col("split") == k).drop("split") for k in ("train", "validation", "test")}
         self.pipeline = feature_engineer
         if feature_engineer is not None:
@@ -176,9 +177,10 @@ class TimeSeriesForecaster:
         self.features = list(features) if features else [f.name for f in train.schema if f.name not in (target, date_column) and f.dataType.typeName() in kinds]
         ordered = train.select(col(date_column).cast("date").alias("__d"), F.coalesce(number(col(target)), F.lit(0.0)).alias("__y"), *(number(col(f)).alias(f) for f in self.features)).orderBy("__d").collect()
         self.history, self.last_row = [r["__y"] for r in ordered], ordered[-1].asDict()
+        self.dates = [r["__d"] for r in ordered]
         kind = c("forecasting.model_type", "xgboost")
         self.kind = kind
-        if kind == "holt_winters":
+        if kind in _SERIES:
             self.model = None
         elif kind == "ensemble":
             self.weight = float((c("forecasting.ensemble", None) or {}).get("weight_a", 0.5))
@@ -200,8 +202,8 @@ class TimeSeriesForecaster:
             return self._back(self.model.predict(rows, self.features).select(col(self.date).cast("date").alias("date"), "prediction"))
         n = int(self.config.get("forecasting.forecast_horizon", 12)) if periods is None else periods
         spark = self.parts["train"].sparkSession
-        if self.kind == "holt_winters":
-            return self._back(holt_winters_forecast(self.parts["train"], self.date, self.target, n, **(self.config.get("forecasting.holt_winters", None) or {})))
+        if self.kind in _SERIES:
+            return self._back(_SERIES[self.kind](self.parts["train"], self.date, self.target, n, **(self.config.get(f"forecasting.{self.kind}", None) or {})))
         history, out = list(self.history), []
         for when in months_after(months_after(self.train_end, 2)[1], n):
             y = self.model.predict_one([future_value(f, self.target, self.date, when, history, self.origin, self.last_row) for f in self.features])
@@ -210,16 +212,29 @@ class TimeSeriesForecaster:
         return self._back(spark.createDataFrame(out, "date date, prediction double"))
 
     def _back(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("prediction", self.log.invert(F.col("prediction"))) if self.log else df
+        """Out of logs: the prediction, and its bounds where there are any."""
+        return df.withColumns({c: self.log.invert(F.col(c)) for c in df.columns if c.startswith("prediction")}) if self.log else df
+
+    def release(self) -> None:
+        """Give back what fit() keeps in memory; predictions still work, and are computed anew."""
+        if self.cached is not None:
+            self.cached.unpersist()
 
     def predict_on_df(self, df: DataFrame) -> DataFrame:
-        """(date, actual, prediction) of rows that have the features; Holt-Winters' months are matched by date."""
-        if self.kind == "holt_winters":
+        """(date, actual, prediction) of the rows of ``df``; forecasts of whole series are matched by month.
+
+        Rows that lack features go through the fitted pipeline; what it doesn't make keeps its last value of the training rows.
+        """
+        if self.kind in _SERIES:
             last = df.agg(F.max(col(self.date).cast("date"))).first()[0]
             n = (last.year - self.train_end.year) * 12 + last.month - self.train_end.month if last else 0
             ahead = self.predict(max(n, 1))
             actual = df.select(F.trunc(col(self.date).cast("date"), "MM").alias("date"), number(col(self.target)).alias("actual"))
             return self._actual(actual.join(ahead, "date"))
+        if self.pipeline is not None and any(f not in df.columns for f in self.features):
+            df = self.pipeline.transform(df)
+        df = date_features(df, self.date, self.origin)
+        df = df.withColumns({f: F.lit(float(self.last_row.get(f) or 0.0)) for f in self.features if f not in df.columns})
         found = self.model.predict(df, self.features).select(col(self.date).cast("date").alias("date"), number(col(self.target)).alias("actual"), "prediction")
         return self._actual(self._back(found))
 
@@ -237,10 +252,8 @@ class TimeSeriesForecaster:
         return dict(zip(self.features, found, strict=True)) if found else {}
 
     def save(self, path: str, spark: SparkSession) -> None:
-        """All that predict() needs: model, features, history, origin and transform."""
-        if not isinstance(self.model, Regressor):
-            raise ValueError("Holt-Winters keeps no model; save its series instead")
-        meta = {"kind": self.kind, "target": self.target, "date": self.date, "features": self.features, "history": self.history, "origin": str(self.origin), "train_end": str(self.train_end), "last_row": self.last_row, "log": asdict(self.log) if self.log else None, "split": self.split_meta}
+        """All that predict() needs: model, series, features, fitted pipeline, origin and transform."""
+        meta = {"dates": list(map(str, self.dates)), "pipeline": None if self.pipeline is None else self.pipeline.state(), "kind": self.kind, "target": self.target, "date": self.date, "features": self.features, "history": self.history, "origin": str(self.origin), "train_end": str(self.train_end), "last_row": self.last_row, "log": asdict(self.log) if self.log else None, "split": self.split_meta}
         models = self.model.models if isinstance(self.model, _Pair) else [self.model]
         for i, m in enumerate(models):
             save_model(m, f"{path}/{i}", spark, json.loads(json.dumps(meta | {"models": len(models), "weight": getattr(self, "weight", None)}, default=str)))
@@ -253,10 +266,16 @@ class TimeSeriesForecaster:
         self.origin, self.train_end, self.last_row, self.split_meta = date.fromisoformat(meta["origin"]), date.fromisoformat(meta["train_end"]), meta["last_row"], meta["split"]
         self.log = LogTransform(**meta["log"]) if meta["log"] else None
         self.model = _Pair([first, *(load_model(f"{path}/{i}", spark)[0] for i in range(1, meta["models"]))], meta["weight"]) if meta["models"] > 1 else first
-        self.parts = {"train": spark.createDataFrame([], f"`{self.date}` date, `{self.target}` double")}
+        self.dates = list(map(date.fromisoformat, meta["dates"]))
+        self.pipeline = None if meta["pipeline"] is None else FeaturePipeline.restore(meta["pipeline"], spark)
+        self.parts = {"train": spark.createDataFrame(list(zip(self.dates, map(float, self.history), strict=True)), f"`{self.date}` date, `{self.target}` double")}
         return self
 
 
+#: Models of a whole series: (series, date column, target, months) to date and prediction, with bounds or without.
+_SERIES = {"holt_winters": holt_winters_forecast, "prophet": trend_fourier_forecast}
+
+
 class _Pair(Regressor):
     """Weighted mean of two fitted models."""
 

@@ -133,7 +133,7 @@ class BayesianRidge(Linear):
 class Trees(Regressor):
     """Forests and boosted trees of Spark ML; the common names of their parameters are understood."""
 
-    NAMES = {"n_estimators": ("numTrees", "maxIter"), "max_depth": ("maxDepth",) * 2, "learning_rate": (None, "stepSize"), "subsample": ("subsamplingRate",) * 2, "random_state": ("seed",) * 2, "min_child_weight": ("minInstancesPerNode",) * 2}
+    NAMES = {"n_estimators": ("numTrees", "maxIter"), "max_depth": ("maxDepth",) * 2, "learning_rate": (None, "stepSize"), "subsample": ("subsamplingRate",) * 2, "random_state": ("seed",) * 2, "min_child_weight": ("minInstancesPerNode",) * 2, "iterations": (None, "maxIter"), "depth": ("maxDepth",) * 2, "random_seed": ("seed",) * 2, "min_child_samples": ("minInstancesPerNode",) * 2, "max_bins": ("maxBins",) * 2}
 
     def __init__(self, kind: str = "gbt", **params: Any) -> None:
         super().__init__(**params)
@@ -171,7 +171,7 @@ def available_models() -> list[str]:
 
 def make_model(name: str, **params: Any) -> Regressor:
     if name not in _REGISTRY or not _REGISTRY[name][1]:
-        raise ValueError(f"Unsupported model type: {name}. Available: {available_models()}")
+        raise ValueError(f"there is no model {name!r} here, but there are: {', '.join(available_models())}")
     return _REGISTRY[name][0](**params)
 
 
@@ -180,25 +180,27 @@ for _name in ("linear", "ridge", "lasso", "elastic_net"):
 register_model("bayesian_ridge", BayesianRidge)
 register_model("random_forest", lambda **kw: Trees("random_forest", **kw))
 register_model("gbt", lambda **kw: Trees("gbt", **kw))
-#: Boosting by its common name is Spark's own boosted trees; predictions are alike in kind, not in digits.
-register_model("xgboost", lambda **kw: Trees("gbt", **kw))
-# Libraries that this engine does not use: known names, marked as not available.
-for _name in ("lightgbm", "catboost", "prophet"):
-    register_model(_name, lambda **kw: Trees("gbt", **kw), available=False)
+#: Boosting by its common names is Spark's own boosted trees; predictions are alike in kind, not in digits.
+for _name in ("xgboost", "lightgbm", "catboost"):
+    register_model(_name, lambda **kw: Trees("gbt", **kw))
 
 
-def save_model(model: Regressor, path: str, spark: SparkSession, meta: dict[str, Any]) -> None:
+def save_model(model: Regressor | None, path: str, spark: SparkSession, meta: dict[str, Any]) -> None:
     """The model and its metadata as JSON, and trees as a Spark ML model beside it."""
-    kind = {"class": type(model).__name__, "kind": getattr(model, "kind", ""), "params": model.params}
-    if isinstance(model, Trees):
+    kind = {"class": type(model).__name__, "kind": getattr(model, "kind", ""), "params": getattr(model, "params", {})}
+    if model is None:
+        kind["params"] = {}
+    elif isinstance(model, Trees):
         model.model.write().overwrite().save(f"{path}/trees")
     else:
         kind["state"] = model.state()
     spark.createDataFrame([(json.dumps(kind | {"meta": meta}, default=str),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/model")
 
 
-def load_model(path: str, spark: SparkSession) -> tuple[Regressor, dict[str, Any]]:
+def load_model(path: str, spark: SparkSession) -> tuple[Regressor | None, dict[str, Any]]:
     kind = json.loads(spark.read.text(f"{path}/model").first().value)
+    if kind["class"] == "NoneType":
+        return None, kind["meta"]
     if kind["class"] == "Trees":
         model: Regressor = Trees(kind["kind"], **kind["params"])
         model.model = (RandomForestRegressionModel if kind["kind"] == "random_forest" else GBTRegressionModel).load(f"{path}/trees")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import product
 from typing import Any
 
@@ -13,8 +14,9 @@ from pyspark.sql import functions as F
 from tidewell.operators.features import Names, col, names
 
 
-def holt_winters(y: np.ndarray, periods: int, trend: str | None = "add", seasonal: str | None = "add", season: int = 12, damped: bool = False) -> np.ndarray:
-    """Forecast of the ``periods`` after ``y``. Smoothing weights minimise the squared one-step error.
+def holt_winters(y: np.ndarray, periods: int, trend: str | None = "add", seasonal: str | None = "add", season: int = 12, damped: bool = False, weights: Sequence[float] | None = None) -> np.ndarray:
+    """Forecast of the ``periods`` after ``y``. Smoothing weights (level, trend, season, damping) minimise the squared
+    one-step error, unless they are given.
 
     At least four values; a season with fewer than two cycles is left out. Multiplicative parts need positive values.
     """
@@ -47,6 +49,8 @@ def holt_winters(y: np.ndarray, periods: int, trend: str | None = "add", seasona
         ahead = np.cumsum(phi ** np.arange(1, periods + 1)) if damped else np.arange(1, periods + 1)
         return sse, np.array([put(grow(level, slope, k), s[(len(y) + i) % m]) for i, k in enumerate(ahead)])
 
+    if weights is not None:
+        return run(*weights)[1]
     grid = [0.1, 0.3, 0.5, 0.7, 0.9]
     best = min(product(grid, grid if trend else [0.0], grid if seasonal else [0.0], [0.9, 0.98] if damped else [1.0]), key=lambda p: run(*p)[0])
     step = 0.1
@@ -75,22 +79,41 @@ def holt_winters_forecast(df: DataFrame, date_column: str, target: str, periods:
     return narrow.groupBy(*map(col, groups or ["__all"])).applyInPandas(forecast, schema)
 
 
-def trend_fourier_forecast(df: DataFrame, date_column: str, target: str, periods: int, order: int = 3, z: float = 1.2816) -> DataFrame:
-    """date, prediction, prediction_lower and prediction_upper of the months after the last date of a monthly series.
+def trend_fourier_forecast(df: DataFrame, date_column: str, target: str, periods: int, order: int = 3, z: float = 1.2816, group_by: Names = None, regressors: Sequence[str] = ()) -> DataFrame:
+    """[group,] date, prediction, prediction_lower and prediction_upper of the months after each group's last date.
 
-    A linear trend and ``order`` yearly Fourier terms by least squares; the bounds are ``z`` residual deviations away
-    (80 per cent as it stands). It is a model of its own, not another library's.
+    A linear trend, ``order`` yearly Fourier terms and any ``regressors`` (numeric columns, null is 0; in months to come
+    they keep their last value) by least squares, the shortest solution if there are several; rows without a target are
+    left out. The bounds are ``z`` residual deviations away (80 per cent as it stands). It is a model of its own, not
+    another library's.
     """
-    from tidewell.plans.models import Linear
-
-    d = F.col("date")
-    first = df.agg(F.min(col(date_column).cast("date"))).first()[0]
-    year = F.datediff(d, F.lit(first)) / 365.25
-    terms = {"t": year} | {f"{f.__name__}{k}": f(2 * F.pi() * k * year) for k in range(1, order + 1) for f in (F.sin, F.cos)}
-    rows = df.select(col(date_column).cast("date").alias("date"), F.coalesce(col(target).cast("double"), F.lit(0.0)).alias("y")).withColumns(terms)
-    model = Linear("linear").fit(rows, list(terms), "y")
-    spread = F.broadcast(model.predict(rows, list(terms)).agg(F.coalesce(F.stddev_samp(F.col("y") - F.col("prediction")), F.lit(0.0)).alias("s")))
-    last = F.trunc(F.max(col(date_column).cast("date")), "MM")
-    ahead = df.agg(last.alias("last")).select(F.explode(F.sequence(F.lit(1), F.lit(periods))).alias("i"), "last").select(F.add_months("last", F.col("i")).alias("date")).withColumns(terms)
-    out = model.predict(ahead, list(terms)).crossJoin(spread)
-    return out.select("date", "prediction", (F.col("prediction") - z * F.col("s")).alias("prediction_lower"), (F.col("prediction") + z * F.col("s")).alias("prediction_upper"))
+    groups = names(group_by)
+    given = [f"__r{i}" for i in range(len(regressors))]
+
+    def forecast(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("date")
+        dates = pd.to_datetime(pdf["date"])
+        ahead = pd.date_range(dates.iloc[-1] + pd.offsets.MonthBegin(1), periods=periods, freq="MS")
+
+        def design(when: pd.Series | pd.DatetimeIndex, extra: np.ndarray) -> np.ndarray:
+            year = np.asarray((when - dates.iloc[0]) / pd.Timedelta(days=365.25), float)
+            waves = [f(2 * np.pi * k * year) for k in range(1, order + 1) for f in (np.sin, np.cos)]
+            return np.column_stack([np.ones(len(year)), year, *waves, extra])
+
+        known = pdf["y"].notna().to_numpy()
+        x, y = design(dates, pdf[given].to_numpy(float)), pdf["y"].to_numpy(float)
+        w = np.linalg.lstsq(x[known], y[known], rcond=None)[0]
+        left = y[known] - x[known] @ w
+        reach = z * (left.std(ddof=1) if len(left) > 1 else 0.0)
+        mean = design(ahead, np.tile(pdf[given].to_numpy(float)[-1], (periods, 1))) @ w
+        out = pd.DataFrame({"date": ahead.date, "prediction": mean, "prediction_lower": mean - reach, "prediction_upper": mean + reach})
+        for g in groups:
+            out[g] = pdf[g].iloc[0]
+        return out[[*groups, "date", "prediction", "prediction_lower", "prediction_upper"]]
+
+    extra = [F.coalesce(col(r).cast("double"), F.lit(0.0)).alias(g) for r, g in zip(regressors, given, strict=True)]
+    narrow = df.select(*map(col, groups), col(date_column).cast("date").alias("date"), col(target).cast("double").alias("y"), *extra)
+    if not groups:
+        narrow = narrow.withColumn("__all", F.lit(1))
+    schema = ", ".join([*(f"`{g}` {narrow.schema[g].dataType.simpleString()}" for g in groups), "date date, prediction double, prediction_lower double, prediction_upper double"])
+    return narrow.groupBy(*map(col, groups or ["__all"])).applyInPandas(forecast, schema)

@@ -18,21 +18,22 @@ from pyspark.sql.types import StringType, StructType
 MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """A CSV file with a header; the usual signs of a missing value are null. Types are inferred without a schema."""
-    raw = spark.read.csv(path, header=True, multiLine=True, escape='"')
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, multi_line: bool = True) -> DataFrame:
+    """A CSV file with a header; the usual signs of a missing value are null. Without a schema types are inferred, which
+    reads the file once more. Values may hold line breaks; where none does, ``multi_line=False`` splits large files."""
+    raw = spark.read.csv(path, header=True, multiLine=multi_line, escape='"')
     clean = raw.select(*(F.when(~F.col(f"`{c}`").isin(*MISSING), F.col(f"`{c}`")).alias(c) for c in raw.columns))
     if schema is None:
-        inferred = spark.read.csv(path, header=True, inferSchema=True, multiLine=True, escape='"', nullValue="NA").schema
+        inferred = spark.read.csv(path, header=True, inferSchema=True, multiLine=multi_line, escape='"', nullValue="NA").schema
         kinds = {f.name: f.dataType for f in inferred}
     else:
         kinds = {f.name: f.dataType for f in (StructType.fromDDL(schema) if isinstance(schema, str) else schema)}
     return clean.select(*(F.col(f"`{c}`").try_cast(kinds.get(c, StringType())).alias(c) for c in clean.columns))
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """One CSV file in a folder, with a header."""
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+def write_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
+    """CSV files with a header in a folder, written side by side; ``one_file`` for results that are small."""
+    (df.coalesce(1) if one_file else df).write.mode("overwrite").csv(path, header=True, escape='"')
 
 
 def stamped(stem: str, suffix: str = "", now: datetime | None = None) -> str:
@@ -63,13 +64,18 @@ def _literal(value: Any) -> str:
 def jdbc_options(config: Any, section: str = "snowflake") -> dict[str, str]:
     """Options of Spark's JDBC reader from a connection section; the driver's jar must be on the class path.
 
-    Without a password the login is by single sign-on in the browser; a role and an authenticator are optional.
+    ``url`` names any database; without it the section must describe a warehouse account. ``options`` are handed on to
+    the reader (``driver``, ``fetchsize``, ``partitionColumn`` with its bounds, to read in parallel). Without a password
+    the login is by single sign-on in the browser; a role and an authenticator are optional.
     """
     get = lambda k: config.get(f"{section}.{k}", None)
+    more = {k: str(v) for k, v in (get("options") or {}).items()}
+    if get("url"):
+        return {"url": get("url")} | {k: str(get(k)) for k in ("user", "password") if get(k)} | more
     missing = [k for k in ("account", "user", "warehouse", "database", "schema") if not get(k)]
     if missing:
         raise ValueError(f"connection settings are missing: {missing}")
-    out = {"url": f"jdbc:{section}://{get('account')}.{section}computing.com/", "user": get("user"), "warehouse": get("warehouse"), "db": get("database"), "schema": get("schema")}
+    out = more | {"url": f"jdbc:snowflake://{get('account')}.snowflakecomputing.com/", "user": get("user"), "warehouse": get("warehouse"), "db": get("database"), "schema": get("schema")}
     out |= {"password": get("password")} if get("password") else {}
     out |= {"authenticator": get("authenticator") or ("" if get("password") else "externalbrowser")}
     return {k: v for k, v in (out | {"role": get("role") or ""}).items() if v}
@@ -106,7 +112,8 @@ class Loader:
     def execute(self, sql: str) -> DataFrame:
         if not self.jdbc:
             raise RuntimeError("not connected")
-        return self.spark.read.format("jdbc").options(**self.jdbc).option("query", sql).load()
+        by_parts = "partitionColumn" in self.jdbc  # Spark takes a table then, not a query
+        return self.spark.read.format("jdbc").options(**self.jdbc).option("dbtable" if by_parts else "query", f"({sql}) t" if by_parts else sql).load()
 
     def test_connection(self) -> bool:
         try:
