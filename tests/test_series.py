@@ -366,11 +366,79 @@ def test_command_line(spark, tmp_path):
     assert len(list((tmp_path / "o").iterdir())) == 3
 
 
+def test_exact_quantiles_by_groups(spark):
+    from tidewell.operators.ordered import numbered, quantiles
+
+    r = random.Random(2)
+    rows = [(r.choice("abc") if i % 9 else None, r.choice((1.0, 2.0, 3.0, r.random() * 9, None)), float(i)) for i in range(400)] + [("z", None, 1.0)]
+    df = spark.createDataFrame(rows, "g string, x double, y double").repartition(5)
+    found = {x.g: x for x in quantiles(df, {"x": F.col("x"), "y": F.col("y")}, (0.25, 0.5, 1.0), ["g"]).collect()}
+    for g in "abc":
+        for name, at in (("x", 1), ("y", 2)):
+            values = [v[at] for v in rows if v[0] == g and v[at] is not None]
+            assert [found[g][f"{name}_{k}"] for k in range(3)] == pytest.approx(list(np.quantile(values, (0.25, 0.5, 1.0))))
+    assert None not in found and found["z"].x_0 is None and found["z"].y_1 == 1.0
+    places = sorted(numbered(df, ["y"]).collect(), key=lambda x: x["__i"])
+    assert [x["__i"] for x in places] == list(range(1, 402)) and all(a.y <= b.y for a, b in zip(places, places[1:], strict=False))
+    assert quantiles(df.limit(0), {"x": F.col("x")}, (0.5,)).first()["x_0"] is None
+
+
+def test_series_models_and_pipelines_are_saved(spark, tmp_path):
+    rows = [(dt.date(2016 + i // 12, i % 12 + 1, 1), 100 + i + 10 * math.sin(i * math.pi / 6), float(i % 5)) for i in range(60)]
+    df = spark.createDataFrame(rows, "date date, actual double, promo double")
+    for kind, more in (("holt_winters", {}), ("prophet", {"prophet": {"order": 2, "regressors": ["promo"]}})):
+        made = TimeSeriesForecaster(ConfigManager(values={"forecasting": {"model_type": kind, "backtest_months": 6, **more}}, environment={})).fit(df, "actual", "date")
+        ahead = made.predict(6).orderBy("date").collect()
+        assert len(ahead) == 6 and ("prediction_lower" in ahead[0].asDict()) == (kind == "prophet") and made.evaluate().first().mape < 20
+        made.release()
+        if kind == "holt_winters":
+            made.save(str(tmp_path / kind), spark)
+            assert TimeSeriesForecaster.load(str(tmp_path / kind), spark, made.config).predict(6).orderBy("date").collect() == ahead
+    pipeline = FeaturePipeline([Statistical("actual"), Calendar("date", {m: m for m in range(1, 13)}), Lag("actual", [1], order_by="date")]).fit(df, None, "date")
+    again = FeaturePipeline.restore(json.loads(json.dumps(pipeline.state(), default=str)), spark)
+    assert sorted(map(str, again.transform(df).collect())) == sorted(map(str, pipeline.transform(df).collect()))
+
+
+def test_federal_holidays(spark):
+    days = {(2021, 12): 3, (2022, 1): 2, (2022, 12): 2, (2021, 7): 2, (2023, 11): 3, (2020, 6): 0, (2022, 6): 2, (2024, 3): 0, (2021, 6): 2, (1985, 1): 1}
+    rows = [(dt.date(y, m, 15), n) for (y, m), n in days.items()]
+    out = Calendar("d", "federal").fit_transform(spark.createDataFrame(rows, "d date, n int"))
+    assert [(r.d, r.d_holidays) for r in out.collect()] == rows
+
+
+def test_unknown_aggregates_and_models(spark):
+    with pytest.raises(ValueError, match="no aggregate"):
+        Rolling("x", [2], ["mode"], order_by="i").fit_transform(series(spark, [1.0]))
+    assert {"lightgbm", "catboost"} <= set(available_models())
+
+
+def test_jdbc(spark, tmp_path):
+    """A database of the session's own: the table is written, and read in full and beyond a watermark."""
+    config = ConfigManager(values={"db": {"url": f"jdbc:derby:{tmp_path}/db;create=true", "options": {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}}}, environment={})
+    options = jdbc_options(config, "db")
+    spark.createDataFrame([(i, f"n{i}") for i in range(20)], "k int, name string").write.format("jdbc").options(**options).option("dbtable", "t").save()
+    loader = Loader(spark, jdbc=options, name=quoted("T"))
+    assert loader.test_connection() and loader.load_data().count() == 20 and not Loader(spark, jdbc=options, name=quoted("NONE")).test_connection()
+    checkpoint = Checkpoint(str(tmp_path / "c.json"))
+    checkpoint.write(14)
+    assert sorted(r[0] for r in loader.load_delta("k" if "k" in loader.load_data().columns else "K", checkpoint).collect()) == [15, 16, 17, 18, 19]
+    parts = Loader(spark, jdbc=options | {"partitionColumn": "k", "lowerBound": "0", "upperBound": "20", "numPartitions": "4"}, name=quoted("T")).load_data()
+    assert parts.count() == 20 and parts.rdd.getNumPartitions() == 4
+
+
+def test_checkpoint_in_a_store(spark, tmp_path):
+    c = Checkpoint(f"file://{tmp_path}/deep/c.json", spark)
+    assert c.read() is None
+    for value in (D("2024-01-01"), 7, "x"):
+        c.write(value)
+        assert c.read() == value
+
+
 def test_weekly_totals_of_all_orders(spark, data):
     from tidewell.plans.queries import QUERIES
 
     total = spark.read.parquet(f"{data}/orders.parquet").agg(F.sum("o_totalprice")).first()[0]
-    for name in ("weekly_totals_mon_all", "weekly_totals_sun_all"):
+    for name in ("weekly_totals_mon", "weekly_totals_sun"):
         assert QUERIES[name](spark, data).agg(F.sum("y_pred")).first()[0] == pytest.approx(total)
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import argparse
 import sys
 from collections.abc import Sequence
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,10 +85,10 @@ def forecast(args: argparse.Namespace) -> int:
     if args.dry_run:
         print(f"{rows.count()} rows, {len(rows.columns)} columns, date {date_column}, target {target}, group {key}" + (f" ({rows.select(col(key)).distinct().count()} segments)" if key else ""))
         return 0
-    folder = Path(args.output_dir)
+    folder = args.output_dir.rstrip("/")
     model = TimeSeriesForecaster(config).fit(rows, target, date_column, key)
     ahead = model.predict(args.periods).persist()
-    write_csv(ahead, str(folder / stamped("forecast", ".csv")), one_file=True)
+    write_csv(ahead, f"{folder}/{stamped('forecast', '.csv')}", one_file=True)
     model.evaluate().show(truncate=False)
     if args.daily or config.get("forecasting.daily_enabled", False):
         days = build_daily_totals(rows, config.get("data_source.daily_date_column", "TS"), target)
@@ -98,8 +97,8 @@ def forecast(args: argparse.Namespace) -> int:
         daily = allocator.predict_daily(horizon_months=args.periods if args.periods is not None else int(config.get("forecasting.forecast_horizon", 12))).persist()
         for r in DailyAllocator.coherence(daily).filter("not coherent").collect():  # a row for each month
             print(f"warning: {r.month_start} adds up to {r.total}, not {r.expected}", file=sys.stderr)
-        write_csv(daily, str(folder / stamped("daily_forecast", ".csv")), one_file=True)
-        write_csv(daily_to_weekly(daily), str(folder / stamped("weekly_forecast", ".csv")), one_file=True)
+        write_csv(daily, f"{folder}/{stamped('daily_forecast', '.csv')}", one_file=True)
+        write_csv(daily_to_weekly(daily), f"{folder}/{stamped('weekly_forecast', '.csv')}", one_file=True)
         daily.unpersist()
     ahead.unpersist()
     model.release()

@@ -5,9 +5,7 @@ Money is rounded to cents after it is summed and ratios to six digits, in both,
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,9 +17,9 @@ from tidewell.operators.allocation import AllocationConfig, DailyAllocator, dail
 from tidewell.operators.features import Calendar, FeaturePipeline, Growth, Lag, Rolling, Seasonal, Statistical
 from tidewell.operators.metrics import accuracy, horizon_errors
 from tidewell.operators.series import LogTransform, build_daily_totals, daily_to_monthly, daily_to_weekly, fill_target, handle_outliers, split_by_months, split_by_ratio, sum_by_date
-from tidewell.plans.forecaster import TimeSeriesForecaster, fold_forecast, segment_ridge_forecast
+from tidewell.plans.forecaster import fold_forecast
 from tidewell.plans.models import Linear
-from tidewell.plans.smoothing import holt_winters_forecast, trend_fourier_forecast
+from tidewell.scratch import scratch
 from tidewell.ship import ship
 from tidewell.sources.io import Checkpoint, Loader
 
@@ -73,15 +71,12 @@ def monthly(spark: SparkSession, d: str) -> DataFrame:
 MONTHLY = "monthly AS (SELECT date_trunc('month', o_orderdate)::DATE AS date, round(sum(o_totalprice), 2) AS actual FROM orders GROUP BY ALL)"
 
 
-def daily(spark: SparkSession, d: str, few: bool = False) -> DataFrame:
-    """(date, actual): revenue by day of shipping; ``few`` keeps a few suppliers, so that days are missing."""
-    rows = table(spark, d, "lineitem")
-    rows = rows.filter("l_suppkey % 50 = 7") if few else rows
-    return rows.groupBy(F.to_date("l_shipdate").alias("date")).agg(F.round(F.sum("l_extendedprice"), 2).alias("actual"))
+def daily(spark: SparkSession, d: str) -> DataFrame:
+    """(date, actual): revenue by day of shipping."""
+    return table(spark, d, "lineitem").groupBy(F.to_date("l_shipdate").alias("date")).agg(F.round(F.sum("l_extendedprice"), 2).alias("actual"))
 
 
-def _daily_sql(few: bool = False) -> str:
-    return f"daily AS (SELECT l_shipdate::DATE AS date, round(sum(l_extendedprice), 2) AS actual FROM lineitem {'WHERE l_suppkey % 50 = 7' if few else ''} GROUP BY ALL)"
+DAILY = "daily AS (SELECT l_shipdate::DATE AS date, round(sum(l_extendedprice), 2) AS actual FROM lineitem GROUP BY ALL)"
 
 
 def naive_forecast(days: DataFrame) -> DataFrame:
@@ -104,38 +99,24 @@ def monthly_totals(spark: SparkSession, d: str) -> DataFrame:
     return rounded(daily_to_monthly(build_daily_totals(table(spark, d, "orders"), "o_orderdate", "o_totalprice", "o_orderstatus", "F")), 2)
 
 
-def _weekly_sql(first: int, few: bool = True) -> str:
-    return f"""WITH w AS (SELECT (o_orderdate::DATE - ((isodow(o_orderdate) - 1 - {first} + 7) % 7)::INTEGER)::DATE AS week_start, sum(o_totalprice) AS v FROM orders WHERE {"o_orderdate >= DATE '1996-01-01' AND o_custkey % 40 = 1" if few else "o_orderdate IS NOT NULL"} GROUP BY ALL),
+def _weekly_sql(first: int) -> str:
+    return f"""WITH w AS (SELECT (o_orderdate::DATE - ((isodow(o_orderdate) - 1 - {first} + 7) % 7)::INTEGER)::DATE AS week_start, sum(o_totalprice) AS v FROM orders WHERE o_orderdate IS NOT NULL GROUP BY ALL),
         s AS (SELECT unnest(generate_series((SELECT min(week_start) FROM w)::TIMESTAMP, (SELECT max(week_start) FROM w)::TIMESTAMP, INTERVAL 7 DAY))::DATE AS week_start)
         SELECT week_start, (week_start + 6)::DATE AS week_end, round(coalesce(v, 0), 2) AS y_pred FROM s LEFT JOIN w USING (week_start)"""
 
 
-def _sparse_days(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "orders").filter("o_orderdate >= date'1996-01-01' and o_custkey % 40 = 1").select(F.to_date("o_orderdate").alias("date"), F.col("o_totalprice").alias("y_pred"))
+def _order_days(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "orders").select(F.to_date("o_orderdate").alias("date"), F.col("o_totalprice").alias("y_pred"))
 
 
 @query(_weekly_sql(0))
 def weekly_totals_mon(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(daily_to_weekly(_sparse_days(spark, d)), 2)
+    return rounded(daily_to_weekly(_order_days(spark, d)), 2)
 
 
 @query(_weekly_sql(6))
 def weekly_totals_sun(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(daily_to_weekly(_sparse_days(spark, d), week_first="Sun"), 2)
-
-
-def _all_days(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "orders").select(F.to_date("o_orderdate").alias("date"), F.col("o_totalprice").alias("y_pred"))
-
-
-@query(_weekly_sql(0, few=False))
-def weekly_totals_mon_all(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(daily_to_weekly(_all_days(spark, d)), 2)
-
-
-@query(_weekly_sql(6, few=False))
-def weekly_totals_sun_all(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(daily_to_weekly(_all_days(spark, d), week_first="Sun"), 2)
+    return rounded(daily_to_weekly(_order_days(spark, d), week_first="Sun"), 2)
 
 
 @query("""SELECT event_type, (ts::DATE - (isodow(ts) - 1)::INTEGER)::DATE AS week_start, (ts::DATE - (isodow(ts) - 1)::INTEGER + 6)::DATE AS week_end, round(coalesce(sum(value), 0), 2) AS value
@@ -344,13 +325,13 @@ def _pairs(spark: SparkSession, d: str) -> DataFrame:
     return monthly(spark, d).withColumn("p", F.lag("actual", 12).over(Window.orderBy("date")))
 
 
-@query(f"""WITH {_PAIRS} SELECT round(avg(abs(actual - p)) / 1e3, 4) AS mae, round(sqrt(avg(power(actual - p, 2))) / 1e3, 4) AS rmse, round(1 - sum(power(actual - p, 2)) / (var_pop(actual) * count(*)), 4) AS r2,
+@query(f"""WITH {_PAIRS} SELECT round(avg(abs(actual - p)) / 1e3, 4) AS mae, round(avg(power(actual - p, 2)) / 1e6, 4) AS mse, round(sqrt(avg(power(actual - p, 2))) / 1e3, 4) AS rmse, round(1 - sum(power(actual - p, 2)) / (var_pop(actual) * count(*)), 4) AS r2,
     round(avg(abs((actual - p) / nullif(actual, 0))) * 100, 4) AS mape, round(sum(abs(actual - p)) / sum(abs(actual)) * 100, 4) AS wape,
     round(avg(abs(actual - p)) / avg(abs(actual - CASE WHEN n > 12 THEN s ELSE l END)), 4) AS mase, round(avg(p - actual) / 1e3, 4) AS bias, round(sum(p - actual) / sum(abs(actual)) * 100, 4) AS bias_pct,
     round(sum(p - actual) / avg(abs(actual - p)), 4) AS tracking_signal FROM c""")
 def accuracy_metrics(spark: SparkSession, d: str) -> DataFrame:
     found = accuracy(_pairs(spark, d), "actual", "p", "date")
-    return rounded(found.drop("mse").withColumns({c: F.col(c) / 1e3 for c in ("mae", "rmse", "bias")}), 4)
+    return rounded(found.withColumns({c: F.col(c) / 1e3 for c in ("mae", "rmse", "bias")} | {"mse": F.col("mse") / 1e6}), 4)
 
 
 @query(f"""WITH {_PAIRS} SELECT (row_number() OVER (ORDER BY date))::INTEGER AS horizon, strftime(date, '%Y-%m') AS month, round(actual, 2) AS actual_mean, round(p, 2) AS pred_mean, round(abs(actual - p), 2) AS mae, round(abs(actual - p) / abs(actual) * 100, 2) AS wape FROM c""")
@@ -361,21 +342,25 @@ def horizon_error_rows(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- incremental load
 
 
-@query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate::DATE AS o_orderdate FROM orders WHERE o_orderdate > DATE '2000-06-30'")
+@query("""SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate::DATE AS o_orderdate, 0::BIGINT AS left_over FROM orders
+    WHERE o_orderdate::DATE > (SELECT max(o_orderdate)::DATE FROM orders WHERE o_orderdate < DATE '2000-07-01')""")
 def delta_load(spark: SparkSession, d: str) -> DataFrame:
+    """A first load of what was there in June 2000, a second one of what came since, and a third that finds nothing left."""
     orders = table(spark, d, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
-    with tempfile.TemporaryDirectory() as folder:
-        checkpoint = Checkpoint(str(Path(folder, "last.json")))
-        Loader.commit(orders.filter("o_orderdate <= date'2000-06-30'").agg(F.lit("2000-06-30").cast("date").alias("o_orderdate")), "o_orderdate", checkpoint)
-        return Loader(spark, orders).load_delta("o_orderdate", checkpoint).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    checkpoint = Checkpoint(f"{scratch(spark)}/last.json", spark)
+    Loader.commit(Loader(spark, orders.filter("o_orderdate < date'2000-07-01'")).load_delta("o_orderdate", checkpoint), "o_orderdate", checkpoint)
+    new = Loader(spark, orders).load_delta("o_orderdate", checkpoint)
+    Loader.commit(new, "o_orderdate", checkpoint)
+    left = Loader(spark, orders).load_delta("o_orderdate", checkpoint).count()
+    return new.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", F.lit(left).cast("long").alias("left_over"))
 
 
 # ---------------------------------------------------------------- allocation
 
 
-def _scores_sql(years: int, few: bool, months: str, least: int = 18) -> str:
+def _scores_sql(years: int, months: str, least: int = 18) -> str:
     """CTEs to ``scores`` (month_start, date, score) for the months of a query."""
-    return f"""{_daily_sql(few)}, {NAIVE}, months AS ({months}),
+    return f"""{DAILY}, {NAIVE}, months AS ({months}),
     hist AS (SELECT m.month_start, h.date, h.actual, date_trunc('month', h.date) AS hm FROM months m JOIN daily h ON h.date >= m.month_start - INTERVAL {years} YEAR AND h.date < m.month_start),
     ok AS (SELECT month_start FROM hist GROUP BY 1 HAVING count(DISTINCT hm) >= {least}),
     sh AS (SELECT *, greatest(actual, 0) AS a, sum(greatest(actual, 0)) OVER (PARTITION BY month_start, hm) AS t FROM hist),
@@ -395,42 +380,36 @@ def _targets(days: DataFrame) -> DataFrame:
     return naive_forecast(days).filter((F.col("month_start") >= start) & (F.col("month_start") <= F.add_months(start, HORIZON)))
 
 
-@query(f"WITH {_scores_sql(5, False, _TARGETS)} SELECT month_start, moy::INTEGER AS moy, dom::INTEGER AS dom, dow::INTEGER AS dow, round(share, 8) AS share FROM shape")
+@query(f"WITH {_scores_sql(5, _TARGETS)} SELECT month_start, moy::INTEGER AS moy, dom::INTEGER AS dom, dow::INTEGER AS dow, round(share, 8) AS share FROM shape")
 def shape_rows(spark: SparkSession, d: str) -> DataFrame:
     days = daily(spark, d)
     return rounded(shape_table(month_history(_targets(days), days, 5), AllocationConfig(history_years=5)), 8)
 
 
-@query(f"WITH {_scores_sql(5, True, _TARGETS)} SELECT month_start, date, round(score, 8) AS score FROM scores")
+@query(f"WITH {_scores_sql(5, _TARGETS)} SELECT month_start, date, round(score, 8) AS score FROM scores")
 def raw_score_rows(spark: SparkSession, d: str) -> DataFrame:
-    days = daily(spark, d, few=True)
-    return rounded(raw_scores(_targets(days), days, AllocationConfig(history_years=5)), 8)
-
-
-@query(f"WITH {_scores_sql(5, False, _TARGETS)} SELECT month_start, date, round(score, 8) AS score FROM scores")
-def raw_score_rows_all(spark: SparkSession, d: str) -> DataFrame:
     days = daily(spark, d)
     return rounded(raw_scores(_targets(days), days, AllocationConfig(history_years=5)), 8)
 
 
-@query(f"WITH {_scores_sql(3, False, _TARGETS)} SELECT month_start, date, round(score, 8) AS score, round(score / sum(score) OVER (PARTITION BY month_start), 8) AS weight FROM scores")
+@query(f"WITH {_scores_sql(3, _TARGETS)} SELECT month_start, date, round(score, 8) AS score, round(score / sum(score) OVER (PARTITION BY month_start), 8) AS weight FROM scores")
 def daily_weight_rows(spark: SparkSession, d: str) -> DataFrame:
     days = daily(spark, d)
     return rounded(daily_weights(_targets(days), days, AllocationConfig()), 8)
 
 
-def _nowcast_sql(years: int, few: bool, strategy: str) -> str:
+def _nowcast_sql(years: int, strategy: str) -> str:
     final = {"fixed": "model", "blend": "CASE WHEN day(aod) <= 5 OR share < 0.15 THEN model ELSE 0.7 * model + 0.3 * CASE WHEN model <> 0 THEN greatest(least(mtd / share, abs(model) * 2), -abs(model) * 2) ELSE mtd / share END END"}[strategy]
     effective = {"fixed": "'fixed'", "blend": "CASE WHEN day(aod) <= 5 OR share < 0.15 THEN 'fixed' ELSE 'blend' END"}[strategy]
-    return f"""WITH {_scores_sql(years, few, _TARGETS)},
+    return f"""WITH {_scores_sql(years, _TARGETS)},
     x AS (SELECT s.*, DATE '{AS_OF}' AS aod, m.forecast_total AS model, h.actual, s.month_start = date_trunc('month', DATE '{AS_OF}')::DATE AS now, now AND s.date <= DATE '{AS_OF}' - 1 AS seen FROM scores s JOIN months m USING (month_start) LEFT JOIN daily h USING (date)),
     y AS (SELECT *, score / sum(score) OVER (PARTITION BY month_start) AS w_full, score / sum(score) OVER (PARTITION BY month_start, seen) AS w_part, sum(CASE WHEN seen THEN coalesce(actual, 0) ELSE 0 END) OVER (PARTITION BY month_start) AS mtd,
         greatest(sum(CASE WHEN seen THEN score ELSE 0 END) OVER (PARTITION BY month_start) / sum(score) OVER (PARTITION BY month_start), 0.05) AS share FROM x),
     z AS (SELECT *, CASE WHEN now THEN {final} ELSE model END AS final, CASE WHEN now THEN {effective} END AS effective FROM y)"""
 
 
-def _predict_sql(years: int, few: bool, strategy: str) -> str:
-    return f"""{_nowcast_sql(years, few, strategy)}
+def _predict_sql(years: int, strategy: str) -> str:
+    return f"""{_nowcast_sql(years, strategy)}
     SELECT date, month_start, round(CASE WHEN seen THEN coalesce(actual, 0) WHEN now THEN actual END, 4) AS y_true, round(CASE WHEN seen THEN coalesce(actual, 0) ELSE (final - mtd) * w_part END, 4) AS y_pred,
         round(model * w_full, 4) AS forecast_amount, seen AS is_actual, aod AS as_of_date, round(model, 4) AS month_total_model, CASE WHEN now THEN '{strategy}' END AS strategy, effective AS effective_strategy,
         round(CASE WHEN now THEN share END, 4) AS expected_mtd_share, CASE WHEN now AND effective IN ('mtd_ratio', 'blend') AND model <> 0 AND abs(mtd / share) > abs(model) * 2 THEN 2.0::DOUBLE END AS multiplier_applied,
@@ -441,28 +420,37 @@ def _allocator(days: DataFrame, **config: object) -> DailyAllocator:
     return DailyAllocator(AllocationConfig(**config)).set_daily_history(days).set_monthly_forecasts(naive_forecast(days))
 
 
-@query(_predict_sql(5, False, "blend"))
+@query(_predict_sql(5, "blend"))
 def predict_daily(spark: SparkSession, d: str) -> DataFrame:
     return rounded(_allocator(daily(spark, d), history_years=5, strategy="blend").predict_daily(AS_OF, HORIZON), 4)
 
 
-@query(_predict_sql(3, False, "fixed"))
+@query(_predict_sql(3, "fixed"))
 def predict_daily_defaults(spark: SparkSession, d: str) -> DataFrame:
     return rounded(_allocator(daily(spark, d)).predict_daily(AS_OF, HORIZON), 4)
 
 
-@query(_predict_sql(5, True, "blend"))
+def returned(spark: SparkSession, d: str) -> DataFrame:
+    """(date, actual): the measure "returned" of shipped items; there are days without any."""
+    return rounded(build_daily_totals(table(spark, d, "lineitem"), "l_shipdate", "l_extendedprice", "l_returnflag", "R"), 2)
+
+
+RETURNED = DAILY.replace("GROUP BY ALL", "WHERE l_returnflag = 'R' GROUP BY ALL")
+
+
+@query(_predict_sql(5, "blend").replace(DAILY, RETURNED))
 def predict_daily_sparse(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(_allocator(daily(spark, d, few=True), history_years=5, strategy="blend").predict_daily(AS_OF, HORIZON), 4)
+    return rounded(_allocator(returned(spark, d), history_years=5, strategy="blend").predict_daily(AS_OF, HORIZON), 4)
 
 
-@query(f"{_nowcast_sql(5, False, 'blend')} SELECT month_start, round(max(final), 4) AS expected, true AS coherent FROM z GROUP BY 1")
+@query(f"""{_nowcast_sql(5, 'blend')}, w AS (SELECT month_start, final, CASE WHEN seen THEN coalesce(actual, 0) ELSE (final - mtd) * w_part END AS y FROM z), t AS (SELECT month_start, max(final) AS expected, sum(y) AS total FROM w GROUP BY 1)
+    SELECT month_start, round(expected, 4) AS expected, round(total, 4) AS total, round(abs(total - expected), 4) + 0.0 AS difference, abs(total - expected) <= 0.01 AS coherent FROM t""")
 def coherence_check(spark: SparkSession, d: str) -> DataFrame:
     found = DailyAllocator.coherence(_allocator(daily(spark, d), history_years=5, strategy="blend").predict_daily(AS_OF, HORIZON))
-    return rounded(found.select("month_start", "expected", "coherent"), 4)
+    return rounded(found.select("month_start", "expected", "total", F.abs("difference").alias("difference"), "coherent"), 4)
 
 
-@query(f"{_nowcast_sql(5, False, 'blend')}, w AS (SELECT date, CASE WHEN seen THEN coalesce(actual, 0) ELSE (final - mtd) * w_part END AS y FROM z) SELECT (date - (isodow(date) - 1)::INTEGER)::DATE AS week_start, (date - (isodow(date) - 1)::INTEGER + 6)::DATE AS week_end, round(sum(y), 4) AS y_pred FROM w GROUP BY ALL")
+@query(f"{_nowcast_sql(5, 'blend')}, w AS (SELECT date, CASE WHEN seen THEN coalesce(actual, 0) ELSE (final - mtd) * w_part END AS y FROM z) SELECT (date - (isodow(date) - 1)::INTEGER)::DATE AS week_start, (date - (isodow(date) - 1)::INTEGER + 6)::DATE AS week_end, round(sum(y), 4) AS y_pred FROM w GROUP BY ALL")
 def weekly_forecast(spark: SparkSession, d: str) -> DataFrame:
     return rounded(daily_to_weekly(_allocator(daily(spark, d), history_years=5, strategy="blend").predict_daily(AS_OF, HORIZON)), 4)
 
@@ -474,12 +462,12 @@ def _grid(days: DataFrame) -> DataFrame:
     return naive_forecast(days).select("month_start", F.explode(F.sequence(F.lit(1), F.lit(20))).alias("day"), F.col("forecast_total").alias("model")).withColumn("share", F.lit(0.05) * F.col("day"))
 
 
-@query(f"WITH {_daily_sql()}, {NAIVE}, g AS ({_GRID}) SELECT month_start, day::INTEGER AS day, CASE WHEN day <= 5 OR share < 0.15 THEN 'fixed' ELSE 'blend' END AS effective FROM g")
+@query(f"WITH {DAILY}, {NAIVE}, g AS ({_GRID}) SELECT month_start, day::INTEGER AS day, CASE WHEN day <= 5 OR share < 0.15 THEN 'fixed' ELSE 'blend' END AS effective FROM g")
 def strategy_resolution(spark: SparkSession, d: str) -> DataFrame:
     return _grid(daily(spark, d)).select("month_start", "day", AllocationConfig(strategy="blend").resolve(F.col("day"), F.col("share")).alias("effective"))
 
 
-@query(f"""WITH {_daily_sql()}, {NAIVE}, g AS ({_GRID}), r AS (SELECT *, model * 0.4 AS mtd, greatest(least(model * 0.4 / share, abs(model) * 2), -abs(model) * 2) AS ratio FROM g)
+@query(f"""WITH {DAILY}, {NAIVE}, g AS ({_GRID}), r AS (SELECT *, model * 0.4 AS mtd, greatest(least(model * 0.4 / share, abs(model) * 2), -abs(model) * 2) AS ratio FROM g)
     SELECT month_start, day::INTEGER AS day, round(model, 4) AS fixed, round(ratio, 4) AS mtd_ratio, round(0.7 * model + 0.3 * ratio, 4) AS blend FROM r""")
 def month_total_rows(spark: SparkSession, d: str) -> DataFrame:
     cfg = AllocationConfig()
@@ -487,28 +475,28 @@ def month_total_rows(spark: SparkSession, d: str) -> DataFrame:
     return rounded(_grid(daily(spark, d)).select("month_start", "day", final("fixed"), final("mtd_ratio"), final("blend")), 4)
 
 
-@query(f"WITH {_scores_sql(5, False, _TARGETS)} SELECT month_start, round(greatest(sum(CASE WHEN day(date) <= 11 THEN score ELSE 0 END) / sum(score), 0.05), 6) AS share FROM scores GROUP BY 1")
+@query(f"WITH {_scores_sql(5, _TARGETS)} SELECT month_start, round(greatest(sum(CASE WHEN day(date) <= 11 THEN score ELSE 0 END) / sum(score), 0.05), 6) AS share FROM scores GROUP BY 1")
 def mtd_share(spark: SparkSession, d: str) -> DataFrame:
     days = daily(spark, d)
     sums = raw_scores(_targets(days), days, AllocationConfig(history_years=5)).groupBy("month_start").agg(F.sum(F.when(F.day("date") <= 11, F.col("score")).otherwise(0.0)).alias("seen"), F.sum("score").alias("all"))
     return rounded(sums.select("month_start", expected_share(F.col("seen"), F.col("all"), 0.05).alias("share")))
 
 
-@query(f"""WITH {_scores_sql(5, False, "SELECT n.month_start, n.forecast_total FROM naive n SEMI JOIN (SELECT DISTINCT date_trunc('month', date)::DATE AS month_start FROM daily) USING (month_start)")},
+@query(f"""WITH {_scores_sql(5, "SELECT n.month_start, n.forecast_total FROM naive n SEMI JOIN (SELECT DISTINCT date_trunc('month', date)::DATE AS month_start FROM daily) USING (month_start)")},
     x AS (SELECT s.*, k, coalesce(h.actual, 0) AS actual, s.date > s.month_start + k::INTEGER - 2 AS rest FROM scores s CROSS JOIN (SELECT unnest([5, 10, 15, 20]) AS k) LEFT JOIN daily h USING (date)),
     y AS (SELECT *, score / sum(score) OVER (PARTITION BY month_start, k, rest) AS w FROM x),
     t AS (SELECT month_start, k, sum(CASE WHEN rest THEN 0 ELSE actual END) AS mtd, sum(CASE WHEN rest THEN actual ELSE 0 END) AS remaining, sum(actual) AS total, greatest(sum(CASE WHEN rest THEN 0 ELSE score END) / sum(score), 0.05) AS share FROM y GROUP BY ALL),
     r AS (SELECT t.*, s AS strategy, CASE s WHEN 'scheduled' THEN CASE WHEN k <= 5 OR share < 0.15 THEN 'fixed' ELSE 'blend' END ELSE s END AS effective, forecast_total AS model, greatest(least(mtd / share, abs(forecast_total) * 2), -abs(forecast_total) * 2) AS ratio
         FROM t JOIN months USING (month_start) CROSS JOIN (SELECT unnest(['fixed', 'mtd_ratio', 'blend', 'scheduled']) AS s)),
     f AS (SELECT *, CASE effective WHEN 'fixed' THEN model WHEN 'mtd_ratio' THEN ratio ELSE 0.7 * model + 0.3 * ratio END AS final FROM r)
-    SELECT f.month_start, f.k::INTEGER AS as_of_day, strategy, any_value(effective) AS effective_strategy, 1 AS posting_lag_days, round(any_value(mtd), 6) AS mtd_actual, round(any_value(remaining), 6) AS remaining_actual, round(any_value(total), 6) AS month_actual_total,
-        round(any_value(model), 6) AS month_total_model, round(any_value(final), 6) AS month_total_final, round(any_value(final - mtd), 6) AS remaining_forecast, round(avg(abs((final - mtd) * w - actual)), 6) AS remainder_mae,
-        round(CASE WHEN sum(abs(actual)) > 0 THEN sum(abs((final - mtd) * w - actual)) / sum(abs(actual)) * 100 ELSE sum(abs((final - mtd) * w - actual)) END, 6) AS remainder_wape,
-        round(any_value(final - total), 6) AS full_month_error, round(any_value(CASE WHEN abs(total) > 0 THEN (final - total) / abs(total) * 100 ELSE 0 END), 6) AS full_month_error_pct
+    SELECT f.month_start, f.k::INTEGER AS as_of_day, strategy, any_value(effective) AS effective_strategy, 1 AS posting_lag_days, round(any_value(mtd), 4) AS mtd_actual, round(any_value(remaining), 4) AS remaining_actual, round(any_value(total), 4) AS month_actual_total,
+        round(any_value(model), 4) AS month_total_model, round(any_value(final), 4) AS month_total_final, round(any_value(final - mtd), 4) AS remaining_forecast, round(avg(abs((final - mtd) * w - actual)), 4) AS remainder_mae,
+        round(CASE WHEN sum(abs(actual)) > 0 THEN sum(abs((final - mtd) * w - actual)) / sum(abs(actual)) * 100 ELSE sum(abs((final - mtd) * w - actual)) END, 4) AS remainder_wape,
+        round(any_value(final - total), 4) AS full_month_error, round(any_value(CASE WHEN abs(total) > 0 THEN (final - total) / abs(total) * 100 ELSE 0 END), 4) AS full_month_error_pct
     FROM f JOIN y ON y.month_start = f.month_start AND y.k = f.k AND y.rest GROUP BY f.month_start, f.k, strategy""")
 def intramonth_backtest(spark: SparkSession, d: str) -> DataFrame:
     found = _allocator(daily(spark, d), history_years=5, strategy="blend").backtest_intramonth_daily(strategies=["fixed", "mtd_ratio", "blend", "scheduled"])
-    return rounded(found, 6)
+    return rounded(found, 4)
 
 
 # ---------------------------------------------------------------- forecasts
@@ -531,43 +519,4 @@ def recursive_forecast(spark: SparkSession, d: str) -> DataFrame:
     return rounded(fold_forecast(rows, {"lag_1": 0.4, "lag_12": 0.3, "rolling_mean_3": 0.2, "month_sin": 0.1}, 0.5, 12, "date", "actual", "segment"), 4)
 
 
-def _forecaster(spark: SparkSession, d: str, kind: str, **more: object) -> TimeSeriesForecaster:
-    config = ConfigManager(values={"forecasting": {"model_type": kind, "backtest_months": 12, **more}}, environment={})
-    pipeline = FeaturePipeline([Lag("actual", [1, 12]), Rolling("actual", [3])])
-    return TimeSeriesForecaster(config).fit(panel(spark, d), "actual", "date", group_by="segment", feature_engineer=pipeline)
-
-
-@query(None)
-def forecast_ridge(spark: SparkSession, d: str) -> DataFrame:
-    return _forecaster(spark, d, "ridge").predict(12)
-
-
-@query(None)
-def forecast_trees(spark: SparkSession, d: str) -> DataFrame:
-    return _forecaster(spark, d, "xgboost", xgboost={"n_estimators": 10, "max_depth": 3}).predict(12)
-
-
-@query(None)
-def forecast_evaluation(spark: SparkSession, d: str) -> DataFrame:
-    return _forecaster(spark, d, "bayesian_ridge", use_log_transform=True).evaluate()
-
-
-@query(None)
-def ensemble_forecast(spark: SparkSession, d: str) -> DataFrame:
-    return _forecaster(spark, d, "ensemble", ensemble={"model_a": "ridge", "model_b": "random_forest", "weight_a": 0.5}).predict(12)
-
-
-@query(None)
-def holt_winters(spark: SparkSession, d: str) -> DataFrame:
-    return holt_winters_forecast(panel(spark, d), "date", "actual", 12, "segment")
-
-
-@query(None)
-def trend_fourier(spark: SparkSession, d: str) -> DataFrame:
-    return trend_fourier_forecast(monthly(spark, d), "date", "actual", 12)
-
-
-@query(None)
-def forecast_per_segment(spark: SparkSession, d: str) -> DataFrame:
-    """A ridge of each segment's own is fitted by its sums of products; all segments forecast side by side."""
-    return segment_ridge_forecast(panel(spark, d), "segment", "date", "actual", 12)
+from tidewell.plans import engine_queries, forecast_queries  # noqa: E402, F401  they register theirs with the decorator above

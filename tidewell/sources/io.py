@@ -82,25 +82,59 @@ def jdbc_options(config: Any, section: str = "snowflake") -> dict[str, str]:
 
 
 class Checkpoint:
-    """The last value of a column, with its type, in a JSON file that is replaced whole."""
+    """The last value of a column, with its type, in a JSON file that is replaced whole.
 
-    def __init__(self, path: str) -> None:
-        self.path = Path(path)
+    The file is the driver's; with ``spark`` it may lie in any store that Spark writes to (``path`` is an URI then).
+    """
+
+    def __init__(self, path: str, spark: SparkSession | None = None) -> None:
+        self.path, self.spark = path, spark
+
+    def _store(self) -> tuple[Any, Any, Any]:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        path = hadoop.Path(self.path)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path, hadoop.Path(self.path + ".new")
+
+    def _text(self) -> str | None:
+        if self.spark is None:
+            return Path(self.path).read_text() if Path(self.path).exists() else None
+        fs, path, _ = self._store()
+        if not fs.exists(path):
+            return None
+        stream = fs.open(path)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def _put(self, text: str) -> None:
+        if self.spark is None:
+            new = Path(self.path + ".new")
+            new.parent.mkdir(parents=True, exist_ok=True)
+            new.write_text(text)
+            os.replace(new, self.path)
+            return
+        fs, path, new = self._store()
+        stream = fs.create(new, True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        fs.delete(path, False)
+        fs.rename(new, path)
 
     def read(self) -> Any:
-        if not self.path.exists():
+        text = self._text()
+        if text is None:
             return None
-        kept = json.loads(self.path.read_text())
+        kept = json.loads(text)
         value, kind = kept.get("last_value"), kept.get("type", "")
         make: dict[str, Callable[[Any], Any]] = {"datetime": datetime.fromisoformat, "date": date.fromisoformat, "Decimal": Decimal}
         return make[kind](value) if kind in make and value is not None else value
 
     def write(self, value: Any) -> None:
-        self.path.parent.mkdir(parents=True, exist_ok=True)
         plain = value if isinstance(value, int | float | str) else value.isoformat() if hasattr(value, "isoformat") else str(value)
-        new = self.path.with_suffix(self.path.suffix + ".new")
-        new.write_text(json.dumps({"last_value": plain, "type": type(value).__name__, "updated_at": datetime.now(UTC).isoformat()}))
-        os.replace(new, self.path)
+        self._put(json.dumps({"last_value": plain, "type": type(value).__name__, "updated_at": datetime.now(UTC).isoformat()}))
 
 
 class Loader:
