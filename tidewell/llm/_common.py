@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Iterator
-from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.operators.ordered import running
+from tidewell.scratch import discard, scratch, written
 from tidewell.ship import ship
 
+__all__ = ["discard", "running", "scratch", "written"]  # of the whole library, used by the operators here
+
 #: Space and the controls 9 to 13; a word is a longest run of other characters. ``bytes.split()`` splits at just these.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -24,9 +24,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of one key, at least, that make it a hot key; and hot keys, at most, whatever the number of rows.
 HOT_ROWS, HOT_KEYS = 2_000, 100_000
 
-_MADE: dict[str, SparkSession] = {}
-_TABLES: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
-
 
 def ready(spark: SparkSession) -> None:
     """Ship the package. Where the session has Spark's default, an Arrow batch holds 1000 rows (and 64 MB) at most: they
@@ -53,55 +50,6 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(cores, "doc_id").sortWithinPartitions("doc_id", text_hash())
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which driver and executors share; removed when the driver ends.
-
-    Only a local master may do without that setting (single-machine tests): a temporary folder takes its place there.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = f"file://{tempfile.gettempdir()}/tidewell-checkpoints"
-    path = f"{base.rstrip('/')}/tidewell-{uuid.uuid4().hex}"
-    if "://" not in path and path.startswith("/"):
-        path = f"file://{path}"
-    if not _MADE:
-        atexit.register(_clean)
-    _MADE[path] = spark
-    return path
-
-
-def _remove(path: str) -> None:
-    spark = _MADE.pop(path)
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def _clean() -> None:
-    for path in list(_MADE):
-        try:
-            _remove(path)
-        except Exception:  # noqa: BLE001  the session may be gone already; the folder is only scratch
-            pass
-
-
-def written(df: DataFrame, name: str = "step") -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: lineage ends there, and it outlives a lost executor."""
-    folder = scratch(df.sparkSession)
-    df.write.parquet(f"{folder}/{name}")
-    out = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
-    _TABLES[out] = folder
-    return out
-
-
-def discard(df: DataFrame) -> None:
-    """Remove a table that ``written`` made once nothing reads it any more."""
-    folder = _TABLES.pop(df, None)
-    if folder in _MADE:
-        _remove(folder)
-
-
 def join_keys(rows: DataFrame, keys: DataFrame, on: list[str], n: str, how: str = "inner") -> DataFrame:
     """Inner or left join with ``keys``: a written table, unique in ``on``, with the number ``n`` of rows of each key.
 
@@ -115,18 +63,6 @@ def join_keys(rows: DataFrame, keys: DataFrame, on: list[str], n: str, how: str
     return here.unionByName(rest)
 
 
-def running(rows: DataFrame, order: list[str], *sums: str) -> DataFrame:
-    """``rows`` (written, sorted by ranges of ``order``) with ``{c}_upto`` for each column c of ``sums``: its running sum in
-    that order over all rows, the row included. One total of each range passes through a window, nothing else does."""
-    ranged = written(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged")
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = ranged.groupBy("_part").agg(*(F.sum(c).alias(c) for c in sums))
-    starts = parts.select("_part", *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_before_{c}") for c in sums))
-    own = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    found = ranged.withColumns({f"{c}_upto": F.sum(c).over(own) for c in sums}).join(F.broadcast(starts), "_part")
-    return found.withColumns({f"{c}_upto": F.col(f"{c}_upto") + F.col(f"_before_{c}") for c in sums}).drop("_part", *(f"_before_{c}" for c in sums))
-
-
 def row_of(docs: DataFrame) -> Column:
     """All columns of ``docs`` as the struct ``row``, so that none of their names can clash with another's."""
     return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
