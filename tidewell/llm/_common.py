@@ -80,7 +80,10 @@ def keep_rows(docs: DataFrame, marks: DataFrame) -> DataFrame:
     texts are joined with the few marks only, once. All columns of ``docs`` are kept, whatever their names.
     """
     rows = docs.select(row_of(docs), text_hash().alias("h")).alias("r")
-    joined = rows.join(marks.alias("m"), F.col("r.row.doc_id").cast("long").eqNullSafe(F.col("m.doc_id")) & (F.col("r.h") == F.col("m.h")), "left")
+    joined = rows.join(
+        marks.alias("m"),
+        F.col("r.row.doc_id").cast("long").eqNullSafe(F.col("m.doc_id")) & (F.col("r.h") == F.col("m.h")), "left",
+    )
     once = joined.filter("m.keep = 1").groupBy(F.col("m.doc_id"), F.col("m.h")).agg(F.first("r.row").alias("row"))
     return joined.filter("m.keep is null").select("r.row.*").unionByName(once.select("row.*"))
 
@@ -131,5 +134,7 @@ def words_of(texts: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     stops = np.flatnonzero(_IS_SPACE[kept])
     offsets = np.concatenate([[0], stops + 1]).astype(np.int32)
     kept[stops] = 32
-    coded = pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(kept)]).dictionary_encode()
+    coded = pa.BinaryArray.from_buffers(
+        pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(kept)],
+    ).dictionary_encode()
     return coded.indices.to_numpy(), [w[:-1] for w in coded.dictionary.to_pylist()], ends

@@ -28,7 +28,10 @@ from tidewell.llm._common import discard, written
 #: Parameters of a tool: (type, required). Types: string, integer, number, boolean, array, object.
 Schemas = dict[str, dict[str, tuple[str, bool]]]
 
-_TYPES = {"string": "STRING", "integer": "BIGINT", "number": "(BIGINT|DECIMAL.*|DOUBLE|FLOAT)", "boolean": "BOOLEAN", "array": "ARRAY.*", "object": "OBJECT.*"}
+_TYPES = {
+    "string": "STRING", "integer": "BIGINT", "number": "(BIGINT|DECIMAL.*|DOUBLE|FLOAT)", "boolean": "BOOLEAN",
+    "array": "ARRAY.*", "object": "OBJECT.*",
+}
 #: A string value "$id", no key and no part of a longer string.
 _REFERENCE = r'(?<!\\)"\$([^"\\]+)"(?!\s*:)'
 _DEEP = 1 << 40
@@ -39,14 +42,28 @@ def parse(messages: DataFrame) -> DataFrame:
     """Events of messages (conv_id, turn, role, text). An assistant's text may be a JSON object with ``tool_calls``
     [{id, name, arguments}], a tool's one with ``tool_call_id`` and ``content``; all else is a message."""
     shape = "struct<tool_calls:array<struct<id:string,name:string,arguments:string>>,tool_call_id:string,content:string>"
-    m = messages.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text", F.when(F.col("role").isin("assistant", "tool"), F.from_json("text", shape)).alias("j"))
+    m = messages.select(
+        "conv_id", F.col("turn").cast("long").alias("turn"), "role", "text",
+        F.when(F.col("role").isin("assistant", "tool"), F.from_json("text", shape)).alias("j"),
+    )
     none = F.lit(None).cast("string")
-    called = F.transform("j.tool_calls", lambda c, i: F.struct(i.alias("part"), F.lit("call").alias("kind"), c["id"].alias("id"), c["name"].alias("name"), c["arguments"].alias("arguments"), none.alias("content")))
+    called = F.transform(
+        "j.tool_calls",
+        lambda c, i: F.struct(
+            i.alias("part"), F.lit("call").alias("kind"), c["id"].alias("id"), c["name"].alias("name"),
+            c["arguments"].alias("arguments"), none.alias("content"),
+        ),
+    )
     one = lambda kind, id_, content: F.array(F.struct(F.lit(0).alias("part"), F.lit(kind).alias("kind"), id_.alias("id"), none.alias("name"), none.alias("arguments"), content.alias("content")))
     is_call = (F.col("role") == "assistant") & (F.size(F.coalesce("j.tool_calls", F.array())) > 0)
     is_result = (F.col("role") == "tool") & F.col("j.tool_call_id").isNotNull()
-    events = F.when(is_call, called).when(is_result, one("result", F.col("j.tool_call_id"), F.col("j.content"))).otherwise(one("message", none, F.col("text")))
-    return m.select("conv_id", "turn", "role", F.explode(events).alias("e")).select("conv_id", "turn", F.col("e.part").cast("long").alias("part"), "role", "e.kind", "e.id", "e.name", "e.arguments", "e.content")
+    events = F.when(is_call, called).when(
+        is_result, one("result", F.col("j.tool_call_id"), F.col("j.content")),
+    ).otherwise(one("message", none, F.col("text")))
+    return m.select("conv_id", "turn", "role", F.explode(events).alias("e")).select(
+        "conv_id", "turn", F.col("e.part").cast("long").alias("part"), "role", "e.kind", "e.id", "e.name",
+        "e.arguments", "e.content",
+    )
 
 
 def by_turns(messages: DataFrame) -> DataFrame:
@@ -57,7 +74,9 @@ def by_turns(messages: DataFrame) -> DataFrame:
     return messages.select(
         "conv_id", F.col("turn").cast("long").alias("turn"), F.lit(0).cast("long").alias("part"), "role",
         F.when(user, "call").when(assistant, "result").otherwise("message").alias("kind"), id_.alias("id"), F.when(user, "reply").alias("name"),
-        F.when(user, F.to_json(F.struct("text", "turn"))).alias("arguments"), F.when(~F.coalesce(user, F.lit(False)), F.col("text")).alias("content"),
+        F.when(user, F.to_json(F.struct("text", "turn"))).alias("arguments"), F.when(
+            ~F.coalesce(user, F.lit(False)), F.col("text"),
+        ).alias("content"),
     )
 
 
@@ -67,41 +86,76 @@ def problems(schemas: Schemas) -> Column:
     no = F.array().cast("array<string>")
     checks = F.array(F.lit("unknown tool"))
     for name, parameters in schemas.items():
-        found = F.transform(F.array_except(F.map_keys(given), F.array(*map(F.lit, parameters))), lambda k: F.concat(F.lit("unknown parameter "), k))
+        found = F.transform(
+            F.array_except(F.map_keys(given), F.array(*map(F.lit, parameters))),
+            lambda k: F.concat(F.lit("unknown parameter "), k),
+        )
         for p, (kind, required) in sorted(parameters.items()):
             value = F.element_at(given, p)
             right = F.schema_of_variant(value).rlike(f"^{_TYPES[kind]}$")
-            wrong = F.when(value.isNull(), F.array(F.lit(f"missing {p}")) if required else no).when(~right, F.array(F.lit(f"{p} is not {kind}"))).otherwise(no)
+            wrong = F.when(
+                value.isNull(), F.array(F.lit(f"missing {p}")) if required else no,
+            ).when(~right, F.array(F.lit(f"{p} is not {kind}"))).otherwise(no)
             found = F.concat(found, wrong)
         checks = F.when(F.col("name") == name, F.array_sort(found)).otherwise(checks)
-    return F.when(F.col("kind") == "call", F.when(F.try_parse_json("arguments").isNull() | ~F.schema_of_variant(F.try_parse_json("arguments")).startswith("OBJECT"), F.array(F.lit("arguments are no object"))).otherwise(checks))
+    return F.when(
+        F.col("kind") == "call",
+        F.when(
+            F.try_parse_json("arguments").isNull() | ~F.schema_of_variant(F.try_parse_json("arguments")).startswith("OBJECT"),
+            F.array(F.lit("arguments are no object")),
+        ).otherwise(checks),
+    )
 
 
 def _links(events: DataFrame) -> DataFrame:
     """conv_id, id, and the first call and first result with that identifier (structs, null if there is none)."""
     first = lambda kind: events.filter((F.col("kind") == kind) & F.col("id").isNotNull()).groupBy("conv_id", "id").agg(F.min(F.struct("turn", "part", "tie")).alias(kind))
     calls, results = first("call").alias("c"), first("result").alias("r")
-    joined = calls.join(results.hint("shuffle_hash"), F.col("c.conv_id").eqNullSafe(F.col("r.conv_id")) & (F.col("c.id") == F.col("r.id")), "full")
-    return joined.select(F.when(F.col("c.id").isNotNull(), F.col("c.conv_id")).otherwise(F.col("r.conv_id")).alias("conv_id"), F.coalesce("c.id", "r.id").alias("id"), "call", "result")
+    joined = calls.join(
+        results.hint("shuffle_hash"),
+        F.col("c.conv_id").eqNullSafe(F.col("r.conv_id")) & (F.col("c.id") == F.col("r.id")), "full",
+    )
+    return joined.select(
+        F.when(F.col("c.id").isNotNull(), F.col("c.conv_id")).otherwise(F.col("r.conv_id")).alias("conv_id"),
+        F.coalesce("c.id", "r.id").alias("id"), "call", "result",
+    )
 
 
 def _references(events: DataFrame, links: DataFrame) -> DataFrame:
     """conv_id, id and refs [{on, due, depth}] of the calls that name other calls of their conversation."""
     values = F.array_distinct(F.regexp_extract_all("arguments", F.lit(_REFERENCE), F.lit(1)))
-    named = events.filter("kind = 'call' and id is not null and contains(arguments, '\"$')").select("conv_id", "id", "turn", F.struct("turn", "part", "tie").alias("own"), F.explode(values).alias("on"))
-    calls = links.filter("call is not null").select(F.col("conv_id").alias("c"), F.col("id").alias("i"), "call", F.coalesce("result.turn", "call.turn").alias("turn_of"))
-    first = named.join(calls.select("c", "i", "call"), F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("id") == F.col("i")) & F.col("own").eqNullSafe(F.col("call"))).select("conv_id", "id", "turn", "on")
+    named = events.filter("kind = 'call' and id is not null and contains(arguments, '\"$')").select(
+        "conv_id", "id", "turn", F.struct("turn", "part", "tie").alias("own"), F.explode(values).alias("on"),
+    )
+    calls = links.filter("call is not null").select(
+        F.col("conv_id").alias("c"), F.col("id").alias("i"), "call",
+        F.coalesce("result.turn", "call.turn").alias("turn_of"),
+    )
+    first = named.join(
+        calls.select("c", "i", "call"),
+        F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("id") == F.col("i")) & F.col("own").eqNullSafe(F.col("call")),
+    ).select("conv_id", "id", "turn", "on")
     found = first.join(calls.select("c", "i", "turn_of"), F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("on") == F.col("i")))
-    return found.groupBy("conv_id", "id").agg(F.collect_set(F.struct("on", F.greatest("turn", "turn_of").alias("due"), F.lit(2).cast("long").alias("depth"))).alias("refs"))
+    return found.groupBy("conv_id", "id").agg(
+        F.collect_set(F.struct("on", F.greatest("turn", "turn_of").alias("due"), F.lit(2).cast("long").alias("depth"))).alias("refs")
+    )
 
 
 def _due(events: DataFrame, links: DataFrame) -> DataFrame:
     """conv_id, id, due and depth of the calls that depend on others; due is null and depth -1 on a cycle or behind one."""
-    state = written(_references(events, links).select("conv_id", "id", F.lit(None).cast("long").alias("due"), F.lit(0).cast("long").alias("depth"), "refs"), "state")
+    state = written(
+        _references(events, links).select(
+            "conv_id", "id", F.lit(None).cast("long").alias("due"), F.lit(0).cast("long").alias("depth"), "refs",
+        ),
+        "state",
+    )
     closed = -1
     while (now := state.filter("size(refs) = 0").count()) > closed and now < state.count():
         closed, before = now, state
-        target = state.select(F.col("conv_id").alias("c"), F.col("id").alias("i"), F.col("due").alias("t_due"), F.col("depth").alias("t_depth"), F.col("refs").alias("t_refs"))
+        target = state.select(
+            F.col("conv_id").alias("c"), F.col("id").alias("i"), F.col("due").alias("t_due"),
+            F.col("depth").alias("t_depth"), F.col("refs").alias("t_refs"),
+        )
         opened = state.filter("size(refs) > 0").select("conv_id", "id", "due", "depth", F.explode("refs").alias("r"))
         joined = opened.join(target, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("r.on") == F.col("i")), "left")
         n = F.when(F.col("t_refs").isNull(), 0).otherwise(F.size("t_refs"))
@@ -111,7 +165,9 @@ def _due(events: DataFrame, links: DataFrame) -> DataFrame:
         passed = n <= 1
         state = written(
             joined.groupBy("conv_id", "id").agg(
-                F.max(F.greatest("due", F.when(passed, F.greatest("r.due", "t_due")))).alias("due"), F.max(F.greatest("depth", F.when(passed, step(F.col("t_depth"))))).alias("depth"),
+                F.max(
+                    F.greatest("due", F.when(passed, F.greatest("r.due", "t_due")))
+                ).alias("due"), F.max(F.greatest("depth", F.when(passed, step(F.col("t_depth"))))).alias("depth"),
                 F.collect_set(F.when(n == 1, jump).when(n > 1, F.col("r"))).alias("refs"),
             ).unionByName(state.filter("size(refs) = 0")), "state",
         )
@@ -126,7 +182,9 @@ def format_events(events: DataFrame, schemas: Schemas) -> DataFrame:
     links = written(_links(events), "links")
     late = _due(events, links)
     key = lambda a, b: F.col(f"{a}.conv_id").eqNullSafe(F.col(f"{b}.conv_id")) & (F.col(f"{a}.id") == F.col(f"{b}.id"))
-    calls = links.alias("l").join(late.alias("d"), key("l", "d"), "left").select("l.*", "d.due", F.coalesce("d.depth", F.lit(0)).alias("call_depth"))
+    calls = links.alias("l").join(late.alias("d"), key("l", "d"), "left").select(
+        "l.*", "d.due", F.coalesce("d.depth", F.lit(0)).alias("call_depth"),
+    )
     x = events.alias("e").join(calls.alias("c"), key("e", "c"), "left")
     own = F.struct("e.turn", "e.part", "e.tie")
     is_call, is_result = F.col("kind") == "call", F.col("kind") == "result"
@@ -134,7 +192,9 @@ def format_events(events: DataFrame, schemas: Schemas) -> DataFrame:
     mine = F.when(is_call, F.col("call")).otherwise(F.col("result"))
     status = (
         F.when(~(is_call | is_result), "message").when(F.col("e.id").isNotNull() & (own != mine), "duplicate")
-        .when(is_call & (F.col("call_depth") < 0), "cycle").when(other.isNotNull(), "linked").when(is_call, "unanswered").otherwise("orphan")
+        .when(
+            is_call & (F.col("call_depth") < 0), "cycle",
+        ).when(other.isNotNull(), "linked").when(is_call, "unanswered").otherwise("orphan")
     )
     linked = F.col("status") == "linked"
     depth = F.greatest(F.col("call_depth"), F.lit(0)) + F.when(is_result, 1).otherwise(0)
@@ -147,13 +207,22 @@ def format_events(events: DataFrame, schemas: Schemas) -> DataFrame:
         .otherwise(text(role=F.col("role"), content=F.col("content")))
     )
     shown = x.withColumn("status", status).select(
-        "e.conv_id", "e.turn", "e.part", "role", "kind", "e.id", "status", F.when(linked, depth).when(is_call & (F.col("status") == "unanswered"), F.greatest("call_depth", F.lit(0))).otherwise(0).alias("depth"),
-        F.when(linked | (F.col("status") == "unanswered"), due).otherwise(F.col("e.turn")).alias("due"), problems(schemas).alias("problems"), json.alias("json"), "tie",
+        "e.conv_id", "e.turn", "e.part", "role", "kind", "e.id", "status", F.when(linked, depth).when(
+            is_call & (F.col("status") == "unanswered"), F.greatest("call_depth", F.lit(0)),
+        ).otherwise(0).alias("depth"),
+        F.when(
+            linked | (F.col("status") == "unanswered"), due,
+        ).otherwise(F.col("e.turn")).alias("due"), problems(schemas).alias("problems"), json.alias("json"), "tie",
     )
     order = ["due", "depth", "turn", "part", "tie"]
     ranged = written(shown.repartitionByRange("conv_id", *order).withColumn("p", F.spark_partition_id()), "ranged")
     before = F.coalesce(F.sum("n").over(Window.partitionBy("conv_id").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    counts = ranged.groupBy("conv_id", "p").agg(F.count(F.lit(1)).alias("n")).select(F.col("conv_id").alias("c"), F.col("p").alias("q"), before.alias("before"))
+    counts = ranged.groupBy("conv_id", "p").agg(F.count(F.lit(1)).alias("n")).select(
+        F.col("conv_id").alias("c"), F.col("p").alias("q"), before.alias("before"),
+    )
     placed = ranged.join(counts, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("p") == F.col("q")))
     rank = F.row_number().over(Window.partitionBy("conv_id", "p").orderBy(*order))
-    return placed.select("conv_id", (F.col("before") + rank - 1).cast("long").alias("position"), "turn", "part", "role", "kind", "id", "status", "depth", "problems", "json")
+    return placed.select(
+        "conv_id", (F.col("before") + rank - 1).cast("long").alias("position"), "turn", "part", "role", "kind", "id",
+        "status", "depth", "problems", "json",
+    )

@@ -16,12 +16,16 @@ from tidewell.llm._common import discard, written
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """``edges`` (a > b). Large: neighbours above a node go to the least of its neighbourhood. Small: those below do."""
     if large:
-        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
+        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(
+            edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
+        )
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         out = both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:
         least = edges.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
-        below = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).join(least, "u").filter("v != m").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        below = edges.select(
+            F.col("a").alias("u"), F.col("b").alias("v"),
+        ).join(least, "u").filter("v != m").select(F.col("v").alias("a"), F.col("m").alias("b"))
         out = below.unionAll(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
     return out.filter("a != b").distinct()
 

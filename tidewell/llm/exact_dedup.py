@@ -50,11 +50,20 @@ def _fingerprinted(docs: DataFrame, moduli: tuple[int, int], with_text: bool) ->
             hashes = np.array([xxh64_intdigest(t, 42) for t in texts], np.uint64).view(np.int64)
             texts = [normalised(t) for t in texts]
             states = np.array(fingerprints(texts, moduli), np.int64).reshape(-1, 3)
-            columns = [pa.array(np.arange(row, row + len(texts))), batch.column("doc_id"), pa.array(states[:, 0] << 31 | states[:, 1]), pa.array(states[:, 2]), pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()), pa.array(hashes)]
+            columns = [
+                pa.array(np.arange(row, row + len(texts))), batch.column("doc_id"),
+                pa.array(states[:, 0] << 31 | states[:, 1]), pa.array(states[:, 2]),
+                pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()), pa.array(hashes),
+            ]
             row += len(texts)
-            yield pa.RecordBatch.from_arrays(columns + [pa.array(texts, pa.binary())] * with_text, ["row", "doc_id", "fp", "n_bytes", "sha", "h", "text"][: 6 + with_text])
+            yield pa.RecordBatch.from_arrays(
+                columns + [pa.array(texts, pa.binary())] * with_text,
+                ["row", "doc_id", "fp", "n_bytes", "sha", "h", "text"][: 6 + with_text],
+            )
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(work, "row long, doc_id long, fp long, n_bytes long, sha binary, h long" + ", text binary" * with_text)
+    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(
+        work, "row long, doc_id long, fp long, n_bytes long, sha binary, h long" + ", text binary" * with_text,
+    )
 
 
 def _differing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,7 +78,10 @@ def _differing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             elif any(view[j : j + COMPARED] != first[j : j + COMPARED] for j in range(0, max(len(view), len(first)), COMPARED)):
                 keep.append(i)
         if keep:
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep)) for c in ("doc_id", "fp", "n_bytes", "sha", "round")], ["doc_id", "fp", "n_bytes", "sha", "round"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c).take(pa.array(keep)) for c in ("doc_id", "fp", "n_bytes", "sha", "round")],
+                ["doc_id", "fp", "n_bytes", "sha", "round"],
+            )
 
 
 def _same(a: str, b: str, *columns: str) -> F.Column:
@@ -89,10 +101,21 @@ def _colliding(docs: DataFrame, rows: DataFrame, large: DataFrame, round_: int,
     met = join_keys(rows.filter(F.col("round") == round_), firsts, _CLASS, "size")
     wanted = written(met.groupBy(*_IDENTITY, "round", "size").agg(F.max(F.col("row") == F.col("first")).alias("is_first")), "wanted")
     ids = wanted.select("doc_id").distinct()
-    texts = docs.select("doc_id", "text").join(ids.filter("doc_id is not null"), "doc_id", "left_semi").unionByName(docs.select("doc_id", "text").filter("doc_id is null"))
-    found = _fingerprinted(texts, moduli, True).alias("t").join(wanted.alias("w"), _same("t", "w", *_IDENTITY)).select("t.doc_id", "t.fp", "t.n_bytes", "t.sha", "w.round", "w.is_first", "w.size", "t.text")
+    texts = docs.select("doc_id", "text").join(
+        ids.filter("doc_id is not null"), "doc_id", "left_semi",
+    ).unionByName(docs.select("doc_id", "text").filter("doc_id is null"))
+    found = _fingerprinted(texts, moduli, True).alias("t").join(wanted.alias("w"), _same("t", "w", *_IDENTITY)).select(
+        "t.doc_id", "t.fp", "t.n_bytes", "t.sha", "w.round", "w.is_first", "w.size", "t.text",
+    )
     parts = F.ceil(F.col("size") / PART).cast("int")
-    dealt = found.withColumn("part", F.explode(F.when(F.col("is_first"), F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("doc_id", "sha"), parts).cast("int")))))
+    dealt = found.withColumn(
+        "part",
+        F.explode(
+            F.when(F.col("is_first"), F.sequence(F.lit(0), parts - 1)).otherwise(
+                F.array(F.pmod(F.xxhash64("doc_id", "sha"), parts).cast("int"))
+            )
+        ),
+    )
     key = [*_CLASS, "part"]
     streamed = dealt.repartition(*key).sortWithinPartitions(*key, F.col("is_first").desc(), "sha")
     return streamed.mapInArrow(_differing, "doc_id long, fp long, n_bytes long, sha binary, round int").distinct()
@@ -102,23 +125,35 @@ def exact_classes(docs: DataFrame, moduli: tuple[int, int] = MODULI) -> DataFram
     """One row for each row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256 (of the normalised text), n_bytes, h (XXH64 of the text as it is)."""
     rows, round_ = written(_fingerprinted(docs, moduli, False).withColumn("round", F.lit(0)), "rows"), 0
     while True:
-        first = rows.groupBy(*_CLASS).agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("keep"))
+        first = rows.groupBy(*_CLASS).agg(
+            F.count(F.lit(1)).alias("size"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("keep"),
+        )
         large = written(first.filter("size > 1"), "large")
         unlike = written(_colliding(docs, rows, large, round_, moduli), "unlike")
         if unlike.isEmpty():
             break
-        marked = rows.alias("r").join(unlike.alias("u"), _same("r", "u", *_IDENTITY, "round"), "left").select("r.row", "r.h", *(f"r.{c}" for c in _IDENTITY), (F.col("r.round") + F.col("u.fp").isNotNull().cast("int")).alias("round"))
+        marked = rows.alias("r").join(unlike.alias("u"), _same("r", "u", *_IDENTITY, "round"), "left").select(
+            "r.row", "r.h", *(f"r.{c}" for c in _IDENTITY),
+            (F.col("r.round") + F.col("u.fp").isNotNull().cast("int")).alias("round"),
+        )
         before, rows, round_ = rows, written(marked, "rows"), round_ + 1
         for old in (before, large, unlike):
             discard(old)
     joined = join_keys(rows, large, _CLASS, "size", "left")
     return joined.select(
-        "doc_id", F.when(F.col("size").isNull(), F.col("doc_id")).otherwise(F.col("keep.doc_id")).alias("keep_id"), F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
-        (F.col("size").isNull() | (F.col("row") == F.col("keep.row"))).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"), "n_bytes", "h",
+        "doc_id", F.when(
+            F.col("size").isNull(), F.col("doc_id"),
+        ).otherwise(F.col("keep.doc_id")).alias("keep_id"), F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
+        (
+            F.col("size").isNull() | (F.col("row") == F.col("keep.row"))
+        ).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"), "n_bytes", "h",
     )
 
 
 def dedup(docs: DataFrame, moduli: tuple[int, int] = MODULI) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    marks = exact_classes(docs, moduli).groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("kept").cast("int")).alias("keep"))
+    marks = exact_classes(docs, moduli).groupBy("doc_id", "h").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("kept").cast("int")).alias("keep"),
+    )
     return keep_rows(docs, written(marks.filter("n > keep"), "marks"))

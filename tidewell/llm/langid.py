@@ -48,7 +48,9 @@ def learn(training: DataFrame, per_lang: int = 400, dict_bytes: int = 112 * 1024
     # A text gives its middle, as much as is its share of the dictionary: dict_bytes for each language come to the driver.
     least = least.withColumn("share", F.ceil(F.lit(dict_bytes) / F.count("h").over(Window.partitionBy("lang"))).cast("int"))
     middle = F.substring("text", F.greatest(F.lit(1), ((F.length("text") - F.col("share")) / 2).cast("int") + 1), F.col("share"))
-    found = rows.join(F.broadcast(least), ["lang", "h"]).select("lang", "h", middle.alias("text")).groupBy("lang", "h").agg(F.min("text").alias("text")).orderBy("lang", "h").collect()
+    found = rows.join(
+        F.broadcast(least), ["lang", "h"],
+    ).select("lang", "h", middle.alias("text")).groupBy("lang", "h").agg(F.min("text").alias("text")).orderBy("lang", "h").collect()
     texts: dict[str, list[bytes]] = {}
     for r in found:
         texts.setdefault(r.lang, []).append(r.text.lower().encode())
@@ -87,6 +89,11 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], narrow: float = NA
         predict = Classifier(dictionaries).predict
         for batch, texts in slices(batches):
             langs, scores = zip(*map(predict, texts), strict=True)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs), pa.array(scores), pa.array([s < narrow for s in scores])], ["doc_id", "lang_pred", "score", "rejected"])
-
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(work, "doc_id long, lang_pred string, score double, rejected boolean")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(langs), pa.array(scores), pa.array([s < narrow for s in scores])],
+                ["doc_id", "lang_pred", "score", "rejected"],
+            )
+
+    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(
+        work, "doc_id long, lang_pred string, score double, rejected boolean",
+    )

@@ -72,7 +72,9 @@ def sketches(codes: np.ndarray, distinct: list[bytes], ends: np.ndarray) -> Iter
     """The least hashes (SKETCH at most, rising) of four words in a row, in lower case, of each text."""
     from xxhash import xxh3_64_intdigest
 
-    hashed = np.fromiter((xxh3_64_intdigest(w.lower()) for w in distinct), np.uint64, len(distinct))[codes] if len(distinct) else np.zeros(0, np.uint64)
+    hashed = np.fromiter(
+        (xxh3_64_intdigest(w.lower()) for w in distinct), np.uint64, len(distinct),
+    )[codes] if len(distinct) else np.zeros(0, np.uint64)
     for a, b in zip(ends[:-1], ends[1:], strict=True):
         own = hashed[a:b]
         runs = own[: max(1, len(own) - 3)].copy()
@@ -113,7 +115,14 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words.append(list(seen.values()))
         least = list(sketches(codes, distinct, ends))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(row, row + len(texts))), batch.column("doc_id"), batch.column("host"), pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(np.diff(ends)), pa.array(chars), pa.array(symbols), pa.array(dups, pa.int64()), pa.array(repeats, pa.int64()), pa.array(lines, pa.list_(pa.int64())), pa.array(words, pa.list_(pa.int32())), pa.array([x[:BANDS].view(np.int64) for x in least], pa.list_(pa.int64())), pa.array([(x >> np.uint64(33)).astype(np.int32) for x in least], pa.list_(pa.int32()))],
+            [
+                pa.array(np.arange(row, row + len(texts))), batch.column("doc_id"), batch.column("host"),
+                pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(np.diff(ends)), pa.array(chars),
+                pa.array(symbols), pa.array(dups, pa.int64()), pa.array(repeats, pa.int64()),
+                pa.array(lines, pa.list_(pa.int64())), pa.array(words, pa.list_(pa.int32())),
+                pa.array([x[:BANDS].view(np.int64) for x in least], pa.list_(pa.int64())),
+                pa.array([(x >> np.uint64(33)).astype(np.int32) for x in least], pa.list_(pa.int32())),
+            ],
             ["row", "doc_id", "host", "text_hash", *_MEASURES, "lines", "words", "bands", "sketch"],
         )
         row += len(texts)
@@ -124,11 +133,17 @@ def _copies(texts: DataFrame) -> DataFrame:
     same = lambda a, b, *columns: F.expr(" and ".join(f"{a}.{c} <=> {b}.{c}" for c in ("host", *columns)))
     banded = texts.select("host", "text_hash", F.explode("bands").alias("band"))
     leaders = banded.groupBy("host", "band").agg(F.min("text_hash").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    pairs = banded.alias("b").join(leaders.alias("l"), same("b", "l", "band")).filter("text_hash != leader").select("b.host", "text_hash", "leader").distinct()
+    pairs = banded.alias("b").join(
+        leaders.alias("l"), same("b", "l", "band"),
+    ).filter("text_hash != leader").select("b.host", "text_hash", "leader").distinct()
     led = texts.select("host", F.col("text_hash").alias("leader"), F.col("sketch").alias("other"))
-    both = pairs.alias("p").join(texts.select("host", "text_hash", "sketch").alias("t"), same("p", "t", "text_hash")).select("p.*", "sketch").alias("p").join(led.alias("o"), same("p", "o", "leader")).select("p.host", "p.text_hash", "sketch", "other")
+    both = pairs.alias("p").join(
+        texts.select("host", "text_hash", "sketch").alias("t"), same("p", "t", "text_hash"),
+    ).select("p.*", "sketch").alias("p").join(led.alias("o"), same("p", "o", "leader")).select("p.host", "p.text_hash", "sketch", "other")
     least = F.slice(F.array_sort(F.array_union("sketch", "other")), 1, SKETCH)
-    return both.filter(F.size(F.array_intersect(F.array_intersect("sketch", "other"), least)) >= NEAR * F.size(least)).select("host", "text_hash").distinct()
+    return both.filter(
+        F.size(F.array_intersect(F.array_intersect("sketch", "other"), least)) >= NEAR * F.size(least)
+    ).select("host", "text_hash").distinct()
 
 
 def frequent_lines(measured: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
@@ -137,7 +152,9 @@ def frequent_lines(measured: DataFrame, min_docs: int = MIN_DOCS, min_share: flo
     copies = written(_copies(texts), "copies")
     counted = texts.alias("t").join(copies.alias("c"), F.expr("t.host <=> c.host and t.text_hash = c.text_hash"), "left_anti")
     hosts = counted.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
-    counts = counted.select("host", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= min_docs)
+    counts = counted.select(
+        "host", F.explode("lines").alias("line"),
+    ).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= min_docs)
     joined = counts.alias("c").join(hosts.alias("h"), F.col("c.host").eqNullSafe(F.col("h.host")))
     return joined.filter(F.col("n_docs") >= min_share * F.col("host_docs")).select("c.host", "line")
 
@@ -146,26 +163,48 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
 
 
-def judge(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE, depleted: float = DEPLETED) -> DataFrame:
+def judge(
+    docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE,
+    depleted: float = DEPLETED,
+) -> DataFrame:
     """One row for each row of ``docs``: doc_id, host, text_hash (XXH64, seed 42), the measures, base_failed,
     removed_words (in frequent lines), removed (those lines' hashes, null for none) and kept."""
-    measured = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(host).cast("string").alias("host"), "text").mapInArrow(_measured, _SCHEMA), "measured")
+    measured = written(
+        docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"), F.col(host).cast("string").alias("host"), "text",
+        ).mapInArrow(_measured, _SCHEMA),
+        "measured",
+    )
     frequent = written(frequent_lines(measured, min_docs, min_share), "frequent")
-    lines = measured.select("row", "host", F.explode(F.arrays_zip("lines", "words")).alias("x")).select("row", "host", F.col("x.lines").alias("line"), F.col("x.words").alias("n"))
+    lines = measured.select("row", "host", F.explode(F.arrays_zip("lines", "words")).alias("x")).select(
+        "row", "host", F.col("x.lines").alias("line"), F.col("x.words").alias("n"),
+    )
     hits = lines.alias("l").join(frequent.alias("f"), F.col("l.host").eqNullSafe(F.col("f.host")) & (F.col("l.line") == F.col("f.line")))
     lost = hits.groupBy("l.row").agg(F.sum("n").alias("removed_words"), F.collect_list("l.line").alias("removed"))
-    out = measured.drop("lines", "words", "bands", "sketch").join(lost, "row", "left").withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))
+    out = measured.drop("lines", "words", "bands", "sketch").join(lost, "row", "left").withColumn(
+        "removed_words", F.coalesce("removed_words", F.lit(0).cast("long")),
+    )
     rich = F.col("n_words") - F.col("removed_words") >= depleted * F.col("n_words")
-    return out.select("doc_id", "host", "text_hash", *_MEASURES, base_failed().alias("base_failed"), "removed_words", "removed", (~base_failed() & rich).alias("kept"))
+    return out.select(
+        "doc_id", "host", "text_hash", *_MEASURES, base_failed().alias("base_failed"), "removed_words", "removed",
+        (~base_failed() & rich).alias("kept"),
+    )
 
 
 def clean(docs: DataFrame, host: str = "source", **limits: float) -> DataFrame:
     """``docs`` without rejected documents and without frequent lines; same columns (``n_chars`` follows the text)."""
     verdicts = judge(docs, host, **limits).filter(~F.col("kept") | F.col("removed").isNotNull())
-    changes = written(verdicts.groupBy("doc_id", "host", "text_hash").agg(F.first("kept").alias("kept"), F.first("removed").alias("removed")), "changes")
+    changes = written(
+        verdicts.groupBy("doc_id", "host", "text_hash").agg(F.first("kept").alias("kept"), F.first("removed").alias("removed")),
+        "changes",
+    )
     rows = docs.select(row_of(docs), text_hash().alias("h")).alias("r")
-    same = F.col("r.row.doc_id").cast("long").eqNullSafe(F.col("c.doc_id")) & F.col(f"r.row.{host}").cast("string").eqNullSafe(F.col("c.host")) & (F.col("r.h") == F.col("c.text_hash"))
-    joined = rows.join(changes.alias("c"), same, "left").filter(F.coalesce("c.kept", F.lit(True))).select("r.row", F.col("c.removed").alias("removed"))
+    same = F.col("r.row.doc_id").cast("long").eqNullSafe(F.col("c.doc_id")) & F.col(f"r.row.{host}").cast("string").eqNullSafe(F.col("c.host")) & (
+        F.col("r.h") == F.col("c.text_hash")
+    )
+    joined = rows.join(changes.alias("c"), same, "left").filter(F.coalesce("c.kept", F.lit(True))).select(
+        "r.row", F.col("c.removed").alias("removed"),
+    )
     columns, counted = docs.columns, "n_chars" in docs.columns
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

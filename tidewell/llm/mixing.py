@@ -32,7 +32,10 @@ def size_of(text: Column) -> Column:
 
 def _keyed(seed: int) -> dict[str, Column]:
     """A source without null, whether it is null, and the hash that shuffles."""
-    return {"none": F.col("source").isNull(), "src": F.coalesce(F.col("source").cast("string"), F.lit("")), "key": F.xxhash64(F.lit(seed), "doc_id", "text", "source")}
+    return {
+        "none": F.col("source").isNull(), "src": F.coalesce(F.col("source").cast("string"), F.lit("")),
+        "key": F.xxhash64(F.lit(seed), "doc_id", "text", "source"),
+    }
 
 
 def targets(totals: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -43,13 +46,20 @@ def targets(totals: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: fl
     """
     placed = running(totals.withColumn("one", F.lit(1)), ["none", "src"], "one")
     weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), ((F.col("one_upto") - 1) % len(weights) + 1).cast("int"))
-    stops = placed.select("none", "src", "source_size", weight.alias("weight"), (most * F.col("source_size")).alias("cap")).withColumn("stop", F.col("cap") / F.col("weight"))
+    stops = placed.select(
+        "none", "src", "source_size", weight.alias("weight"), (most * F.col("source_size")).alias("cap"),
+    ).withColumn("stop", F.col("cap") / F.col("weight"))
     by = running(stops, ["stop", "none", "src"], "cap", "weight")
     sums = stops.agg(F.sum("source_size").alias("all_size"), F.sum("weight").alias("all_weight"))
-    level = (F.col("all_size") * share - (F.col("cap_upto") - F.col("cap"))) / (F.col("all_weight") - F.col("weight_upto") + F.col("weight"))
+    level = (
+        F.col("all_size") * share - (F.col("cap_upto") - F.col("cap"))
+    ) / (F.col("all_weight") - F.col("weight_upto") + F.col("weight"))
     levels = by.crossJoin(F.broadcast(sums)).withColumn("level", level)
     found = levels.agg(F.min(F.when(F.col("level") <= F.col("stop"), F.struct("stop", "level"))).alias("first"))
-    return stops.crossJoin(F.broadcast(found)).select("none", "src", "source_size", F.coalesce(F.least(F.col("weight") * F.col("first.level"), "cap"), "cap").alias("target"))
+    return stops.crossJoin(F.broadcast(found)).select(
+        "none", "src", "source_size",
+        F.coalesce(F.least(F.col("weight") * F.col("first.level"), "cap"), "cap").alias("target"),
+    )
 
 
 def _finish(copy: int) -> Column:
@@ -59,13 +69,19 @@ def _finish(copy: int) -> Column:
 
 def _cut(queued: DataFrame, budget: float, copies: int) -> tuple | None:
     """The last (finish, key, copy) of the globally sorted stream within the budget; None if all of it is."""
-    stream = queued.select("size", "key", F.explode(F.array(*(F.struct(_finish(i).alias("finish"), F.lit(i).alias("copy")) for i in range(copies)))).alias("c")).select("c.finish", "key", "c.copy", "size")
+    stream = queued.select(
+        "size", "key",
+        F.explode(F.array(*(F.struct(_finish(i).alias("finish"), F.lit(i).alias("copy")) for i in range(copies)))).alias("c"),
+    ).select("c.finish", "key", "c.copy", "size")
     order = ["finish", "key", "copy"]
     ranged = written(stream.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "stream")
     used = 0
     for r in sorted(ranged.groupBy("part").agg(F.sum("size").alias("n")).collect()):  # a row for each partition
         if used + r.n > budget:
-            own = ranged.filter(F.col("part") == r.part).withColumn("run", F.sum("size").over(Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)) + used)
+            own = ranged.filter(F.col("part") == r.part).withColumn(
+                "run",
+                F.sum("size").over(Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)) + used,
+            )
             last = own.filter(F.col("run") <= budget).agg(F.max(F.struct(*order)).alias("m")).first().m
             return tuple(last) if last else (own.agg(F.min("finish")).first()[0], -(2**63), -1)
         used += r.n
@@ -76,18 +92,42 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     """One row for each row of ``docs``: doc_id, source, h (XXH64 of the text), size, source_size, target, copies (how often
     the mix takes it), finish (of its first copy), none, src and key (its place in the shuffle)."""
     keyed = _keyed(seed)
-    narrow = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", text_hash().alias("h"), size_of(F.col("text")).alias("size"), *(c.alias(n) for n, c in keyed.items())), "sizes")
+    narrow = written(
+        docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"), "source", text_hash().alias("h"),
+            size_of(F.col("text")).alias("size"), *(c.alias(n) for n, c in keyed.items()),
+        ),
+        "sizes",
+    )
     totals = written(narrow.groupBy("none", "src").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows")), "totals")
-    aims = written(targets(totals.drop("rows"), weights, share, copies).join(totals.select("none", "src", "rows"), ["none", "src"]), "targets")
+    aims = written(
+        targets(totals.drop("rows"), weights, share, copies).join(totals.select("none", "src", "rows"), ["none", "src"]),
+        "targets",
+    )
     budget = aims.agg(F.sum("target")).first()[0] or 0.0
     line = written(running(narrow, _QUEUE, "size"), "line")
     starts = line.groupBy("none", "src").agg(F.min(F.col("size_upto") - F.col("size")).alias("start"))
     heads = written(aims.join(starts, ["none", "src"]), "heads")
-    queued = written(join_keys(line, heads, ["none", "src"], "rows").withColumn("upto", F.col("size_upto") - F.col("start")).drop("rows", "start", "size_upto"), "queued")
+    queued = written(
+        join_keys(line, heads, ["none", "src"], "rows").withColumn(
+            "upto", F.col("size_upto") - F.col("start"),
+        ).drop("rows", "start", "size_upto"),
+        "queued",
+    )
     last = _cut(queued, budget, copies)
     place = lambda i: F.struct(_finish(i).alias("finish"), "key", F.lit(i).alias("copy"))
-    taken = sum((F.lit(1) if last is None else (place(i) <= F.struct(F.lit(last[0]).cast("double"), F.lit(last[1]).cast("long"), F.lit(last[2]).cast("int"))).cast("int") for i in range(copies)), F.lit(0))
-    return queued.select("doc_id", "source", "h", "size", "source_size", "target", taken.alias("copies"), _finish(0).alias("finish"), "none", "src", "key")
+    taken = sum(
+        (
+            F.lit(1) if last is None else (
+                place(i) <= F.struct(F.lit(last[0]).cast("double"), F.lit(last[1]).cast("long"), F.lit(last[2]).cast("int"))
+            ).cast("int") for i in range(copies)
+        ),
+        F.lit(0),
+    )
+    return queued.select(
+        "doc_id", "source", "h", "size", "source_size", "target", taken.alias("copies"), _finish(0).alias("finish"),
+        "none", "src", "key",
+    )
 
 
 def take(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, copies: int = 2, seed: int = 17) -> DataFrame:
@@ -101,7 +141,9 @@ def take(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     ends = written(mixed.groupBy("none", "src").agg(F.count(F.lit(1)).alias("rows"), F.array(*reach).alias("last")), "ends")
     at_end = F.array_contains(F.array_compact("last"), F.col("key"))
     edges = join_keys(mixed, ends, ["none", "src"], "rows").filter(at_end).groupBy("none", "src", "key").agg(F.sum("copies").alias("n"))
-    rows = join_keys(docs.select(row_of(docs), *(c.alias(n) for n, c in _keyed(seed).items())), ends, ["none", "src"], "rows").withColumn("edge", at_end)
+    rows = join_keys(
+        docs.select(row_of(docs), *(c.alias(n) for n, c in _keyed(seed).items())), ends, ["none", "src"], "rows",
+    ).withColumn("edge", at_end)
     n = F.size(F.filter(F.array_compact("last"), lambda x: F.col("key") < x))
     inner = rows.filter("not edge").select("row", n.alias("n"))
     first = rows.filter("edge").groupBy("none", "src", "key").agg(F.first("row").alias("row"))

@@ -100,7 +100,10 @@ def pack(docs: DataFrame, tokenizer: str | None = None, size: int = 4096) -> Dat
 
         def flush() -> pa.RecordBatch:
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
-            batch = pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
+            batch = pa.RecordBatch.from_arrays(
+                [pa.array(x, k) for x, k in zip(out, kinds, strict=True)],
+                ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
+            )
             for x in out:
                 x.clear()
             return batch
@@ -111,7 +114,11 @@ def pack(docs: DataFrame, tokenizer: str | None = None, size: int = 4096) -> Dat
                 offset = 0
                 for ref, start, n in window:
                     doc = held[ref]
-                    for x, v in zip(out, (doc[0], start, n, doc[1][start : start + n].astype("<u4").tobytes(), len(doc[1]), sequence, offset), strict=True):
+                    for x, v in zip(
+                        out,
+                        (doc[0], start, n, doc[1][start : start + n].astype("<u4").tobytes(), len(doc[1]), sequence, offset),
+                        strict=True,
+                    ):
                         x.append(v)
                     offset += n
                     doc[2] -= n

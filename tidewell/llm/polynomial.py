@@ -39,7 +39,16 @@ def fingerprints(texts: list[bytes], moduli: tuple[int, int] = MODULI, block: in
     heads = [-len(t) % CHUNK for t in texts]
     counts = [(len(t) + h) // CHUNK for t, h in zip(texts, heads, strict=True)]
     raw = np.frombuffer(b"".join(x for t, h in zip(texts, heads, strict=True) for x in (bytes(h), t)), np.uint8).reshape(-1, CHUNK)
-    hashed = np.concatenate([np.zeros((0, 2), np.int64), *((raw[i : i + block].astype(np.float64) @ _powers(moduli)).astype(np.int64) % np.array(moduli) for i in range(0, len(raw), block))]).tolist()
+    hashed = np.concatenate(
+        [
+            np.zeros((0, 2), np.int64),
+            *(
+                (
+                    raw[i : i + block].astype(np.float64) @ _powers(moduli)
+                ).astype(np.int64) % np.array(moduli) for i in range(0, len(raw), block)
+            ),
+        ]
+    ).tolist()
     (p, q), (s, t), out, at = moduli, _shift(CHUNK, moduli), [], 0
     for text, n in zip(texts, counts, strict=True):
         x = y = 0

@@ -58,7 +58,9 @@ ORACLE_SQL: dict[str, str] = {
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_tokens(table(spark, sf_dir, "documents"))
-    return token_files.read_tokens(spark, manifest).select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+    return token_files.read_tokens(spark, manifest).select(
+        "doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
+    )
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,12 +76,19 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.repeats(spread(table(spark, sf_dir, "documents")))
     words = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return found.select("doc_id", F.size("spans").alias("n_spans"), words.alias("repeated_words"), F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias("spans"), F.array_distinct(F.transform("spans", lambda s: s["other"])).alias("others"))
+    return found.select(
+        "doc_id", F.size("spans").alias("n_spans"), words.alias("repeated_words"),
+        F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias("spans"),
+        F.array_distinct(F.transform("spans", lambda s: s["other"])).alias("others"),
+    )
 
 
 def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = line_quality.judge(spread(table(spark, sf_dir, "documents")))
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "removed_words",
+    )
 
 
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +98,9 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: The tool that the user turns of ``conversations`` call; ``after`` and ``also`` may refer to other calls.
-REPLY: chat.Schemas = {"reply": {"text": ("string", True), "turn": ("integer", True), "after": ("string", False), "also": ("string", False)}}
+REPLY: chat.Schemas = {
+    "reply": {"text": ("string", True), "turn": ("integer", True), "after": ("string", False), "also": ("string", False)}
+}
 
 
 def _tool_events(conversations: DataFrame) -> DataFrame:
@@ -102,21 +113,30 @@ def _tool_events(conversations: DataFrame) -> DataFrame:
     turn, digits = F.col("turn"), F.md5(at(F.col("turn")).cast("binary"))
     x, y = F.substring(digits, 1, 1), F.substring(digits, 2, 1)
     fields = {
-        "after": F.when(x.isin(*"0123459"), F.concat(F.lit("$"), at(turn - 2))), "also": F.when(x.isin(*"6789"), F.concat(F.lit("$"), at(turn + 2))),
+        "after": F.when(
+            x.isin(*"0123459"), F.concat(F.lit("$"), at(turn - 2)),
+        ), "also": F.when(x.isin(*"6789"), F.concat(F.lit("$"), at(turn + 2))),
         "extra": F.when(y == "3", True), "text": F.when(y != "2", F.col("text")),
     }
-    given = F.when(y == "5", F.concat(F.lit("["), turn, F.lit("]"))).when(y == "1", F.to_json(F.struct(*(c.alias(n) for n, c in fields.items()), turn.cast("string").alias("turn"))))
+    given = F.when(y == "5", F.concat(F.lit("["), turn, F.lit("]"))).when(
+        y == "1", F.to_json(F.struct(*(c.alias(n) for n, c in fields.items()), turn.cast("string").alias("turn"))),
+    )
     given = given.otherwise(F.to_json(F.struct(*(c.alias(n) for n, c in fields.items()), turn.alias("turn"))))
     return conversations.select(
         "conv_id", turn.cast("long").alias("turn"), F.lit(0).cast("long").alias("part"), "role", F.when(user, "call").when(assistant, "result").otherwise("message").alias("kind"),
-        F.when(user, at(F.when(y == "0", turn - 2).otherwise(turn))).when(assistant, at(turn - 1)).alias("id"), F.when(user, F.when(y == "4", "lookup").otherwise("reply")).alias("name"),
+        F.when(
+            user, at(F.when(y == "0", turn - 2).otherwise(turn)),
+        ).when(assistant, at(turn - 1)).alias("id"), F.when(user, F.when(y == "4", "lookup").otherwise("reply")).alias("name"),
         F.when(user, given).alias("arguments"), F.when(~F.coalesce(user, F.lit(False)), F.col("text")).alias("content"),
     )
 
 
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = chat.format_events(_tool_events(table(spark, sf_dir, "conversations")), REPLY)
-    return found.select("conv_id", "turn", "position", "kind", "id", "status", "depth", F.array_join("problems", "; ").alias("problems"), "json")
+    return found.select(
+        "conv_id", "turn", "position", "kind", "id", "status", "depth",
+        F.array_join("problems", "; ").alias("problems"), "json",
+    )
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,11 +150,21 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     base = F.filter("spans", lambda s: s["kind"] != "novel")
-    return found.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"), n("novel"))
+    return found.select(
+        "doc_id", n("assign"), n("access"), n("hex"), F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"), n("novel"),
+    )
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_classes(spread(table(spark, sf_dir, "documents"))).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    return exact_dedup.exact_classes(spread(table(spark, sf_dir, "documents"))).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256",
+    )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_files, op2_simhash, op3_mixing, op4_suffixes, op5_line_quality, op6_langid, op7_chat, op8_packing, op9_secrets, op10_exact_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (
+        op1_token_files, op2_simhash, op3_mixing, op4_suffixes, op5_line_quality, op6_langid, op7_chat, op8_packing,
+        op9_secrets, op10_exact_dedup,
+    )
+}

@@ -69,7 +69,14 @@ worker wrapper write writer xml yaml zone
 
 #: The dictionary's part that is the same for all tables: the parts, capitalised too, and names that are often seen near secrets.
 IDENTIFIERS = " ".join(
-    [*PARTS.split(), *map(str.capitalize, PARTS.split()), *(a + b + c for a in ("get", "set", "new", "load", "read", "user", "client", "default") for b in ("_", "") for c in ("password", "secret", "token", "api_key", "credential", "Password", "Secret", "Token", "ApiKey"))]
+    [
+        *PARTS.split(), *map(str.capitalize, PARTS.split()),
+        *(
+            a + b + c for a in ("get", "set", "new", "load", "read", "user", "client", "default") for b in ("_", "") for c in (
+                "password", "secret", "token", "api_key", "credential", "Password", "Secret", "Token", "ApiKey",
+            )
+        ),
+    ]
 ).encode()
 
 

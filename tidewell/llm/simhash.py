@@ -65,7 +65,13 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
 
         for batch, texts in slices(batches):
             fps = np.array([fingerprint(shingle_hashes(t, words)) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps), pa.array(np.array([xxh64_intdigest(t, 42) for t in texts], np.uint64).view(np.int64))], ["doc_id", "fp", "h"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"), pa.array(fps),
+                    pa.array(np.array([xxh64_intdigest(t, 42) for t in texts], np.uint64).view(np.int64)),
+                ],
+                ["doc_id", "fp", "h"],
+            )
 
     return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(work, "doc_id long, fp long, h long")
 
@@ -183,7 +189,9 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
                         first = np.repeat(np.cumsum(s) - s, s)
                         cells.append(np.repeat(region << 16, s) | (np.arange(len(first)) - first))
                         owners.append(np.repeat(fps, s))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells)), pa.array(np.concatenate(owners).view(np.int64))], ["cell", "fp"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(cells)), pa.array(np.concatenate(owners).view(np.int64))], ["cell", "fp"],
+                )
 
     def meet(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         cell = key[0].as_py()
@@ -210,5 +218,7 @@ def dedup(docs: DataFrame, words: int = 4, radius: int = 2) -> DataFrame:
     """The row with the least doc_id of each component, with all its columns."""
     rows = written(near_classes(docs, words, radius).groupBy("root", "doc_id", "h").agg(F.count(F.lit(1)).alias("n")), "classes")
     first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("first"))
-    marks = rows.join(first, "root").withColumn("keep", (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("h") == F.col("first.h"))).cast("int"))
+    marks = rows.join(first, "root").withColumn(
+        "keep", (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("h") == F.col("first.h"))).cast("int"),
+    )
     return keep_rows(docs, written(marks.filter("n > keep").select("doc_id", "h", "keep"), "marks"))

@@ -96,7 +96,13 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys.append(own[at])
         if docs:
             who = pa.array(np.concatenate(docs))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(who) for c in _DOC), pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(keys).view(np.int64))], [*_DOC, "place", "run"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(c).take(who) for c in _DOC), pa.array(np.concatenate(places).astype(np.int32)),
+                    pa.array(np.concatenate(keys).view(np.int64)),
+                ],
+                [*_DOC, "place", "run"],
+            )
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +132,13 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _context_rows(batch: pa.RecordBatch, whos: list, places: list, runs: list, rights: list, lefts: list) -> pa.RecordBatch:
     who = pa.array(whos)
     next_ = np.frombuffer(b"".join(x[:8].ljust(8, b"\0") for x in rights), ">i8").astype(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(runs, pa.int64()), pa.array(next_), pa.array(rights, pa.binary()), pa.array(lefts, pa.binary()), *(batch.column(c).take(who) for c in _DOC), pa.array(places, pa.int32())], ["run", "next", "right", "left", *_DOC, "place"])
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(runs, pa.int64()), pa.array(next_), pa.array(rights, pa.binary()), pa.array(lefts, pa.binary()),
+            *(batch.column(c).take(who) for c in _DOC), pa.array(places, pa.int32()),
+        ],
+        ["run", "next", "right", "left", *_DOC, "place"],
+    )
 
 
 def _matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -150,11 +162,17 @@ _FOUND = "doc_id long, h long, start int, end int, other long, window long, wind
 _NAMES = [x.split()[0] for x in _FOUND.split(", ")]
 
 
-def _rows(doc: np.ndarray, h: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray | None = None, window: tuple[np.ndarray, np.ndarray] | None = None) -> pa.RecordBatch:
+def _rows(
+    doc: np.ndarray, h: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray | None = None,
+    window: tuple[np.ndarray, np.ndarray] | None = None,
+) -> pa.RecordBatch:
     """Matches with another document, or passages (``window``) that other pieces may find."""
     longs = lambda x: pa.nulls(len(doc), pa.int64()) if x is None else pa.array(x.view(np.int64))
     a, b = window or (None, None)
-    return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(h), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), longs(other), longs(a), longs(b)], _NAMES)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(doc), pa.array(h), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), longs(other), longs(a), longs(b)],
+        _NAMES,
+    )
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch], rows: int = 100_000) -> Iterator[pa.RecordBatch]:
@@ -243,7 +261,11 @@ class _Windows:
             self.held, self.first_open = [piece.slice(upto)], False
         sizes = np.diff(np.append(begins, upto))
         same = np.ones(upto, bool)  # as the row before, or the first of its run
-        same[1:] = np.asarray(pa.compute.and_(*(pa.compute.equal(piece.column(c).slice(1, upto - 1), piece.column(c).slice(0, upto - 1)) for c in ("right", "left"))))
+        same[1:] = np.asarray(
+            pa.compute.and_(
+                *(pa.compute.equal(piece.column(c).slice(1, upto - 1), piece.column(c).slice(0, upto - 1)) for c in ("right", "left"))
+            )
+        )
         same[begins] = True
         differ = ~np.logical_and.reduceat(same, begins)  # of two suffixes, or of equal ones, the neighbours tell all
         rows = np.flatnonzero(np.repeat(open_ | (differ & (sizes > 2)), sizes))
@@ -281,7 +303,9 @@ class _Windows:
         self.out.append(_rows(doc[a], h[a], start, start + LEAST, window=(flat[keep], flat2[keep])))
 
 
-def _window_hashes(run: np.ndarray, right: tuple[np.ndarray, np.ndarray], left: tuple[np.ndarray, np.ndarray], seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+def _window_hashes(
+    run: np.ndarray, right: tuple[np.ndarray, np.ndarray], left: tuple[np.ndarray, np.ndarray], seed: int = 1,
+) -> tuple[np.ndarray, np.ndarray]:
     """For each row and number of words before the run, the hash of the LEAST words, and whether the text has as many."""
     more = LEAST - RUN
 
@@ -329,7 +353,13 @@ def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     one.append(dict(x))
             out.append([{**x, "other": None if x["other"] == _NONE else x["other"]} for x in one])
         ids = pa.array([None if x == _NONE else x for x in batch.column("doc_id").to_pylist()], pa.int64())
-        yield pa.RecordBatch.from_arrays([ids, batch.column("h"), pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("other", pa.int64())])))], ["doc_id", "h", "spans"])
+        yield pa.RecordBatch.from_arrays(
+            [
+                ids, batch.column("h"),
+                pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("other", pa.int64())]))),
+            ],
+            ["doc_id", "h", "spans"],
+        )
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -346,10 +376,15 @@ def repeats(docs: DataFrame) -> DataFrame:
     found = written(array.mapInArrow(_searched, _FOUND), "found")
     cut_off = found.filter("window is not null").select("window", "window2", *_DOC, "start", "end")
     held = cut_off.groupBy("window", "window2").agg(*ends).filter(several)
-    joined = cut_off.join(held, ["window", "window2"]).select(*_DOC, "start", "end", F.when(F.col("min_doc_id") != F.col("doc_id"), F.col("min_doc_id")).otherwise(F.col("max_doc_id")).alias("other"))
+    joined = cut_off.join(held, ["window", "window2"]).select(
+        *_DOC, "start", "end",
+        F.when(F.col("min_doc_id") != F.col("doc_id"), F.col("min_doc_id")).otherwise(F.col("max_doc_id")).alias("other"),
+    )
     near = found.filter("window is null").select(*_DOC, "start", "end", "other")
     matches = near.unionByName(joined).select(*_DOC, F.struct("start", "end", "other").alias("m")).distinct()
-    return matches.groupBy(*_DOC).agg(F.collect_list("m").alias("found")).mapInArrow(_united, "doc_id long, h long, spans array<struct<start:int,end:int,other:long>>")
+    return matches.groupBy(*_DOC).agg(F.collect_list("m").alias("found")).mapInArrow(
+        _united, "doc_id long, h long, spans array<struct<start:int,end:int,other:long>>",
+    )
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:

@@ -110,10 +110,15 @@ def write_tokens(docs: DataFrame, folder: str | None = None, tokenizer: str | No
         if shard.keys:
             rows.append(shard.write())
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array([part + i for i in range(len(rows))], pa.int64()), *(pa.array(x) for x in zip(*rows, strict=True))], ["shard", "path", "n_docs", "n_ids", "n_words"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part + i for i in range(len(rows))], pa.int64()), *(pa.array(x) for x in zip(*rows, strict=True))],
+                ["shard", "path", "n_docs", "n_ids", "n_words"],
+            )
 
     order = ["doc_id", "_tie"]
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_tie")).repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_tie"),
+    ).repartitionByRange(*order).sortWithinPartitions(*order)
     rows = ordered.select("doc_id", "text").mapInArrow(work, _MANIFEST).collect()  # a row for each file; files of failed attempts have none
     start, listed = 0, []
     for i, r in enumerate(sorted(rows, key=lambda r: r.shard)):
@@ -149,7 +154,10 @@ def read_tokens(spark: SparkSession, manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for path, base in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist(), strict=True):
                 for keys, starts, ids in read_shard(path):
-                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(starts + base, pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())], ["doc_id", "start", "ids"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(keys, pa.int64()), pa.array(starts + base, pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())],
+                        ["doc_id", "start", "ids"],
+                    )
 
     n = max(1, manifest.count())
     return manifest.select("path", "start").repartition(n).mapInArrow(work, "doc_id long, start long, ids binary")

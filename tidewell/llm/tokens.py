@@ -14,11 +14,17 @@ from tidewell.llm._common import words_of
 END_ID = 2
 
 # The normaliser and split of a tokenizer file by which a word's ids don't depend on the words around it.
-NORMALISER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+NORMALISER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
 SPLIT = {
     "type": "Sequence",
     "pretokenizers": [
-        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {
+            "type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+            "behavior": "Removed", "invert": True,
+        },
         {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
     ],
 }
@@ -98,7 +104,9 @@ class Encoder(dict):
         """All ids (uint32) of the texts, each text closed by the end id, and the number of ids of each text."""
         if not self.by_words:
             whole = [x.ids for x in self.full.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
-            return np.fromiter((i for x in whole for i in (*x, END_ID)), np.uint32), np.fromiter((len(x) + 1 for x in whole), np.int64, len(whole))
+            return np.fromiter(
+                (i for x in whole for i in (*x, END_ID)), np.uint32,
+            ), np.fromiter((len(x) + 1 for x in whole), np.int64, len(whole))
         if len(self) > self.memo:
             self._start()
         codes, distinct, ends = words_of(texts)
