@@ -34,10 +34,15 @@ def load(args: argparse.Namespace) -> int:
     config = ConfigManager(args.config)
     spark = _session("load")
     name, section = str(config.get("data_source.table", "")), config.get("data_source.connection", "snowflake")
-    loader = Loader(spark, spark.read.parquet(name)) if name.endswith(".parquet") else Loader(spark, jdbc=jdbc_options(config, section), name=quoted(config.get(f"{section}.database"), config.get(f"{section}.schema"), name))
+    loader = Loader(spark, spark.read.parquet(name)) if name.endswith(".parquet") else Loader(
+        spark, jdbc=jdbc_options(config, section),
+        name=quoted(config.get(f"{section}.database"), config.get(f"{section}.schema"), name),
+    )
     if args.test_connection:
         return 0 if loader.test_connection() else 1
-    column, checkpoint = config.get("delta_loading.checkpoint_column"), Checkpoint(config.get("delta_loading.checkpoint_file", "checkpoint.json"))
+    column, checkpoint = config.get("delta_loading.checkpoint_column"), Checkpoint(
+        config.get("delta_loading.checkpoint_file", "checkpoint.json")
+    )
     rows = loader.load_delta(column, checkpoint, args.limit) if args.mode == "delta" else loader.load_data(args.limit)
     rows = rows.persist()
     n = rows.count()
@@ -83,7 +88,11 @@ def forecast(args: argparse.Namespace) -> int:
         config.set("forecasting.model_type", args.model)
     key = group_key(rows.columns, args.group_by, config.get("forecasting.segment_level"), config.get("data_source.key_columns", []))
     if args.dry_run:
-        print(f"{rows.count()} rows, {len(rows.columns)} columns, date {date_column}, target {target}, group {key}" + (f" ({rows.select(col(key)).distinct().count()} segments)" if key else ""))
+        print(
+            f"{rows.count()} rows, {len(rows.columns)} columns, date {date_column}, target {target}, group {key}" + (
+                f" ({rows.select(col(key)).distinct().count()} segments)" if key else ""
+            )
+        )
         return 0
     folder = args.output_dir.rstrip("/")
     model = TimeSeriesForecaster(config).fit(rows, target, date_column, key)
@@ -94,7 +103,9 @@ def forecast(args: argparse.Namespace) -> int:
         days = build_daily_totals(rows, config.get("data_source.daily_date_column", "TS"), target)
         months = ahead.groupBy(month_start(F.col("date")).alias("month_start")).agg(F.sum("prediction").alias("forecast_total"))
         allocator = DailyAllocator(AllocationConfig.from_config(config)).set_daily_history(days).set_monthly_forecasts(months)
-        daily = allocator.predict_daily(horizon_months=args.periods if args.periods is not None else int(config.get("forecasting.forecast_horizon", 12))).persist()
+        daily = allocator.predict_daily(
+            horizon_months=args.periods if args.periods is not None else int(config.get("forecasting.forecast_horizon", 12))
+        ).persist()
         for r in DailyAllocator.coherence(daily).filter("not coherent").collect():  # a row for each month
             print(f"warning: {r.month_start} adds up to {r.total}, not {r.expected}", file=sys.stderr)
         write_csv(daily, f"{folder}/{stamped('daily_forecast', '.csv')}", one_file=True)

@@ -8,7 +8,11 @@ from pathlib import Path
 from typing import Any
 
 #: Environment variable for each connection setting.
-ENVIRONMENT = {f"snowflake.{k}": f"SNOWFLAKE_{k.upper()}" for k in ("account", "user", "password", "warehouse", "database", "schema", "role", "authenticator")}
+ENVIRONMENT = {
+    f"snowflake.{k}": f"SNOWFLAKE_{k.upper()}" for k in (
+        "account", "user", "password", "warehouse", "database", "schema", "role", "authenticator",
+    )
+}
 
 
 class ConfigManager:

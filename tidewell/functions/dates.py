@@ -56,7 +56,9 @@ def year_period(code: Column, strict: bool = False) -> Column:
         F.when(s.rlike(r"^\d{6}$"), first(F.substring(s, 1, 4).try_cast("int"), F.substring(s, 5, 2).try_cast("int"))),
         F.when(~s.rlike(r"^\d+$"), s.try_cast("date")),
     )
-    return F.when(code.isNotNull() & date.isNull(), F.raise_error(F.concat(F.lit("not a year and period: "), s)).cast("date")).otherwise(date) if strict else date
+    return F.when(
+        code.isNotNull() & date.isNull(), F.raise_error(F.concat(F.lit("not a year and period: "), s)).cast("date"),
+    ).otherwise(date) if strict else date
 
 
 def federal_holidays(date: Column) -> Column:
@@ -107,7 +109,11 @@ def seasonal(name: str, features: list[str] | tuple[str, ...] = ("month", "quart
     d = F.col(f"`{name}`").cast("date")
     circle = lambda x, n: (F.sin(2 * F.pi() * x / n), F.cos(2 * F.pi() * x / n))
     out: dict[str, Column] = {}
-    for feature, short, value, n in (("month", "month", F.month(d), 12), ("quarter", "quarter", F.quarter(d), 4), ("year", "", F.year(d), 0), ("day_of_week", "dow", F.weekday(d), 7), ("day_of_month", "", F.day(d), 0), ("week_of_year", "", F.weekofyear(d), 0)):
+    for feature, short, value, n in (
+        ("month", "month", F.month(d), 12), ("quarter", "quarter", F.quarter(d), 4), ("year", "", F.year(d), 0),
+        ("day_of_week", "dow", F.weekday(d), 7), ("day_of_month", "", F.day(d), 0),
+        ("week_of_year", "", F.weekofyear(d), 0),
+    ):
         if feature in features:
             out[f"{name}_{feature}"] = value
             if n:

@@ -68,7 +68,9 @@ class Lag(Feature):
         self.columns, self.lags = names(columns), list(lags)
 
     def add(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({f"{c}_lag_{k}": self.grouped(F.lag(col(c), k).over(self.window())) for c in self.columns if c in df.columns for k in self.lags})
+        return df.withColumns(
+            {f"{c}_lag_{k}": self.grouped(F.lag(col(c), k).over(self.window())) for c in self.columns if c in df.columns for k in self.lags}
+        )
 
 
 _N = "count"
@@ -87,8 +89,16 @@ AGGREGATES: dict[str, Callable[[Callable[[Callable[[Column], Column]], Column]],
     "last": lambda over: over(lambda x: F.last(x, ignorenulls=True)),
     "nunique": lambda over: F.size(over(F.collect_set)).cast("double"),
     "prod": lambda over: over(F.product),
-    "skew": lambda over: F.when(over(F.count) > 2, F.when(over(F.var_pop) == 0, 0.0).otherwise(over(F.skewness) * F.sqrt(over(F.count) * (over(F.count) - 1)) / (over(F.count) - 2))),
-    "kurt": lambda over: F.when(over(F.count) > 3, F.when(over(F.var_pop) == 0, -3.0).otherwise((over(F.count) - 1) / ((over(F.count) - 2) * (over(F.count) - 3)) * ((over(F.count) + 1) * over(F.kurtosis) + 6))),
+    "skew": lambda over: F.when(
+        over(F.count) > 2,
+        F.when(over(F.var_pop) == 0, 0.0).otherwise(over(F.skewness) * F.sqrt(over(F.count) * (over(F.count) - 1)) / (over(F.count) - 2)),
+    ),
+    "kurt": lambda over: F.when(
+        over(F.count) > 3,
+        F.when(over(F.var_pop) == 0, -3.0).otherwise(
+            (over(F.count) - 1) / ((over(F.count) - 2) * (over(F.count) - 3)) * ((over(F.count) + 1) * over(F.kurtosis) + 6)
+        ),
+    ),
 }
 
 
@@ -125,14 +135,18 @@ class Growth(Feature):
     def add(self, df: DataFrame) -> DataFrame:
         columns = [c for c in self.columns if c in df.columns]
         w = self.window()
-        filled = df.withColumns({f"__filled_{c}": F.last(number(col(c)), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)) for c in columns})
+        filled = df.withColumns(
+            {f"__filled_{c}": F.last(number(col(c)), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)) for c in columns}
+        )
         out = {}
         for c in columns:
             for p in self.periods:
                 now, then = col(f"__filled_{c}"), F.lag(col(f"__filled_{c}"), p).over(w)
                 change = ratio(now, then) - 1
                 if self.inf_on_zero:
-                    change = F.when(then == 0, F.when(now == 0, float("nan")).when(now > 0, float("inf")).otherwise(float("-inf"))).otherwise(change)
+                    change = F.when(
+                        then == 0, F.when(now == 0, float("nan")).when(now > 0, float("inf")).otherwise(float("-inf")),
+                    ).otherwise(change)
                 out[f"{c}_pct_change_{p}"] = self.grouped(change)
                 out[f"{c}_diff_{p}"] = self.grouped(number(col(c)) - F.lag(number(col(c)), p).over(w))
         return filled.withColumns(out).drop(*(f"__filled_{c}" for c in columns))
@@ -178,7 +192,9 @@ class Statistical(Feature):
         self.stats = None
         if made:
             sums = df.groupBy(*map(col, self.group_by)).agg(*made)
-            middle = quantiles(df, {c: number(col(c)) for c in self.used}, (0.5,), self.group_by).withColumnsRenamed({f"{c}_0": f"{c}_{self.label}_median" for c in self.used})
+            middle = quantiles(
+                df, {c: number(col(c)) for c in self.used}, (0.5,), self.group_by,
+            ).withColumnsRenamed({f"{c}_0": f"{c}_{self.label}_median" for c in self.used})
             self.stats = sums.join(middle, self.group_by, "left") if self.group_by else sums.crossJoin(F.broadcast(middle))  # one row
         return super().fit(df)
 
@@ -197,7 +213,10 @@ class Statistical(Feature):
 
 
 def _rows_of(stats: DataFrame | None) -> dict[str, Any] | None:
-    return None if stats is None else {"schema": ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stats.schema), "rows": [list(r) for r in stats.collect()]}
+    return None if stats is None else {
+        "schema": ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stats.schema),
+        "rows": [list(r) for r in stats.collect()],
+    }
 
 
 def from_config(config: dict[str, Any]) -> Feature | None:
@@ -254,7 +273,12 @@ class FeaturePipeline:
 
     def state(self) -> list[dict[str, Any]]:
         """What makes the same pipeline again, as plain values; fitted statistics are kept as rows (one for each group)."""
-        return [{"class": type(f).__name__, "values": {k: v for k, v in vars(f).items() if k != "stats"}, "stats": _rows_of(getattr(f, "stats", None))} for f in self.features]
+        return [
+            {
+                "class": type(f).__name__, "values": {k: v for k, v in vars(f).items() if k != "stats"},
+                "stats": _rows_of(getattr(f, "stats", None)),
+            } for f in self.features
+        ]
 
     @classmethod
     def restore(cls, state: Sequence[dict[str, Any]], spark: SparkSession) -> FeaturePipeline:
@@ -267,7 +291,9 @@ class FeaturePipeline:
                 values["holidays"] = {int(m): n for m, n in values["holidays"].items()}  # JSON has keys as strings
             vars(f).update(values)
             if one["class"] == "Statistical":
-                f.stats = None if one["stats"] is None else spark.createDataFrame([tuple(r) for r in one["stats"]["rows"]], one["stats"]["schema"])
+                f.stats = None if one["stats"] is None else spark.createDataFrame(
+                    [tuple(r) for r in one["stats"]["rows"]], one["stats"]["schema"],
+                )
             made.append(f)
         out = cls(made)
         out.fitted = True
@@ -281,7 +307,9 @@ class FeaturePipeline:
         return {"transformer_count": len(self.features), "transformer_names": [f.name for f in self.features], "enabled": self.enabled}
 
 
-def group_key(columns: Sequence[str], given: str | None = None, segment_level: str | None = None, key_columns: Sequence[str] = ()) -> str | None:
+def group_key(
+    columns: Sequence[str], given: str | None = None, segment_level: str | None = None, key_columns: Sequence[str] = (),
+) -> str | None:
     """The group column: the one given (which must be there), else a segment column where segments are asked for, else the first key column."""
     if given:
         if given not in columns:

@@ -21,11 +21,17 @@ def accuracy(df: DataFrame, actual: str, predicted: str, order_by: Names, group_
     Without groups that value is found by its place in a range sort, so no task gets all pairs.
     """
     groups = [col(g) for g in names(group_by)]
-    clean = df.select(*groups, *map(col, dict.fromkeys(x for x in names(order_by) if x not in names(group_by))), finite(col(actual)).alias("__y"), finite(col(predicted)).alias("__p")).filter("__y is not null and __p is not null")
+    clean = df.select(
+        *groups, *map(col, dict.fromkeys(x for x in names(order_by) if x not in names(group_by))),
+        finite(col(actual)).alias("__y"), finite(col(predicted)).alias("__p"),
+    ).filter("__y is not null and __p is not null")
     if groups:
         by = Window.partitionBy(*groups)
         w = by.orderBy(*map(col, names(order_by)))
-        lagged = clean.select(*groups, "__y", "__p", F.count(F.lit(1)).over(by).alias("__n"), F.lag("__y", season).over(w).alias("__s"), F.lag("__y", 1).over(w).alias("__l"))
+        lagged = clean.select(
+            *groups, "__y", "__p", F.count(F.lit(1)).over(by).alias("__n"), F.lag("__y", season).over(w).alias("__s"),
+            F.lag("__y", 1).over(w).alias("__l"),
+        )
     else:
         placed = written(numbered(clean, [f"`{c}`" for c in names(order_by)]).select("__i", "__y", "__p"), "pairs")
         before = lambda k, name: placed.select((F.col("__i") + k).alias("__i"), F.col("__y").alias(name))
@@ -38,9 +44,16 @@ def accuracy(df: DataFrame, actual: str, predicted: str, order_by: Names, group_
     total = F.var_pop(y) * F.count(y)
     return lagged.groupBy(*groups).agg(
         F.count(y).alias("__rows"), mae.alias("mae"), F.avg((y - p) * (y - p)).alias("mse"), F.sqrt(F.avg((y - p) * (y - p))).alias("rmse"),
-        F.when(F.count(y) > 1, F.when(total > 0, 1 - F.sum((y - p) * (y - p)) / total).when(F.sum((y - p) * (y - p)) == 0, 1.0).otherwise(0.0)).alias("r2"),
-        (F.avg(F.when(y != 0, F.abs((y - p) / F.when(y != 0, y)))) * 100).alias("mape"), F.when(size > 0, F.sum(e) / size * 100).alias("wape"),
-        F.when(naive > 0, mae / naive).alias("mase"), F.avg(p - y).alias("bias"), F.when(size > 0, F.sum(p - y) / size * 100).alias("bias_pct"),
+        F.when(
+            F.count(y) > 1,
+            F.when(total > 0, 1 - F.sum((y - p) * (y - p)) / total).when(F.sum((y - p) * (y - p)) == 0, 1.0).otherwise(0.0),
+        ).alias("r2"),
+        (
+            F.avg(F.when(y != 0, F.abs((y - p) / F.when(y != 0, y)))) * 100
+        ).alias("mape"), F.when(size > 0, F.sum(e) / size * 100).alias("wape"),
+        F.when(naive > 0, mae / naive).alias("mase"), F.avg(p - y).alias("bias"), F.when(
+            size > 0, F.sum(p - y) / size * 100,
+        ).alias("bias_pct"),
         F.when(mae > 0, F.sum(p - y) / mae).alias("tracking_signal"),
     ).filter("__rows > 0").drop("__rows")
 
@@ -49,5 +62,12 @@ def horizon_errors(df: DataFrame, date_column: str, actual: str, predicted: str)
     """horizon (1 for the first date), month, actual_mean, pred_mean, mae, wape (null if nothing was actual) by date."""
     pairs = df.select(col(date_column).cast("date").alias("d"), finite(col(actual)).alias("y"), finite(col(predicted)).alias("p"))
     e = F.sum(F.abs(F.col("y") - F.col("p")))
-    by = pairs.groupBy("d").agg(F.avg("y").alias("actual_mean"), F.avg("p").alias("pred_mean"), F.avg(F.abs(F.col("y") - F.col("p"))).alias("mae"), (ratio(e, F.when(F.sum(F.abs("y")) > 0, F.sum(F.abs("y")))) * 100).alias("wape"))
-    return by.select(F.row_number().over(Window.orderBy("d")).alias("horizon"), F.date_format(month_start(F.col("d")), "yyyy-MM").alias("month"), "actual_mean", "pred_mean", "mae", "wape")
+    by = pairs.groupBy("d").agg(
+        F.avg("y").alias("actual_mean"), F.avg("p").alias("pred_mean"),
+        F.avg(F.abs(F.col("y") - F.col("p"))).alias("mae"),
+        (ratio(e, F.when(F.sum(F.abs("y")) > 0, F.sum(F.abs("y")))) * 100).alias("wape"),
+    )
+    return by.select(
+        F.row_number().over(Window.orderBy("d")).alias("horizon"),
+        F.date_format(month_start(F.col("d")), "yyyy-MM").alias("month"), "actual_mean", "pred_mean", "mae", "wape",
+    )

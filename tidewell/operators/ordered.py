@@ -19,7 +19,9 @@ def running(rows: DataFrame, order: list[str], *sums: str) -> DataFrame:
     starts = parts.select("_part", *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_before_{c}") for c in sums))
     own = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     found = ranged.withColumns({f"{c}_upto": F.sum(c).over(own) for c in sums}).join(F.broadcast(starts), "_part")
-    return found.withColumns({f"{c}_upto": F.col(f"{c}_upto") + F.col(f"_before_{c}") for c in sums}).drop("_part", *(f"_before_{c}" for c in sums))
+    return found.withColumns(
+        {f"{c}_upto": F.col(f"{c}_upto") + F.col(f"_before_{c}") for c in sums}
+    ).drop("_part", *(f"_before_{c}" for c in sums))
 
 
 def numbered(rows: DataFrame, order: list[str], name: str = "__i") -> DataFrame:
@@ -35,14 +37,19 @@ def quantiles(df: DataFrame, values: dict[str, Column], shares: Sequence[float],
     """
     keys = [f"__k{j}" for j in range(len(groups))]
     named = [F.col(f"`{g}`").alias(k) for g, k in zip(groups, keys, strict=True)]
-    bare = df.select(*named, F.explode(F.array(*(F.struct(F.lit(j).alias("c"), x.alias("x")) for j, x in enumerate(values.values())))).alias("v")).select(*keys, "v.c", "v.x").filter("x is not null")
+    bare = df.select(
+        *named,
+        F.explode(F.array(*(F.struct(F.lit(j).alias("c"), x.alias("x")) for j, x in enumerate(values.values())))).alias("v"),
+    ).select(*keys, "v.c", "v.x").filter("x is not null")
     for k in keys:
         bare = bare.filter(F.col(k).isNotNull())
     rows = written(numbered(bare, [*keys, "c", "x"]), "numbered")
     spans = rows.groupBy(*keys, "c").agg(F.min("__i").alias("first"), F.count(F.lit(1)).alias("n"))
     at = lambda q: F.lit(float(q)) * (F.col("n") - 1)
     wanted = F.array(*(F.struct(F.lit(j).alias("q"), (F.col("first") + f(at(q)).cast("long")).alias("i"), w(at(q)).alias("w")) for j, q in enumerate(shares) for f, w in ((F.floor, lambda p: 1 - (p - F.floor(p))), (F.ceil, lambda p: p - F.floor(p)))))
-    places = spans.select(*keys, "c", F.explode(wanted).alias("p")).select(*keys, "c", "p.q", F.col("p.i").alias("__i"), "p.w").filter("w > 0")
+    places = spans.select(*keys, "c", F.explode(wanted).alias("p")).select(
+        *keys, "c", "p.q", F.col("p.i").alias("__i"), "p.w",
+    ).filter("w > 0")
     found = places.join(rows.select("__i", "x"), "__i").groupBy(*keys).agg(
         *(F.sum(F.when((F.col("c") == c) & (F.col("q") == q), F.col("x") * F.col("w"))).alias(f"{name}_{q}") for c, name in enumerate(values) for q in range(len(shares)))
     )

@@ -52,7 +52,11 @@ class NullRule(Rule):
             if c not in df.columns:
                 out[f"{c}_missing_column"] = True
                 continue
-            out |= {f"{c}_null_count": found[c], f"{c}_null_percentage": found[c] / found[_ROWS] * 100 if found[_ROWS] else None, f"{c}_has_nulls": found[c] > 0}
+            out |= {
+                f"{c}_null_count": found[c],
+                f"{c}_null_percentage": found[c] / found[_ROWS] * 100 if found[_ROWS] else None,
+                f"{c}_has_nulls": found[c] > 0,
+            }
         return not any(found.get(c) for c in self.columns), out
 
 
@@ -175,7 +179,10 @@ class Validator:
             "duplicate": lambda c: DuplicateRule(c.get("name"), c.get("columns", [])),
         }
         enabled = config.get("validation.enabled", True)
-        return cls([make[c["type"]](c) for c in config.get("validation.rules", None) or [] if c.get("type") in make] if enabled else [], enabled)
+        return cls(
+            [make[c["type"]](c) for c in config.get("validation.rules", None) or [] if c.get("type") in make] if enabled else [],
+            enabled,
+        )
 
     def add_rule(self, rule: Rule) -> Validator:
         self.rules.append(rule)
@@ -202,5 +209,10 @@ class Validator:
 
 def report_frame(spark: SparkSession, report: dict[str, Any]) -> DataFrame:
     """The results as rows (rule_name, rule_type, passed, details)."""
-    rows = [(r["rule_name"], r["rule_type"], r["passed"], {k: None if v is None else str(v) for k, v in r["details"].items()}) for r in report["results"]]
+    rows = [
+        (
+            r["rule_name"], r["rule_type"], r["passed"],
+            {k: None if v is None else str(v) for k, v in r["details"].items()},
+        ) for r in report["results"]
+    ]
     return spark.createDataFrame(rows, SCHEMA)

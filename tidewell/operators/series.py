@@ -15,7 +15,10 @@ from tidewell.operators.features import Names, col, names
 from tidewell.operators.ordered import numbered, quantiles
 
 
-def build_daily_totals(raw: DataFrame, date_column: str = "TS", amount_column: str = "Actual", measure_column: str | None = "Measure", measure_value: str = "MTD") -> DataFrame:
+def build_daily_totals(
+    raw: DataFrame, date_column: str = "TS", amount_column: str = "Actual", measure_column: str | None = "Measure",
+    measure_value: str = "MTD",
+) -> DataFrame:
     """(date, actual): amounts summed by day, of one measure where that column exists.
 
     Unreadable dates are dropped and unreadable amounts count as nothing; a day of nothing but those is 0.
@@ -24,23 +27,33 @@ def build_daily_totals(raw: DataFrame, date_column: str = "TS", amount_column: s
         if c not in raw.columns:
             raise KeyError(f"Column {c} not found")
     rows = raw.filter(col(measure_column) == measure_value) if measure_column and measure_column in raw.columns else raw
-    days = rows.select(col(date_column).try_cast("date").alias("date"), number(col(amount_column)).alias("amount")).filter("date is not null")
+    days = rows.select(
+        col(date_column).try_cast("date").alias("date"), number(col(amount_column)).alias("amount"),
+    ).filter("date is not null")
     return days.groupBy("date").agg(F.coalesce(F.sum("amount"), F.lit(0.0)).alias("actual"))
 
 
 def daily_to_monthly(daily: DataFrame) -> DataFrame:
     """(month_start, actual_month_total)."""
-    return daily.groupBy(month_start(F.col("date")).alias("month_start")).agg(F.coalesce(F.sum("actual"), F.lit(0.0)).alias("actual_month_total"))
+    return daily.groupBy(month_start(F.col("date")).alias("month_start")).agg(
+        F.coalesce(F.sum("actual"), F.lit(0.0)).alias("actual_month_total")
+    )
 
 
-def daily_to_weekly(daily: DataFrame, date_column: str = "date", value_column: str = "y_pred", week_first: str = "Mon", segment_columns: Sequence[str] | None = None) -> DataFrame:
+def daily_to_weekly(
+    daily: DataFrame, date_column: str = "date", value_column: str = "y_pred", week_first: str = "Mon",
+    segment_columns: Sequence[str] | None = None,
+) -> DataFrame:
     """[segments,] week_start, week_end, value: sums by week of seven days from ``week_first`` on.
 
     Without segments, weeks without a day between the first and last are there with 0; with segments they aren't.
     """
     segments = names(segment_columns)
     days = daily.withColumn("__d", col(date_column).cast("date")).filter("__d is not null")
-    keyed = days.select(*map(col, segments), week_start(F.col("__d"), week_first).alias("week_start"), number(col(value_column)).alias("__v"))
+    keyed = days.select(
+        *map(col, segments), week_start(F.col("__d"), week_first).alias("week_start"),
+        number(col(value_column)).alias("__v"),
+    )
     for s in segments:
         keyed = keyed.filter(col(s).isNotNull())
     sums = keyed.groupBy(*map(col, segments), "week_start").agg(F.coalesce(F.sum("__v"), F.lit(0.0)).alias("__v"))
@@ -54,7 +67,11 @@ def daily_to_weekly(daily: DataFrame, date_column: str = "date", value_column: s
 def sum_by_date(df: DataFrame, date_column: str, exclude: Names = None) -> DataFrame:
     """A panel summed to one series: every numeric column but the date and ``exclude``."""
     skip = {date_column, *names(exclude)}
-    numeric = [f.name for f in df.schema if f.name not in skip and f.dataType.typeName() in ("double", "float", "integer", "long", "short", "byte", "decimal")]
+    numeric = [
+        f.name for f in df.schema if f.name not in skip and f.dataType.typeName() in (
+            "double", "float", "integer", "long", "short", "byte", "decimal",
+        )
+    ]
     return df.groupBy(col(date_column)).agg(*(F.coalesce(F.sum(col(c)), F.lit(0)).cast("double").alias(c) for c in numeric))
 
 
@@ -69,7 +86,10 @@ def outlier_bounds(df: DataFrame, column: str, method: str = "iqr", factor: floa
     x = number(col(column))
     if method == "iqr":
         q = quantiles(df, {"q": x}, (0.25, 0.75)).withColumnsRenamed({"q_0": "a", "q_1": "b"})
-        return q.select((F.col("a") - factor * (F.col("b") - F.col("a"))).alias("low"), (F.col("b") + factor * (F.col("b") - F.col("a"))).alias("high"))
+        return q.select(
+            (F.col("a") - factor * (F.col("b") - F.col("a"))).alias("low"),
+            (F.col("b") + factor * (F.col("b") - F.col("a"))).alias("high"),
+        )
     if method == "zscore":
         m = df.agg(F.avg(x).alias("m"), F.stddev_samp(x).alias("s"))
         reach = F.when(F.col("s") > 0, factor * F.col("s"))
@@ -80,7 +100,9 @@ def outlier_bounds(df: DataFrame, column: str, method: str = "iqr", factor: floa
 def handle_outliers(df: DataFrame, column: str, method: str = "iqr", factor: float = 1.5) -> DataFrame:
     """``column`` clipped to the bounds of the whole frame (one row, joined by broadcast)."""
     bounds = outlier_bounds(df, column, method, factor).select(F.col("low").alias("__low"), F.col("high").alias("__high"))
-    return df.crossJoin(F.broadcast(bounds)).withColumn(column, clip(number(col(column)), F.col("__low"), F.col("__high"))).drop("__low", "__high")
+    return df.crossJoin(F.broadcast(bounds)).withColumn(
+        column, clip(number(col(column)), F.col("__low"), F.col("__high")),
+    ).drop("__low", "__high")
 
 
 @dataclass(frozen=True)
@@ -106,7 +128,10 @@ class LogTransform:
         return F.expm1(z if self.largest is None else F.when(z > self.largest + 2.0, self.largest + 2.0).otherwise(z)) - self.offset
 
 
-def prepare(df: DataFrame, date_column: str, target: str, group_by: Names = None, date_format: str | None = None, outliers: dict[str, Any] | None = None, log: bool = False, log_offset: float = 0.0) -> tuple[DataFrame, LogTransform | None]:
+def prepare(
+    df: DataFrame, date_column: str, target: str, group_by: Names = None, date_format: str | None = None,
+    outliers: dict[str, Any] | None = None, log: bool = False, log_offset: float = 0.0,
+) -> tuple[DataFrame, LogTransform | None]:
     """Dates read, target filled (within groups), optionally without outliers and in logs; and the transform to invert."""
     d = year_period(col(date_column)) if date_format == "year_period" else col(date_column).cast("date")
     out = fill_target(df.withColumn(date_column, d), target, date_column, group_by)
@@ -118,7 +143,9 @@ def prepare(df: DataFrame, date_column: str, target: str, group_by: Names = None
     return out.withColumn(target, transform.apply(col(target))), transform
 
 
-def split_by_months(df: DataFrame, date_column: str, backtest_months: int, validation_months: int = 0, cutoff: str | None = None) -> DataFrame:
+def split_by_months(
+    df: DataFrame, date_column: str, backtest_months: int, validation_months: int = 0, cutoff: str | None = None,
+) -> DataFrame:
     """``df`` with ``split``: test is the ``backtest_months`` before the cutoff (the month after the last date unless
     given), validation the months before those, train all before; rows from the cutoff on are left out."""
     last = F.trunc(F.lit(cutoff).cast("date"), "MM") if cutoff else F.add_months(F.trunc(F.max(col(date_column).cast("date")), "MM"), 1)
@@ -134,14 +161,24 @@ def split_by_ratio(df: DataFrame, order_by: Names, test_size: float = 0.2, valid
     sized = placed.crossJoin(F.broadcast(placed.agg(F.max("__i").alias("__n"))))  # one row
     n, i = F.col("__n"), F.col("__i")
     test, validation = F.floor(n * test_size), F.floor(n * validation_size)
-    return sized.withColumn("split", F.when(i <= n - test - validation, "train").when(i <= n - test, "validation").otherwise("test")).drop("__n", "__i")
+    return sized.withColumn(
+        "split", F.when(i <= n - test - validation, "train").when(i <= n - test, "validation").otherwise("test"),
+    ).drop("__n", "__i")
 
 
-def split(df: DataFrame, date_column: str, backtest_months: int = 0, validation_months: int = 0, cutoff: str | None = None, test_size: float = 0.2, validation_size: float = 0.1) -> tuple[DataFrame, dict[str, Any]]:
+def split(
+    df: DataFrame, date_column: str, backtest_months: int = 0, validation_months: int = 0, cutoff: str | None = None,
+    test_size: float = 0.2, validation_size: float = 0.1,
+) -> tuple[DataFrame, dict[str, Any]]:
     """By months where that leaves rows to train and test on, else by ratio; and what was chosen."""
     if backtest_months > 0:
         out = split_by_months(df, date_column, backtest_months, validation_months, cutoff)
-        counts = {r.split: r for r in out.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.min(col(date_column).cast("date")).alias("first"), F.max(col(date_column).cast("date")).alias("last")).collect()}
+        counts = {
+            r.split: r for r in out.groupBy("split").agg(
+                F.count(F.lit(1)).alias("n"), F.min(col(date_column).cast("date")).alias("first"),
+                F.max(col(date_column).cast("date")).alias("last"),
+            ).collect()
+        }
         if "train" in counts and "test" in counts:
             return out, {"method": "months"} | {f"{k}_rows": r.n for k, r in counts.items()} | {f"{k}_{e}": str(r[e]) for k, r in counts.items() for e in ("first", "last")}
     return split_by_ratio(df, date_column, test_size, validation_size), {"method": "ratio"}

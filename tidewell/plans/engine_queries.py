@@ -36,24 +36,41 @@ def delta_limited(spark: SparkSession, d: str) -> DataFrame:
     """A limited incremental scan takes the lowest rows beyond the checkpoint."""
     checkpoint = Checkpoint(f"{scratch(spark)}/last.json", spark)
     checkpoint.write(1000)
-    return Loader(spark, table(spark, d, "orders")).load_delta("o_orderkey", checkpoint, 250).select("o_orderkey", "o_custkey", "o_totalprice")
+    return Loader(spark, table(spark, d, "orders")).load_delta("o_orderkey", checkpoint, 250).select(
+        "o_orderkey", "o_custkey", "o_totalprice",
+    )
 
 
 @query("SELECT true AS filled, false AS absent")
 def connection_test(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame([(Loader(spark, table(spark, d, "region")).test_connection(), Loader(spark, jdbc={"url": "jdbc:none:"}, name="t").test_connection())], "filled boolean, absent boolean")
+    return spark.createDataFrame(
+        [
+            (
+                Loader(spark, table(spark, d, "region")).test_connection(),
+                Loader(spark, jdbc={"url": "jdbc:none:"}, name="t").test_connection(),
+            )
+        ],
+        "filled boolean, absent boolean",
+    )
 
 
 @query("SELECT n_nationkey, '\"' || n_name || '\".\"t' || n_regionkey || '\"' AS name FROM nation")
 def table_names(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey").collect()  # a dimension of 25 rows
-    return spark.createDataFrame([(r.n_nationkey, quoted(r.n_name, None, f"t{r.n_regionkey}")) for r in rows], "n_nationkey int, name string")
+    return spark.createDataFrame(
+        [(r.n_nationkey, quoted(r.n_name, None, f"t{r.n_regionkey}")) for r in rows], "n_nationkey int, name string",
+    )
 
 
-@query("SELECT s_suppkey, CASE WHEN s_nationkey = 3 THEN NULL ELSE s_name END AS s_name, s_acctbal, DATE '2024-01-01' + s_nationkey::INTEGER AS day FROM supplier")
+@query(
+    "SELECT s_suppkey, CASE WHEN s_nationkey = 3 THEN NULL ELSE s_name END AS s_name, s_acctbal, DATE '2024-01-01' + s_nationkey::INTEGER AS day FROM supplier"
+)
 def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
     """Rows written as CSV and read again with their types; N/A is a missing value."""
-    rows = table(spark, d, "supplier").select("s_suppkey", F.when(F.col("s_nationkey") == 3, "N/A").otherwise(F.col("s_name")).alias("s_name"), "s_acctbal", F.date_add(F.lit("2024-01-01").cast("date"), F.col("s_nationkey").cast("int")).alias("day"))
+    rows = table(spark, d, "supplier").select(
+        "s_suppkey", F.when(F.col("s_nationkey") == 3, "N/A").otherwise(F.col("s_name")).alias("s_name"), "s_acctbal",
+        F.date_add(F.lit("2024-01-01").cast("date"), F.col("s_nationkey").cast("int")).alias("day"),
+    )
     path = f"{scratch(spark)}/supplier.csv"
     write_csv(rows, path)
     return read_csv(spark, path, "s_suppkey long, s_name string, s_acctbal double, day date")
@@ -69,15 +86,27 @@ def csv_inferred(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- features
 
 
-@query(f"WITH {PANEL}, t AS (SELECT segment, date, actual / 1e6 AS actual FROM panel) SELECT segment, date, round(actual, 6) AS actual, round(skewness(actual) {_rows(6)}, 4) AS actual_rolling_skew_6, round(kurtosis(actual) {_rows(6)}, 4) AS actual_rolling_kurt_6 FROM t")
+@query(
+    f"WITH {PANEL}, t AS (SELECT segment, date, actual / 1e6 AS actual FROM panel) SELECT segment, date, round(actual, 6) AS actual, round(skewness(actual) {_rows(6)}, 4) AS actual_rolling_skew_6, round(kurtosis(actual) {_rows(6)}, 4) AS actual_rolling_kurt_6 FROM t"
+)
 def rolling_shape(spark: SparkSession, d: str) -> DataFrame:
     made = Rolling("actual", [6], ["skew", "kurt"], **_ORDER).fit_transform(panel(spark, d).withColumn("actual", F.col("actual") / 1e6))
-    return made.select("segment", "date", F.round("actual", 6).alias("actual"), *(F.round(c, 4).alias(c) for c in ("actual_rolling_skew_6", "actual_rolling_kurt_6")))
+    return made.select(
+        "segment", "date", F.round("actual", 6).alias("actual"),
+        *(F.round(c, 4).alias(c) for c in ("actual_rolling_skew_6", "actual_rolling_kurt_6")),
+    )
 
 
-@query(f"WITH {PANEL}, t AS (SELECT segment, date, round(actual / 1e6, 1) AS actual FROM panel) SELECT segment, date, actual, first_value(actual) {_rows(4)} AS actual_rolling_first_4, last_value(actual) {_rows(4)} AS actual_rolling_last_4, (count(DISTINCT actual) {_rows(4)})::DOUBLE AS actual_rolling_nunique_4, round(product(actual) {_rows(4)}, 4) AS actual_rolling_prod_4 FROM t")
+@query(
+    f"WITH {PANEL}, t AS (SELECT segment, date, round(actual / 1e6, 1) AS actual FROM panel) SELECT segment, date, actual, first_value(actual) {_rows(4)} AS actual_rolling_first_4, last_value(actual) {_rows(4)} AS actual_rolling_last_4, (count(DISTINCT actual) {_rows(4)})::DOUBLE AS actual_rolling_nunique_4, round(product(actual) {_rows(4)}, 4) AS actual_rolling_prod_4 FROM t"
+)
 def rolling_others(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(Rolling("actual", [4], ["first", "last", "nunique", "prod"], **_ORDER).fit_transform(panel(spark, d).withColumn("actual", F.round(F.col("actual") / 1e6, 1))), 4)
+    return rounded(
+        Rolling("actual", [4], ["first", "last", "nunique", "prod"], **_ORDER).fit_transform(
+            panel(spark, d).withColumn("actual", F.round(F.col("actual") / 1e6, 1))
+        ),
+        4,
+    )
 
 
 @query("""WITH s AS (SELECT c_mktsegment, avg(c_acctbal) AS m, stddev_samp(c_acctbal) AS sd, quantile_cont(c_acctbal, 0.5) AS md FROM customer WHERE c_nationkey < 10 GROUP BY 1)
@@ -97,13 +126,19 @@ def feature_names(spark: SparkSession, d: str) -> DataFrame:
     pipeline = FeaturePipeline([Lag("actual", [1, 2]), Rolling("actual", [3])]).fit(rows, "segment", "date")
     info = pipeline.get_feature_importance_info()
     more = (info["transformer_count"], ",".join(info["transformer_names"]), info["enabled"])
-    return spark.createDataFrame([(n, n not in rows.columns, *more) for n in pipeline.get_feature_names(rows)], "name string, made boolean, transformers int, names string, enabled boolean")
+    return spark.createDataFrame(
+        [(n, n not in rows.columns, *more) for n in pipeline.get_feature_names(rows)],
+        "name string, made boolean, transformers int, names string, enabled boolean",
+    )
 
 
 @query("SELECT * FROM (VALUES ('given', 'b'), ('segment', 'Roll Up Shop'), ('key', 'a'), ('none', NULL), ('absent', 'error')) t(how, key)")
 def group_keys(spark: SparkSession, d: str) -> DataFrame:
     columns = ["a", "b", "Roll Up Shop"]
-    found = [("given", group_key(columns, "b")), ("segment", group_key(columns, None, "rollup_shop", ["a"])), ("key", group_key(columns, None, None, ["a"])), ("none", group_key(columns))]
+    found = [
+        ("given", group_key(columns, "b")), ("segment", group_key(columns, None, "rollup_shop", ["a"])),
+        ("key", group_key(columns, None, None, ["a"])), ("none", group_key(columns)),
+    ]
     try:
         found.append(("absent", group_key(columns, "c")))
     except ValueError:
@@ -137,13 +172,20 @@ def year_period_strict(spark: SparkSession, d: str) -> DataFrame:
     q AS (SELECT quantile_cont(y, 0.25) AS a, quantile_cont(y, 0.75) AS b FROM f) SELECT date, round(ln(1 + greatest(least(y, b + 0.5 * (b - a)), a - 0.5 * (b - a))), 6) AS y FROM f, q""")
 def prepared_series(spark: SparkSession, d: str) -> DataFrame:
     """Fiscal codes read, holes filled, outliers clipped, in logs."""
-    rows = monthly(spark, d).select(F.date_format("date", "yyyy'0'MM").alias("date"), F.when(F.month("date") != 5, F.col("actual") / 1e6).alias("y"))
+    rows = monthly(spark, d).select(
+        F.date_format("date", "yyyy'0'MM").alias("date"),
+        F.when(F.month("date") != 5, F.col("actual") / 1e6).alias("y"),
+    )
     return rounded(prepare(rows, "date", "y", date_format="year_period", outliers={"method": "iqr", "factor": 0.5}, log=True)[0])
 
 
-@query("SELECT 'positive' AS rule_name, 'positive_value' AS rule_type, false AS passed FROM (SELECT min(c_acctbal) AS m FROM customer) WHERE m < 0 UNION ALL SELECT 'gone', 'date_range', false")
+@query(
+    "SELECT 'positive' AS rule_name, 'positive_value' AS rule_type, false AS passed FROM (SELECT min(c_acctbal) AS m FROM customer) WHERE m < 0 UNION ALL SELECT 'gone', 'date_range', false"
+)
 def failed_rules(spark: SparkSession, d: str) -> DataFrame:
-    checks = quality.Validator([quality.NullRule("nulls", ["c_name"]), quality.PositiveRule("positive", "c_acctbal"), quality.DateRangeRule("gone", "absent")])
+    checks = quality.Validator(
+        [quality.NullRule("nulls", ["c_name"]), quality.PositiveRule("positive", "c_acctbal"), quality.DateRangeRule("gone", "absent")]
+    )
     report = checks.validate(table(spark, d, "customer"))
     return quality.report_frame(spark, {"results": quality.Validator.get_failed_validations(report)}).drop("details")
 
@@ -152,7 +194,9 @@ def failed_rules(spark: SparkSession, d: str) -> DataFrame:
     SELECT round(avg(abs(actual - p)) / 1e3, 4) AS mae, round(avg(p - actual) / 1e3, 4) AS bias, round(sum(abs(actual - p)) / sum(abs(actual)) * 100, 4) AS wape, round(avg(abs(actual - p)) / avg(abs(actual - CASE WHEN n > 12 THEN s ELSE l END)), 4) AS mase FROM c""")
 def accuracy_without_nan(spark: SparkSession, d: str) -> DataFrame:
     """NaN predictions in March and infinite ones in July don't count."""
-    rows = _pairs(spark, d).withColumn("p", F.when(F.month("date") == 3, float("nan")).when(F.month("date") == 7, float("inf")).otherwise(F.col("p")))
+    rows = _pairs(spark, d).withColumn(
+        "p", F.when(F.month("date") == 3, float("nan")).when(F.month("date") == 7, float("inf")).otherwise(F.col("p")),
+    )
     found = accuracy(rows.filter("p is not null"), "actual", "p", "date")
     return rounded(found.select((F.col("mae") / 1e3).alias("mae"), (F.col("bias") / 1e3).alias("bias"), "wape", "mase"), 4)
 
@@ -165,7 +209,9 @@ def accuracy_by_segment(spark: SparkSession, d: str) -> DataFrame:
     return rounded(found.select("segment", (F.col("mae") / 1e3).alias("mae"), "mase", "tracking_signal"), 4)
 
 
-@query("SELECT unnest(['bayesian_ridge', 'catboost', 'elastic_net', 'gbt', 'lasso', 'lightgbm', 'linear', 'random_forest', 'ridge', 'xgboost']) AS model")
+@query(
+    "SELECT unnest(['bayesian_ridge', 'catboost', 'elastic_net', 'gbt', 'lasso', 'lightgbm', 'linear', 'random_forest', 'ridge', 'xgboost']) AS model"
+)
 def model_registry(spark: SparkSession, d: str) -> DataFrame:
     known = {"bayesian_ridge", "catboost", "elastic_net", "gbt", "lasso", "lightgbm", "linear", "random_forest", "ridge", "xgboost"}  # others may register more
     return spark.createDataFrame([(m,) for m in available_models() if m in known], "model string")
@@ -201,22 +247,39 @@ def cli_load(spark: SparkSession, d: str) -> DataFrame:
     folder = scratch(spark)
     table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice").write.parquet(f"{folder}/orders.parquet")
     with tempfile.TemporaryDirectory() as own:  # the checkpoint is the driver's own file here
-        config = {"data_source": {"table": f"{folder}/orders.parquet"}, "delta_loading": {"checkpoint_column": "o_orderkey", "checkpoint_file": str(Path(own, "c.json"))}}
+        config = {
+            "data_source": {"table": f"{folder}/orders.parquet"},
+            "delta_loading": {"checkpoint_column": "o_orderkey", "checkpoint_file": str(Path(own, "c.json"))},
+        }
         assert _cli(spark, config, "load", "--output", f"{folder}/raw") == 0
         assert _cli(spark, config, "load", "--output", f"{folder}/none") == 0
     return read_csv(spark, f"{folder}/raw", "o_orderkey long, o_custkey long, o_totalprice double", multi_line=False)
 
 
-@query(f"WITH {PANEL} SELECT segment, date, actual, lag(actual, 1) OVER w AS actual_lag_1, round(avg(actual) OVER (w ROWS 2 PRECEDING), 4) AS actual_rolling_mean_3 FROM panel WINDOW w AS (PARTITION BY segment ORDER BY date)")
+@query(
+    f"WITH {PANEL} SELECT segment, date, actual, lag(actual, 1) OVER w AS actual_lag_1, round(avg(actual) OVER (w ROWS 2 PRECEDING), 4) AS actual_rolling_mean_3 FROM panel WINDOW w AS (PARTITION BY segment ORDER BY date)"
+)
 def cli_features(spark: SparkSession, d: str) -> DataFrame:
     folder = scratch(spark)
     panel(spark, d).write.parquet(f"{folder}/panel.parquet")
     config = {
-        "data_source": {"date_column": "date"}, "feature_engineering": {"features": [{"type": "lag", "columns": ["actual"]}, {"type": "rolling_mean", "column": "actual"}]},
+        "data_source": {"date_column": "date"}, "feature_engineering": {
+            "features": [{"type": "lag", "columns": ["actual"]}, {"type": "rolling_mean", "column": "actual"}]
+        },
         "validation": {"rules": [{"type": "positive", "name": "p", "column": "actual"}]},
     }
-    assert _cli(spark, config, "features", "--input", f"{folder}/panel.parquet", "--output", f"{folder}/out", "--group-by", "segment", "--fail-on-validation") == 0
-    return rounded(read_csv(spark, f"{folder}/out", "segment string, date date, actual double, actual_lag_1 double, actual_rolling_mean_3 double", multi_line=False), 4)
+    assert _cli(
+        spark, config, "features", "--input", f"{folder}/panel.parquet", "--output", f"{folder}/out", "--group-by",
+        "segment", "--fail-on-validation",
+    ) == 0
+    return rounded(
+        read_csv(
+            spark, f"{folder}/out",
+            "segment string, date date, actual double, actual_lag_1 double, actual_rolling_mean_3 double",
+            multi_line=False,
+        ),
+        4,
+    )
 
 
 @query(f"WITH {PANEL} SELECT segment, count(*) AS months FROM panel GROUP BY 1")

@@ -24,7 +24,11 @@ def solved(name: str, rows: str, features: Sequence[str], y: str, alpha: float,
     """CTEs up to ``name`` (key, w, b): the ridge of ``y`` on ``features`` over ``rows`` for each key, by elimination."""
     p = len(features)
     centred = [f"(x[{i}] - mx[{i}])" for i in range(1, p + 1)] + ["(y - my)"]
-    matrix = ", ".join("[" + ", ".join(f"sum({centred[i]} * {centred[j]})" + (f" + {alpha}" if i == j else "") for j in range(p + 1)) + "]" for i in range(p))
+    matrix = ", ".join(
+        "[" + ", ".join(
+            f"sum({centred[i]} * {centred[j]})" + (f" + {alpha}" if i == j else "") for j in range(p + 1)
+        ) + "]" for i in range(p)
+    )
     return f"""{name}_x AS (SELECT {key} AS key, [{", ".join(f"({f})::DOUBLE" for f in features)}] AS x, ({y})::DOUBLE AS y FROM {rows}),
     {name}_m AS (SELECT key, [{", ".join(f"avg(x[{i}])" for i in range(1, p + 1))}] AS mx, avg(y) AS my FROM {name}_x GROUP BY key),
     {name}_a AS (SELECT key, [{matrix}] AS a FROM {name}_x JOIN {name}_m USING (key) GROUP BY key),
@@ -55,13 +59,17 @@ def linear_trend(spark: SparkSession, d: str) -> DataFrame:
     return rounded(Linear("linear").fit(rows, ["x"], "y").predict(rows, ["x"]).select("x", "prediction"), 4)
 
 
-@query(f"WITH {_SUMS} SELECT x, round(my + sign(xy) * greatest(abs(xy) / n - 0.5, 0) / (xx / n) * (x - mx), 3) + 0.0 AS prediction FROM t, c")
+@query(
+    f"WITH {_SUMS} SELECT x, round(my + sign(xy) * greatest(abs(xy) / n - 0.5, 0) / (xx / n) * (x - mx), 3) + 0.0 AS prediction FROM t, c"
+)
 def lasso_trend(spark: SparkSession, d: str) -> DataFrame:
     rows = _indexed(spark, d)
     return rounded(Linear("lasso", alpha=0.5).fit(rows, ["x"], "y").predict(rows, ["x"]).select("x", "prediction"), 3)
 
 
-@query(f"WITH {_SUMS} SELECT x, round(my + sign(xy) * greatest(abs(xy) / n - 0.15, 0) / (xx / n + 0.35) * (x - mx), 3) + 0.0 AS prediction FROM t, c")
+@query(
+    f"WITH {_SUMS} SELECT x, round(my + sign(xy) * greatest(abs(xy) / n - 0.15, 0) / (xx / n + 0.35) * (x - mx), 3) + 0.0 AS prediction FROM t, c"
+)
 def elastic_net_trend(spark: SparkSession, d: str) -> DataFrame:
     rows = _indexed(spark, d)
     return rounded(Linear("elastic_net", alpha=0.5, l1_ratio=0.3).fit(rows, ["x"], "y").predict(rows, ["x"]).select("x", "prediction"), 3)
@@ -91,7 +99,10 @@ def trees_stump(spark: SparkSession, d: str) -> DataFrame:
 _SERIES = f"{PANEL}, series AS (SELECT date, sum(actual / 1e6) AS y FROM panel GROUP BY 1), ends AS (SELECT min(date) AS o, max(date) AS e FROM series)"
 _TRAIN = f"{_SERIES}, train AS (SELECT * FROM series, ends WHERE date <= e - INTERVAL 12 MONTH)"
 _TEST = "test AS (SELECT *, lag(y, 1) OVER (ORDER BY date) AS lag_1, lag(y, 12) OVER (ORDER BY date) AS lag_12, avg(y) OVER (ORDER BY date ROWS 2 PRECEDING) AS mean_3 FROM series, ends WHERE date > e - INTERVAL 12 MONTH)"
-_LAGS = ["coalesce(lag(y, 1) OVER (ORDER BY date), 0)", "coalesce(lag(y, 12) OVER (ORDER BY date), 0)", "avg(y) OVER (ORDER BY date ROWS 2 PRECEDING)"]
+_LAGS = [
+    "coalesce(lag(y, 1) OVER (ORDER BY date), 0)", "coalesce(lag(y, 12) OVER (ORDER BY date), 0)",
+    "avg(y) OVER (ORDER BY date ROWS 2 PRECEDING)",
+]
 _DATE = ["year(date)", "month(date)", "sin(2 * pi() * month(date) / 12)", "cos(2 * pi() * month(date) / 12)", "date - o"]
 
 
@@ -138,10 +149,15 @@ def forecast_registered_model(spark: SparkSession, d: str) -> DataFrame:
     pair AS (SELECT list_transform(list_zip(r.w, h.w), lambda z: 0.25 * z[1] + 0.75 * z[2]) AS w, 0.25 * r.b + 0.75 * h.b AS b FROM ridge r, heavy h), {_ahead('pair')} SELECT * FROM ahead""")
 def ensemble_of_ridges(spark: SparkSession, d: str) -> DataFrame:
     register_model("heavy_ridge", lambda **_: Linear("ridge", alpha=50.0))
-    return rounded(forecaster(spark, d, "ensemble", ensemble={"model_a": "ridge", "model_b": "heavy_ridge", "weight_a": 0.25}).predict(12), 4)
+    return rounded(
+        forecaster(spark, d, "ensemble", ensemble={"model_a": "ridge", "model_b": "heavy_ridge", "weight_a": 0.25}).predict(12),
+        4,
+    )
 
 
-@query(f"WITH RECURSIVE {_TRAIN}, {_RIDGE}, names AS (SELECT unnest(['actual_lag_1', 'actual_lag_12', 'actual_rolling_mean_3', 'date_year', 'date_month', 'date_month_sin', 'date_month_cos', 'date_time_index']) AS feature, generate_subscripts(w, 1) AS i FROM ridge) SELECT feature, round(abs(w[i]), 4) AS importance FROM names, ridge")
+@query(
+    f"WITH RECURSIVE {_TRAIN}, {_RIDGE}, names AS (SELECT unnest(['actual_lag_1', 'actual_lag_12', 'actual_rolling_mean_3', 'date_year', 'date_month', 'date_month_sin', 'date_month_cos', 'date_time_index']) AS feature, generate_subscripts(w, 1) AS i FROM ridge) SELECT feature, round(abs(w[i]), 4) AS importance FROM names, ridge"
+)
 def ridge_importance(spark: SparkSession, d: str) -> DataFrame:
     found = forecaster(spark, d, "ridge").feature_importance()
     return rounded(spark.createDataFrame(list(found.items()), "feature string, importance double"), 4)
@@ -172,8 +188,14 @@ def cli_forecast(spark: SparkSession, d: str) -> DataFrame:
 
     folder = scratch(spark)
     scaled(panel(spark, d)).write.parquet(f"{folder}/panel.parquet")
-    config = {"data_source": {"date_column": "date", "amount_column": "actual"}, "forecasting": {"model_type": "ridge", "backtest_months": 12}}
-    assert _cli(spark, config, "forecast", "--input", f"{folder}/panel.parquet", "--output-dir", f"{folder}/out", "--group-by", "segment", "--periods", "12") == 0
+    config = {
+        "data_source": {"date_column": "date", "amount_column": "actual"},
+        "forecasting": {"model_type": "ridge", "backtest_months": 12},
+    }
+    assert _cli(
+        spark, config, "forecast", "--input", f"{folder}/panel.parquet", "--output-dir", f"{folder}/out", "--group-by",
+        "segment", "--periods", "12",
+    ) == 0
     return rounded(read_csv(spark, f"{folder}/out/*", "date date, prediction double"), 4)
 
 
@@ -228,12 +250,16 @@ def _shown(values: str, key: str = "") -> str:
 _AHEAD = "[" + ", ".join(f"({x})::DOUBLE" for x in _WAVES) + "]"
 
 
-@query(f"WITH RECURSIVE {MONTHLY}, r AS (SELECT date, actual / 1e6 AS y, min(date) OVER () AS o FROM monthly), {_fourier('r', '1')} {_shown(_AHEAD)}")
+@query(
+    f"WITH RECURSIVE {MONTHLY}, r AS (SELECT date, actual / 1e6 AS y, min(date) OVER () AS o FROM monthly), {_fourier('r', '1')} {_shown(_AHEAD)}"
+)
 def trend_fourier(spark: SparkSession, d: str) -> DataFrame:
     return rounded(trend_fourier_forecast(scaled(monthly(spark, d)), "date", "actual", 12), 4)
 
 
-@query(f"WITH RECURSIVE {PANEL}, r AS (SELECT segment, date, actual / 1e6 AS y, min(date) OVER (PARTITION BY segment) AS o FROM panel), {_fourier('r', 'segment')} {_shown(_AHEAD, 'key AS segment, ')}")
+@query(
+    f"WITH RECURSIVE {PANEL}, r AS (SELECT segment, date, actual / 1e6 AS y, min(date) OVER (PARTITION BY segment) AS o FROM panel), {_fourier('r', 'segment')} {_shown(_AHEAD, 'key AS segment, ')}"
+)
 def trend_fourier_by_segment(spark: SparkSession, d: str) -> DataFrame:
     return rounded(trend_fourier_forecast(scaled(panel(spark, d)), "date", "actual", 12, group_by="segment"), 4)
 

@@ -35,7 +35,12 @@ def date_features(df: DataFrame, name: str, origin: date | None = None) -> DataF
     d = col(name).cast("date")
     start = F.lit(origin.isoformat()).cast("date") if origin else F.lit(df.agg(F.min(d)).first()[0])
     m = F.month(d)
-    return df.withColumns({f"{name}_year": F.year(d), f"{name}_month": m, f"{name}_month_sin": F.sin(2 * F.pi() * m / 12), f"{name}_month_cos": F.cos(2 * F.pi() * m / 12), f"{name}_time_index": F.datediff(d, start)})
+    return df.withColumns(
+        {
+            f"{name}_year": F.year(d), f"{name}_month": m, f"{name}_month_sin": F.sin(2 * F.pi() * m / 12),
+            f"{name}_month_cos": F.cos(2 * F.pi() * m / 12), f"{name}_time_index": F.datediff(d, start),
+        }
+    )
 
 
 def future_value(feature: str, target: str, name: str, when: date, history: Sequence[float], origin: date, last: dict[str, Any]) -> float:
@@ -55,15 +60,23 @@ def future_value(feature: str, target: str, name: str, when: date, history: Sequ
     return float(last.get(feature) or 0.0)
 
 
-def fold_forecast(series: DataFrame, coefficients: dict[str, float], intercept: float, periods: int, order_by: str, target: str, group_by: Names = None) -> DataFrame:
+def fold_forecast(
+    series: DataFrame, coefficients: dict[str, float], intercept: float, periods: int, order_by: str, target: str,
+    group_by: Names = None,
+) -> DataFrame:
     """Recursive forecast of a linear model over ``lag_k``, ``rolling_mean_w``, ``month_sin`` and ``month_cos``, in Catalyst.
 
     [group,] horizon, date, prediction. A segment's history is one array and the months are folded over it: segments
     forecast side by side, without Python. A lag before the first value is 0.
     """
     groups = names(group_by)
-    ordered = F.array_sort(F.collect_list(F.struct(col(order_by).cast("date").alias("d"), F.coalesce(number(col(target)), F.lit(0.0)).alias("y"))))
-    hist = series.groupBy(*map(col, groups)).agg(ordered.alias("__h")).select(*map(col, groups), F.transform("__h", lambda x: x["y"]).alias("__y"), F.element_at("__h", -1)["d"].alias("__last"))
+    ordered = F.array_sort(
+        F.collect_list(F.struct(col(order_by).cast("date").alias("d"), F.coalesce(number(col(target)), F.lit(0.0)).alias("y")))
+    )
+    hist = series.groupBy(*map(col, groups)).agg(ordered.alias("__h")).select(
+        *map(col, groups), F.transform("__h", lambda x: x["y"]).alias("__y"),
+        F.element_at("__h", -1)["d"].alias("__last"),
+    )
 
     def step(state: Column, h: Column) -> Column:
         month = F.month(F.add_months(F.col("__last"), h))
@@ -85,10 +98,16 @@ def fold_forecast(series: DataFrame, coefficients: dict[str, float], intercept:
     folded = hist.withColumn("__y", F.aggregate(F.sequence(F.lit(1), F.lit(periods)), F.col("__y"), step))
     tail = F.slice(F.col("__y"), -periods, periods)
     rows = folded.select(*map(col, groups), "__last", F.posexplode(tail).alias("__i", "prediction"))
-    return rows.select(*map(col, groups), (F.col("__i") + 1).alias("horizon"), F.trunc(F.add_months("__last", F.col("__i") + 1), "MM").alias("date"), "prediction")
+    return rows.select(
+        *map(col, groups), (F.col("__i") + 1).alias("horizon"),
+        F.trunc(F.add_months("__last", F.col("__i") + 1), "MM").alias("date"), "prediction",
+    )
 
 
-def segment_ridge_forecast(panel: DataFrame, segment: str, date_column: str, target: str, periods: int, alpha: float = 1.0, lags: Sequence[int] = (1, 12)) -> DataFrame:
+def segment_ridge_forecast(
+    panel: DataFrame, segment: str, date_column: str, target: str, periods: int, alpha: float = 1.0,
+    lags: Sequence[int] = (1, 12),
+) -> DataFrame:
     """[segment,] date, prediction: a lagged ridge of each segment, fitted and folded by one task for each segment.
 
     A segment is a monthly series, so a group is small whatever the number of segments.
@@ -116,7 +135,9 @@ def segment_ridge_forecast(panel: DataFrame, segment: str, date_column: str, tar
         return made
 
     rows = panel.select(col(segment), col(date_column).cast("date").alias("date"), number(col(target)).alias("y"))
-    return rows.groupBy(col(segment)).applyInPandas(run, f"`{segment}` {panel.schema[segment].dataType.simpleString()}, date date, prediction double")
+    return rows.groupBy(col(segment)).applyInPandas(
+        run, f"`{segment}` {panel.schema[segment].dataType.simpleString()}, date date, prediction double",
+    )
 
 
 class TimeSeriesForecaster:
@@ -143,7 +164,10 @@ class TimeSeriesForecaster:
 
     def prepare_data(self, df: DataFrame, target: str, date_column: str, group_by: Names = None) -> DataFrame:
         c = self.config.get
-        out, _ = prepare(df, date_column, target, group_by, c("data_source.date_format", None), c("forecasting.outlier_handling", None) if (c("forecasting.outlier_handling", None) or {}).get("enabled") else None)
+        out, _ = prepare(
+            df, date_column, target, group_by, c("data_source.date_format", None),
+            c("forecasting.outlier_handling", None) if (c("forecasting.outlier_handling", None) or {}).get("enabled") else None,
+        )
         return out
 
     def in_logs(self, df: DataFrame, target: str) -> DataFrame:
@@ -153,7 +177,10 @@ class TimeSeriesForecaster:
             df = df.withColumn(target, self.log.apply(number(col(target))))
         return df
 
-    def fit(self, df: DataFrame, target: str, date_column: str, group_by: str | None = None, already_prepared: bool = False, feature_engineer: FeaturePipeline | None = None, features: Sequence[str] | None = None) -> TimeSeriesForecaster:
+    def fit(
+        self, df: DataFrame, target: str, date_column: str, group_by: str | None = None, already_prepared: bool = False,
+        feature_engineer: FeaturePipeline | None = None, features: Sequence[str] | None = None,
+    ) -> TimeSeriesForecaster:
         c = self.config.get
         self.target, self.date, self.group_by = target, date_column, group_by
         data = df if already_prepared else self.prepare_data(df, target, date_column, group_by)
@@ -161,21 +188,32 @@ class TimeSeriesForecaster:
         data = sum_by_date(data.withColumn(date_column, col(date_column).cast("date")), date_column, group_by)
         if not already_prepared:
             data = self.in_logs(data, target)
-        marked, self.split_meta = split(data, date_column, int(c("forecasting.backtest_months", 0) or 0), int(c("forecasting.validation_months", 0) or 0), c("forecasting.backtest_cutoff_month", None), float(c("forecasting.test_size", 0.2)), float(c("forecasting.validation_split", 0.1)))
+        marked, self.split_meta = split(
+            data, date_column, int(c("forecasting.backtest_months", 0) or 0),
+            int(c("forecasting.validation_months", 0) or 0), c("forecasting.backtest_cutoff_month", None),
+            float(c("forecasting.test_size", 0.2)), float(c("forecasting.validation_split", 0.1)),
+        )
         self.cached = marked = marked.persist()
         parts = {k: marked.filter(F.col("split") == k).drop("split") for k in ("train", "validation", "test")}
         self.pipeline = feature_engineer
         if feature_engineer is not None:
             parts["train"] = feature_engineer.fit_transform(parts["train"], None, date_column)
             parts["validation"], parts["test"] = feature_engineer.transform(parts["validation"]), feature_engineer.transform(parts["test"])
-        rows, self.origin, self.train_end = parts["train"].agg(F.count(F.lit(1)), F.min(col(date_column).cast("date")), F.max(col(date_column).cast("date"))).first()
+        rows, self.origin, self.train_end = parts["train"].agg(
+            F.count(F.lit(1)), F.min(col(date_column).cast("date")), F.max(col(date_column).cast("date")),
+        ).first()
         if not rows:
             raise ValueError("no rows to train on")
         self.parts = {k: date_features(v, date_column, self.origin) for k, v in parts.items()}
         train = self.parts["train"]
         kinds = ("double", "float", "integer", "long", "short", "byte", "decimal")
-        self.features = list(features) if features else [f.name for f in train.schema if f.name not in (target, date_column) and f.dataType.typeName() in kinds]
-        ordered = train.select(col(date_column).cast("date").alias("__d"), F.coalesce(number(col(target)), F.lit(0.0)).alias("__y"), *(number(col(f)).alias(f) for f in self.features)).orderBy("__d").collect()
+        self.features = list(features) if features else [
+            f.name for f in train.schema if f.name not in (target, date_column) and f.dataType.typeName() in kinds
+        ]
+        ordered = train.select(
+            col(date_column).cast("date").alias("__d"), F.coalesce(number(col(target)), F.lit(0.0)).alias("__y"),
+            *(number(col(f)).alias(f) for f in self.features),
+        ).orderBy("__d").collect()
         self.history, self.last_row = [r["__y"] for r in ordered], ordered[-1].asDict()
         self.dates = [r["__d"] for r in ordered]
         kind = c("forecasting.model_type", "xgboost")
@@ -203,10 +241,17 @@ class TimeSeriesForecaster:
         n = int(self.config.get("forecasting.forecast_horizon", 12)) if periods is None else periods
         spark = self.parts["train"].sparkSession
         if self.kind in _SERIES:
-            return self._back(_SERIES[self.kind](self.parts["train"], self.date, self.target, n, **(self.config.get(f"forecasting.{self.kind}", None) or {})))
+            return self._back(
+                _SERIES[self.kind](
+                    self.parts["train"], self.date, self.target, n,
+                    **(self.config.get(f"forecasting.{self.kind}", None) or {}),
+                )
+            )
         history, out = list(self.history), []
         for when in months_after(months_after(self.train_end, 2)[1], n):
-            y = self.model.predict_one([future_value(f, self.target, self.date, when, history, self.origin, self.last_row) for f in self.features])
+            y = self.model.predict_one(
+                [future_value(f, self.target, self.date, when, history, self.origin, self.last_row) for f in self.features]
+            )
             history.append(y)
             out.append((when, y))
         return self._back(spark.createDataFrame(out, "date date, prediction double"))
@@ -235,7 +280,9 @@ class TimeSeriesForecaster:
             df = self.pipeline.transform(df)
         df = date_features(df, self.date, self.origin)
         df = df.withColumns({f: F.lit(float(self.last_row.get(f) or 0.0)) for f in self.features if f not in df.columns})
-        found = self.model.predict(df, self.features).select(col(self.date).cast("date").alias("date"), number(col(self.target)).alias("actual"), "prediction")
+        found = self.model.predict(df, self.features).select(
+            col(self.date).cast("date").alias("date"), number(col(self.target)).alias("actual"), "prediction",
+        )
         return self._actual(self._back(found))
 
     def _actual(self, df: DataFrame) -> DataFrame:
@@ -253,22 +300,39 @@ class TimeSeriesForecaster:
 
     def save(self, path: str, spark: SparkSession) -> None:
         """All that predict() needs: model, series, features, fitted pipeline, origin and transform."""
-        meta = {"dates": list(map(str, self.dates)), "pipeline": None if self.pipeline is None else self.pipeline.state(), "kind": self.kind, "target": self.target, "date": self.date, "features": self.features, "history": self.history, "origin": str(self.origin), "train_end": str(self.train_end), "last_row": self.last_row, "log": asdict(self.log) if self.log else None, "split": self.split_meta}
+        meta = {
+            "dates": list(map(str, self.dates)), "pipeline": None if self.pipeline is None else self.pipeline.state(),
+            "kind": self.kind, "target": self.target, "date": self.date, "features": self.features,
+            "history": self.history, "origin": str(self.origin), "train_end": str(self.train_end),
+            "last_row": self.last_row, "log": asdict(self.log) if self.log else None, "split": self.split_meta,
+        }
         models = self.model.models if isinstance(self.model, _Pair) else [self.model]
         for i, m in enumerate(models):
-            save_model(m, f"{path}/{i}", spark, json.loads(json.dumps(meta | {"models": len(models), "weight": getattr(self, "weight", None)}, default=str)))
+            save_model(
+                m, f"{path}/{i}", spark,
+                json.loads(json.dumps(meta | {"models": len(models), "weight": getattr(self, "weight", None)}, default=str)),
+            )
 
     @classmethod
     def load(cls, path: str, spark: SparkSession, config: Any) -> TimeSeriesForecaster:
         first, meta = load_model(f"{path}/0", spark)
         self = cls(config)
-        self.kind, self.target, self.date, self.features, self.history = (meta[k] for k in ("kind", "target", "date", "features", "history"))
+        self.kind, self.target, self.date, self.features, self.history = (
+            meta[k] for k in ("kind", "target", "date", "features", "history")
+        )
         self.origin, self.train_end, self.last_row, self.split_meta = date.fromisoformat(meta["origin"]), date.fromisoformat(meta["train_end"]), meta["last_row"], meta["split"]
         self.log = LogTransform(**meta["log"]) if meta["log"] else None
-        self.model = _Pair([first, *(load_model(f"{path}/{i}", spark)[0] for i in range(1, meta["models"]))], meta["weight"]) if meta["models"] > 1 else first
+        self.model = _Pair(
+            [first, *(load_model(f"{path}/{i}", spark)[0] for i in range(1, meta["models"]))], meta["weight"],
+        ) if meta["models"] > 1 else first
         self.dates = list(map(date.fromisoformat, meta["dates"]))
         self.pipeline = None if meta["pipeline"] is None else FeaturePipeline.restore(meta["pipeline"], spark)
-        self.parts = {"train": spark.createDataFrame(list(zip(self.dates, map(float, self.history), strict=True)), f"`{self.date}` date, `{self.target}` double")}
+        self.parts = {
+            "train": spark.createDataFrame(
+                list(zip(self.dates, map(float, self.history), strict=True)),
+                f"`{self.date}` date, `{self.target}` double",
+            )
+        }
         return self
 
 

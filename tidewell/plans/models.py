@@ -75,7 +75,10 @@ class Linear(Regressor):
             l1 = alpha * (1.0 if self.kind == "lasso" else ratio)
             l2 = 0.0 if self.kind == "lasso" else alpha * (1 - ratio) * s
             reg, net = l1 + l2, l1 / (l1 + l2) if l1 + l2 else 0.0
-        fitted = LinearRegression(featuresCol="__x", labelCol="__y", predictionCol="prediction", regParam=reg, elasticNetParam=net, standardization=False, solver="normal", maxIter=int(self.params.get("max_iter", 1000)), tol=1e-10).fit(ready)
+        fitted = LinearRegression(
+            featuresCol="__x", labelCol="__y", predictionCol="prediction", regParam=reg, elasticNetParam=net,
+            standardization=False, solver="normal", maxIter=int(self.params.get("max_iter", 1000)), tol=1e-10,
+        ).fit(ready)
         self.coefficients, self.intercept = [float(x) for x in fitted.coefficients], float(fitted.intercept)
         return self
 
@@ -109,7 +112,10 @@ class BayesianRidge(Linear):
         names = [f"__f{i}" for i in range(len(features))] + ["__y"]
         ready = df.select(*(F.coalesce(number(col(c)), F.lit(0.0)).alias(a) for c, a in zip([*features, target], names, strict=True)))
         pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-        row = ready.agg(F.count(F.lit(1)), *(F.sum(a) for a in names), *(F.sum(F.col(names[i]) * F.col(names[j])) for i, j in pairs)).first()
+        row = ready.agg(
+            F.count(F.lit(1)), *(F.sum(a) for a in names),
+            *(F.sum(F.col(names[i]) * F.col(names[j])) for i, j in pairs),
+        ).first()
         n, mean = row[0], np.array(row[1 : len(names) + 1], float) / max(row[0], 1)
         gram = np.zeros((len(names), len(names)))
         for (i, j), v in zip(pairs, row[len(names) + 1 :], strict=True):
@@ -133,7 +139,12 @@ class BayesianRidge(Linear):
 class Trees(Regressor):
     """Forests and boosted trees of Spark ML; the common names of their parameters are understood."""
 
-    NAMES = {"n_estimators": ("numTrees", "maxIter"), "max_depth": ("maxDepth",) * 2, "learning_rate": (None, "stepSize"), "subsample": ("subsamplingRate",) * 2, "random_state": ("seed",) * 2, "min_child_weight": ("minInstancesPerNode",) * 2, "iterations": (None, "maxIter"), "depth": ("maxDepth",) * 2, "random_seed": ("seed",) * 2, "min_child_samples": ("minInstancesPerNode",) * 2, "max_bins": ("maxBins",) * 2}
+    NAMES = {
+        "n_estimators": ("numTrees", "maxIter"), "max_depth": ("maxDepth",) * 2, "learning_rate": (None, "stepSize"),
+        "subsample": ("subsamplingRate",) * 2, "random_state": ("seed",) * 2,
+        "min_child_weight": ("minInstancesPerNode",) * 2, "iterations": (None, "maxIter"), "depth": ("maxDepth",) * 2,
+        "random_seed": ("seed",) * 2, "min_child_samples": ("minInstancesPerNode",) * 2, "max_bins": ("maxBins",) * 2,
+    }
 
     def __init__(self, kind: str = "gbt", **params: Any) -> None:
         super().__init__(**params)
@@ -145,7 +156,9 @@ class Trees(Regressor):
         options = {"seed": 42} | {k: float(v) if k in ("stepSize", "subsamplingRate") else int(v) for k, v in options.items()}
         options["maxDepth"] = min(options.get("maxDepth", 5), 30)
         make = GBTRegressor if i else RandomForestRegressor
-        self.model = make(featuresCol="__x", labelCol="__y", predictionCol="prediction", **options).fit(assembled(df, features, target).select("__x", "__y"))
+        self.model = make(
+            featuresCol="__x", labelCol="__y", predictionCol="prediction", **options,
+        ).fit(assembled(df, features, target).select("__x", "__y"))
         return self
 
     def predict(self, df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -194,7 +207,9 @@ def save_model(model: Regressor | None, path: str, spark: SparkSession, meta: di
         model.model.write().overwrite().save(f"{path}/trees")
     else:
         kind["state"] = model.state()
-    spark.createDataFrame([(json.dumps(kind | {"meta": meta}, default=str),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/model")
+    spark.createDataFrame(
+        [(json.dumps(kind | {"meta": meta}, default=str),)], "value string",
+    ).coalesce(1).write.mode("overwrite").text(f"{path}/model")
 
 
 def load_model(path: str, spark: SparkSession) -> tuple[Regressor | None, dict[str, Any]]:
@@ -205,7 +220,9 @@ def load_model(path: str, spark: SparkSession) -> tuple[Regressor | None, dict[s
         model: Regressor = Trees(kind["kind"], **kind["params"])
         model.model = (RandomForestRegressionModel if kind["kind"] == "random_forest" else GBTRegressionModel).load(f"{path}/trees")
     else:
-        model = (BayesianRidge(**kind["params"]) if kind["class"] == "BayesianRidge" else Linear(kind["kind"], **kind["params"])).restore(kind["state"])
+        model = (
+            BayesianRidge(**kind["params"]) if kind["class"] == "BayesianRidge" else Linear(kind["kind"], **kind["params"])
+        ).restore(kind["state"])
     return model, kind["meta"]
 
 

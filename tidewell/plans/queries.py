@@ -56,7 +56,9 @@ def cents(column: str, name: str) -> F.Column:
 def panel(spark: SparkSession, d: str) -> DataFrame:
     """(segment, date, actual): orders by market segment and month."""
     o, c = table(spark, d, "orders"), table(spark, d, "customer")
-    joined = o.select("o_custkey", F.trunc("o_orderdate", "MM").alias("date"), "o_totalprice").join(c.select("c_custkey", F.col("c_mktsegment").alias("segment")), F.col("o_custkey") == F.col("c_custkey"))
+    joined = o.select("o_custkey", F.trunc("o_orderdate", "MM").alias("date"), "o_totalprice").join(
+        c.select("c_custkey", F.col("c_mktsegment").alias("segment")), F.col("o_custkey") == F.col("c_custkey"),
+    )
     return joined.groupBy("segment", "date").agg(cents("o_totalprice", "actual"))
 
 
@@ -73,7 +75,9 @@ MONTHLY = "monthly AS (SELECT date_trunc('month', o_orderdate)::DATE AS date, ro
 
 def daily(spark: SparkSession, d: str) -> DataFrame:
     """(date, actual): revenue by day of shipping."""
-    return table(spark, d, "lineitem").groupBy(F.to_date("l_shipdate").alias("date")).agg(F.round(F.sum("l_extendedprice"), 2).alias("actual"))
+    return table(spark, d, "lineitem").groupBy(F.to_date("l_shipdate").alias("date")).agg(
+        F.round(F.sum("l_extendedprice"), 2).alias("actual")
+    )
 
 
 DAILY = "daily AS (SELECT l_shipdate::DATE AS date, round(sum(l_extendedprice), 2) AS actual FROM lineitem GROUP BY ALL)"
@@ -81,7 +85,9 @@ DAILY = "daily AS (SELECT l_shipdate::DATE AS date, round(sum(l_extendedprice),
 
 def naive_forecast(days: DataFrame) -> DataFrame:
     """(month_start, forecast_total): the total of twelve months before."""
-    return daily_to_monthly(days).select(F.add_months("month_start", 12).alias("month_start"), F.round("actual_month_total", 2).alias("forecast_total"))
+    return daily_to_monthly(days).select(
+        F.add_months("month_start", 12).alias("month_start"), F.round("actual_month_total", 2).alias("forecast_total"),
+    )
 
 
 NAIVE = "naive AS (SELECT (date_trunc('month', date) + INTERVAL 12 MONTH)::DATE AS month_start, round(sum(actual), 2) AS forecast_total FROM daily GROUP BY ALL)"
@@ -89,12 +95,16 @@ NAIVE = "naive AS (SELECT (date_trunc('month', date) + INTERVAL 12 MONTH)::DATE
 # ---------------------------------------------------------------- roll-ups
 
 
-@query("SELECT o_orderdate::DATE AS date, round(sum(o_totalprice), 2) AS actual FROM orders WHERE o_orderstatus = 'F' AND o_orderdate IS NOT NULL GROUP BY ALL")
+@query(
+    "SELECT o_orderdate::DATE AS date, round(sum(o_totalprice), 2) AS actual FROM orders WHERE o_orderstatus = 'F' AND o_orderdate IS NOT NULL GROUP BY ALL"
+)
 def daily_totals(spark: SparkSession, d: str) -> DataFrame:
     return rounded(build_daily_totals(table(spark, d, "orders"), "o_orderdate", "o_totalprice", "o_orderstatus", "F"), 2)
 
 
-@query("SELECT date_trunc('month', o_orderdate)::DATE AS month_start, round(sum(o_totalprice), 2) AS actual_month_total FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL")
+@query(
+    "SELECT date_trunc('month', o_orderdate)::DATE AS month_start, round(sum(o_totalprice), 2) AS actual_month_total FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL"
+)
 def monthly_totals(spark: SparkSession, d: str) -> DataFrame:
     return rounded(daily_to_monthly(build_daily_totals(table(spark, d, "orders"), "o_orderdate", "o_totalprice", "o_orderstatus", "F")), 2)
 
@@ -142,12 +152,17 @@ def _rows(n: int) -> str:
 _ORDER = {"group_by": "segment", "order_by": "date"}
 
 
-@query(f"WITH {PANEL} SELECT segment, date, actual, lag(actual, 1) {_W} AS actual_lag_1, lag(actual, 3) {_W} AS actual_lag_3, lag(actual, 12) {_W} AS actual_lag_12 FROM panel")
+@query(
+    f"WITH {PANEL} SELECT segment, date, actual, lag(actual, 1) {_W} AS actual_lag_1, lag(actual, 3) {_W} AS actual_lag_3, lag(actual, 12) {_W} AS actual_lag_12 FROM panel"
+)
 def lag_features(spark: SparkSession, d: str) -> DataFrame:
     return Lag("actual", [1, 3, 12], **_ORDER).fit_transform(panel(spark, d))
 
 
-_AGGREGATES = {"mean": "avg(actual)", "sum": "sum(actual)", "min": "min(actual)", "max": "max(actual)", "std": "stddev_samp(actual)", "var": "var_samp(actual / 1000)", "count": "count(actual)"}
+_AGGREGATES = {
+    "mean": "avg(actual)", "sum": "sum(actual)", "min": "min(actual)", "max": "max(actual)",
+    "std": "stddev_samp(actual)", "var": "var_samp(actual / 1000)", "count": "count(actual)",
+}
 
 
 @query("WITH " + PANEL + " SELECT segment, date, actual, " + ", ".join(f"round({x} {_rows(w)}, 4) AS actual_rolling_{a}_{w}" if a != "count" else f"({x} {_rows(w)})::DOUBLE AS actual_rolling_{a}_{w}" for w in (3, 6) for a, x in _AGGREGATES.items() if a != "var") + " FROM panel")
@@ -155,7 +170,9 @@ def rolling_features(spark: SparkSession, d: str) -> DataFrame:
     return rounded(Rolling("actual", [3, 6], ["mean", "sum", "min", "max", "std", "count"], **_ORDER).fit_transform(panel(spark, d)), 4)
 
 
-@query(f"WITH {PANEL} SELECT segment, date, actual, round(quantile_cont(actual, 0.5) {_rows(3)}, 4) AS actual_rolling_median_3, round(quantile_cont(actual, 0.5) {_rows(4)}, 4) AS actual_rolling_median_4 FROM panel")
+@query(
+    f"WITH {PANEL} SELECT segment, date, actual, round(quantile_cont(actual, 0.5) {_rows(3)}, 4) AS actual_rolling_median_3, round(quantile_cont(actual, 0.5) {_rows(4)}, 4) AS actual_rolling_median_4 FROM panel"
+)
 def rolling_median(spark: SparkSession, d: str) -> DataFrame:
     return rounded(Rolling("actual", [3, 4], ["median"], **_ORDER).fit_transform(panel(spark, d)), 4)
 
@@ -173,7 +190,9 @@ _HOLES = "holes AS (SELECT segment, date, CASE WHEN month(date) = 5 THEN NULL WH
 
 def holes(spark: SparkSession, d: str) -> DataFrame:
     """The panel with nulls in May and zeros in August."""
-    return panel(spark, d).withColumn("actual", F.when(F.month("date") == 5, None).when(F.month("date") == 8, 0.0).otherwise(F.col("actual")))
+    return panel(spark, d).withColumn(
+        "actual", F.when(F.month("date") == 5, None).when(F.month("date") == 8, 0.0).otherwise(F.col("actual")),
+    )
 
 
 @query(f"""WITH {PANEL}, {_HOLES}, f AS (SELECT *, last_value(actual IGNORE NULLS) {_rows(1000000)} AS p FROM holes)
@@ -194,7 +213,9 @@ _CIRCLE = lambda x, n, s: f"round(sin(2 * pi() * {x} / {n}), 6) + 0.0 AS d_{s}_s
     SELECT d, month(d)::INTEGER AS d_month, {_CIRCLE('month(d)', 12, 'month')}, quarter(d)::INTEGER AS d_quarter, {_CIRCLE('quarter(d)', 4, 'quarter')}, year(d)::INTEGER AS d_year,
            (isodow(d) - 1)::INTEGER AS d_day_of_week, {_CIRCLE('(isodow(d) - 1)', 7, 'dow')}, day(d)::INTEGER AS d_day_of_month, week(d)::INTEGER AS d_week_of_year FROM t""")
 def seasonal_features(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(Seasonal("d", ["month", "quarter", "year", "day_of_week", "day_of_month", "week_of_year"]).fit_transform(_dates(spark, d)))
+    return rounded(
+        Seasonal("d", ["month", "quarter", "year", "day_of_week", "day_of_month", "week_of_year"]).fit_transform(_dates(spark, d))
+    )
 
 
 @query("""WITH t AS (SELECT DISTINCT o_orderdate::DATE AS d FROM orders),
@@ -213,7 +234,12 @@ def calendar_features(spark: SparkSession, d: str) -> DataFrame:
     SELECT c_custkey, c_mktsegment, c_acctbal, round(m, 4) AS c_acctbal_group_mean, round(sd, 4) AS c_acctbal_group_std, round(md, 4) AS c_acctbal_group_median, round((c_acctbal - m) / nullif(sd, 0), 4) AS c_acctbal_zscore
     FROM customer LEFT JOIN s USING (c_mktsegment)""")
 def statistical_grouped(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(Statistical("c_acctbal", group_by="c_mktsegment").fit_transform(table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")), 4)
+    return rounded(
+        Statistical("c_acctbal", group_by="c_mktsegment").fit_transform(
+            table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+        ),
+        4,
+    )
 
 
 @query("""WITH s AS (SELECT avg(c_acctbal) AS m, stddev_samp(c_acctbal) AS sd, quantile_cont(c_acctbal, 0.5) AS md FROM customer)
@@ -226,17 +252,31 @@ def statistical_global(spark: SparkSession, d: str) -> DataFrame:
     round(sin(2 * pi() * month(date) / 12), 4) + 0.0 AS date_month_sin, round(cos(2 * pi() * month(date) / 12), 4) + 0.0 AS date_month_cos, quarter(date)::INTEGER AS date_quarter,
     round(sin(2 * pi() * quarter(date) / 4), 4) + 0.0 AS date_quarter_sin, round(cos(2 * pi() * quarter(date) / 4), 4) + 0.0 AS date_quarter_cos FROM panel""")
 def feature_pipeline(spark: SparkSession, d: str) -> DataFrame:
-    config = ConfigManager(values={"feature_engineering": {"features": [{"type": "lag", "columns": ["actual"]}, {"type": "rolling_mean", "column": "actual"}, {"type": "seasonal", "date_column": "date"}, {"type": "nonsense"}]}})
+    config = ConfigManager(
+        values={
+            "feature_engineering": {
+                "features": [
+                    {"type": "lag", "columns": ["actual"]}, {"type": "rolling_mean", "column": "actual"},
+                    {"type": "seasonal", "date_column": "date"}, {"type": "nonsense"},
+                ]
+            }
+        }
+    )
     return rounded(FeaturePipeline.from_config(config).fit_transform(panel(spark, d), "segment", "date"), 4)
 
 
 # ---------------------------------------------------------------- series
 
 
-@query("""SELECT DISTINCT o_orderdate::DATE AS d, date_trunc('month', o_orderdate)::DATE AS slash, date_trunc('month', o_orderdate)::DATE AS dash, date_trunc('month', o_orderdate)::DATE AS seven, o_orderdate::DATE AS eight, NULL::DATE AS bad FROM orders""")
+@query(
+    """SELECT DISTINCT o_orderdate::DATE AS d, date_trunc('month', o_orderdate)::DATE AS slash, date_trunc('month', o_orderdate)::DATE AS dash, date_trunc('month', o_orderdate)::DATE AS seven, o_orderdate::DATE AS eight, NULL::DATE AS bad FROM orders"""
+)
 def year_period_parse(spark: SparkSession, d: str) -> DataFrame:
     p = lambda f: year_period(F.date_format("d", f))
-    return _dates(spark, d).select("d", p("yyyy/MM").alias("slash"), p("yyyy-MM").alias("dash"), p("yyyy'0'MM").alias("seven"), p("yyyyMMdd").alias("eight"), year_period(F.concat(F.date_format("d", "yyyy"), F.lit("013"))).alias("bad"))
+    return _dates(spark, d).select(
+        "d", p("yyyy/MM").alias("slash"), p("yyyy-MM").alias("dash"), p("yyyy'0'MM").alias("seven"),
+        p("yyyyMMdd").alias("eight"), year_period(F.concat(F.date_format("d", "yyyy"), F.lit("013"))).alias("bad"),
+    )
 
 
 @query("""WITH q AS (SELECT quantile_cont(l_extendedprice, 0.25) AS a, quantile_cont(l_extendedprice, 0.75) AS b FROM lineitem)
@@ -246,7 +286,9 @@ def outlier_iqr(spark: SparkSession, d: str) -> DataFrame:
     return rounded(handle_outliers(rows, "l_extendedprice", "iqr", 0.5), 4)
 
 
-@query(f"WITH {MONTHLY}, s AS (SELECT avg(actual) AS m, stddev_samp(actual) AS sd FROM monthly) SELECT date, round(greatest(least(actual, m + sd), m - sd), 2) AS actual FROM monthly, s")
+@query(
+    f"WITH {MONTHLY}, s AS (SELECT avg(actual) AS m, stddev_samp(actual) AS sd FROM monthly) SELECT date, round(greatest(least(actual, m + sd), m - sd), 2) AS actual FROM monthly, s"
+)
 def outlier_zscore(spark: SparkSession, d: str) -> DataFrame:
     return rounded(handle_outliers(monthly(spark, d), "actual", "zscore", 1.0), 2)
 
@@ -284,35 +326,68 @@ def _details(spark: SparkSession, df: DataFrame, rule: quality.Rule, *keys: str)
     r = rule.check(df)
     row = (r["rule_name"], r["rule_type"], r["passed"], *(r["details"][k] for k in keys))
     kinds = {int: "long", float: "double", bool: "boolean", str: "string"}
-    return spark.createDataFrame([row], "rule_name string, rule_type string, passed boolean, " + ", ".join(f"{k} {kinds[type(r['details'][k])]}" for k in keys))
+    return spark.createDataFrame(
+        [row],
+        "rule_name string, rule_type string, passed boolean, " + ", ".join(f"{k} {kinds[type(r['details'][k])]}" for k in keys),
+    )
 
 
-@query("SELECT 'nulls' AS rule_name, 'null_check' AS rule_type, count(*) = count(nullif(o_orderpriority, '1-URGENT')) AS passed, count(*) - count(nullif(o_orderpriority, '1-URGENT')) AS p_null_count, (count(*) - count(nullif(o_orderpriority, '1-URGENT'))) / count(*) * 100 AS p_null_percentage FROM orders")
+@query(
+    "SELECT 'nulls' AS rule_name, 'null_check' AS rule_type, count(*) = count(nullif(o_orderpriority, '1-URGENT')) AS passed, count(*) - count(nullif(o_orderpriority, '1-URGENT')) AS p_null_count, (count(*) - count(nullif(o_orderpriority, '1-URGENT'))) / count(*) * 100 AS p_null_percentage FROM orders"
+)
 def quality_null(spark: SparkSession, d: str) -> DataFrame:
-    return _details(spark, table(spark, d, "orders").select(F.nullif("o_orderpriority", F.lit("1-URGENT")).alias("p")), quality.NullRule("nulls", ["p"]), "p_null_count", "p_null_percentage")
+    return _details(
+        spark, table(spark, d, "orders").select(F.nullif("o_orderpriority", F.lit("1-URGENT")).alias("p")),
+        quality.NullRule("nulls", ["p"]), "p_null_count", "p_null_percentage",
+    )
 
 
 @query("""SELECT 'dates' AS rule_name, 'date_range' AS rule_type, false AS passed, count(*) FILTER (o_orderdate < DATE '1996-01-01') AS below_min_date, count(*) FILTER (o_orderdate > DATE '2000-12-31') AS above_max_date,
     strftime(min(o_orderdate), '%Y-%m-%d') AS data_min_date, strftime(max(o_orderdate), '%Y-%m-%d') AS data_max_date FROM orders""")
 def quality_date_range(spark: SparkSession, d: str) -> DataFrame:
-    return _details(spark, table(spark, d, "orders"), quality.DateRangeRule("dates", "o_orderdate", "1996-01-01", "2000-12-31"), "below_min_date", "above_max_date", "data_min_date", "data_max_date")
+    return _details(
+        spark, table(spark, d, "orders"), quality.DateRangeRule("dates", "o_orderdate", "1996-01-01", "2000-12-31"),
+        "below_min_date", "above_max_date", "data_min_date", "data_max_date",
+    )
 
 
-@query("SELECT 'positive' AS rule_name, 'positive_value' AS rule_type, count(*) FILTER (c_acctbal < 0) = 0 AS passed, count(*) FILTER (c_acctbal < 0) AS negative_values, count(*) FILTER (c_acctbal = 0) AS zero_values, min(c_acctbal) AS min_value, max(c_acctbal) AS max_value FROM customer")
+@query(
+    "SELECT 'positive' AS rule_name, 'positive_value' AS rule_type, count(*) FILTER (c_acctbal < 0) = 0 AS passed, count(*) FILTER (c_acctbal < 0) AS negative_values, count(*) FILTER (c_acctbal = 0) AS zero_values, min(c_acctbal) AS min_value, max(c_acctbal) AS max_value FROM customer"
+)
 def quality_positive(spark: SparkSession, d: str) -> DataFrame:
-    return _details(spark, table(spark, d, "customer"), quality.PositiveRule("positive", "c_acctbal"), "negative_values", "zero_values", "min_value", "max_value")
+    return _details(
+        spark, table(spark, d, "customer"), quality.PositiveRule("positive", "c_acctbal"), "negative_values",
+        "zero_values", "min_value", "max_value",
+    )
 
 
-@query("SELECT 'duplicates' AS rule_name, 'duplicate_check' AS rule_type, count(*) = count(DISTINCT (l_orderkey, l_linenumber)) AS passed, count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS duplicate_count, count(*) AS total_records FROM lineitem")
+@query(
+    "SELECT 'duplicates' AS rule_name, 'duplicate_check' AS rule_type, count(*) = count(DISTINCT (l_orderkey, l_linenumber)) AS passed, count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS duplicate_count, count(*) AS total_records FROM lineitem"
+)
 def quality_duplicate(spark: SparkSession, d: str) -> DataFrame:
-    return _details(spark, table(spark, d, "lineitem"), quality.DuplicateRule("duplicates", ["l_orderkey", "l_linenumber"]), "duplicate_count", "total_records")
+    return _details(
+        spark, table(spark, d, "lineitem"), quality.DuplicateRule("duplicates", ["l_orderkey", "l_linenumber"]),
+        "duplicate_count", "total_records",
+    )
 
 
 @query("""SELECT 'nulls' AS rule_name, 'null_check' AS rule_type, true AS passed UNION ALL SELECT 'positive', 'positive_value', count(*) FILTER (c_acctbal < 0) = 0 FROM customer
     UNION ALL SELECT 'unique', 'duplicate_check', count(*) = count(DISTINCT c_custkey) FROM customer UNION ALL SELECT 'some', 'custom', count(*) > 10 FROM customer UNION ALL SELECT 'broken', 'custom', false""")
 def quality_report(spark: SparkSession, d: str) -> DataFrame:
-    config = ConfigManager(values={"validation": {"rules": [{"type": "null", "name": "nulls", "columns": ["c_acctbal", "absent"]}, {"type": "positive", "name": "positive", "column": "c_acctbal"}, {"type": "duplicate", "name": "unique", "columns": ["c_custkey"]}]}})
-    checks = quality.Validator.from_config(config).add_custom_rule("some", lambda df: df.count() > 10).add_custom_rule("broken", lambda df: df.select("absent").count())
+    config = ConfigManager(
+        values={
+            "validation": {
+                "rules": [
+                    {"type": "null", "name": "nulls", "columns": ["c_acctbal", "absent"]},
+                    {"type": "positive", "name": "positive", "column": "c_acctbal"},
+                    {"type": "duplicate", "name": "unique", "columns": ["c_custkey"]},
+                ]
+            }
+        }
+    )
+    checks = quality.Validator.from_config(config).add_custom_rule("some", lambda df: df.count() > 10).add_custom_rule(
+        "broken", lambda df: df.select("absent").count(),
+    )
     return quality.report_frame(spark, checks.validate(table(spark, d, "customer"))).drop("details")
 
 
@@ -334,7 +409,9 @@ def accuracy_metrics(spark: SparkSession, d: str) -> DataFrame:
     return rounded(found.withColumns({c: F.col(c) / 1e3 for c in ("mae", "rmse", "bias")} | {"mse": F.col("mse") / 1e6}), 4)
 
 
-@query(f"""WITH {_PAIRS} SELECT (row_number() OVER (ORDER BY date))::INTEGER AS horizon, strftime(date, '%Y-%m') AS month, round(actual, 2) AS actual_mean, round(p, 2) AS pred_mean, round(abs(actual - p), 2) AS mae, round(abs(actual - p) / abs(actual) * 100, 2) AS wape FROM c""")
+@query(
+    f"""WITH {_PAIRS} SELECT (row_number() OVER (ORDER BY date))::INTEGER AS horizon, strftime(date, '%Y-%m') AS month, round(actual, 2) AS actual_mean, round(p, 2) AS pred_mean, round(abs(actual - p), 2) AS mae, round(abs(actual - p) / abs(actual) * 100, 2) AS wape FROM c"""
+)
 def horizon_error_rows(spark: SparkSession, d: str) -> DataFrame:
     return rounded(horizon_errors(_pairs(spark, d).filter("p is not null"), "date", "actual", "p"), 2)
 
@@ -348,7 +425,10 @@ def delta_load(spark: SparkSession, d: str) -> DataFrame:
     """A first load of what was there in June 2000, a second one of what came since, and a third that finds nothing left."""
     orders = table(spark, d, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
     checkpoint = Checkpoint(f"{scratch(spark)}/last.json", spark)
-    Loader.commit(Loader(spark, orders.filter("o_orderdate < date'2000-07-01'")).load_delta("o_orderdate", checkpoint), "o_orderdate", checkpoint)
+    Loader.commit(
+        Loader(spark, orders.filter("o_orderdate < date'2000-07-01'")).load_delta("o_orderdate", checkpoint),
+        "o_orderdate", checkpoint,
+    )
     new = Loader(spark, orders).load_delta("o_orderdate", checkpoint)
     Loader.commit(new, "o_orderdate", checkpoint)
     left = Loader(spark, orders).load_delta("o_orderdate", checkpoint).count()
@@ -380,7 +460,9 @@ def _targets(days: DataFrame) -> DataFrame:
     return naive_forecast(days).filter((F.col("month_start") >= start) & (F.col("month_start") <= F.add_months(start, HORIZON)))
 
 
-@query(f"WITH {_scores_sql(5, _TARGETS)} SELECT month_start, moy::INTEGER AS moy, dom::INTEGER AS dom, dow::INTEGER AS dow, round(share, 8) AS share FROM shape")
+@query(
+    f"WITH {_scores_sql(5, _TARGETS)} SELECT month_start, moy::INTEGER AS moy, dom::INTEGER AS dom, dow::INTEGER AS dow, round(share, 8) AS share FROM shape"
+)
 def shape_rows(spark: SparkSession, d: str) -> DataFrame:
     days = daily(spark, d)
     return rounded(shape_table(month_history(_targets(days), days, 5), AllocationConfig(history_years=5)), 8)
@@ -392,14 +474,19 @@ def raw_score_rows(spark: SparkSession, d: str) -> DataFrame:
     return rounded(raw_scores(_targets(days), days, AllocationConfig(history_years=5)), 8)
 
 
-@query(f"WITH {_scores_sql(3, _TARGETS)} SELECT month_start, date, round(score, 8) AS score, round(score / sum(score) OVER (PARTITION BY month_start), 8) AS weight FROM scores")
+@query(
+    f"WITH {_scores_sql(3, _TARGETS)} SELECT month_start, date, round(score, 8) AS score, round(score / sum(score) OVER (PARTITION BY month_start), 8) AS weight FROM scores"
+)
 def daily_weight_rows(spark: SparkSession, d: str) -> DataFrame:
     days = daily(spark, d)
     return rounded(daily_weights(_targets(days), days, AllocationConfig()), 8)
 
 
 def _nowcast_sql(years: int, strategy: str) -> str:
-    final = {"fixed": "model", "blend": "CASE WHEN day(aod) <= 5 OR share < 0.15 THEN model ELSE 0.7 * model + 0.3 * CASE WHEN model <> 0 THEN greatest(least(mtd / share, abs(model) * 2), -abs(model) * 2) ELSE mtd / share END END"}[strategy]
+    final = {
+        "fixed": "model",
+        "blend": "CASE WHEN day(aod) <= 5 OR share < 0.15 THEN model ELSE 0.7 * model + 0.3 * CASE WHEN model <> 0 THEN greatest(least(mtd / share, abs(model) * 2), -abs(model) * 2) ELSE mtd / share END END",
+    }[strategy]
     effective = {"fixed": "'fixed'", "blend": "CASE WHEN day(aod) <= 5 OR share < 0.15 THEN 'fixed' ELSE 'blend' END"}[strategy]
     return f"""WITH {_scores_sql(years, _TARGETS)},
     x AS (SELECT s.*, DATE '{AS_OF}' AS aod, m.forecast_total AS model, h.actual, s.month_start = date_trunc('month', DATE '{AS_OF}')::DATE AS now, now AND s.date <= DATE '{AS_OF}' - 1 AS seen FROM scores s JOIN months m USING (month_start) LEFT JOIN daily h USING (date)),
@@ -450,7 +537,9 @@ def coherence_check(spark: SparkSession, d: str) -> DataFrame:
     return rounded(found.select("month_start", "expected", "total", F.abs("difference").alias("difference"), "coherent"), 4)
 
 
-@query(f"{_nowcast_sql(5, 'blend')}, w AS (SELECT date, CASE WHEN seen THEN coalesce(actual, 0) ELSE (final - mtd) * w_part END AS y FROM z) SELECT (date - (isodow(date) - 1)::INTEGER)::DATE AS week_start, (date - (isodow(date) - 1)::INTEGER + 6)::DATE AS week_end, round(sum(y), 4) AS y_pred FROM w GROUP BY ALL")
+@query(
+    f"{_nowcast_sql(5, 'blend')}, w AS (SELECT date, CASE WHEN seen THEN coalesce(actual, 0) ELSE (final - mtd) * w_part END AS y FROM z) SELECT (date - (isodow(date) - 1)::INTEGER)::DATE AS week_start, (date - (isodow(date) - 1)::INTEGER + 6)::DATE AS week_end, round(sum(y), 4) AS y_pred FROM w GROUP BY ALL"
+)
 def weekly_forecast(spark: SparkSession, d: str) -> DataFrame:
     return rounded(daily_to_weekly(_allocator(daily(spark, d), history_years=5, strategy="blend").predict_daily(AS_OF, HORIZON)), 4)
 
@@ -459,12 +548,19 @@ _GRID = "SELECT month_start, k AS day, (0.05 * k)::DOUBLE AS share, forecast_tot
 
 
 def _grid(days: DataFrame) -> DataFrame:
-    return naive_forecast(days).select("month_start", F.explode(F.sequence(F.lit(1), F.lit(20))).alias("day"), F.col("forecast_total").alias("model")).withColumn("share", F.lit(0.05) * F.col("day"))
+    return naive_forecast(days).select(
+        "month_start", F.explode(F.sequence(F.lit(1), F.lit(20))).alias("day"), F.col("forecast_total").alias("model"),
+    ).withColumn("share", F.lit(0.05) * F.col("day"))
 
 
-@query(f"WITH {DAILY}, {NAIVE}, g AS ({_GRID}) SELECT month_start, day::INTEGER AS day, CASE WHEN day <= 5 OR share < 0.15 THEN 'fixed' ELSE 'blend' END AS effective FROM g")
+@query(
+    f"WITH {DAILY}, {NAIVE}, g AS ({_GRID}) SELECT month_start, day::INTEGER AS day, CASE WHEN day <= 5 OR share < 0.15 THEN 'fixed' ELSE 'blend' END AS effective FROM g"
+)
 def strategy_resolution(spark: SparkSession, d: str) -> DataFrame:
-    return _grid(daily(spark, d)).select("month_start", "day", AllocationConfig(strategy="blend").resolve(F.col("day"), F.col("share")).alias("effective"))
+    return _grid(daily(spark, d)).select(
+        "month_start", "day",
+        AllocationConfig(strategy="blend").resolve(F.col("day"), F.col("share")).alias("effective"),
+    )
 
 
 @query(f"""WITH {DAILY}, {NAIVE}, g AS ({_GRID}), r AS (SELECT *, model * 0.4 AS mtd, greatest(least(model * 0.4 / share, abs(model) * 2), -abs(model) * 2) AS ratio FROM g)
@@ -475,10 +571,14 @@ def month_total_rows(spark: SparkSession, d: str) -> DataFrame:
     return rounded(_grid(daily(spark, d)).select("month_start", "day", final("fixed"), final("mtd_ratio"), final("blend")), 4)
 
 
-@query(f"WITH {_scores_sql(5, _TARGETS)} SELECT month_start, round(greatest(sum(CASE WHEN day(date) <= 11 THEN score ELSE 0 END) / sum(score), 0.05), 6) AS share FROM scores GROUP BY 1")
+@query(
+    f"WITH {_scores_sql(5, _TARGETS)} SELECT month_start, round(greatest(sum(CASE WHEN day(date) <= 11 THEN score ELSE 0 END) / sum(score), 0.05), 6) AS share FROM scores GROUP BY 1"
+)
 def mtd_share(spark: SparkSession, d: str) -> DataFrame:
     days = daily(spark, d)
-    sums = raw_scores(_targets(days), days, AllocationConfig(history_years=5)).groupBy("month_start").agg(F.sum(F.when(F.day("date") <= 11, F.col("score")).otherwise(0.0)).alias("seen"), F.sum("score").alias("all"))
+    sums = raw_scores(_targets(days), days, AllocationConfig(history_years=5)).groupBy("month_start").agg(
+        F.sum(F.when(F.day("date") <= 11, F.col("score")).otherwise(0.0)).alias("seen"), F.sum("score").alias("all"),
+    )
     return rounded(sums.select("month_start", expected_share(F.col("seen"), F.col("all"), 0.05).alias("share")))
 
 
@@ -495,7 +595,9 @@ def mtd_share(spark: SparkSession, d: str) -> DataFrame:
         round(any_value(final - total), 4) AS full_month_error, round(any_value(CASE WHEN abs(total) > 0 THEN (final - total) / abs(total) * 100 ELSE 0 END), 4) AS full_month_error_pct
     FROM f JOIN y ON y.month_start = f.month_start AND y.k = f.k AND y.rest GROUP BY f.month_start, f.k, strategy""")
 def intramonth_backtest(spark: SparkSession, d: str) -> DataFrame:
-    found = _allocator(daily(spark, d), history_years=5, strategy="blend").backtest_intramonth_daily(strategies=["fixed", "mtd_ratio", "blend", "scheduled"])
+    found = _allocator(daily(spark, d), history_years=5, strategy="blend").backtest_intramonth_daily(
+        strategies=["fixed", "mtd_ratio", "blend", "scheduled"]
+    )
     return rounded(found, 4)
 
 
@@ -516,7 +618,10 @@ def ridge_trend_forecast(spark: SparkSession, d: str) -> DataFrame:
     SELECT segment, horizon::INTEGER AS horizon, (last + to_months(horizon))::DATE AS date, round(y[len(y)], 4) AS prediction FROM f WHERE horizon > 0""")
 def recursive_forecast(spark: SparkSession, d: str) -> DataFrame:
     rows = panel(spark, d).withColumn("actual", F.col("actual") / 1e6)
-    return rounded(fold_forecast(rows, {"lag_1": 0.4, "lag_12": 0.3, "rolling_mean_3": 0.2, "month_sin": 0.1}, 0.5, 12, "date", "actual", "segment"), 4)
+    return rounded(
+        fold_forecast(rows, {"lag_1": 0.4, "lag_12": 0.3, "rolling_mean_3": 0.2, "month_sin": 0.1}, 0.5, 12, "date", "actual", "segment"),
+        4,
+    )
 
 
 from tidewell.plans import engine_queries, forecast_queries  # noqa: E402, F401  they register theirs with the decorator above

@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from tidewell.operators.features import Names, col, names
 
 
-def holt_winters(y: np.ndarray, periods: int, trend: str | None = "add", seasonal: str | None = "add", season: int = 12, damped: bool = False, weights: Sequence[float] | None = None) -> np.ndarray:
+def holt_winters(
+    y: np.ndarray, periods: int, trend: str | None = "add", seasonal: str | None = "add", season: int = 12,
+    damped: bool = False, weights: Sequence[float] | None = None,
+) -> np.ndarray:
     """Forecast of the ``periods`` after ``y``. Smoothing weights (level, trend, season, damping) minimise the squared
     one-step error, unless they are given.
 
@@ -52,10 +55,15 @@ def holt_winters(y: np.ndarray, periods: int, trend: str | None = "add", seasona
     if weights is not None:
         return run(*weights)[1]
     grid = [0.1, 0.3, 0.5, 0.7, 0.9]
-    best = min(product(grid, grid if trend else [0.0], grid if seasonal else [0.0], [0.9, 0.98] if damped else [1.0]), key=lambda p: run(*p)[0])
+    best = min(
+        product(grid, grid if trend else [0.0], grid if seasonal else [0.0], [0.9, 0.98] if damped else [1.0]),
+        key=lambda p: run(*p)[0],
+    )
     step = 0.1
     while step > 0.002:  # coordinate search around the best of the grid
-        tries = [tuple(min(0.999, max(0.001, v + d)) if i == j and v else v for j, v in enumerate(best)) for i in range(3) for d in (step, -step)]
+        tries = [
+            tuple(min(0.999, max(0.001, v + d)) if i == j and v else v for j, v in enumerate(best)) for i in range(3) for d in (step, -step)
+        ]
         found = min([best, *tries], key=lambda p: run(*p)[0])
         best, step = (found, step) if found != best else (best, step / 2)
     return run(*best)[1]
@@ -67,19 +75,30 @@ def holt_winters_forecast(df: DataFrame, date_column: str, target: str, periods:
 
     def forecast(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date")
-        out = pd.DataFrame({"date": pd.date_range(pd.Timestamp(pdf["date"].iloc[-1]) + pd.offsets.MonthBegin(1), periods=periods, freq="MS").date, "prediction": holt_winters(pdf["y"].to_numpy(), periods, **options)})
+        out = pd.DataFrame(
+            {
+                "date": pd.date_range(pd.Timestamp(pdf["date"].iloc[-1]) + pd.offsets.MonthBegin(1), periods=periods, freq="MS").date,
+                "prediction": holt_winters(pdf["y"].to_numpy(), periods, **options),
+            }
+        )
         for g in groups:
             out[g] = pdf[g].iloc[0]
         return out[[*groups, "date", "prediction"]]
 
-    narrow = df.select(*map(col, groups), col(date_column).cast("date").alias("date"), F.coalesce(col(target).cast("double"), F.lit(0.0)).alias("y"))
+    narrow = df.select(
+        *map(col, groups), col(date_column).cast("date").alias("date"),
+        F.coalesce(col(target).cast("double"), F.lit(0.0)).alias("y"),
+    )
     if not groups:
         narrow = narrow.withColumn("__all", F.lit(1))
     schema = ", ".join([*(f"`{g}` {narrow.schema[g].dataType.simpleString()}" for g in groups), "date date, prediction double"])
     return narrow.groupBy(*map(col, groups or ["__all"])).applyInPandas(forecast, schema)
 
 
-def trend_fourier_forecast(df: DataFrame, date_column: str, target: str, periods: int, order: int = 3, z: float = 1.2816, group_by: Names = None, regressors: Sequence[str] = ()) -> DataFrame:
+def trend_fourier_forecast(
+    df: DataFrame, date_column: str, target: str, periods: int, order: int = 3, z: float = 1.2816,
+    group_by: Names = None, regressors: Sequence[str] = (),
+) -> DataFrame:
     """[group,] date, prediction, prediction_lower and prediction_upper of the months after each group's last date.
 
     A linear trend, ``order`` yearly Fourier terms and any ``regressors`` (numeric columns, null is 0; in months to come
@@ -115,5 +134,10 @@ def trend_fourier_forecast(df: DataFrame, date_column: str, target: str, periods
     narrow = df.select(*map(col, groups), col(date_column).cast("date").alias("date"), col(target).cast("double").alias("y"), *extra)
     if not groups:
         narrow = narrow.withColumn("__all", F.lit(1))
-    schema = ", ".join([*(f"`{g}` {narrow.schema[g].dataType.simpleString()}" for g in groups), "date date, prediction double, prediction_lower double, prediction_upper double"])
+    schema = ", ".join(
+        [
+            *(f"`{g}` {narrow.schema[g].dataType.simpleString()}" for g in groups),
+            "date date, prediction double, prediction_lower double, prediction_upper double",
+        ]
+    )
     return narrow.groupBy(*map(col, groups or ["__all"])).applyInPandas(forecast, schema)

@@ -75,7 +75,10 @@ def jdbc_options(config: Any, section: str = "snowflake") -> dict[str, str]:
     missing = [k for k in ("account", "user", "warehouse", "database", "schema") if not get(k)]
     if missing:
         raise ValueError(f"connection settings are missing: {missing}")
-    out = more | {"url": f"jdbc:snowflake://{get('account')}.snowflakecomputing.com/", "user": get("user"), "warehouse": get("warehouse"), "db": get("database"), "schema": get("schema")}
+    out = more | {
+        "url": f"jdbc:snowflake://{get('account')}.snowflakecomputing.com/", "user": get("user"),
+        "warehouse": get("warehouse"), "db": get("database"), "schema": get("schema"),
+    }
     out |= {"password": get("password")} if get("password") else {}
     out |= {"authenticator": get("authenticator") or ("" if get("password") else "externalbrowser")}
     return {k: v for k, v in (out | {"role": get("role") or ""}).items() if v}
@@ -147,7 +150,9 @@ class Loader:
         if not self.jdbc:
             raise RuntimeError("not connected")
         by_parts = "partitionColumn" in self.jdbc  # Spark takes a table then, not a query
-        return self.spark.read.format("jdbc").options(**self.jdbc).option("dbtable" if by_parts else "query", f"({sql}) t" if by_parts else sql).load()
+        return self.spark.read.format("jdbc").options(**self.jdbc).option(
+            "dbtable" if by_parts else "query", f"({sql}) t" if by_parts else sql,
+        ).load()
 
     def test_connection(self) -> bool:
         try:
@@ -169,8 +174,12 @@ class Loader:
         last = checkpoint.read()
         if self.table is None:
             where = "" if last is None else f" WHERE {quoted(column)} > {_literal(last)}"
-            return self.execute(f"SELECT * FROM {self.name}{where}" + (f" ORDER BY {quoted(column)} LIMIT {int(limit)}" if limit is not None else ""))
-        rows = self.table if last is None else self.table.filter(F.col(f"`{column}`") > F.lit(last).cast(self.table.schema[column].dataType))
+            return self.execute(
+                f"SELECT * FROM {self.name}{where}" + (f" ORDER BY {quoted(column)} LIMIT {int(limit)}" if limit is not None else "")
+            )
+        rows = self.table if last is None else self.table.filter(
+            F.col(f"`{column}`") > F.lit(last).cast(self.table.schema[column].dataType)
+        )
         return rows if limit is None else rows.orderBy(column).limit(limit)
 
     @staticmethod

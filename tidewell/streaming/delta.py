@@ -10,11 +10,16 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 
-def load_new_files(spark: SparkSession, source: str, target: str, checkpoint: str, schema: StructType, transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+def load_new_files(
+    spark: SparkSession, source: str, target: str, checkpoint: str, schema: StructType,
+    transform: Callable[[DataFrame], DataFrame] | None = None,
+) -> StreamingQuery:
     """Append what came to ``source`` since the last run to ``target``; the checkpoint folder remembers what was read."""
     rows = spark.readStream.schema(schema).parquet(source)
     out = transform(rows) if transform else rows
-    query = out.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = out.writeStream.format("parquet").option("path", target).option(
+        "checkpointLocation", checkpoint,
+    ).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
@@ -23,5 +28,7 @@ def daily_totals_stream(rows: DataFrame, time_column: str, amount_column: str, l
     """Totals by day of a stream; a day is final once the watermark (late postings) has passed it."""
     return (
         rows.withColumn("__t", F.col(time_column).cast("timestamp")).withWatermark("__t", late)
-        .groupBy(F.window("__t", "1 day").alias("w")).agg(F.sum(amount_column).alias("actual")).select(F.to_date("w.start").alias("date"), "actual")
+        .groupBy(F.window("__t", "1 day").alias("w")).agg(F.sum(amount_column).alias("actual")).select(
+            F.to_date("w.start").alias("date"), "actual",
+        )
     )
