@@ -367,6 +367,7 @@ def test_langid(spark, docs, odd, empty):
     found = langid.identify(odd, learned).collect()
     assert len(found) == len(ROWS) and {r.lang_pred for r in found if r.doc_id in (1, 2, 3)} == {"und"}
     assert langid.learn(empty.select("text", "lang")) == {} and {r.lang_pred for r in langid.identify(odd, {}).collect()} == {"und"}
+    assert langid.identify(empty, learned).count() == 0
     long = docs.filter(~langid.held_out())
     assert langid.learn(long.select("text", "lang")) == langid.learn(long.repartition(6).select("text", "lang"))
 
@@ -391,6 +392,11 @@ def test_packing(name, request):
             assert r.start == sum(map(len, got.get(r.doc_id, []))) // 4
             got.setdefault(r.doc_id, []).append(r.ids)
         assert sorted(brute.crc(np.frombuffer(b"".join(x), "<u4").tolist()) for x in got.values()) == want
+    whole = {}
+    for r in df.select("doc_id", "text").collect():
+        whole.setdefault(r.doc_id, []).append(brute.ids(r.text))
+    for r in rows:  # each piece is that stretch of a document with its doc_id
+        assert np.frombuffer(r.ids, "<u4").tolist() in [x[r.start : r.start + r.length] for x in whole[r.doc_id] if len(x) == r.doc_tokens]
     assert sum(r.length for r in rows) == sum(len(brute.ids(r.text)) for r in df.select("text").collect())
     assert len(by) * 4096 - sum(r.length for r in rows) < 4096 * df.rdd.getNumPartitions()
 
@@ -535,6 +541,34 @@ def test_exact_dedup_of_beyond_ascii_and_salted_groups(spark):
     assert exact_dedup.dedup(df).count() == 751
 
 
+def test_very_long_texts(spark):
+    """Texts of two million bytes go through every operator whole."""
+    r = random.Random(40)
+    stock = [f"v{i}" for i in range(5000)]
+    lines = [" ".join(r.choices(stock, k=20)) for _ in range(16_000)]
+    first = "\n".join(lines)
+    rows = [(1, first, "en", "a"), (2, first.replace("\n", " \t"), "en", "a"), (3, first + "\nthe bearer is Zx81kLpQ0vR7tWn3YbGm2HsQ", "en", "b"), (4, "short text", "de", "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    n = 320_000
+    assert len(first) > 1_500_000
+    pieces = packing.pack(df).collect()
+    want = {d: brute.ids(t) for d, t, *_ in rows}
+    assert all(np.frombuffer(p.ids, "<u4").tolist() == want[p.doc_id][p.start : p.start + p.length] for p in pieces) and sum(p.length for p in pieces) == sum(map(len, want.values()))
+    back = {x.doc_id: np.frombuffer(x.ids, "<u4").tolist() for x in token_files.read_tokens(spark, token_files.write_tokens(df)).collect()}
+    assert back == want
+    fps = {x.doc_id: x.fp for x in simhash.near_classes(df).collect()}
+    assert fps[1] == fps[2] and fps[4] != fps[1]
+    assert {x.doc_id: (x.keep_id, x.group_size) for x in exact_dedup.exact_classes(df).collect()} == {1: (1, 2), 2: (1, 2), 3: (3, 1), 4: (4, 1)}
+    spans = {x.doc_id: [(y.start, y.end) for y in x.spans] for x in suffixes.repeats(df).collect()}
+    assert spans == {1: [(0, n)], 2: [(0, n)], 3: [(0, n)]}
+    judged = {x.doc_id: x for x in line_quality.judge(df).collect()}
+    assert judged[1].n_words == n and judged[3].word_chars == sum(map(len, rows[2][1].split())) and judged[2].kept
+    assert {x.doc_id: x["size"] for x in mixing.mix(df).collect()} == {1: n, 2: n, 3: n + 4, 4: 2}
+    found = {x.doc_id: [(y.kind, y.start) for y in x.spans] for x in secrets.find_secrets(df).collect()}
+    assert found == {1: [], 2: [], 3: [("novel", len(rows[2][1]) - 24)], 4: []}
+    assert {x.lang_pred for x in langid.identify(df, langid.learn(df.select("text", "lang"))).collect()} <= {"en", "de"}
+
+
 def test_hot_keys_join_where_their_rows_lie(spark, monkeypatch):
     from tidewell.llm import _common
 
