@@ -372,7 +372,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     shared = written(anchors.groupBy("run").agg(F.count(F.lit(1)).alias("n"), *ends).filter(several).select("run", "n"), "shared")
     kept = join_keys(anchors, shared, ["run"], "n").groupBy(*_DOC).agg(F.collect_set(F.struct("place", "run")).alias("found"))
     sided = rows.join(kept, _DOC).mapInArrow(_contexts, "run long, next long, right binary, left binary, doc_id long, h long, place int")
-    array = sided.repartitionByRange("run", "next", "doc_id").sortWithinPartitions(*_COLUMNS).select(*_COLUMNS)
+    array = sided.repartitionByRange("run", "next", "doc_id", "place").sortWithinPartitions(*_COLUMNS).select(*_COLUMNS)
     found = written(array.mapInArrow(_searched, _FOUND), "found")
     cut_off = found.filter("window is not null").select("window", "window2", *_DOC, "start", "end")
     held = cut_off.groupBy("window", "window2").agg(*ends).filter(several)
