@@ -172,3 +172,63 @@ def judged(rows, min_docs, min_share, depleted=0.3):
         n, _, _, _, repeated_ = base_measures(t)
         out.append((d, gone, not (n < 50 or 2 * repeated_ > n) and n - gone >= depleted * n))
     return out
+
+
+def mixed(rows, targets, budget, seed=17):
+    """Copies taken of each row (doc_id, text, source), as a list in the order of ``rows``: one queue for each source, one stream."""
+    import struct
+
+    signed = lambda x: x - 2**64 if x >> 63 else x
+
+    def key(row):
+        h = xxh64_intdigest(struct.pack("<i", seed), 42)
+        for part in (None if row[0] is None else struct.pack("<q", row[0]), *(None if x is None else x.encode() for x in row[1:])):
+            h = h if part is None else xxh64_intdigest(part, h)
+        return signed(h)
+
+    sizes = [len(words(t)) for _, t, _ in rows]
+    totals = {s: sum(n for n, r in zip(sizes, rows, strict=True) if r[2] == s) for s in {r[2] for r in rows}}
+    queues, stream = dict.fromkeys(totals, 0), []
+    for i in sorted(range(len(rows)), key=lambda i: (key(rows[i]), rows[i][0] is not None, rows[i][0] or 0)):
+        s = rows[i][2]
+        queues[s] += sizes[i]
+        for copy in (0, 1):
+            stream.append(((queues[s] + copy * totals[s]) / targets[s] if targets[s] > 0 else 0.0, key(rows[i]), copy, i))
+    out, used = [0] * len(rows), 0
+    for _, _, _, i in sorted(stream):
+        used += sizes[i]
+        if used > budget:
+            break
+        out[i] += 1
+    return out
+
+
+def languages(training, per_lang=400, dict_bytes=112 * 1024):
+    """Dictionary content of each language of (text, lang), the commonest language first."""
+    signed = lambda x: x - 2**64 if x >> 63 else x
+    counts, found = {}, {}
+    for _, lang in training:
+        if lang is not None:
+            counts[lang] = counts.get(lang, 0) + 1
+    for lang in sorted(counts, key=lambda x: (-counts[x], x)):
+        texts = sorted({t for t, k in training if k == lang and t}, key=lambda t: signed(xxh64_intdigest(t.encode(), 42)))[:per_lang]
+        if texts:
+            share = -(-dict_bytes // len(texts))
+            parts = [t[max(0, int((len(t) - share) / 2)) :][:share].lower() for t in texts]
+            found[lang] = " ".join(parts).encode()[-dict_bytes:]
+    return found
+
+
+def language(text, dictionaries):
+    import zstandard
+
+    text = (text or "").lower()
+    if not any(c.isalpha() for c in text):
+        return "und", 0.0
+    raw, sizes = text.encode(), []
+    for lang, content in dictionaries.items():
+        d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        size = lambda part, d=d: len(zstandard.ZstdCompressor(level=6, dict_data=d, write_content_size=False, write_checksum=False).compress(part))
+        sizes.append((sum(size(raw[i : i + 1024]) for i in range(0, len(raw), 1024)), lang))
+    best, second = sorted(sizes, key=lambda x: x[0])[:2]
+    return best[1], 1 - best[0] / second[0]

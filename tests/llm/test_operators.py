@@ -128,6 +128,35 @@ def test_simhash_links_planted_distances(spark):
     simhash.CELL = 1024
 
 
+@pytest.mark.parametrize("name", ["docs", "odd"])
+def test_mixing_equals_a_plain_queue(name, request):
+    from collections import Counter
+
+    from xxhash import xxh64_intdigest
+
+    df = request.getfixturevalue(name)
+    rows = [tuple(x) for x in df.select("doc_id", "text", "source").collect()]
+    mixed = mixing.mix(df).collect()
+    targets = {x.source: x.target for x in mixed}
+    copies = brute.mixed(rows, targets, sum(targets.values()))
+    signed = lambda t: int.from_bytes(xxh64_intdigest((t or "").encode(), 42).to_bytes(8, "big"), "big", signed=True)
+    want, got = Counter(), Counter()
+    for (d, t, s), n in zip(rows, copies, strict=True):
+        want[d, s, signed(t)] += n
+    for x in mixed:
+        got[x.doc_id, x.source, x.h] += x.copies
+    assert +got == +want and sum(copies) > 0
+
+
+def test_langid_equals_plain_version(docs):
+    held = docs.filter(~langid.held_out()).select("text", "lang")
+    learned = brute.languages([tuple(x) for x in held.collect()], 20, 8192)
+    assert langid.learn(held, 20, 8192) == learned and len(learned) > 1
+    texts = {x.doc_id: x.text for x in docs.collect() if x.doc_id % 3 == 0}
+    found = {x.doc_id: (x.lang_pred, x.score) for x in langid.identify(docs, learned).collect()}
+    assert all(found[d] == pytest.approx(brute.language(t, learned)) for d, t in texts.items())
+
+
 def test_mixing_takes_rows_as_often_as_the_mix_says(spark, docs, odd):
     from collections import Counter
 
