@@ -91,6 +91,13 @@ def test_unfitted_missing_and_empty(spark):
         FeaturePipeline([Lag("x")]).transform(df)
 
 
+def test_order_comes_from_the_configuration(spark):
+    config = ConfigManager(values={"data_source": {"date_column": "i"}, "feature_engineering": {"order_by": ["j"], "features": [{"type": "lag", "columns": ["x"]}]}}, environment={})
+    df = spark.createDataFrame([(1, 2, 10.0), (1, 1, 20.0), (0, 9, 30.0)], "i int, j int, x double")
+    out = FeaturePipeline.from_config(config).fit_transform(df)
+    assert {(r.i, r.j): r.x_lag_1 for r in out.collect()} == {(0, 9): None, (1, 1): 30.0, (1, 2): 20.0}
+
+
 def test_group_key():
     assert group_key(["a", "Roll Up Shop"], None, "pc") == "Roll Up Shop" and group_key(["a"], None, None, ["a"]) == "a" and group_key(["a"]) is None
     with pytest.raises(ValueError):

@@ -64,8 +64,7 @@ def features(args: argparse.Namespace) -> int:
     spark = _session("features")
     rows = _read(spark, args.input)
     key = group_key(rows.columns, args.group_by, config.get("forecasting.segment_level"), config.get("data_source.key_columns", []))
-    order = [c for c in [config.get("data_source.date_column"), *config.get("feature_engineering.order_by", [])] if c]
-    made = FeaturePipeline.from_config(config).fit_transform(rows, key, order)
+    made = FeaturePipeline.from_config(config).fit_transform(rows, key)
     new = [c for c in made.columns if c not in rows.columns]
     print(f"{len(new)} new columns" + (": " + ", ".join(new) if args.show_features else ""))
     failed = False

@@ -237,14 +237,15 @@ def from_config(config: dict[str, Any]) -> Feature | None:
 class FeaturePipeline:
     """Operators fitted one after the other, each on the frame with the columns of those before; an empty one changes nothing."""
 
-    def __init__(self, features: Sequence[Feature] = (), enabled: bool = True) -> None:
-        self.features, self.enabled, self.fitted = list(features), enabled, False
+    def __init__(self, features: Sequence[Feature] = (), enabled: bool = True, order_by: Names = None) -> None:
+        self.features, self.enabled, self.fitted, self.order_by = list(features), enabled, False, names(order_by)
 
     @classmethod
     def from_config(cls, config: Any) -> FeaturePipeline:
         enabled = config.get("feature_engineering.enabled", True)
         made = [from_config(x) for x in config.get("feature_engineering.features", None) or []] if enabled else []
-        return cls([x for x in made if x is not None], enabled)
+        order = [config.get("data_source.date_column", None), *(config.get("feature_engineering.order_by", None) or [])]
+        return cls([x for x in made if x is not None], enabled, [c for c in order if c])
 
     def add_transformer(self, feature: Feature) -> FeaturePipeline:
         self.features.append(feature)
@@ -255,9 +256,11 @@ class FeaturePipeline:
         return self
 
     def fit_transform(self, df: DataFrame, group_by: Names = None, order_by: Names = None) -> DataFrame:
+        """``order_by`` is the configuration's (the date column and ``feature_engineering.order_by``) unless given here."""
         if self.enabled:
+            order = names(order_by) or [c for c in self.order_by if c in df.columns]
             for f in self.features:
-                f.group_by, f.order_by = f.group_by or names(group_by), f.order_by or names(order_by)
+                f.group_by, f.order_by = f.group_by or names(group_by), f.order_by or order
                 df = f.fit_transform(df)
         self.fitted = True
         return df
