@@ -91,6 +91,31 @@ def test_unfitted_missing_and_empty(spark):
         FeaturePipeline([Lag("x")]).transform(df)
 
 
+def test_scratch_tables(spark, tmp_path):
+    from tidewell import scratch
+
+    df = spark.range(5)
+    made = scratch.settled(lambda: scratch.written(df, "inner").filter("id > 2"))
+    folders = set(scratch._MADE)
+    assert made.count() == 2 and made.inputFiles()
+    other = scratch.written(df)
+    assert len(scratch._MADE) == len(folders) + 1
+    scratch.discard(other)
+    assert set(scratch._MADE) == folders and made.count() == 2
+
+    class Session:
+        """A cluster's session without the setting."""
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "spark://somewhere"
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        scratch.scratch(Session())
+
+
 def test_order_comes_from_the_configuration(spark):
     config = ConfigManager(values={"data_source": {"date_column": "i"}, "feature_engineering": {"order_by": ["j"], "features": [{"type": "lag", "columns": ["x"]}]}}, environment={})
     df = spark.createDataFrame([(1, 2, 10.0), (1, 1, 20.0), (0, 9, 30.0)], "i int, j int, x double")

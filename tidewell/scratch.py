@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,6 +56,15 @@ def written(df: DataFrame, name: str = "step") -> DataFrame:
     return out
 
 
+def settled(make: Callable[[], DataFrame], name: str = "step") -> DataFrame:
+    """``written(make())``, and the tables that making it left behind are removed: nothing of the result needs them."""
+    before = set(_MADE)
+    out = written(make(), name)
+    for path in set(_MADE) - before - {_TABLES[out]}:
+        remove(path)
+    return out
+
+
 def discard(df: DataFrame) -> None:
     """Remove a table that ``written`` made once nothing reads it any more."""
     folder = _TABLES.pop(df, None)
