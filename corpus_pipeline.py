@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm import exact_dedup, line_quality, mixing, packing, simhash
-from tidewell.llm._common import ready, scratch, spread, table
+from tidewell.llm._common import ready, spread, table
+from tidewell.scratch import discard, settled
 
 #: SQL can't express SimHash, weighted fair queueing or packing; tests compare run() with a brute-force version.
 ORACLE_SQL = None
@@ -57,8 +58,9 @@ STAGES = [("quality rules", quality), ("exact dedup", exact), ("near dedup", nea
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, folder = spread(table(spark, sf_dir, "documents")), scratch(spark)
-    for i, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
-        docs = spark.read.parquet(f"{folder}/{i}")
+    """The stages in order. What a stage has read, and what it needed meanwhile, is removed once its result is written."""
+    docs = spread(table(spark, sf_dir, "documents"))
+    for name, stage in STAGES:
+        before, docs = docs, settled(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        discard(before)
     return docs
