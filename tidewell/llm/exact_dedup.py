@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tidewell.llm._common import discard, join_keys, keep_rows, slices, written
 from tidewell.llm.polynomial import MODULI, fingerprints
 
-PART = 256  # rows of a group that one task compares, about
+PART = 32  # rows of a group in one part, about; each part has a copy of the first row
 COMPARED = 1 << 16  # bytes compared at a time
 
 _TO_SPACE = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
