@@ -15,30 +15,42 @@ ORACLE_SQL: dict[str, str] = {
         WITH RECURSIVE e AS (
             SELECT conv_id, turn, role, text, md5(conv_id || ':' || turn) AS m, m[1:1] AS x, m[2:2] AS y,
                    CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
-                   CASE role WHEN 'user' THEN conv_id || ':' || (CASE WHEN y = '0' THEN turn - 2 ELSE turn END) WHEN 'assistant' THEN conv_id || ':' || (turn - 1) END AS id
+                   CASE role WHEN 'user' THEN conv_id || ':' || (CASE WHEN y = '0' THEN turn - 2 ELSE turn END) WHEN 'assistant' THEN conv_id || ':'
+                       || (turn - 1) END AS id
             FROM conversations),
-        links AS (SELECT conv_id, id, min(turn) FILTER (kind = 'call') AS call, min(turn) FILTER (kind = 'result') AS result FROM e WHERE id IS NOT NULL GROUP BY ALL),
+        links AS (SELECT conv_id, id, min(turn) FILTER (kind = 'call') AS call, min(turn) FILTER (kind = 'result') AS result FROM e WHERE id IS NOT
+            NULL GROUP BY ALL),
         named AS (
-            SELECT conv_id, id, turn, conv_id || ':' || (turn - 2) AS target FROM e WHERE kind = 'call' AND y <> '5' AND x IN ('0', '1', '2', '3', '4', '5', '9')
+            SELECT conv_id, id, turn, conv_id || ':' || (turn - 2) AS target FROM e WHERE kind = 'call' AND y <> '5' AND x IN ('0', '1', '2', '3',
+                '4', '5', '9')
             UNION ALL SELECT conv_id, id, turn, conv_id || ':' || (turn + 2) FROM e WHERE kind = 'call' AND y <> '5' AND x IN ('6', '7', '8', '9')),
         edges AS (
             SELECT n.conv_id, n.id, n.target, greatest(n.turn, coalesce(o.result, o.call)) AS due
-            FROM named n JOIN links l ON l.conv_id = n.conv_id AND l.id = n.id AND l.call = n.turn JOIN links o ON o.conv_id = n.conv_id AND o.id = n.target AND o.call IS NOT NULL),
-        reach AS (SELECT conv_id, id, target FROM edges UNION SELECT r.conv_id, r.id, e.target FROM reach r JOIN edges e ON e.conv_id = r.conv_id AND e.id = r.target),
-        stuck AS (SELECT DISTINCT r.conv_id, r.id FROM reach r WHERE r.id = r.target OR EXISTS (FROM reach o WHERE o.conv_id = r.conv_id AND o.id = r.target AND o.target = r.target)),
+            FROM named n JOIN links l ON l.conv_id = n.conv_id AND l.id = n.id AND l.call = n.turn JOIN links o ON o.conv_id = n.conv_id AND o.id =
+                n.target AND o.call IS NOT NULL),
+        reach AS (SELECT conv_id, id, target FROM edges UNION SELECT r.conv_id, r.id, e.target FROM reach r JOIN edges e ON e.conv_id = r.conv_id AND
+            e.id = r.target),
+        stuck AS (SELECT DISTINCT r.conv_id, r.id FROM reach r WHERE r.id = r.target OR EXISTS (FROM reach o WHERE o.conv_id = r.conv_id AND o.id =
+            r.target AND o.target = r.target)),
         free AS (SELECT * FROM edges ANTI JOIN stuck USING (conv_id, id)),
-        walk AS (SELECT conv_id, id, target, due, 2 AS depth FROM free UNION SELECT w.conv_id, w.id, f.target, greatest(w.due, f.due), w.depth + 2 FROM walk w JOIN free f ON f.conv_id = w.conv_id AND f.id = w.target),
+        walk AS (SELECT conv_id, id, target, due, 2 AS depth FROM free UNION SELECT w.conv_id, w.id, f.target, greatest(w.due, f.due), w.depth + 2
+            FROM walk w JOIN free f ON f.conv_id = w.conv_id AND f.id = w.target),
         late AS (SELECT conv_id, id, max(due) AS due, max(depth) AS depth FROM walk GROUP BY ALL UNION ALL SELECT conv_id, id, NULL, -1 FROM stuck),
         s AS (
             SELECT e.*, l.call, l.result, t.due AS call_due, coalesce(t.depth, 0) AS call_depth,
-                   CASE WHEN kind = 'message' THEN 'message' WHEN e.turn <> (CASE kind WHEN 'call' THEN l.call ELSE l.result END) THEN 'duplicate' WHEN kind = 'call' AND call_depth < 0 THEN 'cycle'
-                        WHEN (CASE kind WHEN 'call' THEN l.result ELSE l.call END) IS NOT NULL THEN 'linked' WHEN kind = 'call' THEN 'unanswered' ELSE 'orphan' END AS status
+                   CASE WHEN kind = 'message' THEN 'message' WHEN e.turn <> (CASE kind WHEN 'call' THEN l.call ELSE l.result END) THEN 'duplicate'
+                       WHEN kind = 'call' AND call_depth < 0 THEN 'cycle'
+                        WHEN (CASE kind WHEN 'call' THEN l.result ELSE l.call END) IS NOT NULL THEN 'linked' WHEN kind = 'call' THEN 'unanswered' ELSE
+                            'orphan' END AS status
             FROM e LEFT JOIN links l USING (conv_id, id) LEFT JOIN late t USING (conv_id, id)),
         d AS (
-            SELECT *, (CASE status WHEN 'linked' THEN greatest(call_depth, 0) + CASE kind WHEN 'result' THEN 1 ELSE 0 END WHEN 'unanswered' THEN greatest(call_depth, 0) ELSE 0 END)::BIGINT AS depth,
-                   CASE WHEN status IN ('linked', 'unanswered') THEN greatest(turn, CASE kind WHEN 'result' THEN call END, call_due) ELSE turn END AS due FROM s)
+            SELECT *, (CASE status WHEN 'linked' THEN greatest(call_depth, 0) + CASE kind WHEN 'result' THEN 1 ELSE 0 END WHEN 'unanswered' THEN
+                greatest(call_depth, 0) ELSE 0 END)::BIGINT AS depth,
+                   CASE WHEN status IN ('linked', 'unanswered') THEN greatest(turn, CASE kind WHEN 'result' THEN call END, call_due) ELSE turn END AS
+                       due FROM s)
         SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY due, depth, turn) - 1 AS position, kind, id, status, depth,
-               CASE WHEN kind = 'call' THEN CASE y WHEN '1' THEN 'turn is not integer' WHEN '2' THEN 'missing text' WHEN '3' THEN 'unknown parameter extra' WHEN '4' THEN 'unknown tool' WHEN '5' THEN 'arguments are no object' ELSE '' END END AS problems,
+               CASE WHEN kind = 'call' THEN CASE y WHEN '1' THEN 'turn is not integer' WHEN '2' THEN 'missing text' WHEN '3' THEN
+                   'unknown parameter extra' WHEN '4' THEN 'unknown tool' WHEN '5' THEN 'arguments are no object' ELSE '' END END AS problems,
                CASE kind
                WHEN 'call' THEN '{"arguments":' || CASE WHEN y = '5' THEN '[' || turn || ']' ELSE
                    '{' || CASE WHEN x IN ('0', '1', '2', '3', '4', '5', '9') THEN '"after":"$' || conv_id || ':' || (turn - 2) || '",' ELSE '' END
