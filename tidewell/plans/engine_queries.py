@@ -109,8 +109,10 @@ def rolling_others(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("""WITH s AS (SELECT c_mktsegment, avg(c_acctbal) AS m, stddev_samp(c_acctbal) AS sd, quantile_cont(c_acctbal, 0.5) AS md FROM customer WHERE c_nationkey < 10 GROUP BY 1)
-    SELECT c_custkey, c_mktsegment, c_acctbal, round(m, 4) AS c_acctbal_group_mean, round(sd, 4) AS c_acctbal_group_std, round(md, 4) AS c_acctbal_group_median, round((c_acctbal - m) / nullif(sd, 0), 4) AS c_acctbal_zscore
+@query("""WITH s AS (SELECT c_mktsegment, avg(c_acctbal) AS m, stddev_samp(c_acctbal) AS sd, quantile_cont(c_acctbal, 0.5) AS md FROM customer WHERE
+    c_nationkey < 10 GROUP BY 1)
+    SELECT c_custkey, c_mktsegment, c_acctbal, round(m, 4) AS c_acctbal_group_mean, round(sd, 4) AS c_acctbal_group_std, round(md, 4) AS
+        c_acctbal_group_median, round((c_acctbal - m) / nullif(sd, 0), 4) AS c_acctbal_zscore
     FROM customer LEFT JOIN s USING (c_mktsegment)""")
 def pipeline_on_other_rows(spark: SparkSession, d: str) -> DataFrame:
     """Statistics of the nations below ten, fitted once, transform all customers."""
@@ -119,7 +121,8 @@ def pipeline_on_other_rows(spark: SparkSession, d: str) -> DataFrame:
     return rounded(pipeline.transform(rows).drop("c_nationkey"), 4)
 
 
-@query("""SELECT unnest(['segment', 'date', 'actual', 'actual_lag_1', 'actual_lag_2', 'actual_rolling_mean_3']) AS name, unnest([false, false, false, true, true, true]) AS made,
+@query("""SELECT unnest(['segment', 'date', 'actual', 'actual_lag_1', 'actual_lag_2', 'actual_rolling_mean_3']) AS name, unnest([false, false, false,
+    true, true, true]) AS made,
     2 AS transformers, 'Lag,Rolling' AS names, true AS enabled""")
 def feature_names(spark: SparkSession, d: str) -> DataFrame:
     rows = panel(spark, d)
@@ -148,13 +151,16 @@ def group_keys(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""WITH t AS (SELECT DISTINCT o_orderdate::DATE AS d FROM orders), x AS (SELECT d, month(d) AS m, year(d) AS y FROM t),
     fixed(fm, fd, since) AS (VALUES (1, 1, 1), (6, 19, 2021), (7, 4, 1), (11, 11, 1), (12, 25, 1)),
-    f AS (SELECT d, sum(CASE isodow(make_date(y, fm, fd)) WHEN 7 THEN 2 WHEN 6 THEN CASE WHEN fm = 1 THEN 1 ELSE 2 END ELSE 1 END) FILTER (y >= since) AS n FROM x JOIN fixed ON fm = m GROUP BY d)
-    SELECT d, (coalesce(n, 0) + CASE WHEN m IN (1, 2, 5, 9, 10, 11) THEN 1 ELSE 0 END + CASE WHEN m = 12 AND isodow(make_date(y + 1, 1, 1)) = 6 THEN 1 ELSE 0 END)::INTEGER AS holidays FROM x LEFT JOIN f USING (d)""")
+    f AS (SELECT d, sum(CASE isodow(make_date(y, fm, fd)) WHEN 7 THEN 2 WHEN 6 THEN CASE WHEN fm = 1 THEN 1 ELSE 2 END ELSE 1 END) FILTER (y >= since)
+        AS n FROM x JOIN fixed ON fm = m GROUP BY d)
+    SELECT d, (coalesce(n, 0) + CASE WHEN m IN (1, 2, 5, 9, 10, 11) THEN 1 ELSE 0 END + CASE WHEN m = 12 AND isodow(make_date(y + 1, 1, 1)) = 6 THEN 1
+        ELSE 0 END)::INTEGER AS holidays FROM x LEFT JOIN f USING (d)""")
 def federal_holidays(spark: SparkSession, d: str) -> DataFrame:
     return Calendar("d", "federal").fit_transform(_dates(spark, d)).select("d", F.col("d_holidays").alias("holidays"))
 
 
-@query(f"""WITH {MONTHLY}, o AS (SELECT min(date) AS o FROM monthly) SELECT date, actual, year(date)::INTEGER AS date_year, month(date)::INTEGER AS date_month, round(sin(2 * pi() * month(date) / 12), 6) + 0.0 AS date_month_sin,
+@query(f"""WITH {MONTHLY}, o AS (SELECT min(date) AS o FROM monthly) SELECT date, actual, year(date)::INTEGER AS date_year, month(date)::INTEGER AS
+    date_month, round(sin(2 * pi() * month(date) / 12), 6) + 0.0 AS date_month_sin,
     round(cos(2 * pi() * month(date) / 12), 6) + 0.0 AS date_month_cos, (date - o)::INTEGER AS date_time_index FROM monthly, o""")
 def model_date_features(spark: SparkSession, d: str) -> DataFrame:
     return rounded(date_features(monthly(spark, d), "date"))
@@ -168,8 +174,10 @@ def year_period_strict(spark: SparkSession, d: str) -> DataFrame:
     return _dates(spark, d).select("d", year_period(F.date_format("d", "yyyy'0'MM"), strict=True).alias("period"))
 
 
-@query(f"""WITH {MONTHLY}, h AS (SELECT date, CASE WHEN month(date) = 5 THEN NULL ELSE actual / 1e6 END AS y FROM monthly), f AS (SELECT date, coalesce(last_value(y IGNORE NULLS) OVER (ORDER BY date), 0) AS y FROM h),
-    q AS (SELECT quantile_cont(y, 0.25) AS a, quantile_cont(y, 0.75) AS b FROM f) SELECT date, round(ln(1 + greatest(least(y, b + 0.5 * (b - a)), a - 0.5 * (b - a))), 6) AS y FROM f, q""")
+@query(f"""WITH {MONTHLY}, h AS (SELECT date, CASE WHEN month(date) = 5 THEN NULL ELSE actual / 1e6 END AS y FROM monthly), f AS (SELECT date,
+    coalesce(last_value(y IGNORE NULLS) OVER (ORDER BY date), 0) AS y FROM h),
+    q AS (SELECT quantile_cont(y, 0.25) AS a, quantile_cont(y, 0.75) AS b FROM f) SELECT date, round(ln(1 + greatest(least(y, b + 0.5 * (b - a)), a -
+        0.5 * (b - a))), 6) AS y FROM f, q""")
 def prepared_series(spark: SparkSession, d: str) -> DataFrame:
     """Fiscal codes read, holes filled, outliers clipped, in logs."""
     rows = monthly(spark, d).select(
@@ -191,7 +199,8 @@ def failed_rules(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {_PAIRS.replace("WHERE p IS NOT NULL", "WHERE p IS NOT NULL AND month(date) NOT IN (3, 7)")}
-    SELECT round(avg(abs(actual - p)) / 1e3, 4) AS mae, round(avg(p - actual) / 1e3, 4) AS bias, round(sum(abs(actual - p)) / sum(abs(actual)) * 100, 4) AS wape, round(avg(abs(actual - p)) / avg(abs(actual - CASE WHEN n > 12 THEN s ELSE l END)), 4) AS mase FROM c""")
+    SELECT round(avg(abs(actual - p)) / 1e3, 4) AS mae, round(avg(p - actual) / 1e3, 4) AS bias, round(sum(abs(actual - p)) / sum(abs(actual)) * 100,
+        4) AS wape, round(avg(abs(actual - p)) / avg(abs(actual - CASE WHEN n > 12 THEN s ELSE l END)), 4) AS mase FROM c""")
 def accuracy_without_nan(spark: SparkSession, d: str) -> DataFrame:
     """NaN predictions in March and infinite ones in July don't count."""
     rows = _pairs(spark, d).withColumn(
@@ -201,8 +210,10 @@ def accuracy_without_nan(spark: SparkSession, d: str) -> DataFrame:
     return rounded(found.select((F.col("mae") / 1e3).alias("mae"), (F.col("bias") / 1e3).alias("bias"), "wape", "mase"), 4)
 
 
-@query(f"""WITH {PANEL}, c AS (SELECT *, lag(actual, 12) OVER (PARTITION BY segment ORDER BY date) AS p FROM panel), x AS (SELECT *, lag(actual, 12) OVER (PARTITION BY segment ORDER BY date) AS s, count(*) OVER (PARTITION BY segment) AS n FROM c WHERE p IS NOT NULL)
-    SELECT segment, round(avg(abs(actual - p)) / 1e3, 4) AS mae, round(avg(abs(actual - p)) / avg(abs(actual - s)), 4) AS mase, round(sum(p - actual) / avg(abs(actual - p)), 4) AS tracking_signal FROM x GROUP BY segment HAVING any_value(n) > 12""")
+@query(f"""WITH {PANEL}, c AS (SELECT *, lag(actual, 12) OVER (PARTITION BY segment ORDER BY date) AS p FROM panel), x AS (SELECT *, lag(actual, 12)
+    OVER (PARTITION BY segment ORDER BY date) AS s, count(*) OVER (PARTITION BY segment) AS n FROM c WHERE p IS NOT NULL)
+    SELECT segment, round(avg(abs(actual - p)) / 1e3, 4) AS mae, round(avg(abs(actual - p)) / avg(abs(actual - s)), 4) AS mase, round(sum(p - actual)
+        / avg(abs(actual - p)), 4) AS tracking_signal FROM x GROUP BY segment HAVING any_value(n) > 12""")
 def accuracy_by_segment(spark: SparkSession, d: str) -> DataFrame:
     rows = Lag("actual", [12], **_ORDER).fit_transform(panel(spark, d))
     found = accuracy(rows, "actual", "actual_lag_12", "date", "segment")
@@ -287,7 +298,8 @@ def segment_counts(spark: SparkSession, d: str) -> DataFrame:
     return panel(spark, d).groupBy("segment").agg(F.count(F.lit(1)).alias("months"))
 
 
-@query("""WITH e AS (SELECT event_type, (ts::DATE - ((isodow(ts) % 7))::INTEGER)::DATE AS week_start, value FROM events WHERE ts IS NOT NULL AND event_type IS NOT NULL)
+@query("""WITH e AS (SELECT event_type, (ts::DATE - ((isodow(ts) % 7))::INTEGER)::DATE AS week_start, value FROM events WHERE ts IS NOT NULL AND
+    event_type IS NOT NULL)
     SELECT event_type, week_start, (week_start + 6)::DATE AS week_end, round(coalesce(sum(value), 0), 2) AS value FROM e GROUP BY ALL""")
 def weekly_totals_segmented_sun(spark: SparkSession, d: str) -> DataFrame:
     return rounded(daily_to_weekly(table(spark, d, "events"), "ts", "value", "Sun", ["event_type"]), 2)

@@ -33,8 +33,10 @@ def solved(name: str, rows: str, features: Sequence[str], y: str, alpha: float,
     {name}_m AS (SELECT key, [{", ".join(f"avg(x[{i}])" for i in range(1, p + 1))}] AS mx, avg(y) AS my FROM {name}_x GROUP BY key),
     {name}_a AS (SELECT key, [{matrix}] AS a FROM {name}_x JOIN {name}_m USING (key) GROUP BY key),
     {name}_e AS (SELECT key, 1 AS k, a FROM {name}_a UNION ALL
-        SELECT key, k + 1, list_transform(a, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda v: v / a[k][k]) ELSE list_transform(r, lambda v, j: v - r[k] * a[k][j] / a[k][k]) END) FROM {name}_e WHERE k <= {p}),
-    {name} AS (SELECT key, list_transform(a, lambda r: r[{p + 1}]) AS w, my - list_dot_product(list_transform(a, lambda r: r[{p + 1}]), mx) AS b FROM {name}_e JOIN {name}_m USING (key) WHERE k = {p + 1})"""
+        SELECT key, k + 1, list_transform(a, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda v: v / a[k][k]) ELSE list_transform(r, lambda
+            v, j: v - r[k] * a[k][j] / a[k][k]) END) FROM {name}_e WHERE k <= {p}),
+    {name} AS (SELECT key, list_transform(a, lambda r: r[{p + 1}]) AS w, my - list_dot_product(list_transform(a, lambda r: r[{p + 1}]), mx) AS b FROM
+        {name}_e JOIN {name}_m USING (key) WHERE k = {p + 1})"""
 
 
 def scaled(df: DataFrame) -> DataFrame:
@@ -44,7 +46,8 @@ def scaled(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- models
 
 _INDEXED = f"{MONTHLY}, t AS (SELECT row_number() OVER (ORDER BY date) AS x, actual / 1e6 AS y FROM monthly)"
-_SUMS = f"{_INDEXED}, m AS (SELECT avg(x) AS mx, avg(y) AS my, count(*) AS n FROM t), c AS (SELECT sum((x - mx) * (x - mx)) AS xx, sum((x - mx) * (y - my)) AS xy, sum((y - my) * (y - my)) AS yy, any_value(mx) AS mx, any_value(my) AS my, any_value(n) AS n FROM t, m)"
+_SUMS = f"""{_INDEXED}, m AS (SELECT avg(x) AS mx, avg(y) AS my, count(*) AS n FROM t), c AS (SELECT sum((x - mx) * (x - mx)) AS xx, sum((x - mx) * (y
+    - my)) AS xy, sum((y - my) * (y - my)) AS yy, any_value(mx) AS mx, any_value(my) AS my, any_value(n) AS n FROM t, m)"""
 
 
 def _indexed(spark: SparkSession, d: str) -> DataFrame:
@@ -75,8 +78,10 @@ def elastic_net_trend(spark: SparkSession, d: str) -> DataFrame:
     return rounded(Linear("elastic_net", alpha=0.5, l1_ratio=0.3).fit(rows, ["x"], "y").predict(rows, ["x"]).select("x", "prediction"), 3)
 
 
-@query(f"""WITH RECURSIVE {_SUMS}, i AS (SELECT 0 AS k, 0.0::DOUBLE AS w, 1.0::DOUBLE AS weight, 1 / greatest(yy / n, 1e-12) AS noise, false AS done, xx, xy, yy, mx, my, n FROM c UNION ALL
-        SELECT k + 1, u, (g + 2e-6) / (u * u + 2e-6), (n - g + 2e-6) / (greatest(yy - 2 * u * xy + u * u * xx, 1e-12) + 2e-6), abs(u - w) < 1e-3, xx, xy, yy, mx, my, n
+@query(f"""WITH RECURSIVE {_SUMS}, i AS (SELECT 0 AS k, 0.0::DOUBLE AS w, 1.0::DOUBLE AS weight, 1 / greatest(yy / n, 1e-12) AS noise, false AS done,
+    xx, xy, yy, mx, my, n FROM c UNION ALL
+        SELECT k + 1, u, (g + 2e-6) / (u * u + 2e-6), (n - g + 2e-6) / (greatest(yy - 2 * u * xy + u * u * xx, 1e-12) + 2e-6), abs(u - w) < 1e-3, xx,
+            xy, yy, mx, my, n
         FROM (SELECT *, xy / (xx + weight / noise) AS u, noise * xx / (weight + noise * xx) AS g FROM i WHERE NOT done AND k < 300)),
     f AS (SELECT * FROM i ORDER BY k DESC LIMIT 1) SELECT x, round(my + w * (x - mx), 4) AS prediction FROM t, f""")
 def bayesian_ridge_trend(spark: SparkSession, d: str) -> DataFrame:
@@ -84,8 +89,10 @@ def bayesian_ridge_trend(spark: SparkSession, d: str) -> DataFrame:
     return rounded(BayesianRidge().fit(rows, ["x"], "y").predict(rows, ["x"]).select("x", "prediction"), 4)
 
 
-@query(f"""WITH {MONTHLY}, t AS (SELECT month(date) AS x, actual / 1e6 AS y FROM monthly), s AS (SELECT c, t.x <= c AS low, avg(y) AS m, var_pop(y) * count(*) AS sse FROM t, generate_series(1, 11) g(c) GROUP BY ALL),
-    b AS (SELECT c FROM s GROUP BY c HAVING count(*) = 2 ORDER BY sum(sse), c LIMIT 1) SELECT x::INTEGER AS x, round(m, 4) AS prediction, count(*) AS n FROM t, b JOIN s USING (c) WHERE low = (x <= c) GROUP BY ALL""")
+@query(f"""WITH {MONTHLY}, t AS (SELECT month(date) AS x, actual / 1e6 AS y FROM monthly), s AS (SELECT c, t.x <= c AS low, avg(y) AS m, var_pop(y) *
+    count(*) AS sse FROM t, generate_series(1, 11) g(c) GROUP BY ALL),
+    b AS (SELECT c FROM s GROUP BY c HAVING count(*) = 2 ORDER BY sum(sse), c LIMIT 1) SELECT x::INTEGER AS x, round(m, 4) AS prediction, count(*) AS
+        n FROM t, b JOIN s USING (c) WHERE low = (x <= c) GROUP BY ALL""")
 def trees_stump(spark: SparkSession, d: str) -> DataFrame:
     """One boosted tree of one split is the best split of the months in two."""
     rows = monthly(spark, d).select(F.month("date").alias("x"), (F.col("actual") / 1e6).alias("y"))
@@ -96,9 +103,11 @@ def trees_stump(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- the forecaster
 
 # The series that is modelled, its training rows (all but the last twelve months) and their features.
-_SERIES = f"{PANEL}, series AS (SELECT date, sum(actual / 1e6) AS y FROM panel GROUP BY 1), ends AS (SELECT min(date) AS o, max(date) AS e FROM series)"
+_SERIES = f"""{PANEL}, series AS (SELECT date, sum(actual / 1e6) AS y FROM panel GROUP BY 1), ends AS (SELECT min(date) AS o, max(date) AS e FROM
+    series)"""
 _TRAIN = f"{_SERIES}, train AS (SELECT * FROM series, ends WHERE date <= e - INTERVAL 12 MONTH)"
-_TEST = "test AS (SELECT *, lag(y, 1) OVER (ORDER BY date) AS lag_1, lag(y, 12) OVER (ORDER BY date) AS lag_12, avg(y) OVER (ORDER BY date ROWS 2 PRECEDING) AS mean_3 FROM series, ends WHERE date > e - INTERVAL 12 MONTH)"
+_TEST = """test AS (SELECT *, lag(y, 1) OVER (ORDER BY date) AS lag_1, lag(y, 12) OVER (ORDER BY date) AS lag_12, avg(y) OVER (ORDER BY date ROWS 2
+    PRECEDING) AS mean_3 FROM series, ends WHERE date > e - INTERVAL 12 MONTH)"""
 _LAGS = [
     "coalesce(lag(y, 1) OVER (ORDER BY date), 0)", "coalesce(lag(y, 12) OVER (ORDER BY date), 0)",
     "avg(y) OVER (ORDER BY date ROWS 2 PRECEDING)",
@@ -112,7 +121,8 @@ def _ahead(model: str, lags: bool = True) -> str:
     parts = ", ".join(f"({x.replace('date', 'nx')})::DOUBLE" for x in _DATE)
     return f"""h AS (SELECT list(y ORDER BY date) AS y, max(date) AS last, any_value(o) AS o FROM train),
     f AS (SELECT 0 AS i, last, o, y FROM h UNION ALL
-        SELECT i + 1, last, o, list_append(y, b + list_dot_product(w, list_concat({history}, [{parts}]))) FROM (SELECT *, (last + to_months(i + 1))::DATE AS nx FROM f) s, {model} WHERE i < 12),
+        SELECT i + 1, last, o, list_append(y, b + list_dot_product(w, list_concat({history}, [{parts}]))) FROM (SELECT *, (last + to_months(i +
+            1))::DATE AS nx FROM f) s, {model} WHERE i < 12),
     ahead AS (SELECT (last + to_months(i))::DATE AS date, round(y[len(y)], 4) AS prediction FROM f WHERE i > 0)"""
 
 
@@ -146,7 +156,8 @@ def forecast_registered_model(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH RECURSIVE {_TRAIN}, {_RIDGE}, {solved('heavy', 'train', _LAGS + _DATE, 'y', 50.0)},
-    pair AS (SELECT list_transform(list_zip(r.w, h.w), lambda z: 0.25 * z[1] + 0.75 * z[2]) AS w, 0.25 * r.b + 0.75 * h.b AS b FROM ridge r, heavy h), {_ahead('pair')} SELECT * FROM ahead""")
+    pair AS (SELECT list_transform(list_zip(r.w, h.w), lambda z: 0.25 * z[1] + 0.75 * z[2]) AS w, 0.25 * r.b + 0.75 * h.b AS b FROM ridge r, heavy h),
+        {_ahead('pair')} SELECT * FROM ahead""")
 def ensemble_of_ridges(spark: SparkSession, d: str) -> DataFrame:
     register_model("heavy_ridge", lambda **_: Linear("ridge", alpha=50.0))
     return rounded(
@@ -163,7 +174,8 @@ def ridge_importance(spark: SparkSession, d: str) -> DataFrame:
     return rounded(spark.createDataFrame(list(found.items()), "feature string, importance double"), 4)
 
 
-_TESTED = f"{_TRAIN}, {_RIDGE}, {_TEST}, tested AS (SELECT date, y, b + list_dot_product(w, [coalesce(lag_1, 0), coalesce(lag_12, 0), mean_3, {', '.join(f'({x})::DOUBLE' for x in _DATE)}]) AS p FROM test, ridge)"
+_TESTED = f"""{_TRAIN}, {_RIDGE}, {_TEST}, tested AS (SELECT date, y, b + list_dot_product(w, [coalesce(lag_1, 0), coalesce(lag_12, 0), mean_3,
+    {', '.join(f'({x})::DOUBLE' for x in _DATE)}]) AS p FROM test, ridge)"""
 
 
 @query(f"WITH RECURSIVE {_TESTED} SELECT date, round(y, 4) AS actual, round(p, 4) AS prediction FROM tested")
@@ -174,7 +186,8 @@ def predictions_on_rows(spark: SparkSession, d: str) -> DataFrame:
     return rounded(made.predict_on_df(raw).orderBy("date"), 4)
 
 
-@query(f"""WITH RECURSIVE {_TESTED}, c AS (SELECT *, lag(y, 1) OVER (ORDER BY date) AS l FROM tested) SELECT round(avg(abs(y - p)), 4) AS mae, round(sqrt(avg(power(y - p, 2))), 4) AS rmse, round(1 - sum(power(y - p, 2)) / (var_pop(y) * count(*)), 3) AS r2,
+@query(f"""WITH RECURSIVE {_TESTED}, c AS (SELECT *, lag(y, 1) OVER (ORDER BY date) AS l FROM tested) SELECT round(avg(abs(y - p)), 4) AS mae,
+    round(sqrt(avg(power(y - p, 2))), 4) AS rmse, round(1 - sum(power(y - p, 2)) / (var_pop(y) * count(*)), 3) AS r2,
     round(avg(abs((y - p) / y)) * 100, 3) AS mape, round(avg(abs(y - p)) / avg(abs(y - l)), 3) AS mase, round(avg(p - y), 4) AS bias FROM c""")
 def evaluation_ridge(spark: SparkSession, d: str) -> DataFrame:
     m = forecaster(spark, d, "ridge").evaluate()
@@ -223,10 +236,13 @@ def holt_winters(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH RECURSIVE {PANEL}, h AS (SELECT segment, list(actual / 1e6 ORDER BY date) AS y, max(date) AS last FROM panel GROUP BY 1),
-    s AS (SELECT segment, last, y, 0 AS t, list_avg(y[1:12]) AS level, (list_avg(y[13:24]) - list_avg(y[1:12])) / 12 AS slope, list_transform(y[1:12], lambda v: v - list_avg(y[1:12])) AS season FROM h UNION ALL
-        SELECT segment, last, y, t + 1, now, 0.1 * (now - level) + 0.9 * slope, list_transform(season, lambda v, i: CASE WHEN i = t % 12 + 1 THEN 0.3 * (y[t + 1] - now) + 0.7 * v ELSE v END)
+    s AS (SELECT segment, last, y, 0 AS t, list_avg(y[1:12]) AS level, (list_avg(y[13:24]) - list_avg(y[1:12])) / 12 AS slope, list_transform(y[1:12],
+        lambda v: v - list_avg(y[1:12])) AS season FROM h UNION ALL
+        SELECT segment, last, y, t + 1, now, 0.1 * (now - level) + 0.9 * slope, list_transform(season, lambda v, i: CASE WHEN i = t % 12 + 1 THEN 0.3
+            * (y[t + 1] - now) + 0.7 * v ELSE v END)
         FROM (SELECT *, 0.5 * (y[t + 1] - season[t % 12 + 1]) + 0.5 * (level + slope) AS now FROM s WHERE t < len(y)))
-    SELECT segment, (last + to_months(k::INTEGER))::DATE AS date, round(level + slope * k + season[(len(y) + k - 1) % 12 + 1], 4) AS prediction FROM s, generate_series(1, 12) g(k) WHERE t = len(y)""")
+    SELECT segment, (last + to_months(k::INTEGER))::DATE AS date, round(level + slope * k + season[(len(y) + k - 1) % 12 + 1], 4) AS prediction FROM
+        s, generate_series(1, 12) g(k) WHERE t = len(y)""")
 def holt_winters_given_weights(spark: SparkSession, d: str) -> DataFrame:
     return rounded(holt_winters_forecast(scaled(panel(spark, d)), "date", "actual", 12, "segment", weights=[0.5, 0.1, 0.3, 1.0]), 4)
 
@@ -239,7 +255,8 @@ def _fourier(rows: str, key: str, extra: Sequence[str] = ()) -> str:
     """The trend's bounds and its forecast; ``rows`` has key, date, y, o (first date) and what ``extra`` needs."""
     terms = [*_WAVES, *extra]
     values = "[" + ", ".join(f"({x})::DOUBLE" for x in terms) + "]"
-    return f"""{solved('fit', rows, terms, 'y', 0.0, key)}, spread AS (SELECT {key} AS key, stddev_samp(y - b - list_dot_product(w, {values})) AS s, max(date) AS last, any_value(o) AS o FROM {rows} JOIN fit ON fit.key = {key} GROUP BY 1),
+    return f"""{solved('fit', rows, terms, 'y', 0.0, key)}, spread AS (SELECT {key} AS key, stddev_samp(y - b - list_dot_product(w, {values})) AS s,
+        max(date) AS last, any_value(o) AS o FROM {rows} JOIN fit ON fit.key = {key} GROUP BY 1),
     ahead AS (SELECT key, o, s, (date_trunc('month', last) + to_months(k::INTEGER))::DATE AS date FROM spread, generate_series(1, 12) g(k))"""
 
 
@@ -264,17 +281,21 @@ def trend_fourier_by_segment(spark: SparkSession, d: str) -> DataFrame:
     return rounded(trend_fourier_forecast(scaled(panel(spark, d)), "date", "actual", 12, group_by="segment"), 4)
 
 
-@query(f"""WITH RECURSIVE {MONTHLY}, r AS (SELECT date, actual / 1e6 AS y, min(date) OVER () AS o, (day(last_day(date)) - 30)::DOUBLE AS d FROM monthly), {_fourier('r', '1', ['d'])},
+@query(f"""WITH RECURSIVE {MONTHLY}, r AS (SELECT date, actual / 1e6 AS y, min(date) OVER () AS o, (day(last_day(date)) - 30)::DOUBLE AS d FROM
+    monthly), {_fourier('r', '1', ['d'])},
     held AS (SELECT arg_max(d, date) AS d FROM r) {_shown(_AHEAD[:-1] + ', (SELECT d FROM held)]')}""")
 def trend_fourier_with_regressor(spark: SparkSession, d: str) -> DataFrame:
     rows = scaled(monthly(spark, d)).withColumn("d", F.day(F.last_day("date")) - 30)
     return rounded(trend_fourier_forecast(rows, "date", "actual", 12, regressors=["d"]), 4)
 
 
-@query(f"""WITH RECURSIVE {PANEL}, p AS (SELECT segment, date, actual / 1e6 AS y FROM panel), r AS (SELECT *, coalesce(lag(y, 1) OVER w, 0) AS l1, coalesce(lag(y, 12) OVER w, 0) AS l12 FROM p WINDOW w AS (PARTITION BY segment ORDER BY date)),
-    {solved('fit', 'r', ['l1', 'l12', 'sin(2 * pi() * month(date) / 12)', 'cos(2 * pi() * month(date) / 12)'], 'y', 1.0, 'segment')}, h AS (SELECT segment, list(y ORDER BY date) AS y, max(date) AS last FROM p GROUP BY 1),
+@query(f"""WITH RECURSIVE {PANEL}, p AS (SELECT segment, date, actual / 1e6 AS y FROM panel), r AS (SELECT *, coalesce(lag(y, 1) OVER w, 0) AS l1,
+    coalesce(lag(y, 12) OVER w, 0) AS l12 FROM p WINDOW w AS (PARTITION BY segment ORDER BY date)),
+    {solved('fit', 'r', ['l1', 'l12', 'sin(2 * pi() * month(date) / 12)', 'cos(2 * pi() * month(date) / 12)'], 'y', 1.0, 'segment')}, h AS (SELECT
+        segment, list(y ORDER BY date) AS y, max(date) AS last FROM p GROUP BY 1),
     f AS (SELECT segment, last, 0 AS i, y FROM h UNION ALL
-        SELECT segment, last, i + 1, list_append(y, b + list_dot_product(w, [y[len(y)], CASE WHEN len(y) >= 12 THEN y[len(y) - 11] ELSE 0 END, sin(2 * pi() * month(nx) / 12), cos(2 * pi() * month(nx) / 12)]))
+        SELECT segment, last, i + 1, list_append(y, b + list_dot_product(w, [y[len(y)], CASE WHEN len(y) >= 12 THEN y[len(y) - 11] ELSE 0 END, sin(2 *
+            pi() * month(nx) / 12), cos(2 * pi() * month(nx) / 12)]))
         FROM (SELECT *, (last + to_months(i + 1))::DATE AS nx FROM f) s JOIN fit ON fit.key = segment WHERE i < 12)
     SELECT segment, (last + to_months(i))::DATE AS date, round(y[len(y)], 4) AS prediction FROM f WHERE i > 0""")
 def forecast_per_segment(spark: SparkSession, d: str) -> DataFrame:

@@ -62,7 +62,8 @@ def panel(spark: SparkSession, d: str) -> DataFrame:
     return joined.groupBy("segment", "date").agg(cents("o_totalprice", "actual"))
 
 
-PANEL = "panel AS (SELECT c_mktsegment AS segment, date_trunc('month', o_orderdate)::DATE AS date, round(sum(o_totalprice), 2) AS actual FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)"
+PANEL = """panel AS (SELECT c_mktsegment AS segment, date_trunc('month', o_orderdate)::DATE AS date, round(sum(o_totalprice), 2) AS actual FROM orders
+    JOIN customer ON o_custkey = c_custkey GROUP BY ALL)"""
 
 
 def monthly(spark: SparkSession, d: str) -> DataFrame:
@@ -90,7 +91,8 @@ def naive_forecast(days: DataFrame) -> DataFrame:
     )
 
 
-NAIVE = "naive AS (SELECT (date_trunc('month', date) + INTERVAL 12 MONTH)::DATE AS month_start, round(sum(actual), 2) AS forecast_total FROM daily GROUP BY ALL)"
+NAIVE = """naive AS (SELECT (date_trunc('month', date) + INTERVAL 12 MONTH)::DATE AS month_start, round(sum(actual), 2) AS forecast_total FROM daily
+    GROUP BY ALL)"""
 
 # ---------------------------------------------------------------- roll-ups
 
@@ -110,8 +112,10 @@ def monthly_totals(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _weekly_sql(first: int) -> str:
-    return f"""WITH w AS (SELECT (o_orderdate::DATE - ((isodow(o_orderdate) - 1 - {first} + 7) % 7)::INTEGER)::DATE AS week_start, sum(o_totalprice) AS v FROM orders WHERE o_orderdate IS NOT NULL GROUP BY ALL),
-        s AS (SELECT unnest(generate_series((SELECT min(week_start) FROM w)::TIMESTAMP, (SELECT max(week_start) FROM w)::TIMESTAMP, INTERVAL 7 DAY))::DATE AS week_start)
+    return f"""WITH w AS (SELECT (o_orderdate::DATE - ((isodow(o_orderdate) - 1 - {first} + 7) % 7)::INTEGER)::DATE AS week_start, sum(o_totalprice)
+        AS v FROM orders WHERE o_orderdate IS NOT NULL GROUP BY ALL),
+        s AS (SELECT unnest(generate_series((SELECT min(week_start) FROM w)::TIMESTAMP, (SELECT max(week_start) FROM w)::TIMESTAMP, INTERVAL 7
+            DAY))::DATE AS week_start)
         SELECT week_start, (week_start + 6)::DATE AS week_end, round(coalesce(v, 0), 2) AS y_pred FROM s LEFT JOIN w USING (week_start)"""
 
 
@@ -129,7 +133,8 @@ def weekly_totals_sun(spark: SparkSession, d: str) -> DataFrame:
     return rounded(daily_to_weekly(_order_days(spark, d), week_first="Sun"), 2)
 
 
-@query("""SELECT event_type, (ts::DATE - (isodow(ts) - 1)::INTEGER)::DATE AS week_start, (ts::DATE - (isodow(ts) - 1)::INTEGER + 6)::DATE AS week_end, round(coalesce(sum(value), 0), 2) AS value
+@query("""SELECT event_type, (ts::DATE - (isodow(ts) - 1)::INTEGER)::DATE AS week_start, (ts::DATE - (isodow(ts) - 1)::INTEGER + 6)::DATE AS week_end,
+    round(coalesce(sum(value), 0), 2) AS value
     FROM events WHERE ts IS NOT NULL AND event_type IS NOT NULL GROUP BY ALL""")
 def weekly_totals_segmented(spark: SparkSession, d: str) -> DataFrame:
     return rounded(daily_to_weekly(table(spark, d, "events"), "ts", "value", segment_columns=["event_type"]), 2)
@@ -177,9 +182,11 @@ def rolling_median(spark: SparkSession, d: str) -> DataFrame:
     return rounded(Rolling("actual", [3, 4], ["median"], **_ORDER).fit_transform(panel(spark, d)), 4)
 
 
-@query(f"""WITH {PANEL}, s AS (SELECT segment, date, actual, sum((actual - m) / 1e6) {_rows(6)} AS unused, var_samp(actual / 1e6) {_rows(6)} AS v, stddev_samp(actual / 1e6) {_rows(6)} AS sd, count(actual) {_rows(6)} AS n
+@query(f"""WITH {PANEL}, s AS (SELECT segment, date, actual, sum((actual - m) / 1e6) {_rows(6)} AS unused, var_samp(actual / 1e6) {_rows(6)} AS v,
+    stddev_samp(actual / 1e6) {_rows(6)} AS sd, count(actual) {_rows(6)} AS n
         FROM panel, (SELECT avg(actual) AS m FROM panel))
-    SELECT segment, date, round(actual / 1e6, 6) AS actual, round(v, 6) AS actual_rolling_var_6, round(sd / sqrt(n), 6) AS actual_rolling_sem_6 FROM s""")
+    SELECT segment, date, round(actual / 1e6, 6) AS actual, round(v, 6) AS actual_rolling_var_6, round(sd / sqrt(n), 6) AS actual_rolling_sem_6 FROM
+        s""")
 def rolling_spread(spark: SparkSession, d: str) -> DataFrame:
     scaled = panel(spark, d).withColumn("actual", F.col("actual") / 1e6)
     return rounded(Rolling("actual", [6], ["var", "sem"], **_ORDER).fit_transform(scaled))
@@ -196,7 +203,8 @@ def holes(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {PANEL}, {_HOLES}, f AS (SELECT *, last_value(actual IGNORE NULLS) {_rows(1000000)} AS p FROM holes)
-    SELECT segment, date, actual, round(p / nullif(lag(p, 1) {_W}, 0) - 1, 6) AS actual_pct_change_1, round(actual - lag(actual, 1) {_W}, 6) AS actual_diff_1,
+    SELECT segment, date, actual, round(p / nullif(lag(p, 1) {_W}, 0) - 1, 6) AS actual_pct_change_1, round(actual - lag(actual, 1) {_W}, 6) AS
+        actual_diff_1,
            round(p / nullif(lag(p, 12) {_W}, 0) - 1, 6) AS actual_pct_change_12, round(actual - lag(actual, 12) {_W}, 6) AS actual_diff_12 FROM f""")
 def growth_features(spark: SparkSession, d: str) -> DataFrame:
     return rounded(Growth("actual", [1, 12], **_ORDER).fit_transform(holes(spark, d)))
@@ -210,8 +218,10 @@ _CIRCLE = lambda x, n, s: f"round(sin(2 * pi() * {x} / {n}), 6) + 0.0 AS d_{s}_s
 
 
 @query(f"""WITH t AS (SELECT DISTINCT o_orderdate::DATE AS d FROM orders)
-    SELECT d, month(d)::INTEGER AS d_month, {_CIRCLE('month(d)', 12, 'month')}, quarter(d)::INTEGER AS d_quarter, {_CIRCLE('quarter(d)', 4, 'quarter')}, year(d)::INTEGER AS d_year,
-           (isodow(d) - 1)::INTEGER AS d_day_of_week, {_CIRCLE('(isodow(d) - 1)', 7, 'dow')}, day(d)::INTEGER AS d_day_of_month, week(d)::INTEGER AS d_week_of_year FROM t""")
+    SELECT d, month(d)::INTEGER AS d_month, {_CIRCLE('month(d)', 12, 'month')}, quarter(d)::INTEGER AS d_quarter,
+        {_CIRCLE('quarter(d)', 4, 'quarter')}, year(d)::INTEGER AS d_year,
+           (isodow(d) - 1)::INTEGER AS d_day_of_week, {_CIRCLE('(isodow(d) - 1)', 7, 'dow')}, day(d)::INTEGER AS d_day_of_month, week(d)::INTEGER AS
+               d_week_of_year FROM t""")
 def seasonal_features(spark: SparkSession, d: str) -> DataFrame:
     return rounded(
         Seasonal("d", ["month", "quarter", "year", "day_of_week", "day_of_month", "week_of_year"]).fit_transform(_dates(spark, d))
@@ -219,19 +229,27 @@ def seasonal_features(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH t AS (SELECT DISTINCT o_orderdate::DATE AS d FROM orders),
-    x AS (SELECT d, date_trunc('month', d)::DATE AS m0, last_day(d) AS m1, (date_trunc('quarter', d) + INTERVAL 3 MONTH - INTERVAL 1 DAY)::DATE AS q1, month(d) AS m FROM t),
-    b AS (SELECT x.*, (SELECT count(*) FROM generate_series(m0::TIMESTAMP, m1::TIMESTAMP, INTERVAL 1 DAY) g(v) WHERE isodow(v) < 6)::INTEGER AS b, [2, 1, 0, 0, 1, 1, 1, 0, 1, 1, 2, 1][m] AS h FROM x)
-    SELECT d, b AS d_business_days, day(m1)::INTEGER AS d_days_in_month, h AS d_holidays, greatest(b - h, 1)::INTEGER AS d_net_working_days, ((m - 1) % 3 + 1)::INTEGER AS d_month_in_quarter,
-           (d = q1)::INTEGER AS d_is_quarter_end, (d = date_trunc('quarter', d)::DATE)::INTEGER AS d_is_quarter_start, (m = 12)::INTEGER AS d_is_year_end, (m = 1)::INTEGER AS d_is_year_start,
-           (m IN (3, 9, 12))::INTEGER AS d_is_high_season, [0.92, 0.95, 1.12, 0.98, 0.96, 1.05, 0.97, 0.98, 1.15, 1.00, 0.95, 1.18][m]::DOUBLE AS d_seasonal_intensity,
-           (m = 9)::INTEGER AS d_is_q3_close, (m = 3)::INTEGER AS d_is_q1_close, (q1 - d)::INTEGER AS d_days_to_quarter_end, (make_date(year(d), 12, 31) - d)::INTEGER AS d_days_to_year_end,
+    x AS (SELECT d, date_trunc('month', d)::DATE AS m0, last_day(d) AS m1, (date_trunc('quarter', d) + INTERVAL 3 MONTH - INTERVAL 1 DAY)::DATE AS q1,
+        month(d) AS m FROM t),
+    b AS (SELECT x.*, (SELECT count(*) FROM generate_series(m0::TIMESTAMP, m1::TIMESTAMP, INTERVAL 1 DAY) g(v) WHERE isodow(v) < 6)::INTEGER AS b, [2,
+        1, 0, 0, 1, 1, 1, 0, 1, 1, 2, 1][m] AS h FROM x)
+    SELECT d, b AS d_business_days, day(m1)::INTEGER AS d_days_in_month, h AS d_holidays, greatest(b - h, 1)::INTEGER AS d_net_working_days, ((m - 1)
+        % 3 + 1)::INTEGER AS d_month_in_quarter,
+           (d = q1)::INTEGER AS d_is_quarter_end, (d = date_trunc('quarter', d)::DATE)::INTEGER AS d_is_quarter_start, (m = 12)::INTEGER AS
+               d_is_year_end, (m = 1)::INTEGER AS d_is_year_start,
+           (m IN (3, 9, 12))::INTEGER AS d_is_high_season, [0.92, 0.95, 1.12, 0.98, 0.96, 1.05, 0.97, 0.98, 1.15, 1.00, 0.95, 1.18][m]::DOUBLE AS
+               d_seasonal_intensity,
+           (m = 9)::INTEGER AS d_is_q3_close, (m = 3)::INTEGER AS d_is_q1_close, (q1 - d)::INTEGER AS d_days_to_quarter_end, (make_date(year(d), 12,
+               31) - d)::INTEGER AS d_days_to_year_end,
            round(least(1.0::DOUBLE / (q1 - d + 1), 1.0), 6) AS d_quarter_end_urgency FROM b""")
 def calendar_features(spark: SparkSession, d: str) -> DataFrame:
     return rounded(Calendar("d").fit_transform(_dates(spark, d)))
 
 
-@query("""WITH s AS (SELECT c_mktsegment, avg(c_acctbal) AS m, stddev_samp(c_acctbal) AS sd, quantile_cont(c_acctbal, 0.5) AS md FROM customer GROUP BY 1)
-    SELECT c_custkey, c_mktsegment, c_acctbal, round(m, 4) AS c_acctbal_group_mean, round(sd, 4) AS c_acctbal_group_std, round(md, 4) AS c_acctbal_group_median, round((c_acctbal - m) / nullif(sd, 0), 4) AS c_acctbal_zscore
+@query("""WITH s AS (SELECT c_mktsegment, avg(c_acctbal) AS m, stddev_samp(c_acctbal) AS sd, quantile_cont(c_acctbal, 0.5) AS md FROM customer GROUP
+    BY 1)
+    SELECT c_custkey, c_mktsegment, c_acctbal, round(m, 4) AS c_acctbal_group_mean, round(sd, 4) AS c_acctbal_group_std, round(md, 4) AS
+        c_acctbal_group_median, round((c_acctbal - m) / nullif(sd, 0), 4) AS c_acctbal_zscore
     FROM customer LEFT JOIN s USING (c_mktsegment)""")
 def statistical_grouped(spark: SparkSession, d: str) -> DataFrame:
     return rounded(
@@ -243,14 +261,18 @@ def statistical_grouped(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH s AS (SELECT avg(c_acctbal) AS m, stddev_samp(c_acctbal) AS sd, quantile_cont(c_acctbal, 0.5) AS md FROM customer)
-    SELECT c_custkey, c_acctbal, round(m, 4) AS c_acctbal_global_mean, round(sd, 4) AS c_acctbal_global_std, round(md, 4) AS c_acctbal_global_median, round((c_acctbal - m) / nullif(sd, 0), 4) AS c_acctbal_zscore FROM customer, s""")
+    SELECT c_custkey, c_acctbal, round(m, 4) AS c_acctbal_global_mean, round(sd, 4) AS c_acctbal_global_std, round(md, 4) AS c_acctbal_global_median,
+        round((c_acctbal - m) / nullif(sd, 0), 4) AS c_acctbal_zscore FROM customer, s""")
 def statistical_global(spark: SparkSession, d: str) -> DataFrame:
     return rounded(Statistical("c_acctbal").fit_transform(table(spark, d, "customer").select("c_custkey", "c_acctbal")), 4)
 
 
-@query(f"""WITH {PANEL} SELECT segment, date, actual, lag(actual, 1) {_W} AS actual_lag_1, round(avg(actual) {_rows(3)}, 4) AS actual_rolling_mean_3, month(date)::INTEGER AS date_month,
-    round(sin(2 * pi() * month(date) / 12), 4) + 0.0 AS date_month_sin, round(cos(2 * pi() * month(date) / 12), 4) + 0.0 AS date_month_cos, quarter(date)::INTEGER AS date_quarter,
-    round(sin(2 * pi() * quarter(date) / 4), 4) + 0.0 AS date_quarter_sin, round(cos(2 * pi() * quarter(date) / 4), 4) + 0.0 AS date_quarter_cos FROM panel""")
+@query(f"""WITH {PANEL} SELECT segment, date, actual, lag(actual, 1) {_W} AS actual_lag_1, round(avg(actual) {_rows(3)}, 4) AS actual_rolling_mean_3,
+    month(date)::INTEGER AS date_month,
+    round(sin(2 * pi() * month(date) / 12), 4) + 0.0 AS date_month_sin, round(cos(2 * pi() * month(date) / 12), 4) + 0.0 AS date_month_cos,
+        quarter(date)::INTEGER AS date_quarter,
+    round(sin(2 * pi() * quarter(date) / 4), 4) + 0.0 AS date_quarter_sin, round(cos(2 * pi() * quarter(date) / 4), 4) + 0.0 AS date_quarter_cos FROM
+        panel""")
 def feature_pipeline(spark: SparkSession, d: str) -> DataFrame:
     config = ConfigManager(
         values={
@@ -280,7 +302,8 @@ def year_period_parse(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH q AS (SELECT quantile_cont(l_extendedprice, 0.25) AS a, quantile_cont(l_extendedprice, 0.75) AS b FROM lineitem)
-    SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, round(greatest(least(l_extendedprice, b + 0.5 * (b - a)), a - 0.5 * (b - a)), 4) AS l_extendedprice FROM lineitem, q""")
+    SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, round(greatest(least(l_extendedprice, b + 0.5 * (b - a)), a - 0.5 * (b - a)), 4) AS
+        l_extendedprice FROM lineitem, q""")
 def outlier_iqr(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice")
     return rounded(handle_outliers(rows, "l_extendedprice", "iqr", 0.5), 4)
@@ -308,13 +331,15 @@ def ffill_target(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {MONTHLY}, e AS (SELECT (max(date) + INTERVAL 1 MONTH)::DATE AS e FROM monthly)
-    SELECT date, actual, CASE WHEN date < e - INTERVAL 18 MONTH THEN 'train' WHEN date < e - INTERVAL 12 MONTH THEN 'validation' ELSE 'test' END AS split FROM monthly, e""")
+    SELECT date, actual, CASE WHEN date < e - INTERVAL 18 MONTH THEN 'train' WHEN date < e - INTERVAL 12 MONTH THEN 'validation' ELSE 'test' END AS
+        split FROM monthly, e""")
 def split_backtest(spark: SparkSession, d: str) -> DataFrame:
     return split_by_months(monthly(spark, d), "date", 12, 6)
 
 
 @query(f"""WITH {MONTHLY}, r AS (SELECT *, row_number() OVER (ORDER BY date) AS i, count(*) OVER () AS n FROM monthly)
-    SELECT date, actual, CASE WHEN i <= n - floor(n * 0.2) - floor(n * 0.1) THEN 'train' WHEN i <= n - floor(n * 0.2) THEN 'validation' ELSE 'test' END AS split FROM r""")
+    SELECT date, actual, CASE WHEN i <= n - floor(n * 0.2) - floor(n * 0.1) THEN 'train' WHEN i <= n - floor(n * 0.2) THEN 'validation' ELSE 'test'
+        END AS split FROM r""")
 def split_ratio(spark: SparkSession, d: str) -> DataFrame:
     return split_by_ratio(monthly(spark, d), "date")
 
@@ -342,7 +367,8 @@ def quality_null(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("""SELECT 'dates' AS rule_name, 'date_range' AS rule_type, false AS passed, count(*) FILTER (o_orderdate < DATE '1996-01-01') AS below_min_date, count(*) FILTER (o_orderdate > DATE '2000-12-31') AS above_max_date,
+@query("""SELECT 'dates' AS rule_name, 'date_range' AS rule_type, false AS passed, count(*) FILTER (o_orderdate < DATE '1996-01-01') AS
+    below_min_date, count(*) FILTER (o_orderdate > DATE '2000-12-31') AS above_max_date,
     strftime(min(o_orderdate), '%Y-%m-%d') AS data_min_date, strftime(max(o_orderdate), '%Y-%m-%d') AS data_max_date FROM orders""")
 def quality_date_range(spark: SparkSession, d: str) -> DataFrame:
     return _details(
@@ -371,8 +397,10 @@ def quality_duplicate(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("""SELECT 'nulls' AS rule_name, 'null_check' AS rule_type, true AS passed UNION ALL SELECT 'positive', 'positive_value', count(*) FILTER (c_acctbal < 0) = 0 FROM customer
-    UNION ALL SELECT 'unique', 'duplicate_check', count(*) = count(DISTINCT c_custkey) FROM customer UNION ALL SELECT 'some', 'custom', count(*) > 10 FROM customer UNION ALL SELECT 'broken', 'custom', false""")
+@query("""SELECT 'nulls' AS rule_name, 'null_check' AS rule_type, true AS passed UNION ALL SELECT 'positive', 'positive_value', count(*) FILTER
+    (c_acctbal < 0) = 0 FROM customer
+    UNION ALL SELECT 'unique', 'duplicate_check', count(*) = count(DISTINCT c_custkey) FROM customer UNION ALL SELECT 'some', 'custom', count(*) > 10
+        FROM customer UNION ALL SELECT 'broken', 'custom', false""")
 def quality_report(spark: SparkSession, d: str) -> DataFrame:
     config = ConfigManager(
         values={
@@ -393,16 +421,19 @@ def quality_report(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- accuracy
 
-_PAIRS = f"{MONTHLY}, pairs AS (SELECT date, actual, lag(actual, 12) OVER (ORDER BY date) AS p FROM monthly), c AS (SELECT *, lag(actual, 12) OVER (ORDER BY date) AS s, lag(actual, 1) OVER (ORDER BY date) AS l, count(*) OVER () AS n FROM pairs WHERE p IS NOT NULL)"
+_PAIRS = f"""{MONTHLY}, pairs AS (SELECT date, actual, lag(actual, 12) OVER (ORDER BY date) AS p FROM monthly), c AS (SELECT *, lag(actual, 12) OVER
+    (ORDER BY date) AS s, lag(actual, 1) OVER (ORDER BY date) AS l, count(*) OVER () AS n FROM pairs WHERE p IS NOT NULL)"""
 
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
     return monthly(spark, d).withColumn("p", F.lag("actual", 12).over(Window.orderBy("date")))
 
 
-@query(f"""WITH {_PAIRS} SELECT round(avg(abs(actual - p)) / 1e3, 4) AS mae, round(avg(power(actual - p, 2)) / 1e6, 4) AS mse, round(sqrt(avg(power(actual - p, 2))) / 1e3, 4) AS rmse, round(1 - sum(power(actual - p, 2)) / (var_pop(actual) * count(*)), 4) AS r2,
+@query(f"""WITH {_PAIRS} SELECT round(avg(abs(actual - p)) / 1e3, 4) AS mae, round(avg(power(actual - p, 2)) / 1e6, 4) AS mse,
+    round(sqrt(avg(power(actual - p, 2))) / 1e3, 4) AS rmse, round(1 - sum(power(actual - p, 2)) / (var_pop(actual) * count(*)), 4) AS r2,
     round(avg(abs((actual - p) / nullif(actual, 0))) * 100, 4) AS mape, round(sum(abs(actual - p)) / sum(abs(actual)) * 100, 4) AS wape,
-    round(avg(abs(actual - p)) / avg(abs(actual - CASE WHEN n > 12 THEN s ELSE l END)), 4) AS mase, round(avg(p - actual) / 1e3, 4) AS bias, round(sum(p - actual) / sum(abs(actual)) * 100, 4) AS bias_pct,
+    round(avg(abs(actual - p)) / avg(abs(actual - CASE WHEN n > 12 THEN s ELSE l END)), 4) AS mase, round(avg(p - actual) / 1e3, 4) AS bias,
+        round(sum(p - actual) / sum(abs(actual)) * 100, 4) AS bias_pct,
     round(sum(p - actual) / avg(abs(actual - p)), 4) AS tracking_signal FROM c""")
 def accuracy_metrics(spark: SparkSession, d: str) -> DataFrame:
     found = accuracy(_pairs(spark, d), "actual", "p", "date")
@@ -441,12 +472,15 @@ def delta_load(spark: SparkSession, d: str) -> DataFrame:
 def _scores_sql(years: int, months: str, least: int = 18) -> str:
     """CTEs to ``scores`` (month_start, date, score) for the months of a query."""
     return f"""{DAILY}, {NAIVE}, months AS ({months}),
-    hist AS (SELECT m.month_start, h.date, h.actual, date_trunc('month', h.date) AS hm FROM months m JOIN daily h ON h.date >= m.month_start - INTERVAL {years} YEAR AND h.date < m.month_start),
+    hist AS (SELECT m.month_start, h.date, h.actual, date_trunc('month', h.date) AS hm FROM months m JOIN daily h ON h.date >= m.month_start -
+        INTERVAL {years} YEAR AND h.date < m.month_start),
     ok AS (SELECT month_start FROM hist GROUP BY 1 HAVING count(DISTINCT hm) >= {least}),
     sh AS (SELECT *, greatest(actual, 0) AS a, sum(greatest(actual, 0)) OVER (PARTITION BY month_start, hm) AS t FROM hist),
-    shape AS (SELECT month_start, month(date) AS moy, day(date) AS dom, isodow(date) - 1 AS dow, avg(a / t) AS share FROM sh SEMI JOIN ok USING (month_start) WHERE t > 0 GROUP BY ALL),
+    shape AS (SELECT month_start, month(date) AS moy, day(date) AS dom, isodow(date) - 1 AS dow, avg(a / t) AS share FROM sh SEMI JOIN ok USING
+        (month_start) WHERE t > 0 GROUP BY ALL),
     dows AS (SELECT month_start, dow, avg(share) AS share FROM shape GROUP BY ALL),
-    days AS (SELECT month_start, unnest(generate_series(month_start::TIMESTAMP, last_day(month_start)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS date FROM (SELECT DISTINCT month_start FROM months)),
+    days AS (SELECT month_start, unnest(generate_series(month_start::TIMESTAMP, last_day(month_start)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS date FROM
+        (SELECT DISTINCT month_start FROM months)),
     scores AS (SELECT d.month_start, d.date, greatest(coalesce(s.share, w.share, 1.0), 0) + 1e-6 AS score FROM days d
         LEFT JOIN shape s ON s.month_start = d.month_start AND s.moy = month(d.date) AND s.dom = day(d.date) AND s.dow = isodow(d.date) - 1
         LEFT JOIN dows w ON w.month_start = d.month_start AND w.dow = isodow(d.date) - 1)"""
@@ -489,18 +523,25 @@ def _nowcast_sql(years: int, strategy: str) -> str:
     }[strategy]
     effective = {"fixed": "'fixed'", "blend": "CASE WHEN day(aod) <= 5 OR share < 0.15 THEN 'fixed' ELSE 'blend' END"}[strategy]
     return f"""WITH {_scores_sql(years, _TARGETS)},
-    x AS (SELECT s.*, DATE '{AS_OF}' AS aod, m.forecast_total AS model, h.actual, s.month_start = date_trunc('month', DATE '{AS_OF}')::DATE AS now, now AND s.date <= DATE '{AS_OF}' - 1 AS seen FROM scores s JOIN months m USING (month_start) LEFT JOIN daily h USING (date)),
-    y AS (SELECT *, score / sum(score) OVER (PARTITION BY month_start) AS w_full, score / sum(score) OVER (PARTITION BY month_start, seen) AS w_part, sum(CASE WHEN seen THEN coalesce(actual, 0) ELSE 0 END) OVER (PARTITION BY month_start) AS mtd,
-        greatest(sum(CASE WHEN seen THEN score ELSE 0 END) OVER (PARTITION BY month_start) / sum(score) OVER (PARTITION BY month_start), 0.05) AS share FROM x),
+    x AS (SELECT s.*, DATE '{AS_OF}' AS aod, m.forecast_total AS model, h.actual, s.month_start = date_trunc('month', DATE '{AS_OF}')::DATE AS now,
+        now AND s.date <= DATE '{AS_OF}' - 1 AS seen FROM scores s JOIN months m USING (month_start) LEFT JOIN daily h USING (date)),
+    y AS (SELECT *, score / sum(score) OVER (PARTITION BY month_start) AS w_full, score / sum(score) OVER (PARTITION BY month_start, seen) AS w_part,
+        sum(CASE WHEN seen THEN coalesce(actual, 0) ELSE 0 END) OVER (PARTITION BY month_start) AS mtd,
+        greatest(sum(CASE WHEN seen THEN score ELSE 0 END) OVER (PARTITION BY month_start) / sum(score) OVER (PARTITION BY month_start), 0.05) AS
+            share FROM x),
     z AS (SELECT *, CASE WHEN now THEN {final} ELSE model END AS final, CASE WHEN now THEN {effective} END AS effective FROM y)"""
 
 
 def _predict_sql(years: int, strategy: str) -> str:
     return f"""{_nowcast_sql(years, strategy)}
-    SELECT date, month_start, round(CASE WHEN seen THEN coalesce(actual, 0) WHEN now THEN actual END, 4) AS y_true, round(CASE WHEN seen THEN coalesce(actual, 0) ELSE (final - mtd) * w_part END, 4) AS y_pred,
-        round(model * w_full, 4) AS forecast_amount, seen AS is_actual, aod AS as_of_date, round(model, 4) AS month_total_model, CASE WHEN now THEN '{strategy}' END AS strategy, effective AS effective_strategy,
-        round(CASE WHEN now THEN share END, 4) AS expected_mtd_share, CASE WHEN now AND effective IN ('mtd_ratio', 'blend') AND model <> 0 AND abs(mtd / share) > abs(model) * 2 THEN 2.0::DOUBLE END AS multiplier_applied,
-        (date - aod)::INTEGER AS horizon_day, datediff('month', aod, month_start)::INTEGER AS horizon_month, round(final, 4) AS month_total_final FROM z"""
+    SELECT date, month_start, round(CASE WHEN seen THEN coalesce(actual, 0) WHEN now THEN actual END, 4) AS y_true, round(CASE WHEN seen THEN
+        coalesce(actual, 0) ELSE (final - mtd) * w_part END, 4) AS y_pred,
+        round(model * w_full, 4) AS forecast_amount, seen AS is_actual, aod AS as_of_date, round(model, 4) AS month_total_model, CASE WHEN now THEN
+            '{strategy}' END AS strategy, effective AS effective_strategy,
+        round(CASE WHEN now THEN share END, 4) AS expected_mtd_share, CASE WHEN now AND effective IN ('mtd_ratio', 'blend') AND model <> 0 AND abs(mtd
+            / share) > abs(model) * 2 THEN 2.0::DOUBLE END AS multiplier_applied,
+        (date - aod)::INTEGER AS horizon_day, datediff('month', aod, month_start)::INTEGER AS horizon_month, round(final, 4) AS month_total_final FROM
+            z"""
 
 
 def _allocator(days: DataFrame, **config: object) -> DailyAllocator:
@@ -530,8 +571,10 @@ def predict_daily_sparse(spark: SparkSession, d: str) -> DataFrame:
     return rounded(_allocator(returned(spark, d), history_years=5, strategy="blend").predict_daily(AS_OF, HORIZON), 4)
 
 
-@query(f"""{_nowcast_sql(5, 'blend')}, w AS (SELECT month_start, final, CASE WHEN seen THEN coalesce(actual, 0) ELSE (final - mtd) * w_part END AS y FROM z), t AS (SELECT month_start, max(final) AS expected, sum(y) AS total FROM w GROUP BY 1)
-    SELECT month_start, round(expected, 4) AS expected, round(total, 4) AS total, round(abs(total - expected), 4) + 0.0 AS difference, abs(total - expected) <= 0.01 AS coherent FROM t""")
+@query(f"""{_nowcast_sql(5, 'blend')}, w AS (SELECT month_start, final, CASE WHEN seen THEN coalesce(actual, 0) ELSE (final - mtd) * w_part END AS y
+    FROM z), t AS (SELECT month_start, max(final) AS expected, sum(y) AS total FROM w GROUP BY 1)
+    SELECT month_start, round(expected, 4) AS expected, round(total, 4) AS total, round(abs(total - expected), 4) + 0.0 AS difference, abs(total -
+        expected) <= 0.01 AS coherent FROM t""")
 def coherence_check(spark: SparkSession, d: str) -> DataFrame:
     found = DailyAllocator.coherence(_allocator(daily(spark, d), history_years=5, strategy="blend").predict_daily(AS_OF, HORIZON))
     return rounded(found.select("month_start", "expected", "total", F.abs("difference").alias("difference"), "coherent"), 4)
@@ -563,8 +606,10 @@ def strategy_resolution(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query(f"""WITH {DAILY}, {NAIVE}, g AS ({_GRID}), r AS (SELECT *, model * 0.4 AS mtd, greatest(least(model * 0.4 / share, abs(model) * 2), -abs(model) * 2) AS ratio FROM g)
-    SELECT month_start, day::INTEGER AS day, round(model, 4) AS fixed, round(ratio, 4) AS mtd_ratio, round(0.7 * model + 0.3 * ratio, 4) AS blend FROM r""")
+@query(f"""WITH {DAILY}, {NAIVE}, g AS ({_GRID}), r AS (SELECT *, model * 0.4 AS mtd, greatest(least(model * 0.4 / share, abs(model) * 2), -abs(model)
+    * 2) AS ratio FROM g)
+    SELECT month_start, day::INTEGER AS day, round(model, 4) AS fixed, round(ratio, 4) AS mtd_ratio, round(0.7 * model + 0.3 * ratio, 4) AS blend FROM
+        r""")
 def month_total_rows(spark: SparkSession, d: str) -> DataFrame:
     cfg = AllocationConfig()
     final = lambda s: month_total_final(F.col("model") * 0.4, F.col("model"), F.col("share"), F.lit(s), cfg).alias(s)
@@ -583,16 +628,23 @@ def mtd_share(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {_scores_sql(5, "SELECT n.month_start, n.forecast_total FROM naive n SEMI JOIN (SELECT DISTINCT date_trunc('month', date)::DATE AS month_start FROM daily) USING (month_start)")},
-    x AS (SELECT s.*, k, coalesce(h.actual, 0) AS actual, s.date > s.month_start + k::INTEGER - 2 AS rest FROM scores s CROSS JOIN (SELECT unnest([5, 10, 15, 20]) AS k) LEFT JOIN daily h USING (date)),
+    x AS (SELECT s.*, k, coalesce(h.actual, 0) AS actual, s.date > s.month_start + k::INTEGER - 2 AS rest FROM scores s CROSS JOIN (SELECT unnest([5,
+        10, 15, 20]) AS k) LEFT JOIN daily h USING (date)),
     y AS (SELECT *, score / sum(score) OVER (PARTITION BY month_start, k, rest) AS w FROM x),
-    t AS (SELECT month_start, k, sum(CASE WHEN rest THEN 0 ELSE actual END) AS mtd, sum(CASE WHEN rest THEN actual ELSE 0 END) AS remaining, sum(actual) AS total, greatest(sum(CASE WHEN rest THEN 0 ELSE score END) / sum(score), 0.05) AS share FROM y GROUP BY ALL),
-    r AS (SELECT t.*, s AS strategy, CASE s WHEN 'scheduled' THEN CASE WHEN k <= 5 OR share < 0.15 THEN 'fixed' ELSE 'blend' END ELSE s END AS effective, forecast_total AS model, greatest(least(mtd / share, abs(forecast_total) * 2), -abs(forecast_total) * 2) AS ratio
+    t AS (SELECT month_start, k, sum(CASE WHEN rest THEN 0 ELSE actual END) AS mtd, sum(CASE WHEN rest THEN actual ELSE 0 END) AS remaining,
+        sum(actual) AS total, greatest(sum(CASE WHEN rest THEN 0 ELSE score END) / sum(score), 0.05) AS share FROM y GROUP BY ALL),
+    r AS (SELECT t.*, s AS strategy, CASE s WHEN 'scheduled' THEN CASE WHEN k <= 5 OR share < 0.15 THEN 'fixed' ELSE 'blend' END ELSE s END AS
+        effective, forecast_total AS model, greatest(least(mtd / share, abs(forecast_total) * 2), -abs(forecast_total) * 2) AS ratio
         FROM t JOIN months USING (month_start) CROSS JOIN (SELECT unnest(['fixed', 'mtd_ratio', 'blend', 'scheduled']) AS s)),
     f AS (SELECT *, CASE effective WHEN 'fixed' THEN model WHEN 'mtd_ratio' THEN ratio ELSE 0.7 * model + 0.3 * ratio END AS final FROM r)
-    SELECT f.month_start, f.k::INTEGER AS as_of_day, strategy, any_value(effective) AS effective_strategy, 1 AS posting_lag_days, round(any_value(mtd), 4) AS mtd_actual, round(any_value(remaining), 4) AS remaining_actual, round(any_value(total), 4) AS month_actual_total,
-        round(any_value(model), 4) AS month_total_model, round(any_value(final), 4) AS month_total_final, round(any_value(final - mtd), 4) AS remaining_forecast, round(avg(abs((final - mtd) * w - actual)), 4) AS remainder_mae,
-        round(CASE WHEN sum(abs(actual)) > 0 THEN sum(abs((final - mtd) * w - actual)) / sum(abs(actual)) * 100 ELSE sum(abs((final - mtd) * w - actual)) END, 4) AS remainder_wape,
-        round(any_value(final - total), 4) AS full_month_error, round(any_value(CASE WHEN abs(total) > 0 THEN (final - total) / abs(total) * 100 ELSE 0 END), 4) AS full_month_error_pct
+    SELECT f.month_start, f.k::INTEGER AS as_of_day, strategy, any_value(effective) AS effective_strategy, 1 AS posting_lag_days,
+        round(any_value(mtd), 4) AS mtd_actual, round(any_value(remaining), 4) AS remaining_actual, round(any_value(total), 4) AS month_actual_total,
+        round(any_value(model), 4) AS month_total_model, round(any_value(final), 4) AS month_total_final, round(any_value(final - mtd), 4) AS
+            remaining_forecast, round(avg(abs((final - mtd) * w - actual)), 4) AS remainder_mae,
+        round(CASE WHEN sum(abs(actual)) > 0 THEN sum(abs((final - mtd) * w - actual)) / sum(abs(actual)) * 100 ELSE sum(abs((final - mtd) * w -
+            actual)) END, 4) AS remainder_wape,
+        round(any_value(final - total), 4) AS full_month_error, round(any_value(CASE WHEN abs(total) > 0 THEN (final - total) / abs(total) * 100 ELSE
+            0 END), 4) AS full_month_error_pct
     FROM f JOIN y ON y.month_start = f.month_start AND y.k = f.k AND y.rest GROUP BY f.month_start, f.k, strategy""")
 def intramonth_backtest(spark: SparkSession, d: str) -> DataFrame:
     found = _allocator(daily(spark, d), history_years=5, strategy="blend").backtest_intramonth_daily(
@@ -604,7 +656,8 @@ def intramonth_backtest(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- forecasts
 
 
-@query(f"""WITH {MONTHLY}, t AS (SELECT row_number() OVER (ORDER BY date) AS x, actual / 1e6 AS y FROM monthly), m AS (SELECT avg(x) AS mx, avg(y) AS my FROM t),
+@query(f"""WITH {MONTHLY}, t AS (SELECT row_number() OVER (ORDER BY date) AS x, actual / 1e6 AS y FROM monthly), m AS (SELECT avg(x) AS mx, avg(y) AS
+    my FROM t),
     c AS (SELECT sum((x - mx) * (y - my)) / (sum((x - mx) * (x - mx)) + 50.0) AS b, any_value(mx) AS mx, any_value(my) AS my FROM t, m)
     SELECT x::INTEGER AS x, round(my + b * (x - mx), 4) AS prediction FROM t, c""")
 def ridge_trend_forecast(spark: SparkSession, d: str) -> DataFrame:
@@ -614,8 +667,10 @@ def ridge_trend_forecast(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""WITH RECURSIVE {PANEL}, h AS (SELECT segment, list(actual / 1e6 ORDER BY date) AS y, max(date) AS last FROM panel GROUP BY 1),
     f AS (SELECT segment, last, 0 AS horizon, y FROM h UNION ALL
-        SELECT segment, last, horizon + 1, list_append(y, 0.5 + 0.4 * y[len(y)] + 0.3 * y[len(y) - 11] + 0.2 * (y[len(y)] + y[len(y) - 1] + y[len(y) - 2]) / 3 + 0.1 * sin(2 * pi() * month(last + to_months(horizon + 1)) / 12)) FROM f WHERE horizon < 12)
-    SELECT segment, horizon::INTEGER AS horizon, (last + to_months(horizon))::DATE AS date, round(y[len(y)], 4) AS prediction FROM f WHERE horizon > 0""")
+        SELECT segment, last, horizon + 1, list_append(y, 0.5 + 0.4 * y[len(y)] + 0.3 * y[len(y) - 11] + 0.2 * (y[len(y)] + y[len(y) - 1] + y[len(y) -
+            2]) / 3 + 0.1 * sin(2 * pi() * month(last + to_months(horizon + 1)) / 12)) FROM f WHERE horizon < 12)
+    SELECT segment, horizon::INTEGER AS horizon, (last + to_months(horizon))::DATE AS date, round(y[len(y)], 4) AS prediction FROM f WHERE horizon >
+        0""")
 def recursive_forecast(spark: SparkSession, d: str) -> DataFrame:
     rows = panel(spark, d).withColumn("actual", F.col("actual") / 1e6)
     return rounded(
