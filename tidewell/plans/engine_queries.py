@@ -20,6 +20,7 @@ from tidewell.plans.models import available_models
 from tidewell.plans.queries import _PAIRS, MONTHLY, PANEL, _dates, _pairs, _rows, monthly, panel, query, rounded, table
 from tidewell.scratch import scratch
 from tidewell.sources.io import Checkpoint, Loader, quoted, read_csv, write_csv
+from tidewell.streaming.delta import daily_totals_stream, load_new_files
 
 _ORDER = {"group_by": "segment", "order_by": "date"}
 
@@ -83,6 +84,28 @@ def csv_inferred(spark: SparkSession, d: str) -> DataFrame:
     return read_csv(spark, path)
 
 
+# ---------------------------------------------------------------- streams
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders")
+def stream_new_files(spark: SparkSession, d: str) -> DataFrame:
+    """Files that come in two lots are loaded by two runs of a stream, each file once."""
+    folder, orders = scratch(spark), table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    for lot in ("o_orderdate < date'1998-01-01'", "o_orderdate >= date'1998-01-01' or o_orderdate is null"):
+        orders.filter(lot).drop("o_orderdate").write.mode("append").parquet(f"{folder}/in")
+        load_new_files(spark, f"{folder}/in", f"{folder}/out", f"{folder}/seen", orders.drop("o_orderdate").schema)
+    return spark.read.parquet(f"{folder}/out")
+
+
+@query("""SELECT ts::DATE AS date, round(sum(value), 2) AS actual FROM events WHERE ts::DATE + 1 <= (SELECT max(ts) FROM events) - INTERVAL 3 DAY GROUP BY 1""")
+def stream_daily_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Totals of the days that the watermark, three days behind the last event, has closed."""
+    folder, events = scratch(spark), table(spark, d, "events").select("ts", "value")
+    events.write.parquet(f"{folder}/in")
+    load_new_files(spark, f"{folder}/in", f"{folder}/out", f"{folder}/seen", events.schema, lambda rows: daily_totals_stream(rows, "ts", "value"))
+    return rounded(spark.read.parquet(f"{folder}/out"), 2)
+
+
 # ---------------------------------------------------------------- features
 
 
