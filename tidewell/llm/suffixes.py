@@ -39,6 +39,7 @@ from tidewell.llm._common import join_keys, slices, text_hash, words_of, written
 
 RUN, WINDOW, LEAST = 25, 26, 50
 SIDE = WINDOW  # words compared on each side of a run
+RANGE = 1_000_000  # suffixes of one range of the sort, about
 _NONE = -(2**63)  # doc_id null, inside this module
 
 _BASE = 0x9E3779B97F4A7C15
@@ -372,7 +373,10 @@ def repeats(docs: DataFrame) -> DataFrame:
     shared = written(anchors.groupBy("run").agg(F.count(F.lit(1)).alias("n"), *ends).filter(several).select("run", "n"), "shared")
     kept = join_keys(anchors, shared, ["run"], "n").groupBy(*_DOC).agg(F.collect_set(F.struct("place", "run")).alias("found"))
     sided = rows.join(kept, _DOC).mapInArrow(_contexts, "run long, next long, right binary, left binary, doc_id long, h long, place int")
-    array = sided.repartitionByRange("run", "next", "doc_id", "place").sortWithinPartitions(*_COLUMNS).select(*_COLUMNS)
+    # A number of ranges by rows: joined by bytes, ranges of copies, which compress well, would hold many times the others' rows.
+    n_rows = shared.agg(F.sum("n")).first()[0] or 0
+    ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // RANGE))
+    array = sided.repartitionByRange(ranges, "run", "next", "doc_id", "place").sortWithinPartitions(*_COLUMNS).select(*_COLUMNS)
     found = written(array.mapInArrow(_searched, _FOUND), "found")
     cut_off = found.filter("window is not null").select("window", "window2", *_DOC, "start", "end")
     held = cut_off.groupBy("window", "window2").agg(*ends).filter(several)
