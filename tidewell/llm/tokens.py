@@ -71,7 +71,8 @@ class Encoder(dict):
 
         self.full = Tokenizer.from_file(path)
         spec = json.loads(self.full.to_str())
-        self.by_words, self.added = by_words(spec), tuple(t["content"] for t in spec["added_tokens"])
+        self.by_words = by_words(spec)
+        self.added = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)").search
         self.model, self.memo, self.letters = self.full.model, memo, _byte_letters()
         self._start()
 
@@ -89,7 +90,7 @@ class Encoder(dict):
 
     def __missing__(self, word: bytes) -> int:
         s = word.decode("utf-8", "replace")
-        if _PLAIN.fullmatch(s) and not any(t in s for t in self.added):
+        if _PLAIN.fullmatch(s) and not self.added(s):
             s = s.lower()
             ids = self._piece(s) if s.isalpha() else b"".join(map(self._piece, _PIECE.findall(s)))
         else:
