@@ -59,7 +59,7 @@ class Encoder(dict):
     """Word (UTF-8, no white space) to its slot in a table of ids; ids are the library's with add_special_tokens=False.
 
     For a file whose split never crosses white space (``by_words``) a text's ids are those of its words in order. At
-    most ``memo`` words are kept; beyond that the table starts anew, which changes the speed and never the ids. A word
+    most ``memo`` words are kept; beyond that a new table takes over the words at hand, which never changes the ids. A word
     that holds an added token's string goes to the library, as do words beyond plain letters. Any other file encodes
     whole texts by the library.
     """
@@ -81,6 +81,17 @@ class Encoder(dict):
         self.pieces: dict[str, bytes] = {}  # ids as they lie in the table
         self.ids, self.starts, self.lengths = array("I"), array("q"), array("q")
 
+    def _renew(self, words: list[bytes]) -> None:
+        """A new table, which takes over what the old one knows of ``words``: the common ones are among them."""
+        known = [(w, slot) for w in words if (slot := self.get(w)) is not None]
+        ids, starts, lengths = self.ids, self.starts, self.lengths
+        self._start()
+        for w, slot in known:
+            self[w] = len(self.starts)
+            self.starts.append(len(self.ids))
+            self.lengths.append(lengths[slot])
+            self.ids.extend(ids[starts[slot] : starts[slot] + lengths[slot]])
+
     def _piece(self, p: str) -> bytes:
         found = self.pieces.get(p)
         if found is None:
@@ -108,9 +119,9 @@ class Encoder(dict):
             return np.fromiter(
                 (i for x in whole for i in (*x, END_ID)), np.uint32,
             ), np.fromiter((len(x) + 1 for x in whole), np.int64, len(whole))
-        if len(self) > self.memo:
-            self._start()
         codes, distinct, ends = words_of(texts)
+        if len(self) > self.memo:
+            self._renew(distinct)
         slots = np.fromiter(map(self.__getitem__, distinct), np.int64, len(distinct))[codes] if len(distinct) else codes
         starts, sizes = np.array(self.starts, np.int64), np.array(self.lengths, np.int64)
         lengths = sizes[slots] if len(slots) else np.zeros(0, np.int64)
