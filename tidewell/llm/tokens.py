@@ -95,13 +95,13 @@ class Encoder(dict):
     def _piece(self, p: str) -> bytes:
         found = self.pieces.get(p)
         if found is None:
-            written = p.encode().decode("latin1").translate(self.letters)
+            written = p if p.isascii() else p.encode().decode("latin1").translate(self.letters)
             found = self.pieces[p] = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
         return found
 
     def __missing__(self, word: bytes) -> int:
         s = word.decode("utf-8", "replace")
-        if _PLAIN.fullmatch(s) and not self.added(s):
+        if (s.isascii() and s.isprintable() or _PLAIN.fullmatch(s)) and not self.added(s):
             s = s.lower()
             ids = self._piece(s) if s.isalpha() else b"".join(map(self._piece, _PIECE.findall(s)))
         else:
