@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import chat, exact_dedup, langid, line_quality, mixing, packing, secrets, simhash, suffixes, token_files
+from tidewell.llm import (
+    chat, exact_dedup, langid, line_quality, mixing, packing, phrases, secrets, simhash, suffixes, token_files, url_filter, vector_codes,
+)
 from tidewell.llm._common import spread, table
 
 ORACLE_SQL: dict[str, str] = {
@@ -67,6 +69,14 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(s) AS text_sha256 FROM t JOIN g USING (s)""",
 }
 
+#: The rules of ``op11_url_filter``.
+RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
+
+ORACLE_SQL |= {
+    "op11_url_filter": url_filter.sql("pages", RULES), "op12_vector_codes": vector_codes.sql("embeddings", 64),
+    "op13_phrases": phrases.sql("documents"),
+}
+
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_tokens(table(spark, sf_dir, "documents"))
@@ -174,9 +184,24 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return coded.select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(vector_codes.fingerprint(books)).alias("codebooks_sha256"),
+    )
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_token_files, op2_simhash, op3_mixing, op4_suffixes, op5_line_quality, op6_langid, op7_chat, op8_packing,
-        op9_secrets, op10_exact_dedup,
+        op9_secrets, op10_exact_dedup, op11_url_filter, op12_vector_codes, op13_phrases,
     )
 }
