@@ -102,10 +102,11 @@ def novelty(text, start, end, dictionary):
             side = side.replace(part, "\0" * len(part))
         sides.append(side)
     around = (sides[0][-512:] + sides[1][:512]).replace("\0", "")
-    return (size(around + s) - size(around)) / len(s)
+    forms = {s, s.lower()} if not any(c.islower() for c in s) else {s}
+    return (min(map(size, forms)) - size(around)) / len(s)
 
 
-def novel(text, dictionary, least=0.8, reach=80):
+def novel(text, dictionary, least=0.8, letters=0.7, reach=80):
     """Spans of ASCII text, beside those of ``secrets``."""
     words = [m.span() for m in SENSITIVE.finditer(text)]
     inside = {i for a, b in words for i in range(a, b)}
@@ -115,56 +116,26 @@ def novel(text, dictionary, least=0.8, reach=80):
         while j < len(text) and text[j] in KEY and j not in inside:
             j += 1
         s = text[i:j]
-        classes = any(c.isdigit() for c in s) + any(c.isupper() for c in s) + any(c.islower() for c in s)
+        limit = letters if set(s) <= set("abcdefghijklmnopqrstuvwxyz") or set(s) <= set("ABCDEFGHIJKLMNOPQRSTUVWXYZ") else least
         near = any(0 <= i - b < reach or 0 < a - j < reach for a, b in words)
-        if len(s) >= 16 and classes >= 2 and near and not any(a < j and i < b for _, a, b in secrets(text)) and novelty(text, i, j, dictionary) >= least:
+        if len(s) >= 16 and near and not any(a < j and i < b for _, a, b in secrets(text)) and novelty(text, i, j, dictionary) >= limit:
             out.append((i, j))
         i = max(j, i + 1)
     return out
 
 
 def judged(rows, min_docs, min_share, depleted=0.3):
-    """Per row (doc_id, host, text): words in frequent lines, and whether the document is kept. By the same sketches, with plain sets."""
-    from xxhash import xxh3_64_intdigest
-
-    mask = 2**64 - 1
-    lower = lambda w: re.sub("[A-Z]", lambda m: m[0].lower(), w)
-    line_of = lambda x: re.sub("[1-9]", "0", " ".join(map(lower, words(x))))
-
-    def sketch(text):
-        h = [xxh3_64_intdigest(lower(w).encode()) for w in words(text)]
-        runs = set()
-        for i in range(max(1, len(h) - 3)) if h else ():
-            x = 0
-            for v in h[i : i + 4]:
-                x = (x * 0x9E3779B97F4A7C15 + v) & mask
-            x ^= x >> 31
-            x = x * 0xBF58476D1CE4E5B9 & mask
-            runs.add(x ^ x >> 29)
-        return sorted(runs)[:64]
-
-    signed = lambda x: x - 2**64 if x >> 63 else x
+    """Per row (doc_id, host, text): words in frequent lines, and whether the document is kept. Distinct texts of a host that
+    hold a line are counted, nothing else."""
+    line_of = lambda x: re.sub("[1-9]", "0", re.sub("[A-Z]", lambda m: m[0].lower(), " ".join(words(x))))
     frequent = {}
     for host in {h for _, h, _ in rows}:
         texts = {t or "" for _, h, t in rows if h == host}
-        ids, prints = {t: signed(xxh64_intdigest(t.encode(), 42)) for t in texts}, {t: sketch(t) for t in texts}
-        leader = {}
-        for t in texts:
-            for band in prints[t][:8]:
-                if band not in leader or ids[t] < ids[leader[band]]:
-                    leader[band] = t
-        copies = set()
-        for t in texts:
-            for o in {leader[b] for b in prints[t][:8]} - {t}:
-                a, b = {x >> 33 for x in prints[t]}, {x >> 33 for x in prints[o]}
-                least = set(sorted(a | b)[:64])
-                if len(a & b & least) >= 0.8 * len(least):
-                    copies.add(t)
         counts = {}
-        for t in texts - copies:
+        for t in texts:
             for x in {line_of(x) for x in t.split("\n") if words(x)}:
                 counts[x] = counts.get(x, 0) + 1
-        frequent[host] = {x for x, n in counts.items() if n >= min_docs and n >= min_share * len(texts - copies)}
+        frequent[host] = {x for x, n in counts.items() if n >= min_docs and n >= min_share * len(texts)}
     out = []
     for d, host, t in rows:
         lines = [x for x in (t or "").split("\n") if words(x)]

@@ -4,15 +4,13 @@ Lines are normalised (lower case, digits to 0, white space joined) and hashed. F
 documents of a line are counted; a line above the limits is boilerplate and is removed, and a document that loses most
 of its words is depleted and rejected. So are documents that fail the base rules (few words, much repetition).
 
-Two things keep copies from passing for boilerplate: a text counts once for a host however many rows hold it, and near
-copies of another text of the host don't count at all. Copies are told by the whole text, never by a line's neighbours,
-so the lines of a fixed block count like others. Each text has a sketch, its ``SKETCH`` least hashes of four words in a
-row; of the texts that share one of their ``BANDS`` least ones the first leads, and a text whose sketch shows at least
-``NEAR`` of all runs of both in common with a leader's is its copy. A text meets at most BANDS others, however large the
-group. Texts that are a common block and hardly anything else are near copies by this measure.
+A text counts once for a host however many rows hold it, so exact copies never make their lines frequent. Nothing else is
+taken out of the counts: texts that differ are distinct documents, however alike they are, and a block of lines is
+boilerplate whatever else its documents hold.
 
-Texts are read once; what leaves the reading pass is a sketch, and a hash and a word count for each line. Counts are
-partially aggregated before each shuffle, so a line that a third of all documents hold is one row of each task.
+Texts are read once; what leaves the reading pass is a hash and a word count for each line. Counts are partially
+aggregated before each shuffle, and frequent lines that many documents hold are joined where their rows lie, so a line of
+a third of all documents is one row of each task.
 
 Rows: null text has no words and fails the base rules. A very long text is measured whole, line by line. Null source is a host like others, null doc_id a document like
 others; repeated rows all get the same verdict. An empty table gives an empty result. Other columns are kept as they are, whatever their names.
@@ -28,12 +26,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm._common import row_of, slices, text_hash, words_of, written
+from tidewell.llm._common import join_keys, row_of, slices, text_hash, words_of, written
 
 MIN_DOCS = 12  # a line of fewer distinct documents of a host is never boilerplate,
 MIN_SHARE = 0.01  # nor one of a smaller share of the host's documents
 DEPLETED = 0.3  # a document that keeps a smaller share of its words is rejected
-SKETCH, BANDS, NEAR = 64, 8, 0.8
 MIN_WORDS = 50
 MAX_REPEATED = 50  # per cent of words in repeated windows of three
 
@@ -68,26 +65,8 @@ def repeated_words(codes: np.ndarray) -> int:
     return int(covered.sum())
 
 
-def sketches(codes: np.ndarray, distinct: list[bytes], ends: np.ndarray) -> Iterator[np.ndarray]:
-    """The least hashes (SKETCH at most, rising) of four words in a row, in lower case, of each text."""
-    from xxhash import xxh3_64_intdigest
-
-    hashed = np.fromiter(
-        (xxh3_64_intdigest(w.lower()) for w in distinct), np.uint64, len(distinct),
-    )[codes] if len(distinct) else np.zeros(0, np.uint64)
-    for a, b in zip(ends[:-1], ends[1:], strict=True):
-        own = hashed[a:b]
-        runs = own[: max(1, len(own) - 3)].copy()
-        for i in range(1, min(4, len(own))):
-            runs = runs * _BASE + own[i : i + len(runs)]
-        runs ^= runs >> np.uint64(31)
-        runs *= _MIX
-        yield np.unique(runs ^ (runs >> np.uint64(29)))[:SKETCH]
-
-
-_BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-_SCHEMA = "row long, doc_id long, host string, text_hash long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, lines array<long>, words array<int>, bands array<long>, sketch array<int>"
+_SCHEMA = "row long, doc_id long, host string, text_hash long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, lines array<long>, words array<int>"
 
 
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,7 +75,7 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     row = TaskContext.get().partitionId() << 33
     for batch, texts in slices(batches):
-        codes, distinct, ends = words_of(texts)
+        codes, _, ends = words_of(texts)
         raw = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
         stops = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)])
         count = lambda flags: np.diff(np.concatenate([[0], np.cumsum(flags)])[stops])  # noqa: E731, B023
@@ -113,50 +92,31 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen[h] = seen.get(h, 0) + len(x.split())
             lines.append(list(seen))
             words.append(list(seen.values()))
-        least = list(sketches(codes, distinct, ends))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.arange(row, row + len(texts))), batch.column("doc_id"), batch.column("host"),
                 pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(np.diff(ends)), pa.array(chars),
                 pa.array(symbols), pa.array(dups, pa.int64()), pa.array(repeats, pa.int64()),
                 pa.array(lines, pa.list_(pa.int64())), pa.array(words, pa.list_(pa.int32())),
-                pa.array([x[:BANDS].view(np.int64) for x in least], pa.list_(pa.int64())),
-                pa.array([(x >> np.uint64(33)).astype(np.int32) for x in least], pa.list_(pa.int32())),
             ],
-            ["row", "doc_id", "host", "text_hash", *_MEASURES, "lines", "words", "bands", "sketch"],
+            ["row", "doc_id", "host", "text_hash", *_MEASURES, "lines", "words"],
         )
         row += len(texts)
 
 
-def _copies(texts: DataFrame) -> DataFrame:
-    """(host, text_hash) of every text that is a near copy of another one of its host; one text of a group is none."""
-    same = lambda a, b, *columns: F.expr(" and ".join(f"{a}.{c} <=> {b}.{c}" for c in ("host", *columns)))
-    banded = texts.select("host", "text_hash", F.explode("bands").alias("band"))
-    leaders = banded.groupBy("host", "band").agg(F.min("text_hash").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    pairs = banded.alias("b").join(
-        leaders.alias("l"), same("b", "l", "band"),
-    ).filter("text_hash != leader").select("b.host", "text_hash", "leader").distinct()
-    led = texts.select("host", F.col("text_hash").alias("leader"), F.col("sketch").alias("other"))
-    both = pairs.alias("p").join(
-        texts.select("host", "text_hash", "sketch").alias("t"), same("p", "t", "text_hash"),
-    ).select("p.*", "sketch").alias("p").join(led.alias("o"), same("p", "o", "leader")).select("p.host", "p.text_hash", "sketch", "other")
-    least = F.slice(F.array_sort(F.array_union("sketch", "other")), 1, SKETCH)
-    return both.filter(
-        F.size(F.array_intersect(F.array_intersect("sketch", "other"), least)) >= NEAR * F.size(least)
-    ).select("host", "text_hash").distinct()
+def _host() -> list[Column]:
+    """The host without null, and whether it is null: keys that can be joined by equality."""
+    return [F.coalesce("host", F.lit("")).alias("host_key"), F.col("host").isNull().alias("no_host")]
 
 
 def frequent_lines(measured: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, line) of every line above the limits."""
-    texts = measured.dropDuplicates(["host", "text_hash"])
-    copies = written(_copies(texts), "copies")
-    counted = texts.alias("t").join(copies.alias("c"), F.expr("t.host <=> c.host and t.text_hash = c.text_hash"), "left_anti")
-    hosts = counted.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
-    counts = counted.select(
-        "host", F.explode("lines").alias("line"),
-    ).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= min_docs)
-    joined = counts.alias("c").join(hosts.alias("h"), F.col("c.host").eqNullSafe(F.col("h.host")))
-    return joined.filter(F.col("n_docs") >= min_share * F.col("host_docs")).select("c.host", "line")
+    """(host_key, no_host, line, n_docs) of every line above the limits."""
+    texts = measured.select(*_host(), "text_hash", "lines").dropDuplicates(["host_key", "no_host", "text_hash"])
+    hosts = texts.groupBy("host_key", "no_host").agg(F.count(F.lit(1)).alias("host_docs"))
+    counts = texts.select("host_key", "no_host", F.explode("lines").alias("line")).groupBy("host_key", "no_host", "line").agg(
+        F.count(F.lit(1)).alias("n_docs"),
+    ).filter(F.col("n_docs") >= min_docs)
+    return counts.join(hosts, ["host_key", "no_host"]).filter(F.col("n_docs") >= min_share * F.col("host_docs")).drop("host_docs")
 
 
 def base_failed() -> Column:
@@ -176,12 +136,12 @@ def judge(
         "measured",
     )
     frequent = written(frequent_lines(measured, min_docs, min_share), "frequent")
-    lines = measured.select("row", "host", F.explode(F.arrays_zip("lines", "words")).alias("x")).select(
-        "row", "host", F.col("x.lines").alias("line"), F.col("x.words").alias("n"),
+    lines = measured.select("row", *_host(), F.explode(F.arrays_zip("lines", "words")).alias("x")).select(
+        "row", "host_key", "no_host", F.col("x.lines").alias("line"), F.col("x.words").alias("n"),
     )
-    hits = lines.alias("l").join(frequent.alias("f"), F.col("l.host").eqNullSafe(F.col("f.host")) & (F.col("l.line") == F.col("f.line")))
-    lost = hits.groupBy("l.row").agg(F.sum("n").alias("removed_words"), F.collect_list("l.line").alias("removed"))
-    out = measured.drop("lines", "words", "bands", "sketch").join(lost, "row", "left").withColumn(
+    hits = join_keys(lines, frequent, ["host_key", "no_host", "line"], "n_docs")
+    lost = hits.groupBy("row").agg(F.sum("n").alias("removed_words"), F.collect_list("line").alias("removed"))
+    out = measured.drop("lines", "words").join(lost, "row", "left").withColumn(
         "removed_words", F.coalesce("removed_words", F.lit(0).cast("long")),
     )
     rich = F.col("n_words") - F.col("removed_words") >= depleted * F.col("n_words")

@@ -11,8 +11,8 @@ range of the stream and a running sum in the one range that holds it. Within a s
 one hash, so ``take`` needs two hashes for each source and shuffles no text.
 
 Rows: null text has size 0; null source is a source, the last; null doc_id is a document like others. A very long text
-is one document with a long turn. Repeated rows are documents of their own (if all they have is equal, they are
-interchangeable). Size-0 documents are taken with the stream they stand in and add no words. An empty table gives an
+is one document with a long turn. Repeated rows are documents of their own, also where they differ in other columns
+only. Size-0 documents are taken with the stream they stand in and add no words. An empty table gives an
 empty result. ``take`` keeps the columns of ``docs`` as they are, whatever their names.
 """
 
@@ -133,19 +133,27 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
 def take(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, copies: int = 2, seed: int = 17) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with all their columns.
 
-    A source's queue is in the order of the hash: copy i of its rows is taken up to the hash ``last[i]``. Only of rows
-    with just such a hash (repeated rows, or a single one) the number taken is looked up.
+    A source's queue is in the order of the hash: copy i of its rows is taken up to the hash ``last[i]``. Only for rows
+    with just such a hash (repeated rows, or a single one) the number taken is looked up: they share it evenly, numbered by
+    a hash of all their columns, so rows that differ in other columns each keep their own, none more than ``copies`` times.
     """
     mixed = written(mix(docs, weights, share, copies, seed), "mixed")
     reach = [F.max(F.when(F.col("copies") > i, F.col("key"))) for i in range(copies)]
     ends = written(mixed.groupBy("none", "src").agg(F.count(F.lit(1)).alias("rows"), F.array(*reach).alias("last")), "ends")
     at_end = F.array_contains(F.array_compact("last"), F.col("key"))
-    edges = join_keys(mixed, ends, ["none", "src"], "rows").filter(at_end).groupBy("none", "src", "key").agg(F.sum("copies").alias("n"))
+    key = ["none", "src", "key"]
+    edges = join_keys(mixed, ends, ["none", "src"], "rows").filter(at_end).groupBy(*key).agg(
+        F.sum("copies").alias("n"), F.count(F.lit(1)).alias("m"),
+    )
     rows = join_keys(
         docs.select(row_of(docs), *(c.alias(n) for n, c in _keyed(seed).items())), ends, ["none", "src"], "rows",
     ).withColumn("edge", at_end)
     n = F.size(F.filter(F.array_compact("last"), lambda x: F.col("key") < x))
     inner = rows.filter("not edge").select("row", n.alias("n"))
-    first = rows.filter("edge").groupBy("none", "src", "key").agg(F.first("row").alias("row"))
-    outer = first.join(edges, ["none", "src", "key"]).select("row", F.col("n").cast("int").alias("n"))
+    own = rows.filter("edge").select(*key, "row", F.xxhash64(F.to_json(F.struct("row"))).alias("h"), F.lit(1).alias("i"))
+    placed = written(running(own, [*key, "h"], "i"), "edges")
+    starts = placed.groupBy(*key).agg((F.min("i_upto") - 1).alias("start"))
+    shared = join_keys(placed, written(edges.join(starts, key), "shares"), key, "m")
+    each = F.floor(F.col("n") / F.col("m"))
+    outer = shared.select("row", (each + (F.col("i_upto") - F.col("start") <= F.col("n") - each * F.col("m")).cast("long")).cast("int").alias("n"))
     return inner.unionByName(outer).filter("n > 0").select(F.explode(F.array_repeat("row", F.col("n"))).alias("row")).select("row.*")

@@ -7,7 +7,10 @@ code that surrounds it, with a dictionary of identifiers: common ones, and the n
 (``learn_identifiers``, counted over all of them). The bytes that the string adds to its surroundings alone, for each of
 its characters, measure how new it is; names and prose cost little, keys cost what random characters cost. Other
 occurrences of the string are cut out of the surroundings, so that a key that is written twice is as new as one that is
-written once. Spans are code points, end exclusive. One pass over the texts; only counts of names are shuffled.
+written once. A string without small letters is measured in small ones too and the lesser counts, since names in capitals
+are no newer than the same names in small letters. The limit is NOVEL, or NOVEL_LETTERS for a run of letters of one case:
+random ones carry less each, 4.7 bits, than those of larger alphabets. No alphabet is left out. Spans are code points, end
+exclusive. One pass over the texts; only counts of names are shuffled.
 
 Rows: null text counts as empty and has no spans. A very long text is searched whole. Null doc_id and repeated rows are
 rows like others. An empty table gives an empty result. Other columns are not read.
@@ -18,6 +21,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,7 +43,7 @@ _PARTS, _GAP = re.compile(rb"[^A-Za-z0-9+/_-]+"), b"\0"  # a string stands elsew
 
 REACH = 80  # bytes after a sensitive word in which a candidate may begin, or before it in which one may end
 AROUND = 512  # bytes before and after a candidate that it is measured against
-NOVEL = 0.8  # compressed bytes for each character, at least
+NOVEL, NOVEL_LETTERS = 0.8, 0.7  # compressed bytes for each character, at least; of letters of one case alone
 
 #: A name as code writes it: words joined by underscores, words in camel case, or what stands before an equals sign or a colon.
 _NAME = r"\b(?:[A-Za-z]{2,24}(?:_[A-Za-z]{2,24})+|[A-Za-z][a-z]+(?:[A-Z][a-z]+)+|[A-Za-z_]{3,32}(?=\x20?[=:]))"
@@ -81,13 +85,13 @@ IDENTIFIERS = " ".join(
 
 
 class Scanner:
-    def __init__(self, identifiers: bytes = IDENTIFIERS, novel: float = NOVEL, level: int = 9) -> None:
+    def __init__(self, identifiers: bytes = IDENTIFIERS, novel: float = NOVEL, letters: float = NOVEL_LETTERS, level: int = 9) -> None:
         import zstandard as z
 
         d = z.ZstdCompressionDict(identifiers, dict_type=z.DICT_TYPE_RAWCONTENT)
         d.precompute_compress(level=level)
         self.compress = z.ZstdCompressor(level=level, dict_data=d, write_content_size=False, write_checksum=False).compress
-        self.novel = novel
+        self.novel, self.letters = novel, letters
 
     def novelty(self, text: bytes, start: int, end: int) -> float:
         """Bytes that text[start:end] adds to its surroundings when compressed, for each of its characters."""
@@ -97,34 +101,41 @@ class Scanner:
         for part in sorted({s, *(x for x in _PARTS.split(s) if len(x) >= 16)}, key=len, reverse=True):
             before, after = (x.replace(part, _GAP * len(part)) for x in (before, after))
         around = (before[-AROUND:] + after[:AROUND]).replace(_GAP, b"")
-        return (len(self.compress(around + s)) - len(self.compress(around))) / max(1, end - start)
+        forms = [s] if s.lower() == s or s.upper() != s else [s, s.lower()]
+        return (min(len(self.compress(around + x)) for x in forms) - len(self.compress(around))) / max(1, end - start)
 
-    def scan(self, text: bytes) -> list[tuple[int, int, int, float]]:
-        """(start, end, kind, novelty) of all spans, in bytes, by start and then kind."""
+    def limit(self, s: bytes) -> float:
+        return self.letters if s.isalpha() and s in (s.lower(), s.upper()) else self.novel
+
+    def scan(self, text: bytes) -> list[tuple[int, int, int, float | None]]:
+        """(start, end, kind, novelty) of all spans, in bytes, by start and then kind; those of the patterns aren't measured."""
         found, low = [], text.lower()
         if any(k in low for k in _NAMES):
             found += [(m.start(), m.end(), 0) for m in _ASSIGN.finditer(text) if len(m[2]) >= 12]
         if b"AKIA" in text:
             found += [(m.start(), m.end(), 1) for m in _ACCESS.finditer(text) if len(m[0]) >= 18]
         found += [(m.start(), m.end(), 2) for m in _HEX.finditer(text)]
-        spans = [(*f, self.novelty(text, f[0], f[1])) for f in found]
+        spans: list[tuple[int, int, int, float | None]] = [(*f, None) for f in found]
         if any(k in low for k in _WORDS):
             spans += self._novel(text, [(a, b) for a, b, _ in found])
         return sorted(spans, key=lambda x: (x[0], x[2]))
 
-
     def _novel(self, text: bytes, found: list[tuple[int, int]]) -> list[tuple[int, int, int, float]]:
         """Candidates that overlap nothing found by the patterns. A sensitive word splits the run that it stands in."""
         words = [m.span() for m in _SENSITIVE.finditer(text)]
         begins, ends = [a for a, _ in words], [b for _, b in words]
+        taken = sorted(found)
+        reached = list(accumulate((b for _, b in taken), max))  # how far those up to one reach
         spans = []
         for m in _CANDIDATE.finditer(_SENSITIVE.sub(lambda m: _GAP * len(m[0]), text)):
             start, end = m.span()
             last, next_ = bisect_right(ends, start) - 1, bisect_left(begins, end)
             after = last >= 0 and start - ends[last] < REACH
             before = any(0 < a - end < REACH for a in begins[next_ : next_ + 2])  # what touches the word is part of one name with it
-            mixed = any(48 <= c <= 57 for c in m[0]) + any(65 <= c <= 90 for c in m[0]) + any(97 <= c <= 122 for c in m[0]) >= 2
-            if (after or before) and mixed and not any(a < end and start < b for a, b in found) and (x := self.novelty(text, start, end)) >= self.novel:
+            if not (after or before):
+                continue
+            earlier = bisect_left(taken, (end, 0))  # those that begin before the end
+            if not (earlier and reached[earlier - 1] > start) and (x := self.novelty(text, start, end)) >= self.limit(m[0]):
                 spans.append((start, end, 3, x))
         return spans
 
@@ -141,11 +152,14 @@ def learn_identifiers(docs: DataFrame, most: int = 4096, least_docs: int = 3) ->
 _SPANS = "doc_id long, spans array<struct<kind:string,start:long,end:long,novelty:double>>"
 
 
-def find_secrets(docs: DataFrame, identifiers: bytes = IDENTIFIERS, novel: float = NOVEL) -> DataFrame:
-    """doc_id and spans (kind, start, end in code points, novelty), by start and then kind, of every row of ``docs``."""
+def find_secrets(
+    docs: DataFrame, identifiers: bytes = IDENTIFIERS, novel: float = NOVEL, letters: float = NOVEL_LETTERS,
+) -> DataFrame:
+    """doc_id and spans (kind, start, end in code points, novelty of those that it found), by start and then kind, of every
+    row of ``docs``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(identifiers, novel)
+        scanner = Scanner(identifiers, novel, letters)
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("novelty", pa.float64())]))
         for batch, texts in slices(batches):
             rows = []
