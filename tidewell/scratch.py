@@ -6,16 +6,20 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Callable
+from contextvars import ContextVar
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 _MADE: dict[str, SparkSession] = {}
 _TABLES: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+#: Folders made since the innermost ``settled`` of this thread began.
+_STEP: ContextVar[list[str] | None] = ContextVar("step", default=None)
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``, removed when the driver ends.
+    """A new folder below ``spark.checkpoint.dir``, removed when the driver ends. A setting without a scheme is a path in the
+    cluster's default file system.
 
     Only a local master may do without that setting (single-machine tests): a temporary folder takes its place there.
     """
@@ -24,17 +28,20 @@ def scratch(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.gettempdir()}/tidewell-checkpoints"
-    path = f"{base.rstrip('/')}/tidewell-{uuid.uuid4().hex}"
-    if "://" not in path and path.startswith("/"):
-        path = f"file://{path}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/tidewell-{uuid.uuid4().hex}")
+    path = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
     if not _MADE:
         atexit.register(_clean)
     _MADE[path] = spark
+    if (step := _STEP.get()) is not None:
+        step.append(path)
     return path
 
 
 def remove(path: str) -> None:
-    spark = _MADE.pop(path)
+    spark = _MADE.pop(path, None)
+    if spark is None:
+        return
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
@@ -57,11 +64,18 @@ def written(df: DataFrame, name: str = "step") -> DataFrame:
 
 
 def settled(make: Callable[[], DataFrame], name: str = "step") -> DataFrame:
-    """``written(make())``, and the tables that making it left behind are removed: nothing of the result needs them."""
-    before = set(_MADE)
-    out = written(make(), name)
-    for path in set(_MADE) - before - {_TABLES[out]}:
-        remove(path)
+    """``written(make())``, and the tables that making it left behind are removed: nothing of the result needs them. Tables
+    of other threads, and those made before, stay."""
+    token = _STEP.set(own := [])
+    try:
+        out = written(make(), name)
+    finally:
+        _STEP.reset(token)
+    for path in own:
+        if path != _TABLES[out] and path in _MADE:
+            remove(path)
+    if (outer := _STEP.get()) is not None:
+        outer.append(_TABLES[out])
     return out
 
 
