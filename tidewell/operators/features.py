@@ -1,12 +1,15 @@
 """Feature operators: each adds columns to a frame, and a pipeline folds them into one plan.
 
-Ordered operators take explicit order columns; windows of one partitioning and order share one shuffle and sort.
-Rows with a null group key have null features.
+Ordered operators take explicit order columns; windows of one partitioning and order share one shuffle and sort. Where a
+group (or the whole frame, without groups) has more than ``LONG`` rows, they work over ranges of the order instead, each
+with the rows before it that they look back to, so that no task gets a group. Rows with a null group key have null features.
 """
 
 from __future__ import annotations
 
 from abc import ABC, abstractmethod
+from copy import copy
+from itertools import groupby
 from collections.abc import Callable, Sequence
 from typing import Any
 
@@ -15,11 +18,14 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.dates import calendar, seasonal
 from tidewell.functions.numbers import number, ratio
-from tidewell.operators.ordered import quantiles
+from tidewell.operators.ordered import filled_forward, quantiles, with_halo
 
 Names = str | Sequence[str] | None
 
 
+LONG = 1_000_000  # rows of a group that one task sorts, at most
+
+
 def names(keys: Names) -> list[str]:
     return [] if keys is None else [keys] if isinstance(keys, str) else list(keys)
 
@@ -41,7 +47,15 @@ class Feature(ABC):
     def transform(self, df: DataFrame) -> DataFrame:
         if not self.fitted:
             raise ValueError(f"{self.name} must be fitted before transform")
-        return self.add(df)
+        return over_ranges(df, [self]) if self.reach() is not None and is_long(df, self.group_by) else self.add(df)
+
+    def reach(self) -> int | None:
+        """How many rows back it looks; None if rows have no order for it."""
+        return None
+
+    def filled(self, df: DataFrame) -> dict[str, Column]:
+        """Columns that it needs filled forward, whatever the distance."""
+        return {}
 
     def fit_transform(self, df: DataFrame) -> DataFrame:
         return self.fit(df).transform(df)
@@ -60,6 +74,32 @@ class Feature(ABC):
         return value
 
 
+def is_long(df: DataFrame, groups: Sequence[str], most: int | None = None) -> bool:
+    """Whether a group has more rows than one task should sort: one count by group."""
+    counts = df.groupBy(*map(col, groups)).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"))
+    return (counts.first().n or 0) > (LONG if most is None else most)
+
+
+def over_ranges(df: DataFrame, features: Sequence[Feature]) -> DataFrame:
+    """The columns of ordered features of one grouping and order, each range with the rows before it that they need
+    together: a feature may look back from what another one made."""
+    f = features[0]
+    if not f.order_by:
+        f.window()  # an error
+    keys = {c: f"__key_{i}" for i, c in enumerate([*f.group_by, *f.order_by])}
+    given = df.withColumns({k: col(c) for c, k in keys.items()})
+    groups, order = [keys[c] for c in f.group_by], [keys[c] for c in f.order_by]
+    for one in features:
+        if fill := one.filled(df):
+            given = filled_forward(given, groups, order, fill)
+    out = with_halo(given, groups, order, sum(x.reach() or 0 for x in features))
+    for one in features:
+        local = copy(one)
+        local.group_by, local.order_by = ["_part", *one.group_by], ["_i"]
+        out = local.add(out)
+    return out.filter("not _halo").drop("_part", "_i", "_halo", *keys.values())
+
+
 class Lag(Feature):
     """``{c}_lag_{k}``: the value k rows before."""
 
@@ -67,6 +107,9 @@ class Lag(Feature):
         super().__init__(**options)
         self.columns, self.lags = names(columns), list(lags)
 
+    def reach(self) -> int:
+        return max(map(abs, self.lags), default=0)
+
     def add(self, df: DataFrame) -> DataFrame:
         return df.withColumns(
             {f"{c}_lag_{k}": self.grouped(F.lag(col(c), k).over(self.window())) for c in self.columns if c in df.columns for k in self.lags}
@@ -109,6 +152,9 @@ class Rolling(Feature):
         super().__init__(**options)
         self.column, self.windows, self.aggregations = column, list(windows), list(aggregations)
 
+    def reach(self) -> int:
+        return max(self.windows, default=1) - 1
+
     def add(self, df: DataFrame) -> DataFrame:
         if self.column not in df.columns:
             return df
@@ -132,12 +178,17 @@ class Growth(Feature):
         super().__init__(**options)
         self.columns, self.periods, self.inf_on_zero = names(columns), list(periods), inf_on_zero
 
+    def reach(self) -> int:
+        return max(self.periods, default=0)
+
+    def filled(self, df: DataFrame) -> dict[str, Column]:
+        return {f"__filled_{c}": number(col(c)) for c in self.columns if c in df.columns}
+
     def add(self, df: DataFrame) -> DataFrame:
         columns = [c for c in self.columns if c in df.columns]
         w = self.window()
-        filled = df.withColumns(
-            {f"__filled_{c}": F.last(number(col(c)), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)) for c in columns}
-        )
+        rest = {k: v for k, v in self.filled(df).items() if k not in df.columns}
+        filled = df.withColumns({k: F.last(v, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)) for k, v in rest.items()})
         out = {}
         for c in columns:
             for p in self.periods:
@@ -239,6 +290,7 @@ class FeaturePipeline:
 
     def __init__(self, features: Sequence[Feature] = (), enabled: bool = True, order_by: Names = None) -> None:
         self.features, self.enabled, self.fitted, self.order_by = list(features), enabled, False, names(order_by)
+        self.long: bool | None = None  # whether groups are long; counted where it isn't said
 
     @classmethod
     def from_config(cls, config: Any) -> FeaturePipeline:
@@ -261,18 +313,32 @@ class FeaturePipeline:
             order = names(order_by) or [c for c in self.order_by if c in df.columns]
             for f in self.features:
                 f.group_by, f.order_by = f.group_by or names(group_by), f.order_by or order
-                df = f.fit_transform(df)
+            df = self._fold(df, fit=True)
         self.fitted = True
         return df
 
+    def _fold(self, df: DataFrame, fit: bool) -> DataFrame:
+        """Ordered features in a row that share grouping and order are made together; a filled column ends such a run."""
+        alike = lambda f: (f.reach() is None, f.group_by, f.order_by, id(f) if f.reach() is None or f.filled(df) else 0)
+        for _, run in groupby(self.features, key=alike):
+            run = list(run)
+            if fit:
+                for f in run:
+                    f.fit(df)
+            ordered = run[0].reach() is not None
+            if ordered and (self.long if self.long is not None else is_long(df, run[0].group_by)):
+                df = over_ranges(df, run)
+            else:
+                for f in run:
+                    df = f.add(df)
+        return df
+
     def transform(self, df: DataFrame) -> DataFrame:
         if not self.enabled:
             return df
         if not self.fitted and self.features:
             raise ValueError("the pipeline must be fitted before transform")
-        for f in self.features:
-            df = f.transform(df)
-        return df
+        return self._fold(df, fit=False)
 
     def state(self) -> list[dict[str, Any]]:
         """What makes the same pipeline again, as plain values; fitted statistics are kept as rows (one for each group)."""

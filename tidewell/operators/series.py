@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidewell.functions.dates import month_start, week_start, year_period
 from tidewell.functions.numbers import clip, number
 from tidewell.operators.features import Names, col, names
-from tidewell.operators.ordered import numbered, quantiles
+from tidewell.operators.ordered import filled_forward, numbered, quantiles
 
 
 def build_daily_totals(
@@ -64,21 +64,32 @@ def daily_to_weekly(
     return sums.select(*map(col, segments), "week_start", F.date_add("week_start", 6).alias("week_end"), F.col("__v").alias(value_column))
 
 
+def _numeric(df: DataFrame, skip: set[str]) -> list[str]:
+    kinds = ("double", "float", "integer", "long", "short", "byte", "decimal")
+    return [f.name for f in df.schema if f.name not in skip and f.dataType.typeName() in kinds]
+
+
 def sum_by_date(df: DataFrame, date_column: str, exclude: Names = None) -> DataFrame:
     """A panel summed to one series: every numeric column but the date and ``exclude``."""
-    skip = {date_column, *names(exclude)}
-    numeric = [
-        f.name for f in df.schema if f.name not in skip and f.dataType.typeName() in (
-            "double", "float", "integer", "long", "short", "byte", "decimal",
-        )
-    ]
+    numeric = _numeric(df, {date_column, *names(exclude)})
     return df.groupBy(col(date_column)).agg(*(F.coalesce(F.sum(col(c)), F.lit(0)).cast("double").alias(c) for c in numeric))
 
 
+def sum_by_segment(df: DataFrame, date_column: str, group_by: Names = None) -> DataFrame:
+    """One row for each segment and date: sums of the numeric columns, null where a date has only nulls, so that a hole in
+    the series stays one."""
+    keys = [*names(group_by), date_column]
+    return df.groupBy(*map(col, keys)).agg(*(F.sum(col(c)).cast("double").alias(c) for c in _numeric(df, set(keys))))
+
+
 def fill_target(df: DataFrame, target: str, order_by: Names, group_by: Names = None) -> DataFrame:
-    """``target`` filled forward in order (within the group), and 0 before its first value."""
-    w = Window.partitionBy(*map(col, names(group_by))).orderBy(*map(col, names(order_by))).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(target, F.coalesce(F.last(number(col(target)), ignorenulls=True).over(w), F.lit(0.0)))
+    """``target`` filled forward in order (within the group), and 0 before its first value. Over ranges of the order: no task
+    gets a whole series."""
+    keys = {c: f"__key_{i}" for i, c in enumerate([*names(group_by), *names(order_by)])}
+    given = df.withColumns({k: col(c) for c, k in keys.items()})
+    groups, order = [keys[c] for c in names(group_by)], [keys[c] for c in names(order_by)]
+    found = filled_forward(given, groups, order, {"__filled": number(col(target))})
+    return found.withColumn(target, F.coalesce("__filled", F.lit(0.0))).select(*map(col, df.columns))
 
 
 def outlier_bounds(df: DataFrame, column: str, method: str = "iqr", factor: float = 1.5) -> DataFrame:
@@ -130,11 +141,16 @@ class LogTransform:
 
 def prepare(
     df: DataFrame, date_column: str, target: str, group_by: Names = None, date_format: str | None = None,
-    outliers: dict[str, Any] | None = None, log: bool = False, log_offset: float = 0.0,
+    outliers: dict[str, Any] | None = None, log: bool = False, log_offset: float = 0.0, summed: bool = False,
 ) -> tuple[DataFrame, LogTransform | None]:
-    """Dates read, target filled (within groups), optionally without outliers and in logs; and the transform to invert."""
+    """Dates read, target filled (within groups), optionally without outliers and in logs; and the transform to invert.
+
+    ``summed``: rows of one segment and date are added up first, so that what is filled are dates, not raw rows."""
     d = year_period(col(date_column)) if date_format == "year_period" else col(date_column).cast("date")
-    out = fill_target(df.withColumn(date_column, d), target, date_column, group_by)
+    dated = df.withColumn(date_column, d)
+    if summed:
+        dated = sum_by_segment(dated.withColumn(target, number(col(target))), date_column, group_by)
+    out = fill_target(dated, target, date_column, group_by)
     if outliers and outliers.get("enabled", True):
         out = handle_outliers(out, target, outliers.get("method", "iqr"), outliers.get("factor", 1.5))
     if not log:

@@ -154,19 +154,22 @@ class TimeSeriesForecaster:
         self.horizon_rows: DataFrame | None = None
 
     def adaptive_params(self, rows: int) -> dict[str, Any]:
-        """Boosting parameters by the number of training rows: small, medium or large."""
-        base = dict(self.config.get("forecasting.xgboost", None) or {})
-        tuning = self.config.get("forecasting.segment_tuning", None) or {}
-        if not tuning.get("enabled", False):
-            return base
-        small, medium = int(tuning.get("small_threshold", 30)), int(tuning.get("medium_threshold", 48))
-        return base | (tuning.get("small" if rows < small else "medium" if rows < medium else "large") or {})
-
-    def prepare_data(self, df: DataFrame, target: str, date_column: str, group_by: Names = None) -> DataFrame:
+        """Parameters of boosted trees: the general ones, and over them those of the tier that the number of rows falls into."""
+        get = self.config.get
+        tiers = (
+            (int(get("forecasting.segment_tuning.small_threshold", 30)), "small"),
+            (int(get("forecasting.segment_tuning.medium_threshold", 48)), "medium"), (math.inf, "large"),
+        )
+        tier = next(name for below, name in tiers if rows < below)
+        special = get(f"forecasting.segment_tuning.{tier}", None) if get("forecasting.segment_tuning.enabled", False) else None
+        return (get("forecasting.xgboost", None) or {}) | (special or {})
+
+    def prepare_data(self, df: DataFrame, target: str, date_column: str, group_by: Names = None, summed: bool = False) -> DataFrame:
         c = self.config.get
         out, _ = prepare(
             df, date_column, target, group_by, c("data_source.date_format", None),
             c("forecasting.outlier_handling", None) if (c("forecasting.outlier_handling", None) or {}).get("enabled") else None,
+            summed=summed,
         )
         return out
 
@@ -183,7 +186,7 @@ class TimeSeriesForecaster:
     ) -> TimeSeriesForecaster:
         c = self.config.get
         self.target, self.date, self.group_by = target, date_column, group_by
-        data = df if already_prepared else self.prepare_data(df, target, date_column, group_by)
+        data = df if already_prepared else self.prepare_data(df, target, date_column, group_by, summed=True)
         # One row for each date before anything is modelled or collected; a series that has one already stays as it is.
         data = sum_by_date(data.withColumn(date_column, col(date_column).cast("date")), date_column, group_by)
         if not already_prepared:
@@ -197,6 +200,7 @@ class TimeSeriesForecaster:
         parts = {k: marked.filter(F.col("split") == k).drop("split") for k in ("train", "validation", "test")}
         self.pipeline = feature_engineer
         if feature_engineer is not None:
+            feature_engineer.long = False  # a row for each date
             parts["train"] = feature_engineer.fit_transform(parts["train"], None, date_column)
             parts["validation"], parts["test"] = feature_engineer.transform(parts["validation"]), feature_engineer.transform(parts["test"])
         rows, self.origin, self.train_end = parts["train"].agg(

@@ -152,9 +152,11 @@ class Trees(Regressor):
 
     def fit(self, df: DataFrame, features: Sequence[str], target: str) -> Trees:
         i = int(self.kind != "random_forest")
+        unknown = [k for k in self.params if k not in self.NAMES or not self.NAMES[k][i]]
+        if unknown or int(self.params.get("max_depth") or self.params.get("depth") or 0) > 30:
+            raise ValueError(f"{self.kind}: unknown parameters {unknown}, or deeper than 30 levels; there are {', '.join(k for k, v in self.NAMES.items() if v[i])}")
         options = {self.NAMES[k][i]: v for k, v in self.params.items() if k in self.NAMES and self.NAMES[k][i]}
         options = {"seed": 42} | {k: float(v) if k in ("stepSize", "subsamplingRate") else int(v) for k, v in options.items()}
-        options["maxDepth"] = min(options.get("maxDepth", 5), 30)
         make = GBTRegressor if i else RandomForestRegressor
         self.model = make(
             featuresCol="__x", labelCol="__y", predictionCol="prediction", **options,
@@ -193,9 +195,19 @@ for _name in ("linear", "ridge", "lasso", "elastic_net"):
 register_model("bayesian_ridge", BayesianRidge)
 register_model("random_forest", lambda **kw: Trees("random_forest", **kw))
 register_model("gbt", lambda **kw: Trees("gbt", **kw))
-#: Boosting by its common names is Spark's own boosted trees; predictions are alike in kind, not in digits.
-for _name in ("xgboost", "lightgbm", "catboost"):
-    register_model(_name, lambda **kw: Trees("gbt", **kw))
+
+
+def _boosted(name: str) -> Callable[..., Regressor]:
+    def make(**params: Any) -> Regressor:
+        from tidewell.plans import boosting
+
+        return getattr(boosting, name)(**params)
+
+    return make
+
+
+for _name, _class in (("xgboost", "XGBoost"), ("lightgbm", "LightGBM"), ("catboost", "CatBoost")):
+    register_model(_name, _boosted(_class))
 
 
 def save_model(model: Regressor | None, path: str, spark: SparkSession, meta: dict[str, Any]) -> None:
@@ -219,6 +231,8 @@ def load_model(path: str, spark: SparkSession) -> tuple[Regressor | None, dict[s
     if kind["class"] == "Trees":
         model: Regressor = Trees(kind["kind"], **kind["params"])
         model.model = (RandomForestRegressionModel if kind["kind"] == "random_forest" else GBTRegressionModel).load(f"{path}/trees")
+    elif kind["class"] in ("XGBoost", "LightGBM", "CatBoost"):
+        model = _boosted(kind["class"])(**kind["params"]).restore(kind["state"])
     else:
         model = (
             BayesianRidge(**kind["params"]) if kind["class"] == "BayesianRidge" else Linear(kind["kind"], **kind["params"])

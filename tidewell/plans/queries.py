@@ -679,4 +679,4 @@ def recursive_forecast(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-from tidewell.plans import engine_queries, forecast_queries  # noqa: E402, F401  they register theirs with the decorator above
+from tidewell.plans import boosting_queries, engine_queries, forecast_queries  # noqa: E402, F401  they register theirs with the decorator above
