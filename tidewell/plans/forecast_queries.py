@@ -15,7 +15,8 @@ from tidewell.operators.features import FeaturePipeline, Lag, Rolling
 from tidewell.plans.forecaster import TimeSeriesForecaster, segment_ridge_forecast
 from tidewell.plans.models import BayesianRidge, Linear, Trees, register_model
 from tidewell.plans.queries import MONTHLY, PANEL, monthly, panel, query, rounded
-from tidewell.plans.smoothing import holt_winters_forecast, trend_fourier_forecast
+from tidewell.plans.smoothing import holt_winters_forecast, holt_winters_weights, trend_fourier_forecast
+from tidewell.plans.trend import prophet_forecast
 from tidewell.scratch import scratch
 from tidewell.sources.io import read_csv
 
@@ -230,9 +231,26 @@ def ensemble_forecast(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- whole series
 
 
-@query(None)
+_GRID = ((0.1, 0.3, 0.5, 0.7, 0.9), (0.05, 0.3, 0.6), (0.1, 0.4, 0.7), (0.8, 0.9, 0.98))
+
+
+@query(f"""WITH RECURSIVE {PANEL}, h AS (SELECT segment, list(actual / 1e6 ORDER BY date) AS y FROM panel GROUP BY 1),
+    w AS (SELECT a, b, g, phi FROM (SELECT unnest({list(_GRID[0])}::DOUBLE[]) AS a), (SELECT unnest({list(_GRID[1])}::DOUBLE[]) AS b), (SELECT
+        unnest({list(_GRID[2])}::DOUBLE[]) AS g), (SELECT unnest({list(_GRID[3])}::DOUBLE[]) AS phi)),
+    s AS (SELECT segment, y, a, b, g, phi, 0 AS t, list_avg(y[1:12]) AS level, (list_avg(y[13:24]) - list_avg(y[1:12])) / 12 AS slope,
+        list_transform(y[1:12], lambda v: v - list_avg(y[1:12])) AS season, 0.0::DOUBLE AS sse FROM h, w UNION ALL
+        SELECT segment, y, a, b, g, phi, t + 1, now, b * (now - level) + (1 - b) * phi * slope, list_transform(season, lambda v, i: CASE WHEN i = t % 12 + 1
+            THEN g * (y[t + 1] - now) + (1 - g) * v ELSE v END), sse + power(y[t + 1] - (level + phi * slope) - season[t % 12 + 1], 2)
+        FROM (SELECT *, a * (y[t + 1] - season[t % 12 + 1]) + (1 - a) * (level + phi * slope) AS now FROM s WHERE t < len(y)))
+    SELECT segment, round(min(sse), 4) AS grid_sse, true AS not_above FROM s WHERE t = len(y) GROUP BY segment""")
 def holt_winters(spark: SparkSession, d: str) -> DataFrame:
-    return holt_winters_forecast(panel(spark, d), "date", "actual", 12, "segment")
+    """The squared error of the best weights of a grid, damping included, and that the search finds none that is worse."""
+    from itertools import product
+
+    rows = scaled(panel(spark, d))
+    found = holt_winters_weights(rows, "date", "actual", "segment", damped=True).select("segment", F.col("sse").alias("found"))
+    grid = holt_winters_weights(rows, "date", "actual", "segment", grid=list(product(*_GRID)), damped=True)
+    return grid.join(found, "segment").select("segment", F.round("sse", 4).alias("grid_sse"), (F.col("found") <= F.col("sse") + 1e-9).alias("not_above"))
 
 
 @query(f"""WITH RECURSIVE {PANEL}, h AS (SELECT segment, list(actual / 1e6 ORDER BY date) AS y, max(date) AS last FROM panel GROUP BY 1),
@@ -301,3 +319,49 @@ def trend_fourier_with_regressor(spark: SparkSession, d: str) -> DataFrame:
 def forecast_per_segment(spark: SparkSession, d: str) -> DataFrame:
     """A ridge of each segment's own is fitted by its sums of products; all segments forecast side by side."""
     return rounded(segment_ridge_forecast(scaled(panel(spark, d)), "segment", "date", "actual", 12), 4)
+
+
+# ---------------------------------------------------------------- a trend that bends
+
+
+def _bent(rows: str, key: str, penalty: float) -> str:
+    """One changepoint, at the last of the first four fifths of the rows: level and slope are taken out of the bend's column,
+    and the bend is its least-squares value moved towards zero by the penalty."""
+    return f"""r AS (SELECT {key} AS key, date, y / max(abs(y)) OVER w AS z, max(abs(y)) OVER w AS scale,
+        (date - min(date) OVER w)::DOUBLE / (max(date) OVER w - min(date) OVER w) AS t, row_number() OVER (PARTITION BY {key} ORDER BY date) - 1 AS i, count(*) OVER w AS n
+        FROM {rows} WINDOW w AS (PARTITION BY {key})),
+    p AS (SELECT key, t AS s FROM r WHERE i = floor(n * 0.8) - 1),
+    h AS (SELECT r.*, s, greatest(t - s, 0) AS h FROM r JOIN p USING (key)),
+    m AS (SELECT key, avg(t) AS mt, avg(z) AS mz, avg(h) AS mh, regr_slope(h, t) AS bh, regr_slope(z, t) AS bz FROM h GROUP BY key),
+    f AS (SELECT h.*, mt, mz, mh, bz, bh, h - mh - bh * (t - mt) AS e FROM h JOIN m USING (key)),
+    d AS (SELECT key, sign(sum(e * z)) * greatest(abs(sum(e * z)) - {penalty}, 0) / sum(e * e) AS d, any_value(s) AS s, any_value(mt) AS mt, any_value(mz) AS mz,
+        any_value(mh) AS mh, any_value(bz) AS bz, any_value(bh) AS bh, any_value(scale) AS scale, max(date) AS last, min(date) AS o FROM f GROUP BY key),
+    a AS (SELECT *, (date_trunc('month', last) + to_months(k::INTEGER))::DATE AS date FROM d, generate_series(1, 12) g(k)),
+    x AS (SELECT *, (date - o)::DOUBLE / (last - o) AS t FROM a)"""
+
+
+_BENT = "round(scale * (mz + bz * (t - mt) + d * (t - s - mh - bh * (t - mt))), 4) AS prediction"
+
+
+@query(f"WITH {MONTHLY}, v AS (SELECT date, actual / 1e6 AS y FROM monthly), {_bent('v', '1', 0.05)} SELECT date, {_BENT} FROM x")
+def prophet_one_changepoint(spark: SparkSession, d: str) -> DataFrame:
+    found = prophet_forecast(
+        scaled(monthly(spark, d)), "date", "actual", 12, yearly_seasonality=False, n_changepoints=1, changepoint_penalty=0.05,
+    )
+    return rounded(found.select("date", "prediction"), 4)
+
+
+@query(f"WITH {PANEL}, v AS (SELECT segment, date, actual / 1e6 AS y FROM panel), {_bent('v', 'segment', 0.02)} SELECT key AS segment, date, {_BENT} FROM x")
+def prophet_one_changepoint_by_segment(spark: SparkSession, d: str) -> DataFrame:
+    found = prophet_forecast(
+        scaled(panel(spark, d)), "date", "actual", 12, "segment", yearly_seasonality=False, n_changepoints=1, changepoint_penalty=0.02,
+    )
+    return rounded(found.select("segment", "date", "prediction"), 4)
+
+
+@query(f"""WITH {PANEL}, v AS (SELECT segment, max(date) AS last FROM panel GROUP BY 1) SELECT segment, (date_trunc('month', last) + to_months(k::INTEGER))::DATE AS date,
+    true AS ordered FROM v, generate_series(1, 12) g(k)""")
+def prophet_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """The whole model for each segment: its months, and that the bounds enclose the forecast."""
+    found = prophet_forecast(scaled(panel(spark, d)), "date", "actual", 12, "segment")
+    return found.select("segment", "date", ((F.col("prediction_lower") < F.col("prediction")) & (F.col("prediction") < F.col("prediction_upper"))).alias("ordered"))

@@ -22,7 +22,8 @@ from tidewell.operators.features import FeaturePipeline, Names, col, names
 from tidewell.operators.metrics import accuracy, horizon_errors
 from tidewell.operators.series import LogTransform, prepare, split, sum_by_date
 from tidewell.plans.models import Regressor, load_model, make_model, save_model
-from tidewell.plans.smoothing import holt_winters_forecast, trend_fourier_forecast
+from tidewell.plans.smoothing import holt_winters_forecast
+from tidewell.plans.trend import prophet_forecast
 
 
 def months_after(start: date, n: int) -> list[date]:
@@ -341,7 +342,7 @@ class TimeSeriesForecaster:
 
 
 #: Models of a whole series: (series, date column, target, months) to date and prediction, with bounds or without.
-_SERIES = {"holt_winters": holt_winters_forecast, "prophet": trend_fourier_forecast}
+_SERIES = {"holt_winters": holt_winters_forecast, "prophet": prophet_forecast}
 
 
 class _Pair(Regressor):
