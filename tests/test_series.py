@@ -418,7 +418,7 @@ def test_exact_quantiles_by_groups(spark):
 def test_series_models_and_pipelines_are_saved(spark, tmp_path):
     rows = [(dt.date(2016 + i // 12, i % 12 + 1, 1), 100 + i + 10 * math.sin(i * math.pi / 6), float(i % 5)) for i in range(60)]
     df = spark.createDataFrame(rows, "date date, actual double, promo double")
-    for kind, more in (("holt_winters", {}), ("prophet", {"prophet": {"order": 2, "regressors": ["promo"]}})):
+    for kind, more in (("holt_winters", {}), ("prophet", {"prophet": {"yearly_seasonality": 2, "additional_regressors": ["promo"]}})):
         made = TimeSeriesForecaster(ConfigManager(values={"forecasting": {"model_type": kind, "backtest_months": 6, **more}}, environment={})).fit(df, "actual", "date")
         ahead = made.predict(6).orderBy("date").collect()
         assert len(ahead) == 6 and ("prediction_lower" in ahead[0].asDict()) == (kind == "prophet") and made.evaluate().first().mape < 20
@@ -427,7 +427,10 @@ def test_series_models_and_pipelines_are_saved(spark, tmp_path):
             made.save(str(tmp_path / kind), spark)
             assert TimeSeriesForecaster.load(str(tmp_path / kind), spark, made.config).predict(6).orderBy("date").collect() == ahead
     pipeline = FeaturePipeline([Statistical("actual"), Calendar("date", {m: m for m in range(1, 13)}), Lag("actual", [1], order_by="date")]).fit(df, None, "date")
-    again = FeaturePipeline.restore(json.loads(json.dumps(pipeline.state(), default=str)), spark)
+    pipeline.save(str(tmp_path / "pipeline"), spark)
+    again = FeaturePipeline.load(str(tmp_path / "pipeline"), spark)
+    again.save(str(tmp_path / "pipeline"), spark)  # over the tables that it reads
+    again = FeaturePipeline.load(str(tmp_path / "pipeline"), spark)
     assert sorted(map(str, again.transform(df).collect())) == sorted(map(str, pipeline.transform(df).collect()))
 
 
@@ -458,6 +461,84 @@ def test_jdbc(spark, tmp_path):
     assert parts.count() == 20 and parts.rdd.getNumPartitions() == 4
 
 
+def test_jdbc_in_ranges(spark, tmp_path):
+    options = {"url": f"jdbc:derby:memory:{tmp_path.name};create=true", "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    rows = [(i if i % 9 else None, f"n{i}", dt.date(2024, 1, 1) + dt.timedelta(days=i)) for i in range(100)]
+    spark.createDataFrame(rows, "k int, name string, day date").write.format("jdbc").options(**options).option("dbtable", '"t"').save()
+    loader = Loader(spark, jdbc=options, name=quoted("t"))
+    for column, parts in (("k", 4), ("k", 1), ("day", 3), ("k", 500)):
+        for even in (True, False):
+            found = loader.load_ranges(column, parts, even=even)
+            assert sorted(map(str, found.collect())) == sorted(map(str, spark.createDataFrame(rows, found.schema).collect()))
+            assert parts > 100 or found.rdd.getNumPartitions() == parts
+    checkpoint = Checkpoint(str(tmp_path / "c.json"))
+    checkpoint.write(70)
+    newer = loader.load_ranges("k", 4, checkpoint)
+    assert sorted(r.k for r in newer.collect()) == [i for i in range(71, 100) if i % 9]
+    checkpoint.write(99)
+    assert loader.load_ranges("k", 4, checkpoint).count() == 0
+    with pytest.raises(ValueError, match="evenly"):
+        loader.load_ranges("name", 4)
+    with pytest.raises(RuntimeError):
+        Loader(spark, spark.range(3)).load_ranges("id", 2)
+
+
+@pytest.mark.parametrize("store", [False, True])
+def test_checkpoint_survives_a_stop_between_the_steps(spark, tmp_path, store):
+    path = f"file://{tmp_path}/c.json" if store else str(tmp_path / "c.json")
+    c = Checkpoint(path, spark if store else None)
+    for value in (1, 2, 3):
+        c.write(value)
+    newest = sorted(tmp_path.glob("c.json.*"), key=lambda p: int(p.suffix[1:]))[-1]
+    half = tmp_path / f"c.json.{int(newest.suffix[1:]) + 1}"
+    half.write_text(newest.read_text()[:12])  # a writer that stopped in the middle
+    assert c.read() == 3
+    c.write(4)
+    assert c.read() == 4 and half.exists()
+    for value in range(5, 20):
+        c.write(value)
+    assert c.read() == 19 and len([p for p in tmp_path.glob("c.json.*") if not p.name.endswith("crc")]) <= Checkpoint.KEPT + 1
+    other = Checkpoint(path, spark if store else None)
+    assert not other._create(other._numbers()[0], "{}") and other.read() == 19  # no writer replaces another's
+
+
+def test_a_plain_checkpoint_file_counts(tmp_path):
+    (tmp_path / "c.json").write_text('{"last_value": 7, "type": "int"}')
+    c = Checkpoint(str(tmp_path / "c.json"))
+    assert c.read() == 7
+    c.write(8)
+    assert c.read() == 8 and (tmp_path / "c.json").exists()
+
+
+def test_many_group_statistics_are_saved_without_a_collect(spark, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+
+    df = spark.range(200_000).select((F.col("id") % 100_000).alias("g"), F.col("id").cast("double").alias("x"))
+    pipeline = FeaturePipeline([Statistical("x", group_by="g")])
+    pipeline.fit(df)
+    with monkeypatch.context() as m:
+        m.setattr(Frame, "collect", lambda self: pytest.fail("collected"))
+        pipeline.save(str(tmp_path / "p"), spark)
+    again = FeaturePipeline.load(str(tmp_path / "p"), spark)
+    assert again.features[0].stats.count() == 100_000
+    one = again.transform(df.filter("g = 5")).first()
+    assert (one.x_group_mean, one.x_group_median) == (50_005.0, 50_005.0)
+
+
+def test_accuracy_of_one_large_group(spark):
+    rows = [("a", i, float(i * i % 17), float(i % 5)) for i in range(400)] + [("b", i, float(i), 1.0) for i in range(5)] + [(None, 0, 1.0, None)]
+    df = spark.createDataFrame(rows, "g string, i int, y double, p double").repartition(4)
+    found = {r.g: r for r in accuracy(df, "y", "p", "i", "g").collect()}
+    for g, lag in (("a", 12), ("b", 1)):
+        own = [(y, p) for k, _, y, p in rows if k == g]
+        mae = np.mean([abs(y - p) for y, p in own])
+        naive = np.mean([abs(own[i][0] - own[i - lag][0]) for i in range(lag, len(own))])
+        assert found[g].mae == pytest.approx(mae) and found[g].mase == pytest.approx(mae / naive)
+    assert set(found) == {"a", "b"}
+    plan = accuracy(df, "y", "p", "i", "g")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_part#" in plan
+
+
 def test_checkpoint_in_a_store(spark, tmp_path):
     c = Checkpoint(f"file://{tmp_path}/deep/c.json", spark)
     assert c.read() is None

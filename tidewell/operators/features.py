@@ -7,11 +7,13 @@ with the rows before it that they look back to, so that no task gets a group. Ro
 
 from __future__ import annotations
 
+import json
 from abc import ABC, abstractmethod
 from copy import copy
 from itertools import groupby
 from collections.abc import Callable, Sequence
 from typing import Any
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -263,13 +265,6 @@ class Statistical(Feature):
         return out.withColumns({f"{c}_zscore": score(c) for c in self.used})
 
 
-def _rows_of(stats: DataFrame | None) -> dict[str, Any] | None:
-    return None if stats is None else {
-        "schema": ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stats.schema),
-        "rows": [list(r) for r in stats.collect()],
-    }
-
-
 def from_config(config: dict[str, Any]) -> Feature | None:
     """The operator that a configuration entry describes; None for an unknown type."""
     kind, name = config.get("type"), config.get("name")
@@ -340,29 +335,30 @@ class FeaturePipeline:
             raise ValueError("the pipeline must be fitted before transform")
         return self._fold(df, fit=False)
 
-    def state(self) -> list[dict[str, Any]]:
-        """What makes the same pipeline again, as plain values; fitted statistics are kept as rows (one for each group)."""
-        return [
-            {
-                "class": type(f).__name__, "values": {k: v for k, v in vars(f).items() if k != "stats"},
-                "stats": _rows_of(getattr(f, "stats", None)),
-            } for f in self.features
-        ]
+    def save(self, path: str, spark: SparkSession) -> None:
+        """What makes the same pipeline again: its settings as JSON, and fitted statistics as Parquet tables beside them (a
+        row for each group, written by tasks)."""
+        kept = []
+        for f in self.features:
+            stats, name = getattr(f, "stats", None), None
+            if stats is not None:
+                name = f"statistics-{uuid4().hex}"  # a new table: the old one may be what is being saved
+                stats.write.parquet(f"{path}/{name}")
+            kept.append({"class": type(f).__name__, "values": {k: v for k, v in vars(f).items() if k != "stats"}, "stats": name})
+        spark.createDataFrame([(json.dumps(kept, default=str),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/settings")
 
     @classmethod
-    def restore(cls, state: Sequence[dict[str, Any]], spark: SparkSession) -> FeaturePipeline:
+    def load(cls, path: str, spark: SparkSession) -> FeaturePipeline:
         kinds = {c.__name__: c for c in Feature.__subclasses__()}
         made = []
-        for one in state:
+        for one in json.loads(spark.read.text(f"{path}/settings").first().value):
             f = kinds[one["class"]].__new__(kinds[one["class"]])
             values = dict(one["values"])
             if isinstance(values.get("holidays"), dict):
                 values["holidays"] = {int(m): n for m, n in values["holidays"].items()}  # JSON has keys as strings
             vars(f).update(values)
             if one["class"] == "Statistical":
-                f.stats = None if one["stats"] is None else spark.createDataFrame(
-                    [tuple(r) for r in one["stats"]["rows"]], one["stats"]["schema"],
-                )
+                f.stats = None if one["stats"] is None else spark.read.parquet(f"{path}/{one['stats']}")
             made.append(f)
         out = cls(made)
         out.fitted = True

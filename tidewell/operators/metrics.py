@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from tidewell.functions.dates import month_start
 from tidewell.functions.numbers import finite, ratio
 from tidewell.operators.features import Names, col, names
-from tidewell.operators.ordered import numbered
-from tidewell.scratch import written
+from tidewell.operators.ordered import with_halo
 
 METRICS = ("mae", "mse", "rmse", "r2", "mape", "wape", "mase", "bias", "bias_pct", "tracking_signal")
 
@@ -17,29 +16,22 @@ METRICS = ("mae", "mse", "rmse", "r2", "mape", "wape", "mase", "bias", "bias_pct
 def accuracy(df: DataFrame, actual: str, predicted: str, order_by: Names, group_by: Names = None, season: int = 12) -> DataFrame:
     """One row (for each group): METRICS, null where undefined. Pairs with null, NaN or infinite values don't count.
 
-    The naive forecast of mase is the value ``season`` rows before, or one row before in a series no longer than that.
-    Without groups that value is found by its place in a range sort, so no task gets all pairs.
+    The naive forecast of mase is the value ``season`` rows before, or one row before in a series no longer than that. It is
+    found in ranges of the order, each with the ``season`` rows before it, so no task gets all pairs, nor all of a group.
     """
-    groups = [col(g) for g in names(group_by)]
+    keys = {g: f"__k{i}" for i, g in enumerate(names(group_by))}
+    order = {c: f"__o{i}" for i, c in enumerate(names(order_by))}
     clean = df.select(
-        *groups, *map(col, dict.fromkeys(x for x in names(order_by) if x not in names(group_by))),
-        finite(col(actual)).alias("__y"), finite(col(predicted)).alias("__p"),
+        *(col(c).alias(k) for c, k in (*keys.items(), *order.items())), finite(col(actual)).alias("__y"), finite(col(predicted)).alias("__p"),
     ).filter("__y is not null and __p is not null")
-    if groups:
-        by = Window.partitionBy(*groups)
-        w = by.orderBy(*map(col, names(order_by)))
-        lagged = clean.select(
-            *groups, "__y", "__p", F.count(F.lit(1)).over(by).alias("__n"), F.lag("__y", season).over(w).alias("__s"),
-            F.lag("__y", 1).over(w).alias("__l"),
-        )
-    else:
-        placed = written(numbered(clean, [f"`{c}`" for c in names(order_by)]).select("__i", "__y", "__p"), "pairs")
-        before = lambda k, name: placed.select((F.col("__i") + k).alias("__i"), F.col("__y").alias(name))
-        sized = placed.crossJoin(F.broadcast(placed.agg(F.count(F.lit(1)).alias("__n"))))  # one row
-        lagged = sized.join(before(season, "__s"), "__i", "left").join(before(1, "__l"), "__i", "left")
+    w = Window.partitionBy("_part", *keys.values()).orderBy("_i")
+    lagged = with_halo(clean, list(keys.values()), list(order.values()), season).select(
+        *(F.col(k).alias(g) for g, k in keys.items()), "__y", "__p", "_halo", F.lag("__y", season).over(w).alias("__s"), F.lag("__y", 1).over(w).alias("__l"),
+    ).filter("not _halo")
+    groups = [col(g) for g in keys]
     y, p = F.col("__y"), F.col("__p")
     e, size = F.abs(y - p), F.sum(F.abs(y))
-    naive = F.avg(F.abs(y - F.when(F.col("__n") > season, F.col("__s")).otherwise(F.col("__l"))))
+    naive = F.when(F.count(y) > season, F.avg(F.abs(y - F.col("__s")))).otherwise(F.avg(F.abs(y - F.col("__l"))))
     mae = F.avg(e)
     total = F.var_pop(y) * F.count(y)
     return lagged.groupBy(*groups).agg(

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
+import os
 import tempfile
+from functools import reduce
 from pathlib import Path
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +19,10 @@ from tidewell.operators.features import Calendar, FeaturePipeline, Lag, Rolling,
 from tidewell.operators.metrics import accuracy
 from tidewell.operators.series import daily_to_weekly, prepare
 from tidewell.plans.forecaster import date_features
-from tidewell.plans.models import available_models
+from tidewell.plans.models import available_models, make_model
 from tidewell.plans.queries import _PAIRS, MONTHLY, PANEL, _dates, _pairs, _rows, monthly, panel, query, rounded, table
 from tidewell.scratch import scratch
-from tidewell.sources.io import Checkpoint, Loader, quoted, read_csv, write_csv
+from tidewell.sources.io import Checkpoint, Loader, quoted, quoted_columns, read_csv, write_csv
 from tidewell.streaming.delta import daily_totals_stream, load_new_files
 
 _ORDER = {"group_by": "segment", "order_by": "date"}
@@ -42,25 +45,55 @@ def delta_limited(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("SELECT true AS filled, false AS absent")
+def _database(spark: SparkSession, rows: DataFrame, name: str, **more: str) -> Loader:
+    """``rows`` as a table of an embedded database that lives in this process while the session does."""
+    options = {"url": f"jdbc:derby:memory:{uuid4().hex};create=true", "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    rows.write.format("jdbc").options(**options, **more).option("dbtable", quoted(name)).save()
+    return Loader(spark, jdbc=options, name=quoted(name))
+
+
+def _orders(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+
+
+_TYPES = {"createTableColumnTypes": "o_orderstatus VARCHAR(20)"}
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders")
+def jdbc_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """A table of a database, read by four tasks side by side."""
+    return _database(spark, _orders(spark, d), "orders", **_TYPES).load_ranges("o_orderkey", 4)
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderkey > (SELECT max(o_orderkey) // 2 FROM orders)")
+def jdbc_newer_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """Rows beyond a watermark, in ranges of about as many rows each."""
+    rows = _orders(spark, d)
+    checkpoint = Checkpoint(f"{scratch(spark)}/last.json", spark)
+    checkpoint.write(rows.agg(F.max("o_orderkey")).first()[0] // 2)
+    return _database(spark, rows, "orders", **_TYPES).load_ranges("o_orderkey", 4, checkpoint, even=False)
+
+
+@query("SELECT o_orderstatus AS status, count(*)::INTEGER AS n, max(o_orderkey) AS last FROM orders GROUP BY 1")
+def jdbc_statement(spark: SparkSession, d: str) -> DataFrame:
+    """A statement that the database runs; only its result is read."""
+    loader = _database(spark, _orders(spark, d), "orders", **_TYPES)
+    return loader.execute('SELECT "o_orderstatus" AS "status", count(*) AS "n", max("o_orderkey") AS "last" FROM "orders" GROUP BY "o_orderstatus"')
+
+
+@query("SELECT r_regionkey, r_name, true AS filled, false AS absent FROM region")
 def connection_test(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame(
-        [
-            (
-                Loader(spark, table(spark, d, "region")).test_connection(),
-                Loader(spark, jdbc={"url": "jdbc:none:"}, name="t").test_connection(),
-            )
-        ],
-        "filled boolean, absent boolean",
-    )
+    """A table that a connection reads, and a connection without that table."""
+    loader = _database(spark, table(spark, d, "region").select("r_regionkey", "r_name"), "region", createTableColumnTypes="r_name VARCHAR(30)")
+    none = Loader(spark, jdbc=loader.jdbc, name=quoted("none"))
+    return loader.load_data().withColumns({"filled": F.lit(loader.test_connection()), "absent": F.lit(none.test_connection())})
 
 
-@query("SELECT n_nationkey, '\"' || n_name || '\".\"t' || n_regionkey || '\"' AS name FROM nation")
+@query("""SELECT c_custkey, '"' || c_name || '"."t""' || c_nationkey || '"' AS name FROM customer""")
 def table_names(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey").collect()  # a dimension of 25 rows
-    return spark.createDataFrame(
-        [(r.n_nationkey, quoted(r.n_name, None, f"t{r.n_regionkey}")) for r in rows], "n_nationkey int, name string",
-    )
+    rows = table(spark, d, "customer")
+    second = F.concat(F.lit('t"'), F.col("c_nationkey").cast("string"))
+    return rows.select("c_custkey", quoted_columns(F.col("c_name"), F.lit(None).cast("string"), second).alias("name"))
 
 
 @query(
@@ -144,32 +177,40 @@ def pipeline_on_other_rows(spark: SparkSession, d: str) -> DataFrame:
     return rounded(pipeline.transform(rows).drop("c_nationkey"), 4)
 
 
-@query("""SELECT unnest(['segment', 'date', 'actual', 'actual_lag_1', 'actual_lag_2', 'actual_rolling_mean_3']) AS name, unnest([false, false, false,
-    true, true, true]) AS made,
-    2 AS transformers, 'Lag,Rolling' AS names, true AS enabled""")
+@query(f"""WITH {PANEL}, t AS (SELECT *, lag(actual, 1) OVER w AS l1, lag(actual, 2) OVER w AS l2 FROM panel WINDOW w AS (PARTITION BY segment ORDER BY date)),
+    n AS (SELECT [count(segment), count(date), count(actual), count(l1), count(l2), count(actual)] AS n FROM t)
+    SELECT unnest(['segment', 'date', 'actual', 'actual_lag_1', 'actual_lag_2', 'actual_rolling_mean_3']) AS name, unnest([false, false, false,
+    true, true, true]) AS made, unnest(n) AS filled, 2 AS transformers, 'Lag,Rolling' AS names, true AS enabled FROM n""")
 def feature_names(spark: SparkSession, d: str) -> DataFrame:
+    """The columns that a pipeline makes, and in how many rows each has a value."""
     rows = panel(spark, d)
     pipeline = FeaturePipeline([Lag("actual", [1, 2]), Rolling("actual", [3])]).fit(rows, "segment", "date")
-    info = pipeline.get_feature_importance_info()
-    more = (info["transformer_count"], ",".join(info["transformer_names"]), info["enabled"])
-    return spark.createDataFrame(
-        [(n, n not in rows.columns, *more) for n in pipeline.get_feature_names(rows)],
-        "name string, made boolean, transformers int, names string, enabled boolean",
+    info, made = pipeline.get_feature_importance_info(), pipeline.get_feature_names(rows)
+    listed = F.array(*(F.struct(F.lit(c).alias("name"), F.lit(c not in rows.columns).alias("made"), F.count(c).alias("filled")) for c in made))
+    return pipeline.transform(rows).agg(listed.alias("x")).select(F.explode("x").alias("x")).select(
+        "x.*", F.lit(info["transformer_count"]).alias("transformers"), F.lit(",".join(info["transformer_names"])).alias("names"),
+        F.lit(info["enabled"]).alias("enabled"),
     )
 
 
-@query("SELECT * FROM (VALUES ('given', 'b'), ('segment', 'Roll Up Shop'), ('key', 'a'), ('none', NULL), ('absent', 'error')) t(how, key)")
+@query("""SELECT how, key, CASE key WHEN 'nation' THEN count(DISTINCT c_nationkey) WHEN 'Roll Up Shop' THEN count(DISTINCT c_mktsegment) ELSE 0 END AS groups,
+    count(*) AS n FROM customer, (VALUES ('given', 'nation'), ('segment', 'Roll Up Shop'), ('key', 'nation'), ('none', NULL), ('absent', 'error')) t(how, key) GROUP BY how, key""")
 def group_keys(spark: SparkSession, d: str) -> DataFrame:
-    columns = ["a", "b", "Roll Up Shop"]
+    """The group column that each way of asking finds among the customers' columns, and how many groups it makes."""
+    rows = table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("Roll Up Shop"))
     found = [
-        ("given", group_key(columns, "b")), ("segment", group_key(columns, None, "rollup_shop", ["a"])),
-        ("key", group_key(columns, None, None, ["a"])), ("none", group_key(columns)),
+        ("given", group_key(rows.columns, "nation")), ("segment", group_key(rows.columns, None, "rollup_shop", ["nation"])),
+        ("key", group_key(rows.columns, None, None, ["nation"])), ("none", group_key(rows.columns)),
     ]
     try:
-        found.append(("absent", group_key(columns, "c")))
+        found.append(("absent", group_key(rows.columns, "c")))
     except ValueError:
         found.append(("absent", "error"))
-    return spark.createDataFrame(found, "how string, key string")
+    groups = lambda key: F.count_distinct(F.col(f"`{key}`")) if key in rows.columns else F.lit(0).cast("long")
+    listed = [
+        F.struct(F.lit(how).alias("how"), F.lit(key).cast("string").alias("key"), groups(key).alias("groups"), F.count(F.lit(1)).alias("n")) for how, key in found
+    ]
+    return rows.agg(F.array(*listed).alias("x")).select(F.explode("x").alias("x")).select("x.*")
 
 
 @query("""WITH t AS (SELECT DISTINCT o_orderdate::DATE AS d FROM orders), x AS (SELECT d, month(d) AS m, year(d) AS y FROM t),
@@ -243,24 +284,38 @@ def accuracy_by_segment(spark: SparkSession, d: str) -> DataFrame:
     return rounded(found.select("segment", (F.col("mae") / 1e3).alias("mae"), "mase", "tracking_signal"), 4)
 
 
-@query(
-    "SELECT unnest(['bayesian_ridge', 'catboost', 'elastic_net', 'gbt', 'lasso', 'lightgbm', 'linear', 'random_forest', 'ridge', 'xgboost']) AS model"
-)
+_KNOWN = ("bayesian_ridge", "catboost", "elastic_net", "gbt", "lasso", "lightgbm", "linear", "random_forest", "ridge", "xgboost")  # others may register more
+
+
+@query(f"WITH {MONTHLY} SELECT model, count(*) AS n, true AS whole FROM monthly, (SELECT unnest({list(_KNOWN)}) AS model) GROUP BY model")
 def model_registry(spark: SparkSession, d: str) -> DataFrame:
-    known = {"bayesian_ridge", "catboost", "elastic_net", "gbt", "lasso", "lightgbm", "linear", "random_forest", "ridge", "xgboost"}  # others may register more
-    return spark.createDataFrame([(m,) for m in available_models() if m in known], "model string")
+    """Every model of the registry, fitted to the months and asked for each of them."""
+    rows = monthly(spark, d).select(F.month("date").alias("x"), (F.col("actual") / 1e6).alias("y"))
+    few = {"gbt": {"n_estimators": 2}, "random_forest": {"n_estimators": 2}} | {k: {"n_estimators": 3} for k in ("xgboost", "lightgbm", "catboost")}
+    found = [make_model(m, **few.get(m, {})).fit(rows, ["x"], "y").predict(rows, ["x"]).select(F.lit(m).alias("model"), "prediction") for m in available_models() if m in _KNOWN]
+    sound = F.bool_and(F.col("prediction").isNotNull() & ~F.isnan("prediction")).alias("whole")
+    return reduce(DataFrame.unionByName, found).groupBy("model").agg(F.count(F.lit(1)).alias("n"), sound)
 
 
-@query("SELECT unnest(['a.b', 'a.c', 'd', 'e']) AS path, unnest(['1', '3', 'absent', '5']) AS value")
+@query("""SELECT path, value, count(o_orderkey) AS n FROM (SELECT unnest(['a.b', 'a.c', 'd', 'e', 'f.g']) AS path, unnest(['1', '3', 'absent', '5', '4']) AS value)
+    LEFT JOIN orders ON left(o_orderpriority, 1) = value GROUP BY ALL""")
 def configuration(spark: SparkSession, d: str) -> DataFrame:
-    """Values set, merged and read by dotted paths, from a file; a missing path gives the default."""
+    """Values from a file, set, merged and taken from the environment, and how many orders have the priority that each names; a
+    missing path gives the default."""
     with tempfile.TemporaryDirectory() as folder:  # the driver's own file, read at once
         path = Path(folder, "c.yml")
-        path.write_text("a:\n  b: 1\n  c: 2\n")
-        config = ConfigManager(str(path), environment={})
+        path.write_text("a:\n  b: 1\n  c: 2\nsnowflake:\n  role: '2'\n")
+        os.environ["TIDEWELL_QUERY_ROLE"] = "4"
+        try:
+            config = ConfigManager(str(path), environment={"snowflake.role": "TIDEWELL_QUERY_ROLE"})
+        finally:
+            del os.environ["TIDEWELL_QUERY_ROLE"]
     config.update({"a": {"c": 3}})
     config.set("e", 5)
-    return spark.createDataFrame([(p, str(config.get(p, "absent"))) for p in ("a.b", "a.c", "d", "e")], "path string, value string")
+    config.set("f.g", config.get("snowflake.role"))
+    wanted = F.array(*(F.struct(F.lit(p).alias("path"), F.lit(str(config.get(p, "absent"))).alias("value")) for p in ("a.b", "a.c", "d", "e", "f.g")))
+    orders = table(spark, d, "orders").groupBy(F.substring("o_orderpriority", 1, 1).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return spark.range(1).select(F.explode(wanted).alias("x")).select("x.*").join(orders, "value", "left").select("path", "value", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
 # ---------------------------------------------------------------- command line

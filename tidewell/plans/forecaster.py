@@ -14,7 +14,7 @@ from dataclasses import asdict
 from datetime import date
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.numbers import number
@@ -105,40 +105,60 @@ def fold_forecast(
     )
 
 
+def solved(matrix: Column, n: int) -> Column:
+    """The solution of n equations, given as an array of n rows of n + 1 numbers with a positive definite left side: Gauss's
+    elimination as array functions."""
+
+    def step(a: Column, k: Column) -> Column:
+        pivot = F.element_at(a, k)
+        row = F.transform(pivot, lambda v: v / F.element_at(pivot, k))
+        return F.transform(
+            a, lambda r, i: F.when(i == k - 1, row).otherwise(F.transform(r, lambda v, j: v - F.element_at(r, k) * F.element_at(row, j + 1))),
+        )
+
+    done = F.aggregate(F.sequence(F.lit(1), F.lit(n)), matrix, step)
+    return F.transform(done, lambda r: F.element_at(r, n + 1))
+
+
 def segment_ridge_forecast(
     panel: DataFrame, segment: str, date_column: str, target: str, periods: int, alpha: float = 1.0,
     lags: Sequence[int] = (1, 12),
 ) -> DataFrame:
-    """[segment,] date, prediction: a lagged ridge of each segment, fitted and folded by one task for each segment.
+    """[segment,] date, prediction: a lagged ridge of each segment, fitted and folded.
 
-    A segment is a monthly series, so a group is small whatever the number of segments.
+    All segments at once, without Python: the sums of products are one aggregation by segment, each segment's equations are
+    solved in its row, and its months are folded over its history. A segment is a monthly series, so its history fits a row.
     """
-    import numpy as np
-    import pandas as pd
-
     lags = list(lags)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date")
-        y = pdf["y"].fillna(0.0).to_numpy(float)
-        months = pd.to_datetime(pdf["date"]).dt.month.to_numpy()
-        row = lambda h, m: [*(h[-k] if len(h) >= k else 0.0 for k in lags), math.sin(2 * math.pi * m / 12), math.cos(2 * math.pi * m / 12)]
-        x = np.array([row(list(y[:i]), m) for i, m in enumerate(months)])
-        mx, my = x.mean(axis=0), y.mean()
-        w = np.linalg.solve((x - mx).T @ (x - mx) + alpha * np.eye(x.shape[1]), (x - mx).T @ (y - my))
-        history, out = list(y), []
-        last = pd.Timestamp(pdf["date"].iloc[-1]).date()
-        for when in months_after(months_after(last, 2)[1], periods):
-            history.append(float(my + (np.array(row(history, when.month)) - mx) @ w))
-            out.append((when, history[-1]))
-        made = pd.DataFrame(out, columns=["date", "prediction"])
-        made.insert(0, segment, pdf[segment].iloc[0])
-        return made
-
-    rows = panel.select(col(segment), col(date_column).cast("date").alias("date"), number(col(target)).alias("y"))
-    return rows.groupBy(col(segment)).applyInPandas(
-        run, f"`{segment}` {panel.schema[segment].dataType.simpleString()}, date date, prediction double",
+    if alpha <= 0:
+        raise ValueError("a ridge needs a penalty above 0")
+    w = Window.partitionBy("__s").orderBy("__d")
+    rows = panel.select(
+        col(segment).alias("__s"), col(date_column).cast("date").alias("__d"), F.coalesce(number(col(target)), F.lit(0.0)).alias("__y"),
+    )
+    turn = lambda d: [f(2 * F.pi() * F.month(d) / 12) for f in (F.sin, F.cos)]
+    x = [f"__x{i}" for i in range(len(lags) + 2)]
+    made = [*(F.coalesce(F.lag("__y", k).over(w), F.lit(0.0)) for k in lags), *turn(F.col("__d"))]
+    known = rows.select("*", *(c.alias(n) for c, n in zip(made, x, strict=True)))
+    n, p = F.count(F.lit(1)), len(x)
+    products = {f"__g{i}_{j}": F.covar_pop(x[i], x[j]) * n for i in range(p) for j in range(i, p)}
+    moments = {f"__c{i}": F.covar_pop(x[i], "__y") * n for i in range(p)}
+    sums = known.groupBy("__s").agg(
+        *(c.alias(k) for k, c in {**products, **moments}.items()), *(F.avg(c).alias(f"__m_{c}") for c in (*x, "__y")),
+        F.max("__d").alias("__last"), F.array_sort(F.collect_list(F.struct("__d", "__y"))).alias("__h"),
     )
+    gram = lambda i, j: F.col(f"__g{min(i, j)}_{max(i, j)}") + (alpha if i == j else 0.0)
+    matrix = F.array(*(F.array(*(gram(i, j) for j in range(p)), F.col(f"__c{i}")) for i in range(p)))
+    fitted = sums.select("__s", "__last", F.transform("__h", lambda h: h["__y"]).alias("__h"), solved(matrix, p).alias("__w"), *(f"__m_{c}" for c in (*x, "__y")))
+
+    def step(state: Column, h: Column) -> Column:
+        now = [F.coalesce(F.when(F.size(state) >= k, F.element_at(state, -k)), F.lit(0.0)) for k in lags] + turn(F.add_months("__last", h))
+        parts = [(v - F.col(f"__m_{c}")) * F.element_at("__w", i + 1) for i, (v, c) in enumerate(zip(now, x, strict=True))]
+        return F.concat(state, F.array(sum(parts, F.col("__m___y"))))
+
+    folded = fitted.withColumn("__h", F.aggregate(F.sequence(F.lit(1), F.lit(periods)), F.col("__h"), step))
+    out = folded.select("__s", "__last", F.posexplode(F.slice("__h", -periods, periods)).alias("__i", "prediction"))
+    return out.select(F.col("__s").alias(segment), F.trunc(F.add_months("__last", F.col("__i") + 1), "MM").alias("date"), "prediction")
 
 
 class TimeSeriesForecaster:
@@ -306,11 +326,13 @@ class TimeSeriesForecaster:
     def save(self, path: str, spark: SparkSession) -> None:
         """All that predict() needs: model, series, features, fitted pipeline, origin and transform."""
         meta = {
-            "dates": list(map(str, self.dates)), "pipeline": None if self.pipeline is None else self.pipeline.state(),
+            "dates": list(map(str, self.dates)), "pipeline": self.pipeline is not None,
             "kind": self.kind, "target": self.target, "date": self.date, "features": self.features,
             "history": self.history, "origin": str(self.origin), "train_end": str(self.train_end),
             "last_row": self.last_row, "log": asdict(self.log) if self.log else None, "split": self.split_meta,
         }
+        if self.pipeline is not None:
+            self.pipeline.save(f"{path}/pipeline", spark)
         models = self.model.models if isinstance(self.model, _Pair) else [self.model]
         for i, m in enumerate(models):
             save_model(
@@ -331,7 +353,7 @@ class TimeSeriesForecaster:
             [first, *(load_model(f"{path}/{i}", spark)[0] for i in range(1, meta["models"]))], meta["weight"],
         ) if meta["models"] > 1 else first
         self.dates = list(map(date.fromisoformat, meta["dates"]))
-        self.pipeline = None if meta["pipeline"] is None else FeaturePipeline.restore(meta["pipeline"], spark)
+        self.pipeline = FeaturePipeline.load(f"{path}/pipeline", spark) if meta["pipeline"] else None
         self.parts = {
             "train": spark.createDataFrame(
                 list(zip(self.dates, map(float, self.history), strict=True)),

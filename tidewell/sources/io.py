@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Callable
 from datetime import UTC, date, datetime
 from decimal import Decimal
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -51,13 +50,18 @@ def quoted(*parts: str | None) -> str:
     return ".".join('"' + p.replace('"', '""') + '"' for p in parts if p)
 
 
+def quoted_columns(*parts: Column) -> Column:
+    """``quoted`` of columns; null parts are left out."""
+    return F.concat_ws(".", *(F.concat(F.lit('"'), F.replace(p, F.lit('"'), F.lit('""')), F.lit('"')) for p in parts))
+
+
 def _literal(value: Any) -> str:
     if isinstance(value, bool) or value is None:
         raise ValueError(f"no watermark: {value}")
     if isinstance(value, int | float | Decimal):
         return str(value)
     if isinstance(value, datetime | date):
-        return f"{'TIMESTAMP' if isinstance(value, datetime) else 'DATE'} '{value}'"
+        return f"{{{'ts' if isinstance(value, datetime) else 'd'} '{value}'}}"  # every JDBC driver reads these
     return "'" + str(value).replace("'", "''") + "'"
 
 
@@ -85,52 +89,107 @@ def jdbc_options(config: Any, section: str = "snowflake") -> dict[str, str]:
 
 
 class Checkpoint:
-    """The last value of a column, with its type, in a JSON file that is replaced whole.
+    """The last value of a column, with its type, in a log of numbered JSON files beside ``path``.
+
+    A value is written to a new file ``{path}.{number}``, created only if no other writer has it, and no file is ever
+    replaced: the newest whole one counts. A run that stops at any point leaves the value of before, or the new one. A file
+    that isn't whole is passed over; files older than the newest ``KEPT`` whole ones are removed after a write. A plain file
+    at ``path`` itself counts as number 0.
 
-    The file is the driver's; with ``spark`` it may lie in any store that Spark writes to (``path`` is an URI then).
+    Files are the driver's; with ``spark`` they may lie in any store that Spark writes to (``path`` is an URI then).
     """
 
+    KEPT = 5
+
     def __init__(self, path: str, spark: SparkSession | None = None) -> None:
         self.path, self.spark = path, spark
 
-    def _store(self) -> tuple[Any, Any, Any]:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        path = hadoop.Path(self.path)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path, hadoop.Path(self.path + ".new")
+    def _store(self) -> tuple[Any, Any]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
-    def _text(self) -> str | None:
+    def _numbers(self) -> list[int]:
+        """The log's numbers, the newest first."""
         if self.spark is None:
-            return Path(self.path).read_text() if Path(self.path).exists() else None
-        fs, path, _ = self._store()
-        if not fs.exists(path):
-            return None
-        stream = fs.open(path)
+            where = Path(self.path)
+            found = [p.name for p in where.parent.glob("*")] if where.parent.exists() else []
+            name = where.name
+        else:
+            fs, path = self._store()
+            found = [s.getPath().getName() for s in fs.listStatus(path.getParent())] if fs.exists(path.getParent()) else []
+            name = path.getName()
+        rest = [x[len(name) + 1 :] for x in found if x.startswith(f"{name}.")]
+        return sorted([*(int(x) for x in rest if x.isdigit()), *([0] if name in found else [])], reverse=True)
+
+    def _file(self, number: int) -> str:
+        return f"{self.path}.{number}" if number else self.path
+
+    def _text(self, number: int) -> str:
+        if self.spark is None:
+            return Path(self._file(number)).read_text()
+        fs, _ = self._store()
+        stream = fs.open(self.spark._jvm.org.apache.hadoop.fs.Path(self._file(number)))
         try:
             return bytes(stream.readAllBytes()).decode()
         finally:
             stream.close()
 
-    def _put(self, text: str) -> None:
+    def _create(self, number: int, text: str) -> bool:
+        """A new file with that number; False if there is one already."""
         if self.spark is None:
-            new = Path(self.path + ".new")
-            new.parent.mkdir(parents=True, exist_ok=True)
-            new.write_text(text)
-            os.replace(new, self.path)
-            return
-        fs, path, new = self._store()
-        stream = fs.create(new, True)
+            where = Path(self._file(number))
+            where.parent.mkdir(parents=True, exist_ok=True)
+            try:
+                with where.open("x") as f:
+                    f.write(text)
+            except FileExistsError:
+                return False
+            return True
+        fs, _ = self._store()
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(self._file(number))
+        if fs.exists(where):
+            return False
+        try:
+            stream = fs.create(where, False)
+        except Exception:
+            if fs.exists(where):  # another writer came first
+                return False
+            raise
         try:
             stream.write(bytearray(text.encode()))
         finally:
             stream.close()
-        fs.delete(path, False)
-        fs.rename(new, path)
+        return True
+
+    def _newest(self) -> dict[str, Any] | None:
+        for number in self._numbers():
+            try:
+                kept = json.loads(self._text(number))
+            except (ValueError, OSError):
+                continue  # not whole: its writer stopped
+            if isinstance(kept, dict) and "last_value" in kept:
+                return kept
+        return None
+
+    def _put(self, text: str) -> None:
+        numbers = self._numbers()
+        number = (numbers[0] if numbers else 0) + 1
+        while not self._create(number, text):
+            number += 1
+        for old in self._numbers()[self.KEPT :]:
+            if old and old < number:
+                self._drop(old)
+
+    def _drop(self, number: int) -> None:
+        if self.spark is None:
+            Path(self._file(number)).unlink(missing_ok=True)
+        else:
+            self._store()[0].delete(self.spark._jvm.org.apache.hadoop.fs.Path(self._file(number)), False)
 
     def read(self) -> Any:
-        text = self._text()
-        if text is None:
+        kept = self._newest()
+        if kept is None:
             return None
-        kept = json.loads(text)
         value, kind = kept.get("last_value"), kept.get("type", "")
         make: dict[str, Callable[[Any], Any]] = {"datetime": datetime.fromisoformat, "date": date.fromisoformat, "Decimal": Decimal}
         return make[kind](value) if kind in make and value is not None else value
@@ -140,6 +199,14 @@ class Checkpoint:
         self._put(json.dumps({"last_value": plain, "type": type(value).__name__, "updated_at": datetime.now(UTC).isoformat()}))
 
 
+def _ranges(name: str, cuts: list[str]) -> list[str]:
+    """Conditions of the ranges between rising cuts; null goes with the first."""
+    if not cuts:
+        return ["1 = 1"]
+    middle = [f"{name} > {a} AND {name} <= {b}" for a, b in zip(cuts, cuts[1:], strict=False)]
+    return [f"({name} <= {cuts[0]} OR {name} IS NULL)", *middle, f"{name} > {cuts[-1]}"]
+
+
 class Loader:
     """Full and incremental scans of a table: a DataFrame (files, catalog) or a JDBC table."""
 
@@ -154,6 +221,40 @@ class Loader:
             "dbtable" if by_parts else "query", f"({sql}) t" if by_parts else sql,
         ).load()
 
+    def bounds(self, column: str, parts: int, where: str = "") -> list[str]:
+        """Conditions that cut the table into ``parts`` ranges of ``column``, which together hold every row: null goes with the
+        first range. Numbers and dates are cut evenly between the least and the largest value, which the database finds."""
+        name = quoted(column)
+        if isinstance(self.execute(f"SELECT {name} FROM {self.name}").schema[0].dataType, StringType):
+            raise ValueError(f"{column} has no numbers or dates to be cut evenly")
+        low, high = self.execute(f"SELECT min({name}) AS lo, max({name}) AS hi FROM {self.name}{where}").first()
+        if low is None or parts < 2 or low == high:
+            return ["1 = 1"]
+        steps = [low + (high - low) * Decimal(i) / parts if isinstance(low, Decimal) else low + (high - low) * i / parts for i in range(1, parts)]
+        if isinstance(low, int):
+            steps = [int(x) for x in steps]
+        return _ranges(name, list(dict.fromkeys(map(_literal, steps))))
+
+    def load_ranges(self, column: str, parts: int, checkpoint: Checkpoint | None = None, even: bool = True) -> DataFrame:
+        """A JDBC table read by ``parts`` tasks side by side, each a range of ``column``: even ones, or with ``even=False`` such
+        that hold about the same number of rows (the column alone is read first for that). With a checkpoint only rows beyond
+        it: the condition goes into every range, so the database never scans what is known."""
+        if not self.jdbc:
+            raise RuntimeError("not connected")
+        last = checkpoint.read() if checkpoint else None
+        newer = f"{quoted(column)} > {_literal(last)}" if last is not None else ""
+        options = {k: v for k, v in self.jdbc.items() if k not in ("url", "partitionColumn", "lowerBound", "upperBound", "numPartitions")}
+        read = lambda name, ranges: self.spark.read.jdbc(
+            self.jdbc["url"], name, predicates=[f"{r} AND {newer}" if newer else r for r in ranges], properties=options,
+        )
+        ranges = self.bounds(column, parts, f" WHERE {newer}" if newer else "")
+        if not even and len(ranges) > 1:
+            keys = read(self.name, ranges).select(F.col(f"`{column}`").alias("k"))
+            shares = F.array(*(F.lit(i / parts) for i in range(1, parts)))
+            found = keys.agg(F.percentile_approx("k", shares, F.lit(100 * parts)).alias("cuts")).first().cuts or []
+            ranges = _ranges(quoted(column), [_literal(x) for x in dict.fromkeys(found)])
+        return read(self.name, ranges)
+
     def test_connection(self) -> bool:
         try:
             (self.table if self.table is not None else self.execute(f"SELECT * FROM {self.name}")).limit(1).collect()
