@@ -144,6 +144,7 @@ class Trees(Regressor):
         "subsample": ("subsamplingRate",) * 2, "random_state": ("seed",) * 2,
         "min_child_weight": ("minInstancesPerNode",) * 2, "iterations": (None, "maxIter"), "depth": ("maxDepth",) * 2,
         "random_seed": ("seed",) * 2, "min_child_samples": ("minInstancesPerNode",) * 2, "max_bins": ("maxBins",) * 2,
+        "bootstrap": ("bootstrap", None), "min_samples_leaf": ("minInstancesPerNode",) * 2,
     }
 
     def __init__(self, kind: str = "gbt", **params: Any) -> None:
@@ -156,7 +157,8 @@ class Trees(Regressor):
         if unknown or int(self.params.get("max_depth") or self.params.get("depth") or 0) > 30:
             raise ValueError(f"{self.kind}: unknown parameters {unknown}, or deeper than 30 levels; there are {', '.join(k for k, v in self.NAMES.items() if v[i])}")
         options = {self.NAMES[k][i]: v for k, v in self.params.items() if k in self.NAMES and self.NAMES[k][i]}
-        options = {"seed": 42} | {k: float(v) if k in ("stepSize", "subsamplingRate") else int(v) for k, v in options.items()}
+        kinds = {"stepSize": float, "subsamplingRate": float, "bootstrap": bool}
+        options = {"seed": 42} | {k: kinds.get(k, int)(v) for k, v in options.items() if v is not None}
         make = GBTRegressor if i else RandomForestRegressor
         self.model = make(
             featuresCol="__x", labelCol="__y", predictionCol="prediction", **options,

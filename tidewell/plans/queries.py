@@ -558,6 +558,15 @@ def predict_daily_defaults(spark: SparkSession, d: str) -> DataFrame:
     return rounded(_allocator(daily(spark, d)).predict_daily(AS_OF, HORIZON), 4)
 
 
+@query(f"""WITH {DAILY}, {NAIVE}, m AS (SELECT round(sum(actual), 4) AS mtd FROM daily WHERE date_trunc('month', date) = DATE '2000-09-01')
+    SELECT s::DATE AS date, round(coalesce(actual, 0), 4) AS y_pred, true AS is_actual, 1.0::DOUBLE AS expected_mtd_share, round(mtd, 2) AS month_total_final
+    FROM m, generate_series(DATE '2000-09-01', DATE '2000-09-30', INTERVAL 1 DAY) g(s) LEFT JOIN daily ON date = s::DATE, naive WHERE month_start = DATE '2000-09-01'""")
+def predict_daily_observed(spark: SparkSession, d: str) -> DataFrame:
+    """A month of which every day is known: nothing is left to forecast, and its total is what was seen."""
+    found = _allocator(daily(spark, d), posting_lag_days=0, strategy="blend").predict_daily("2000-09-30", 0)
+    return rounded(found.select("date", "y_pred", "is_actual", "expected_mtd_share", F.round("month_total_final", 2).alias("month_total_final")), 4)
+
+
 def returned(spark: SparkSession, d: str) -> DataFrame:
     """(date, actual): the measure "returned" of shipped items; there are days without any."""
     return rounded(build_daily_totals(table(spark, d, "lineitem"), "l_shipdate", "l_extendedprice", "l_returnflag", "R"), 2)
