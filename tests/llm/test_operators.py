@@ -457,6 +457,30 @@ def test_sum_of_squares_choice():
         list(p.add(0, s))
 
 
+def test_second_round_leaves_little_to_drain(spark, docs):
+    """Of 10,000 documents in eight streams under 15 per cent of the pieces are drained; and rounds lose and repeat nothing."""
+    r = random.Random(12)
+    streams = [[max(1, int(r.lognormvariate(5.5, 1.2))) for _ in range(1250)] for _ in range(8)]
+    placed, left = 0, []
+    for k, sizes in enumerate(streams):
+        p = packing.SumOfSquares()
+        placed += sum(len(w) for i, n in enumerate(sizes) for w in p.add(i, n))
+        left += [(k, *x) for x in p.left()]
+        assert not p.counts.any() and not p.open
+    p = packing.SumOfSquares()
+    placed += sum(len(w) for i, (*_, n) in enumerate(left) for w in p.add(i, n))
+    drained = sum(len(w) for w in p.drain())
+    assert drained < 0.15 * (placed + drained) and len(left) > 0.25 * (placed + drained)
+    many = packing.pack(docs.repartition(40)).collect()
+    assert {x.sequence_id >> 62 for x in many} == {0, 1} and len({x.sequence_id >> 32 for x in many if x.sequence_id >> 62}) == 3
+    want = {x.doc_id: brute.ids(x.text) for x in docs.select("doc_id", "text").collect()}
+    got = {}
+    for x in sorted(many, key=lambda x: (x.doc_id, x.start)):
+        assert x.start == len(got.setdefault(x.doc_id, [])) and x.doc_tokens == len(want[x.doc_id])
+        got[x.doc_id] += np.frombuffer(x.ids, "<u4").tolist()
+    assert got == want
+
+
 def test_drain_joins_open_windows():
     p, placed = packing.SumOfSquares(100), 0
     windows = []
