@@ -703,6 +703,28 @@ def test_chat_links_and_order(spark):
     assert found["a", 1].json == '{"arguments":{"n":1,"x":"$c1"},"id":"c2","name":"f","role":"assistant","type":"call"}'
 
 
+def test_chat_arguments_by_value(spark):
+    """Integers of any writing and size, references however they are written, and arguments that can't be read."""
+    dumps = __import__("json").dumps
+    event = lambda i, id_, arguments: ("a", i, 0, "assistant", "call", id_, "f", arguments, None)
+    numbers = [("1.0", True), ("12345678901234567890", True), ("-3", True), ("1e3", True), ("2.50", False), ("1e-3", False), ("12345678901234567890.5", False), ('"1"', False), ("1e300", True)]
+    rows = [event(i, f"n{i}", f'{{"n":{n}}}') for i, (n, _) in enumerate(numbers)]
+    odd = ['q"uote', "back\\slash", "é", "new\nline", "t$wo", "k\\\"x"]
+    rows += [event(20 + i, k, "{}") for i, k in enumerate(odd)]
+    rows += [event(40 + i, f"r{i}", dumps({"x": ["$" + k], "$z": "no"})) for i, k in enumerate(odd)] + [event(60, "u", '{"x":"\\u0024\\u00e9"}'), event(61, "w", '{"x":"a $é","$é":1}')]
+    broken = ['{"n": 1', '{"n":1,"n":2}', "not json"]
+    rows += [event(70 + i, f"b{i}", x) for i, x in enumerate(broken)] + [event(80, "none", None), event(81, "long", dumps({"x": 'say "$no" \\ ' * 20_000 + LONG}))]
+    df = spark.createDataFrame(rows, "conv_id string, turn long, part long, role string, kind string, id string, name string, arguments string, content string")
+    found = {r.id: r for r in chat.format_events(df, {"f": {"n": ("integer", False), "x": ("string", False), "$z": ("string", False), "$é": ("number", False)}}).collect()}
+    assert len(found) == len(rows)
+    assert [found[f"n{i}"].problems == [] for i in range(len(numbers))] == [ok for _, ok in numbers]
+    assert all(found[f"r{i}"].depth == 2 for i in range(len(odd))) and found["u"].depth == 2 and found["w"].depth == 0 and found["long"].depth == 0
+    for i, x in enumerate(broken):
+        r = found[f"b{i}"]
+        assert r.problems == ["arguments are no object"] and r.json == f'{{"arguments":null,"id":"b{i}","name":"f","raw":{dumps(x)},"role":"assistant","type":"call"}}'
+    assert "raw" not in found["none"].json
+
+
 def test_chat_long_chains_and_awkward_rows(spark):
     """A chain of 300 calls in a row, all of them waiting for the last one; a call with two references; keys that look like references."""
     call = lambda i, a: f'{{"tool_calls":[{{"id":"{i}","name":"f","arguments":{a}}}]}}'

@@ -6,8 +6,12 @@ call depends on the results of the calls that string values of its arguments nam
 call. Events are ordered so that each follows what it depends on and otherwise keeps its turn: an event is due at its
 turn or, if later, when the last thing it depends on is due, and ties go by depth. Depths come from rounds in which each
 open reference either ends at a call with none open, or skips to what a call with a single one refers to, so a chain of
-n calls takes log n rounds and no call ever has more references than it names; what can't be closed depends on itself
-and is marked ``cycle``. Arguments are checked against schemas and every event is serialised as canonical JSON (keys sorted, numbers and spacing normalised).
+n calls takes log n rounds and no call ever has more references than it names; where calls refer to several others that
+do so too, one level of those closes in each round. What can't be closed depends on itself and is marked ``cycle``.
+
+Arguments are parsed once. References are the string values of what was parsed, however they were written. Checks against
+schemas go by value: 1.0 is an integer, and so is one beyond 64 bits. Every event is serialised as canonical JSON (keys
+sorted, numbers and spacing normalised); arguments that can't be parsed, or repeat a key, stay as text under ``raw``.
 
 A conversation is never one row or one task's window: events are range-sorted by conversation and order, and a position
 is the number of its conversation's events in earlier partitions plus its rank in its own.
@@ -29,11 +33,12 @@ from tidewell.llm._common import discard, written
 Schemas = dict[str, dict[str, tuple[str, bool]]]
 
 _TYPES = {
-    "string": "STRING", "integer": "BIGINT", "number": "(BIGINT|DECIMAL.*|DOUBLE|FLOAT)", "boolean": "BOOLEAN",
+    "string": "STRING", "integer": "(BIGINT|DECIMAL.*|DOUBLE|FLOAT)", "number": "(BIGINT|DECIMAL.*|DOUBLE|FLOAT)", "boolean": "BOOLEAN",
     "array": "ARRAY.*", "object": "OBJECT.*",
 }
-#: A string value "$id", no key and no part of a longer string.
-_REFERENCE = r'(?<!\\)"\$([^"\\]+)"(?!\s*:)'
+#: A string value that begins with a dollar sign and is no key, in canonical JSON without escaped quotes and backslashes.
+_REFERENCE = r'"\$[^"]++"(?!:)'
+_BACKSLASH, _QUOTE = "\u0001", "\u0002"  # what stands for those two meanwhile: JSON text has no such characters
 _DEEP = 1 << 40
 _EVENT = ["conv_id", "turn", "part", "role", "kind", "id", "name", "arguments", "content"]
 
@@ -80,6 +85,20 @@ def by_turns(messages: DataFrame) -> DataFrame:
     )
 
 
+def _whole(value: Column) -> Column:
+    """Whether a number has no fraction: decimals by their digits, doubles by their value."""
+    double = F.try_variant_get(value, "$", "double")
+    return F.when(F.schema_of_variant(value).rlike("^(DOUBLE|FLOAT)$"), F.rint(double) == double).otherwise(F.to_json(value).rlike(r"^-?[0-9]+(\.0*)?$"))
+
+
+def _named(arguments: Column) -> Column:
+    """The distinct identifiers that string values of the arguments name as ``"$id"``."""
+    flat = F.replace(F.replace(F.to_json(F.try_parse_json(arguments)), F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
+    found = F.regexp_extract_all(flat, F.lit(_REFERENCE), F.lit(0))
+    whole = lambda t: F.replace(F.replace(t, F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
+    return F.array_distinct(F.transform(found, lambda t: F.substring(F.try_variant_get(F.try_parse_json(whole(t)), "$", "string"), 2, (1 << 31) - 1)))
+
+
 def problems(schemas: Schemas) -> Column:
     """What is wrong with a call's ``arguments`` by its tool's schema, as sorted strings; null for other events."""
     given = F.from_json("arguments", "map<string,variant>")
@@ -93,6 +112,8 @@ def problems(schemas: Schemas) -> Column:
         for p, (kind, required) in sorted(parameters.items()):
             value = F.element_at(given, p)
             right = F.schema_of_variant(value).rlike(f"^{_TYPES[kind]}$")
+            if kind == "integer":
+                right = right & _whole(value)
             wrong = F.when(
                 value.isNull(), F.array(F.lit(f"missing {p}")) if required else no,
             ).when(~right, F.array(F.lit(f"{p} is not {kind}"))).otherwise(no)
@@ -123,9 +144,8 @@ def _links(events: DataFrame) -> DataFrame:
 
 def _references(events: DataFrame, links: DataFrame) -> DataFrame:
     """conv_id, id and refs [{on, due, depth}] of the calls that name other calls of their conversation."""
-    values = F.array_distinct(F.regexp_extract_all("arguments", F.lit(_REFERENCE), F.lit(1)))
-    named = events.filter("kind = 'call' and id is not null and contains(arguments, '\"$')").select(
-        "conv_id", "id", "turn", F.struct("turn", "part", "tie").alias("own"), F.explode(values).alias("on"),
+    named = events.filter("kind = 'call' and id is not null").select(
+        "conv_id", "id", "turn", F.struct("turn", "part", "tie").alias("own"), F.explode(_named(F.col("arguments"))).alias("on"),
     )
     calls = links.filter("call is not null").select(
         F.col("conv_id").alias("c"), F.col("id").alias("i"), "call",
@@ -150,7 +170,10 @@ def _due(events: DataFrame, links: DataFrame) -> DataFrame:
         "state",
     )
     closed = -1
-    while (now := state.filter("size(refs) = 0").count()) > closed and now < state.count():
+    while True:
+        now, total = state.agg(F.count_if(F.size("refs") == 0), F.count(F.lit(1))).first()
+        if now <= closed or now == total:
+            break
         closed, before = now, state
         target = state.select(
             F.col("conv_id").alias("c"), F.col("id").alias("i"), F.col("due").alias("t_due"),
@@ -201,8 +224,10 @@ def format_events(events: DataFrame, schemas: Schemas) -> DataFrame:
     due = F.when(is_result, F.greatest("e.turn", "call.turn", "due")).otherwise(F.greatest("e.turn", "due"))
     v = lambda s: F.try_parse_json(s)
     text = lambda **k: F.to_json(F.to_variant_object(F.struct(*(c.alias(n) for n, c in sorted(k.items())))))
+    call = {"role": F.col("role"), "type": F.lit("call"), "id": F.col("e.id"), "name": F.col("name"), "arguments": v(F.col("arguments"))}
+    unread = F.col("arguments").isNotNull() & call["arguments"].isNull()
     json = (
-        F.when(is_call, text(role=F.col("role"), type=F.lit("call"), id=F.col("e.id"), name=F.col("name"), arguments=v(F.col("arguments"))))
+        F.when(is_call & unread, text(**call, raw=F.col("arguments"))).when(is_call, text(**call))
         .when(is_result, text(role=F.col("role"), type=F.lit("result"), id=F.col("e.id"), content=F.col("content")))
         .otherwise(text(role=F.col("role"), content=F.col("content")))
     )

@@ -23,9 +23,9 @@ ORACLE_SQL: dict[str, str] = {
         links AS (SELECT conv_id, id, min(turn) FILTER (kind = 'call') AS call, min(turn) FILTER (kind = 'result') AS result FROM e WHERE id IS NOT
             NULL GROUP BY ALL),
         named AS (
-            SELECT conv_id, id, turn, conv_id || ':' || (turn - 2) AS target FROM e WHERE kind = 'call' AND y <> '5' AND x IN ('0', '1', '2', '3',
+            SELECT conv_id, id, turn, conv_id || ':' || (turn - 2) AS target FROM e WHERE kind = 'call' AND y NOT IN ('5', '6') AND x IN ('0', '1', '2', '3',
                 '4', '5', '9')
-            UNION ALL SELECT conv_id, id, turn, conv_id || ':' || (turn + 2) FROM e WHERE kind = 'call' AND y <> '5' AND x IN ('6', '7', '8', '9')),
+            UNION ALL SELECT conv_id, id, turn, conv_id || ':' || (turn + 2) FROM e WHERE kind = 'call' AND y NOT IN ('5', '6') AND x IN ('6', '7', '8', '9')),
         edges AS (
             SELECT n.conv_id, n.id, n.target, greatest(n.turn, coalesce(o.result, o.call)) AS due
             FROM named n JOIN links l ON l.conv_id = n.conv_id AND l.id = n.id AND l.call = n.turn JOIN links o ON o.conv_id = n.conv_id AND o.id =
@@ -52,14 +52,14 @@ ORACLE_SQL: dict[str, str] = {
                        due FROM s)
         SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY due, depth, turn) - 1 AS position, kind, id, status, depth,
                CASE WHEN kind = 'call' THEN CASE y WHEN '1' THEN 'turn is not integer' WHEN '2' THEN 'missing text' WHEN '3' THEN
-                   'unknown parameter extra' WHEN '4' THEN 'unknown tool' WHEN '5' THEN 'arguments are no object' ELSE '' END END AS problems,
+                   'unknown parameter extra' WHEN '4' THEN 'unknown tool' WHEN '5' THEN 'arguments are no object' WHEN '6' THEN 'arguments are no object' ELSE '' END END AS problems,
                CASE kind
-               WHEN 'call' THEN '{"arguments":' || CASE WHEN y = '5' THEN '[' || turn || ']' ELSE
+               WHEN 'call' THEN '{"arguments":' || CASE WHEN y = '5' THEN '[' || turn || ']' WHEN y = '6' THEN 'null' ELSE
                    '{' || CASE WHEN x IN ('0', '1', '2', '3', '4', '5', '9') THEN '"after":"$' || conv_id || ':' || (turn - 2) || '",' ELSE '' END
                        || CASE WHEN x IN ('6', '7', '8', '9') THEN '"also":"$' || conv_id || ':' || (turn + 2) || '",' ELSE '' END
                        || CASE WHEN y = '3' THEN '"extra":true,' ELSE '' END || CASE WHEN y = '2' THEN '' ELSE '"text":' || to_json(text) || ',' END
                        || '"turn":' || CASE WHEN y = '1' THEN '"' || turn || '"' ELSE turn::VARCHAR END || '}' END
-                   || ',"id":"' || id || '","name":"' || CASE WHEN y = '4' THEN 'lookup' ELSE 'reply' END || '","role":"user","type":"call"}'
+                   || ',"id":"' || id || '","name":"' || CASE WHEN y = '4' THEN 'lookup' ELSE 'reply' END || CASE WHEN y = '6' THEN '","raw":' || to_json('{"turn": ' || turn) || ',"role":"user","type":"call"}' ELSE '","role":"user","type":"call"}' END
                WHEN 'result' THEN '{"content":' || to_json(text) || ',"id":"' || id || '","role":"assistant","type":"result"}'
                ELSE '{"content":' || to_json(text) || ',"role":' || to_json(role) || '}' END AS json
         FROM d""",
@@ -129,7 +129,8 @@ def _tool_events(conversations: DataFrame) -> DataFrame:
     """Every row of ``conversations`` as an event. The table holds no tool calls, so each user turn is taken as a call and
     the assistant's next turn as its result; two digits of a row's MD5 say what is odd about a call: a reference back
     (0 to 5), ahead (6 to 8) or both (9), so that chains and cycles come about; and the identifier of the call before (0),
-    a turn of the wrong type (1), no text (2), a parameter too many (3), another tool (4), no object (5)."""
+    a turn of the wrong type (1), no text (2), a parameter too many (3), another tool (4), no object (5), arguments that break
+    off (6), a turn with a fraction of zero (7)."""
     user, assistant = F.col("role") == "user", F.col("role") == "assistant"
     at = lambda t: F.concat_ws(":", F.col("conv_id").cast("string"), t.cast("string"))
     turn, digits = F.col("turn"), F.md5(at(F.col("turn")).cast("binary"))
@@ -140,10 +141,11 @@ def _tool_events(conversations: DataFrame) -> DataFrame:
         ), "also": F.when(x.isin(*"6789"), F.concat(F.lit("$"), at(turn + 2))),
         "extra": F.when(y == "3", True), "text": F.when(y != "2", F.col("text")),
     }
-    given = F.when(y == "5", F.concat(F.lit("["), turn, F.lit("]"))).when(
-        y == "1", F.to_json(F.struct(*(c.alias(n) for n, c in fields.items()), turn.cast("string").alias("turn"))),
-    )
-    given = given.otherwise(F.to_json(F.struct(*(c.alias(n) for n, c in fields.items()), turn.alias("turn"))))
+    with_turn = lambda t: F.to_json(F.struct(*(c.alias(n) for n, c in fields.items()), t.alias("turn")))
+    given = F.when(y == "5", F.concat(F.lit("["), turn, F.lit("]"))).when(y == "6", F.concat(F.lit('{"turn": '), turn)).when(
+        y == "1", with_turn(turn.cast("string")),
+    ).when(y == "7", with_turn(turn.cast("decimal(20,1)")))
+    given = given.otherwise(with_turn(turn))
     return conversations.select(
         "conv_id", turn.cast("long").alias("turn"), F.lit(0).cast("long").alias("part"), "role", F.when(user, "call").when(assistant, "result").otherwise("message").alias("kind"),
         F.when(
