@@ -9,9 +9,11 @@ One file ("shard") holds the documents of a stretch of the order. All numbers ar
     u64[words] Simple-8b words; u64[escapes] raw values
 
 A file is written whole under a name of its own and counts only once its task has succeeded and the manifest lists it;
-what a lost executor leaves behind is never read. The manifest has a row for each shard, not for each document.
+what a lost executor leaves behind is never read. The manifest has a row for each shard, not for each document; tasks
+write it as a table, where a shard starts is a running sum over its ranges, and reading tasks take several shards each
+where there are many, so none of it passes through the driver.
 
-Rows: null text is an empty document (one end id). Documents with equal doc_id follow each other in the order of their
+Rows: a very long text is encoded whole and lies in one shard, which it may make larger than others. Null text is an empty document (one end id). Documents with equal doc_id follow each other in the order of their
 text's hash, null doc_ids come first. An empty table makes an empty manifest. Other columns are not read.
 """
 
@@ -27,11 +29,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm import simple8b
-from tidewell.llm._common import scratch, slices
+from tidewell.llm._common import running, scratch, slices, written
 from tidewell.llm.tokens import default_path, encoder
 
 MAGIC = b"TWS8B001"
 CHUNK = 1024 * simple8b.BLOCK  # ids coded or decoded at a time; whole blocks
+STRETCH = 8_000_000  # bytes of text encoded at a time
+READ_IDS = 1 << 27  # ids of a reading task, about, where there are more tasks than cores can use
 
 
 def _open(path: str):
@@ -91,7 +95,7 @@ _MANIFEST = "shard long, path string, n_docs long, n_ids long, n_words long"
 def write_tokens(docs: DataFrame, folder: str | None = None, tokenizer: str | None = None, shard_ids: int = 1 << 24) -> DataFrame:
     """Encode ``docs`` (doc_id, text) into shards of about ``shard_ids`` ids below ``folder``.
 
-    Returns the manifest (shard, path, start, n_docs, n_ids, n_words) in order: one row for each file. Documents are
+    Returns the manifest (shard, path, start, n_docs, n_ids, n_words): one row for each file, ``shard`` rising with ``start``. Documents are
     range-partitioned and sorted as text, so ids are never shuffled; each task streams through its stretch of the
     order and holds one shard at most.
     """
@@ -102,7 +106,7 @@ def write_tokens(docs: DataFrame, folder: str | None = None, tokenizer: str | No
         from pyspark import TaskContext
 
         part, shard, rows = TaskContext.get().partitionId() << 32, _Shard(folder), []
-        for batch, texts in slices(batches):
+        for batch, texts in slices(batches, size=STRETCH):
             shard.add(batch.column("doc_id"), *encoder(tokenizer).encode(texts))
             if shard.n >= shard_ids:
                 rows.append(shard.write())
@@ -119,12 +123,9 @@ def write_tokens(docs: DataFrame, folder: str | None = None, tokenizer: str | No
     ordered = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_tie"),
     ).repartitionByRange(*order).sortWithinPartitions(*order)
-    rows = ordered.select("doc_id", "text").mapInArrow(work, _MANIFEST).collect()  # a row for each file; files of failed attempts have none
-    start, listed = 0, []
-    for i, r in enumerate(sorted(rows, key=lambda r: r.shard)):
-        listed.append((i, r.path, start, r.n_docs, r.n_ids, r.n_words))
-        start += r.n_ids
-    return spark.createDataFrame(listed, "shard long, path string, start long, n_docs long, n_ids long, n_words long")
+    listed = written(ordered.select("doc_id", "text").mapInArrow(work, _MANIFEST), "manifest")  # files of failed attempts have no row
+    placed = running(listed, ["shard"], "n_ids")
+    return written(placed.select("shard", "path", (F.col("n_ids_upto") - F.col("n_ids")).alias("start"), "n_docs", "n_ids", "n_words"), "manifest")
 
 
 def read_shard(path: str, rows: int = 2048) -> Iterator[tuple[list, np.ndarray, list[np.ndarray]]]:
@@ -159,5 +160,7 @@ def read_tokens(spark: SparkSession, manifest: DataFrame) -> DataFrame:
                         ["doc_id", "start", "ids"],
                     )
 
-    n = max(1, manifest.count())
-    return manifest.select("path", "start").repartition(n).mapInArrow(work, "doc_id long, start long, ids binary")
+    files, ids = manifest.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_ids"), F.lit(0))).first()
+    tasks = max(1, min(files, max(8 * spark.sparkContext.defaultParallelism, -(-ids // READ_IDS))))
+    dealt = manifest.select("path", "start").repartitionByRange(tasks, "start")
+    return dealt.mapInArrow(work, "doc_id long, start long, ids binary")
