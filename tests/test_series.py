@@ -361,6 +361,23 @@ def test_sources(spark, tmp_path):
         Loader(spark).execute("select 1")
 
 
+def test_file_order(spark, tmp_path):
+    r = random.Random(3)
+    for k in range(3):
+        (tmp_path / f"part{k}.csv").write_text("x,t\n" + "".join(f"{r.randrange(100)},\"v{k}_{i}\"\n" for i in range(4000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")  # files in several splits
+    try:
+        split = read_csv(spark, str(tmp_path), "x int, t string", multi_line=False, place="n")
+        assert split.rdd.getNumPartitions() >= 1 and spark.read.csv(str(tmp_path)).rdd.getNumPartitions() > 3
+        found = [x.t for x in split.orderBy("n").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert found == [f"v{k}_{i}" for k in range(3) for i in range(4000)]
+    whole = read_csv(spark, str(tmp_path), place="n")
+    assert whole.columns == ["x", "t", "n"] and [x.t for x in whole.orderBy("n").collect()] == found
+
+
 def test_stream_reads_each_file_once(spark, tmp_path):
     src, out, mark = (str(tmp_path / x) for x in ("src", "out", "mark"))
     df = spark.createDataFrame([(1,), (2,)], "v int")

@@ -26,8 +26,9 @@ def _session(name: str) -> SparkSession:
     return spark
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path) if path.rstrip("/").endswith(".parquet") else read_csv(spark, path)
+def _read(spark: SparkSession, path: str, place: str | None = None) -> DataFrame:
+    """A Parquet table or CSV files; of these the column ``place`` gets each row's number in the order of the file."""
+    return spark.read.parquet(path) if path.rstrip("/").endswith(".parquet") else read_csv(spark, path, place=place)
 
 
 def load(args: argparse.Namespace) -> int:
@@ -62,7 +63,7 @@ def load(args: argparse.Namespace) -> int:
 def features(args: argparse.Namespace) -> int:
     config = ConfigManager(args.config)
     spark = _session("features")
-    rows = _read(spark, args.input)
+    rows = _read(spark, args.input, config.get("data_source.file_order"))
     key = group_key(rows.columns, args.group_by, config.get("forecasting.segment_level"), config.get("data_source.key_columns", []))
     made = FeaturePipeline.from_config(config).fit_transform(rows, key)
     new = [c for c in made.columns if c not in rows.columns]

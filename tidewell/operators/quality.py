@@ -125,7 +125,7 @@ class DuplicateRule(Rule):
     def verdict(self, df: DataFrame, found: dict[str, Any]) -> tuple[bool, dict[str, Any]]:
         missing = [c for c in self.columns if c not in df.columns]
         if missing:
-            return False, {"error": f"Columns not found: {missing}"}
+            return False, {"error": f"no such columns: {missing}"}
         n = self.count(df).first().duplicate_count
         return n == 0, {"duplicate_count": n, "total_records": found[_ROWS]}
 

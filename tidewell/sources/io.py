@@ -13,21 +13,38 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from tidewell.operators.ordered import numbered
+
 # How CSV files write a missing value.
 MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, multi_line: bool = True) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, multi_line: bool = True, place: str | None = None,
+) -> DataFrame:
     """A CSV file with a header; the usual signs of a missing value are null. Without a schema types are inferred, which
-    reads the file once more. Values may hold line breaks; where none does, ``multi_line=False`` splits large files."""
+    reads the file once more. Values may hold line breaks; where none does, ``multi_line=False`` splits large files.
+
+    ``place`` names a column to be added: a row's number in the order of the file (of several: by path), from 1. Rows have no
+    other order of their own, so this is what to lag the rows of a file without any order column by."""
     raw = spark.read.csv(path, header=True, multiLine=multi_line, escape='"')
-    clean = raw.select(*(F.when(~F.col(f"`{c}`").isin(*MISSING), F.col(f"`{c}`")).alias(c) for c in raw.columns))
+    if place is not None:  # a split's rows come in order, and a file's splits are told by where they begin
+        at = raw.select("*", F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id()).alias("__at"))
+        numbers = numbered(at, ["__at"], place).drop("__at")
+        typed = _typed(spark, path, numbers.drop(place).columns, schema, multi_line)
+        return numbers.select(*typed, F.col(f"`{place}`"))
+    return raw.select(*_typed(spark, path, raw.columns, schema, multi_line))
+
+
+def _typed(spark: SparkSession, path: str, columns: list[str], schema: StructType | str | None, multi_line: bool) -> list[Column]:
+    """Text columns of a CSV file as what they hold, with the signs of a missing value as null."""
+    clean = dict(zip(columns, (F.when(~F.col(f"`{c}`").isin(*MISSING), F.col(f"`{c}`")) for c in columns), strict=True))
     if schema is None:
         inferred = spark.read.csv(path, header=True, inferSchema=True, multiLine=multi_line, escape='"', nullValue="NA").schema
         kinds = {f.name: f.dataType for f in inferred}
     else:
         kinds = {f.name: f.dataType for f in (StructType.fromDDL(schema) if isinstance(schema, str) else schema)}
-    return clean.select(*(F.col(f"`{c}`").try_cast(kinds.get(c, StringType())).alias(c) for c in clean.columns))
+    return [x.try_cast(kinds.get(c, StringType())).alias(c) for c, x in clean.items()]
 
 
 def write_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
