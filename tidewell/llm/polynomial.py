@@ -1,4 +1,7 @@
-"""Polynomial fingerprints of byte strings that compose: the hash of a whole follows from hashes and lengths of its parts."""
+"""Polynomial fingerprints of byte strings that compose: the hash of a whole follows from hashes and lengths of its parts.
+
+The empty string has fingerprint (0, 0, 0); strings of any length are hashed in chunks of CHUNK bytes, side by side.
+"""
 
 from __future__ import annotations
 

@@ -11,7 +11,9 @@ spread evenly. Colliding fingerprints are verified by their Hamming distance and
 share a variant are within 2r bits of each other), each task hands on a spanning forest, and components of that graph
 are found by star rounds. Fingerprints are distinct before all this, so copies cost nothing; no group is written as pairs.
 
-Rows: null text is a text with no words, of fingerprint zero. Null doc_id gets a fingerprint and a component like any
+Rows: null text is a text with no words, of fingerprint zero. A very long text is read whole, by the task that has its row.
+Ties, rows with one doc_id, are rows of their own; ``dedup`` keeps one of those that agree in doc_id and text. Other columns
+are kept as they are by ``dedup``, whatever their names, and not read otherwise. Null doc_id gets a fingerprint and a component like any
 row; a component of null doc_ids alone has a null id. Repeated rows stay. An empty table gives an empty result.
 """
 
