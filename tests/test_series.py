@@ -378,6 +378,31 @@ def test_file_order(spark, tmp_path):
     assert whole.columns == ["x", "t", "n"] and [x.t for x in whole.orderBy("n").collect()] == found
 
 
+def test_lines_are_written_by_many_tasks(spark, data, tmp_path, monkeypatch):
+    """The lines of ``csv_file_order`` lie in as many files as there are ranges, no task has them all, and their places go on from file to file."""
+    from tidewell.plans import engine_queries as engine
+
+    monkeypatch.setattr(engine, "scratch", lambda _: f"file://{tmp_path}")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = engine.csv_file_order(spark, data).orderBy("place").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [len(p.read_text().splitlines()) - 1 for p in (tmp_path / "lines").glob("*.csv")]
+    assert len(sizes) > 1 and sum(sizes) == len(found) and max(sizes) < 0.6 * len(found)
+    assert [x.place for x in found] == list(range(1, len(found) + 1))
+    keys = [(x.l_orderkey, x.l_linenumber, x.l_quantity) for x in found]
+    assert keys == sorted(keys)
+
+
+def test_file_order_with_files_without_rows(spark, tmp_path):
+    for name, text in (("a", "x\n"), ("b", "x\n1\n\n2\n"), ("c", ""), ("d", "x\n3"), ("e", "x\n\n4\n")):
+        (tmp_path / f"{name}.csv").write_text(text)
+    for lines in (True, False):
+        found = read_csv(spark, str(tmp_path), "x int", multi_line=lines, place="n").orderBy("n").collect()
+        assert [(x.x, x.n) for x in found] == [(1, 1), (2, 2), (3, 3), (4, 4)]
+
+
 def test_stream_reads_each_file_once(spark, tmp_path):
     src, out, mark = (str(tmp_path / x) for x in ("src", "out", "mark"))
     df = spark.createDataFrame([(1,), (2,)], "v int")
