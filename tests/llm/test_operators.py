@@ -54,6 +54,16 @@ def test_simple8b_round_trip():
                 assert (simple8b.decode(words, offsets, n, escapes, 2, 2) == a[2048 : min(4096, n)]).all()
 
 
+def test_word_memo_takes_over_known_words(monkeypatch):
+    """A full memo stays beside the new one: a word that it knows isn't encoded again, though the stretch between them had no such word."""
+    e = tokens.Encoder(tokens.default_path(), memo=3)
+    first, _ = e.encode([b"alpha beta gamma delta"])
+    e.encode([b"other"])
+    monkeypatch.setattr(e, "_piece", lambda p: 1 / 0)
+    again, lengths = e.encode([b"delta alpha", b""])
+    assert sorted(again[: lengths[0] - 1]) == sorted(e.encode([b"alpha delta"])[0][:-1]) and set(again) <= set(first) and lengths[1] == 1
+
+
 def test_word_memo_equals_whole_texts(plain):
     e = tokens.Encoder(tokens.default_path(), memo=50)
     texts = [t for _, t in plain[:80]] + [r[1] or "" for r in ROWS]

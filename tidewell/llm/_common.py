@@ -113,14 +113,14 @@ def give_back() -> None:
         trim(0)
 
 
-_IS_SPACE = np.zeros(256, bool)
-_IS_SPACE[[32, *range(9, 14)]] = True
+def _is_space(raw: np.ndarray) -> np.ndarray:
+    return (raw == 32) | (raw - np.uint8(9) < 5)  # bytes below 9 wrap round
 
 
 def words_of(texts: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     """Every word of the texts in order, as a code (int32) into the list of distinct words, and where each text's words begin and end."""
     raw = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
-    space = _IS_SPACE[raw]
+    space = _is_space(raw)
     first = ~space
     first[1:] &= space[:-1]
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -131,10 +131,12 @@ def words_of(texts: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     keep = ~space  # the characters of words, and one space after each word
     keep[1:] |= space[1:] & ~space[:-1]
     kept = raw[keep]
-    stops = np.flatnonzero(_IS_SPACE[kept])
+    stops = np.flatnonzero(_is_space(kept))
     offsets = np.concatenate([[0], stops + 1]).astype(np.int32)
     kept[stops] = 32
     coded = pa.BinaryArray.from_buffers(
         pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(kept)],
     ).dictionary_encode()
-    return coded.indices.to_numpy(), [w[:-1] for w in coded.dictionary.to_pylist()], ends
+    _, bounds, data = coded.dictionary.buffers()
+    size = int(np.frombuffer(bounds, np.int32)[len(coded.dictionary)])
+    return coded.indices.to_numpy(), data.slice(0, size).to_pybytes().split(b" ")[:-1], ends  # each ends with its space

@@ -58,10 +58,10 @@ def _byte_letters() -> dict[int, str]:
 class Encoder(dict):
     """Word (UTF-8, no white space) to its slot in a table of ids; ids are the library's with add_special_tokens=False.
 
-    For a file whose split never crosses white space (``by_words``) a text's ids are those of its words in order. At
-    most ``memo`` words are kept; beyond that a new table takes over the words at hand, which never changes the ids. A word
-    that holds an added token's string goes to the library, as do words beyond plain letters. Any other file encodes
-    whole texts by the library.
+    For a file whose split never crosses white space (``by_words``) a text's ids are those of its words in order. Beyond
+    ``memo`` words a new table begins, and the full one stays beside it until that is full in turn: words that come again
+    are taken over from it, which never changes the ids. A word that holds an added token's string goes to the library, as
+    do words beyond plain letters. Any other file encodes whole texts by the library.
     """
 
     def __init__(self, path: str, memo: int = 400_000) -> None:
@@ -73,43 +73,48 @@ class Encoder(dict):
         spec = json.loads(self.full.to_str())
         self.by_words = by_words(spec)
         self.added = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)").search
+        self.bare = not any(t["content"].isalpha() for t in spec["added_tokens"])  # no word of letters holds one
         self.model, self.memo, self.letters = self.full.model, memo, _byte_letters()
+        self.ids, self.starts, self.lengths = array("I"), array("q"), array("q")
+        self.pieces: dict[str, bytes] = {}  # ids as they lie in the table
+        self.old_pieces: dict[str, bytes] = {}
         self._start()
 
     def _start(self) -> None:
+        self.old, self.old_ids, self.old_starts, self.old_lengths = dict(self), self.ids, self.starts, self.lengths
         self.clear()
-        self.pieces: dict[str, bytes] = {}  # ids as they lie in the table
         self.ids, self.starts, self.lengths = array("I"), array("q"), array("q")
 
-    def _renew(self, words: list[bytes]) -> None:
-        """A new table, which takes over what the old one knows of ``words``: the common ones are among them."""
-        known = [(w, slot) for w in words if (slot := self.get(w)) is not None]
-        ids, starts, lengths = self.ids, self.starts, self.lengths
-        self._start()
-        for w, slot in known:
-            self[w] = len(self.starts)
-            self.starts.append(len(self.ids))
-            self.lengths.append(lengths[slot])
-            self.ids.extend(ids[starts[slot] : starts[slot] + lengths[slot]])
-
     def _piece(self, p: str) -> bytes:
         found = self.pieces.get(p)
-        if found is None:
+        if found is None and (found := self.old_pieces.get(p)) is not None:
+            self.pieces[p] = found
+        elif found is None:
+            if len(self.pieces) >= self.memo:
+                self.pieces, self.old_pieces = {}, self.pieces
             written = p if p.isascii() else p.encode().decode("latin1").translate(self.letters)
             found = self.pieces[p] = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
         return found
 
-    def __missing__(self, word: bytes) -> int:
+    def _encoded(self, word: bytes) -> bytes:
+        if self.bare and word.isalpha():  # ASCII
+            return self._piece(word.lower().decode())
         s = word.decode("utf-8", "replace")
         if (s.isascii() and s.isprintable() or _PLAIN.fullmatch(s)) and not self.added(s):
             s = s.lower()
-            ids = self._piece(s) if s.isalpha() else b"".join(map(self._piece, _PIECE.findall(s)))
-        else:
-            ids = array("I", self.full.encode(s, add_special_tokens=False).ids).tobytes()
+            return self._piece(s) if s.isalpha() else b"".join(map(self._piece, _PIECE.findall(s)))
+        return array("I", self.full.encode(s, add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, word: bytes) -> int:
         slot = self[word] = len(self.starts)
         self.starts.append(len(self.ids))
-        self.lengths.append(len(ids) // self.ids.itemsize)
-        self.ids.frombytes(ids)
+        known = self.old.get(word)
+        if known is None:
+            self.ids.frombytes(self._encoded(word))
+        else:
+            begin = self.old_starts[known]
+            self.ids.extend(self.old_ids[begin : begin + self.old_lengths[known]])
+        self.lengths.append(len(self.ids) - self.starts[slot])
         return slot
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -121,7 +126,7 @@ class Encoder(dict):
             ), np.fromiter((len(x) + 1 for x in whole), np.int64, len(whole))
         codes, distinct, ends = words_of(texts)
         if len(self) > self.memo:
-            self._renew(distinct)
+            self._start()
         slots = np.fromiter(map(self.__getitem__, distinct), np.int64, len(distinct))[codes] if len(distinct) else codes
         starts, sizes = np.array(self.starts, np.int64), np.array(self.lengths, np.int64)
         lengths = sizes[slots] if len(slots) else np.zeros(0, np.int64)
