@@ -2,7 +2,10 @@
 
 import hashlib
 import random
+import sys
 from collections import Counter
+from itertools import islice, product
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -64,6 +67,18 @@ def test_word_memo_takes_over_known_words(monkeypatch):
     assert sorted(again[: lengths[0] - 1]) == sorted(e.encode([b"alpha delta"])[0][:-1]) and set(again) <= set(first) and lengths[1] == 1
 
 
+def test_word_memo_stays_small(monkeypatch):
+    """However many different words a worker sees, its memos hold less than 100 MB."""
+    e = tokens.Encoder(tokens.default_path())
+    monkeypatch.setattr(e, "model", SimpleNamespace(tokenize=lambda w, ids=[SimpleNamespace(id=7)] * 4: ids))
+    words, held = map(bytes, product(b"abcdefghijklmnop", repeat=5)), 0
+    while some := list(islice(words, 50_000)):
+        e.encode([b" ".join(some)])
+        memos, arrays = (e, e.old, e.pieces, e.old_pieces), (e.ids, e.starts, e.lengths, e.old_ids, e.old_starts, e.old_lengths)
+        held = max(held, sum(map(sys.getsizeof, (*memos, *arrays))) + sum(sys.getsizeof(k) + sys.getsizeof(v) for m in memos for k, v in m.items()))
+    assert held < 100e6
+
+
 def test_word_memo_equals_whole_texts(plain):
     e = tokens.Encoder(tokens.default_path(), memo=50)
     texts = [t for _, t in plain[:80]] + [r[1] or "" for r in ROWS]
