@@ -30,6 +30,7 @@ from tidewell.llm.tokens import default_path, encoder
 
 Piece = tuple[int, int, int]  # document (any reference), start in the document, length
 
+MEMO = 100_000, 200_000  # words and parts of words that a worker's encoder keeps: open windows and other stages need memory too
 ROUND = 16  # partitions whose open windows one task of the second round gets
 
 
@@ -150,7 +151,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, size: int = 4096) -> Dat
         part = TaskContext.get().partitionId()
         packer, pieces, n_docs = SumOfSquares(size), _Pieces(part << 32), 0
         for batch, texts in slices(batches):
-            ids, lengths = encoder(tokenizer).encode(texts)
+            ids, lengths = encoder(tokenizer, *MEMO).encode(texts)
             ids = ids.astype(np.min_scalar_type(ids.max(initial=0)))
             stops = np.cumsum(lengths)
             for key, a, b in zip(batch.column("doc_id").to_pylist(), stops - lengths, stops, strict=True):

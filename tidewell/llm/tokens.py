@@ -61,11 +61,11 @@ class Encoder(dict):
     For a file whose split never crosses white space (``by_words``) a text's ids are those of its words in order. Beyond
     ``memo`` words a new table begins, and the full one stays beside it until that is full in turn: words that come again
     are taken over from it, which never changes the ids. A word that holds an added token's string goes to the library, as
-    do words beyond plain letters. Any other file encodes whole texts by the library. Both memos of words and of their pieces
-    take about 70 MB at most in a worker, beside what one stretch of texts adds.
+    do words beyond plain letters. Any other file encodes whole texts by the library. ``pieces``
+    (``memo`` if 0) bounds the memo of parts of words in the same way.
     """
 
-    def __init__(self, path: str, memo: int = 100_000) -> None:
+    def __init__(self, path: str, memo: int = 400_000, pieces: int = 0) -> None:
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -75,7 +75,7 @@ class Encoder(dict):
         self.by_words = by_words(spec)
         self.added = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)").search
         self.bare = not any(t["content"].isalpha() for t in spec["added_tokens"])  # no word of letters holds one
-        self.model, self.memo, self.letters = self.full.model, memo, _byte_letters()
+        self.model, self.memo, self.most_pieces, self.letters = self.full.model, memo, pieces or memo, _byte_letters()
         self.ids, self.starts, self.lengths = array("I"), array("q"), array("q")
         self.pieces: dict[str, bytes] = {}  # ids as they lie in the table
         self.old_pieces: dict[str, bytes] = {}
@@ -91,7 +91,7 @@ class Encoder(dict):
         if found is None and (found := self.old_pieces.get(p)) is not None:
             self.pieces[p] = found
         elif found is None:
-            if len(self.pieces) >= self.memo:
+            if len(self.pieces) >= self.most_pieces:
                 self.pieces, self.old_pieces = {}, self.pieces
             written = p if p.isascii() else p.encode().decode("latin1").translate(self.letters)
             found = self.pieces[p] = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
@@ -141,11 +141,13 @@ class Encoder(dict):
         return np.insert(ids, stops, np.uint32(END_ID)), np.diff(upto[ends]) + 1
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder for each worker process and tokenizer file, kept between tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, memo: int = 400_000, pieces: int = 0) -> Encoder:
+    """The one encoder of a worker process, kept between tasks until one with another file or memo is asked for."""
+    key = path, memo, pieces
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(*key)
+    return _ENCODERS[key]
