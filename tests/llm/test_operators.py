@@ -611,6 +611,48 @@ def test_secrets_many_candidates_in_a_long_text():
     assert seconds[1] < 20 * seconds[0], seconds
 
 
+def test_secrets_in_lists_of_keys():
+    """Keys among other keys of their alphabet are found, in plain lists and in code; names among names are left alone."""
+    r, scanner = random.Random(21), secrets.Scanner()
+    low = "abcdefghijklmnopqrstuvwxyz"
+    alphabets = [low, low.upper(), low.upper() + "234567", low + "0123456789", low + low.upper() + "0123456789", low + low.upper() + "0123456789+/", "qwertzuiop0123456789"]
+    parts = "get user client server config value name list request response manager session data file update create remote cache worker account profile access".split()
+    names = ["_".join, lambda w: w[0] + "".join(map(str.capitalize, w[1:])), "".join, lambda w: "/".join(w) + "/v2"]
+
+    def share(make, line, n=100):
+        text = "".join(line.format("_".join(r.choices(parts, k=2)), make(i)) for i in range(n))
+        return sum(k in (2, 3) for *_, k, _ in scanner.scan(text.encode())) / n
+
+    for line in ("bearer {1}\n", '{0} = "{1}"  # bearer\n'):
+        found = [share(lambda i, a=a: "".join(r.choices(a, k=(20, 24, 32, 40)[i % 4])), line) for a in alphabets]
+        named = [share(lambda i, f=f: f(r.choices(parts, k=4)), line) for f in names]
+        assert min(found) >= 0.85 and max(named) <= 0.1, (line, found, named)
+
+
+def test_secrets_novel_measured_plainly(plain):
+    """Novelty by a plain version that compresses a string after its surroundings, where no other run of key-like characters is near."""
+    import zstandard
+
+    r, scanner, found = random.Random(22), secrets.Scanner(), 0
+
+    def size(x):
+        d = zstandard.ZstdCompressionDict(secrets.IDENTIFIERS, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(level=9, dict_data=d, write_content_size=False, write_checksum=False).compress(x.encode()))
+
+    texts = [t for _, t in plain if t and t.isascii() and len(t) > 600 and not secrets._CANDIDATE.search(t.encode()) and not secrets._SENSITIVE.search(t.encode())]
+    for i in range(60):
+        t = r.choice(texts)
+        at = r.randrange(0, len(t))
+        key = "".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"[: (26, 52)[i % 2]], k=24))
+        before, after = f"{t[:at]} the bearer is ", f" {t[at:]}"
+        around = before[-512:] + after[:512]
+        want = (min(size(around + x) for x in {key, key.lower() if key.isupper() else key}) - size(around)) / 24
+        got = [(a, b, x) for a, b, k, x in scanner.scan((before + key + after).encode()) if k == 3]
+        assert got == ([(len(before), len(before) + 24, want)] if want >= (0.7 if key.isupper() else 0.8) else [])
+        found += len(got)
+    assert found > 40
+
+
 def test_secrets_learn_names(spark, empty):
     rows = [(i, f"someRareModule x{i} odd_unusual_name = {i} and Zx81kLpQ0vR7tWn3YbGm2Hs", "x") for i in range(5)] + [(9, "onlyOnceHere", "x"), (10, None, "x")]
     learned = secrets.learn_identifiers(spark.createDataFrame(rows, "doc_id long, text string, name string"))

@@ -9,8 +9,11 @@ its characters, measure how new it is; names and prose cost little, keys cost wh
 occurrences of the string are cut out of the surroundings, so that a key that is written twice is as new as one that is
 written once. A string without small letters is measured in small ones too and the lesser counts, since names in capitals
 are no newer than the same names in small letters. The limit is NOVEL, or NOVEL_LETTERS for a run of letters of one case:
-random ones carry less each, 4.7 bits, than those of larger alphabets. No alphabet is left out. Spans are code points, end
-exclusive. One pass over the texts; only counts of names are shuffled.
+random ones carry less each, 4.7 bits, than those of larger alphabets. No alphabet is left out. Other keys around a key,
+as in a list of keys, teach the compressor how often each letter comes, and its letters cost little then though their order
+is as new as ever. So a string below the limit that has other runs of key-like characters around it counts as well if it
+reaches the limit without those runs around it, and NOVEL_ORDER with them but letters stored as they are. Spans are code
+points, end exclusive. One pass over the texts; only counts of names are shuffled.
 
 Rows: null text counts as empty and has no spans. A very long text is searched whole. Null doc_id and repeated rows are
 rows like others. An empty table gives an empty result. Other columns are not read.
@@ -20,7 +23,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import pyarrow as pa
@@ -44,6 +47,8 @@ _PARTS, _GAP = re.compile(rb"[^A-Za-z0-9+/_-]+"), b"\0"  # a string stands elsew
 REACH = 80  # bytes after a sensitive word in which a candidate may begin, or before it in which one may end
 AROUND = 512  # bytes before and after a candidate that it is measured against
 NOVEL, NOVEL_LETTERS = 0.8, 0.7  # compressed bytes for each character, at least; of letters of one case alone
+NOVEL_ORDER = 0.8  # the same where only repetitions are compressed
+_LEAD = bytes(64)  # repeats itself, so that no block is too poor in repetitions to be compressed
 
 #: A name as code writes it: words joined by underscores, words in camel case, or what stands before an equals sign or a colon.
 _NAME = r"\b(?:[A-Za-z]{2,24}(?:_[A-Za-z]{2,24})+|[A-Za-z][a-z]+(?:[A-Z][a-z]+)+|[A-Za-z_]{3,32}(?=\x20?[=:]))"
@@ -92,17 +97,36 @@ class Scanner:
         d.precompute_compress(level=level)
         self.compress = z.ZstdCompressor(level=level, dict_data=d, write_content_size=False, write_checksum=False).compress
         self.novel, self.letters = novel, letters
+        # zstandard leaves letters as they are in its fast strategy with a target length
+        fast = z.ZstdCompressionParameters(window_log=17, hash_log=17, min_match=4, target_length=1, strategy=z.STRATEGY_FAST, write_content_size=False, write_checksum=False)
+        d = z.ZstdCompressionDict(identifiers, dict_type=z.DICT_TYPE_RAWCONTENT)
+        d.precompute_compress(compression_params=fast)
+        self.repetitions = z.ZstdCompressor(compression_params=fast, dict_data=d).compress
 
-    def novelty(self, text: bytes, start: int, end: int) -> float:
-        """Bytes that text[start:end] adds to its surroundings when compressed, for each of its characters."""
+    def _around(self, text: bytes, start: int, end: int, runs: bool = True) -> bytes:
+        """The surroundings of text[start:end] without its other occurrences, or without any run of key-like characters."""
         s = text[start:end]
         more = AROUND + len(s)  # an occurrence that the window cuts is found whole
         before, after = text[max(0, start - more) : start], text[end : end + more]
         for part in sorted({s, *(x for x in _PARTS.split(s) if len(x) >= 16)}, key=len, reverse=True):
             before, after = (x.replace(part, _GAP * len(part)) for x in (before, after))
-        around = (before[-AROUND:] + after[:AROUND]).replace(_GAP, b"")
+        if not runs:
+            before, after = (_CANDIDATE.sub(lambda m: _GAP * len(m[0]), x) for x in (before, after))
+        return (before[-AROUND:] + after[:AROUND]).replace(_GAP, b"")
+
+    @staticmethod
+    def _added(compress: Callable[[bytes], bytes], around: bytes, s: bytes) -> float:
         forms = [s] if s.lower() == s or s.upper() != s else [s, s.lower()]
-        return (min(len(self.compress(around + x)) for x in forms) - len(self.compress(around))) / max(1, end - start)
+        return (min(len(compress(around + x)) for x in forms) - len(compress(around))) / max(1, len(s))
+
+    def novelty(self, text: bytes, start: int, end: int) -> float:
+        """Bytes that text[start:end] adds to its surroundings when compressed, for each of its characters; below the limit, if it
+        repeats little of them, those that it adds without the other runs around it, if they are more."""
+        s, around = text[start:end], self._around(text, start, end)
+        found = self._added(self.compress, around, s)
+        if found >= self.limit(s) or (alone := self._around(text, start, end, runs=False)) == around:
+            return found
+        return max(found, self._added(self.compress, alone, s)) if self._added(self.repetitions, _LEAD + around, s) >= NOVEL_ORDER else found
 
     def limit(self, s: bytes) -> float:
         return self.letters if s.isalpha() and s in (s.lower(), s.upper()) else self.novel
